@@ -51,4 +51,4 @@ def text_to_int(c) -> Column:
     Text that is not a number (e.g. ``1,234``) becomes null instead of
     failing the job; callers report such cells.
     """
-    return F.try_cast(_col(c), "double").cast("long")
+    return _col(c).try_cast("double").cast("long")
