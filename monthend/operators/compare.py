@@ -46,7 +46,7 @@ from monthend.functions.calendar import (FISCAL_START_MONTH, add_months_py,
                                          fiscal_year, fiscal_year_of,
                                          fiscal_year_start, month_index,
                                          next_month)
-from monthend.functions.numeric import as_double, exact_sum, round2
+from monthend.functions.numeric import SUM_TYPE, as_double, exact_sum, round2
 
 # Fixed value: metrics whose name contains this text (case-sensitive) are
 # averaged; all others are summed.
@@ -116,35 +116,107 @@ def ytd_table(df: DataFrame, start_month: int = FISCAL_START_MONTH,
 
 def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
                  marker: str = MEAN_MARKER) -> DataFrame:
-    """Reference-parity plan (D4 self-join, E6 after the join, D5 join)."""
-    base = _ytd(_with_keys(report_input(df), start_month, marker))
-    prior = base.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo",
-                        F.col("Value").alias("year_over_year"),
-                        round2("ytd").alias("ytd_over_year"))
-    joined = base.join(prior, ["Metric", "_yr", "_mo"], "left")
-    fy = (joined.groupBy("Metric", "fiscal_year")
-          .agg(exact_sum("Value").alias("_total"), F.count("Value").alias("_n"))
+    """Reference-parity plan for any grain (D4 self-join, E6 after the join, D5).
+
+    Identical rows (same Date, Metric, Value) are interchangeable, so the
+    work runs on *groups of copies* ``(Date, Metric, Value, copies)``:
+
+    * running sums per (Metric, fiscal year) over the groups give, for copy
+      ``j`` of a group, ``ytd_j = before + j * Value`` and ``rows_j =
+      rows_before + j`` -- a group of a million copies is one row here;
+    * the self-join pairs a group with the groups of the same month a year
+      earlier; the pair stands for ``copies x partner copies`` output rows;
+    * the previous-FY aggregate weights each pair by that count, which is
+      exactly the reference's aggregate over the joined rows (T4);
+    * finally each pair is expanded into its output rows. Pairs standing for
+      more than EXPAND_CHUNK rows are cut into chunks that are spread over
+      all tasks before expanding, so no task emits a hot group alone.
+    """
+    rows = report_input(df)
+    g = _with_keys(rows.groupBy("Date", "Metric", "Value").agg(F.count(F.lit(1)).alias("_c")),
+                   start_month, marker)
+    before = (Window.partitionBy("Metric", "fiscal_year")
+              .orderBy("Date", F.col("Value").asc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    zero = F.lit(0).cast(SUM_TYPE)
+    g = g.withColumns({
+        "_p": F.coalesce(F.sum(F.col("Value").cast(SUM_TYPE) * F.col("_c")).over(before), zero),
+        "_np": F.coalesce(F.sum("_c").over(before), F.lit(0)).cast("long"),
+    })
+    prior = g.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo",
+                     F.col("Value").alias("_hv"), F.col("_c").alias("_hc"),
+                     F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))
+    pairs = (g.join(prior, ["Metric", "_yr", "_mo"], "left")
+             .withColumn("_hc1", F.coalesce(F.col("_hc"), F.lit(1)).cast("long"))
+             .withColumn("_w", F.col("_c") * F.col("_hc1")))
+    fy = (pairs.groupBy("Metric", "fiscal_year")
+          .agg(F.sum(F.col("Value").cast(SUM_TYPE) * F.col("_w")).alias("_total"),
+               F.sum(F.when(F.col("Value").isNotNull(), F.col("_w"))).alias("_n"))
           .withColumn("_mean", F.col("Metric").contains(marker))
           .select("Metric", (F.col("fiscal_year") + 1).alias("fiscal_year"),
                   _fy_value(F.col("_total"), F.col("_n")).alias("Previous_FY_Value")))
-    return _finish(joined.join(fy, ["Metric", "fiscal_year"], "left"))
+    out = _expand(pairs.join(fy, ["Metric", "fiscal_year"], "left"))
+    j = F.floor(F.col("_t") / F.col("_hc1")) + 1
+    k = F.col("_t") % F.col("_hc1") + 1
+    return _finish(out.select(
+        "Date", "Metric", "Value", "Previous_FY_Value",
+        round2(_running(F.col("Value"), F.col("_p"), F.col("_np"), j)).alias("ytd"),
+        F.col("_hv").alias("year_over_year"),
+        round2(round2(_running(F.col("_hv"), F.col("_hp"), F.col("_hnp"), k))).alias("ytd_over_year")))
+
+
+# Output rows one pair may emit inside its own task; larger pairs are split.
+EXPAND_CHUNK = 100_000
+
+
+def _running(v: Column, before: Column, rows_before: Column, j: Column) -> Column:
+    """ytd of copy ``j`` of a group: sum (or mean for Session metrics)."""
+    s = as_double(before + v.cast(SUM_TYPE) * j.cast("long"))
+    return (F.when(v.isNull(), F.lit(None).cast("double"))
+            .when(F.col("_mean"), s / (rows_before + j))
+            .otherwise(s))
+
+
+def _expand(pairs: DataFrame) -> DataFrame:
+    """One row per output row: ``_t`` in [0, _w)."""
+    small = pairs.where(F.col("_w") <= EXPAND_CHUNK).withColumn(
+        "_t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_w") - 1)))
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunk = F.col("_chunk") * EXPAND_CHUNK
+    big = (pairs.where(F.col("_w") > EXPAND_CHUNK)
+           .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                      F.floor((F.col("_w") - 1) / EXPAND_CHUNK))))
+           .repartition(n)
+           .withColumn("_t", F.explode(F.sequence(chunk, F.least(chunk + EXPAND_CHUNK, F.col("_w")) - 1)))
+           .drop("_chunk"))
+    return small.unionByName(big)
 
 
 def compare_window(df: DataFrame, start_month: int = FISCAL_START_MONTH,
                    marker: str = MEAN_MARKER) -> DataFrame:
-    """Single-exchange plan; exact only when (Metric, month) is unique."""
+    """Single-exchange, single-sort plan; exact only when (Metric, month) is unique.
+
+    The previous fiscal year is one RANGE frame over ``fiscal_year``; it
+    yields both the FY aggregate and, among its (at most 12) rows, the row of
+    the same month -- the prior-year value. Its ordering is a prefix of the
+    running-sum ordering, so Spark sorts once.
+    """
     base = _with_keys(report_input(df), start_month, marker).repartition("Metric")
     base = _ytd(base)
-    prior_year = Window.partitionBy("Metric").orderBy("_mi").rangeBetween(-12, -12)
     prior_fy = Window.partitionBy("Metric").orderBy("fiscal_year").rangeBetween(-1, -1)
+    months = F.collect_list(F.struct(F.col("_mo").alias("mo"), F.col("Value").alias("v"),
+                                     F.col("ytd").alias("y"))).over(prior_fy)
     out = base.select(
-        "Date", "Metric", "Value", "ytd",
-        F.first("Value").over(prior_year).alias("year_over_year"),
-        round2(F.first("ytd").over(prior_year)).alias("ytd_over_year"),
-        "_mean",
+        "Date", "Metric", "Value", "ytd", "_mo", "_mean",
+        months.alias("_prev"),
         exact_sum("Value").over(prior_fy).alias("_total"),
         F.count("Value").over(prior_fy).alias("_n"))
-    return _finish(out.withColumn("Previous_FY_Value", _fy_value(F.col("_total"), F.col("_n"))))
+    same = F.get(F.filter("_prev", lambda r: r["mo"] == F.col("_mo")), 0)
+    return _finish(out.select(
+        "Date", "Metric", "Value", "ytd",
+        same["v"].alias("year_over_year"),
+        round2(same["y"]).alias("ytd_over_year"),
+        _fy_value(F.col("_total"), F.col("_n")).alias("Previous_FY_Value")))
 
 
 def duplicate_months(df: DataFrame) -> DataFrame:
