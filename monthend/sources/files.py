@@ -67,8 +67,9 @@ def read_mention_files(spark: SparkSession, path: str,
              .groupBy("file").agg(F.min("pos").alias("_hpos")))
     header_pos = (raw.select("file").distinct().join(found, "file", "left")
                   .select("file", F.coalesce("_hpos", F.lit(0)).alias("_hpos")))
-    headers = (raw.join(header_pos, (raw.file == header_pos.file) & (raw.pos == header_pos._hpos))
-               .select(raw.file, "_hpos",
+    hp = header_pos.select(F.col("file").alias("_hfile"), "_hpos")
+    headers = (raw.join(hp, (F.col("file") == F.col("_hfile")) & (F.col("pos") == F.col("_hpos")))
+               .select("file", "_hpos",
                        F.array_position("cells", RATING_HEADER).alias("_ri"),
                        F.array_position("cells", DATE_HEADER).alias("_di")))
     invalid = headers.where((F.col("_ri") == 0) | (F.col("_di") == 0)).select("file")
@@ -109,7 +110,8 @@ def read_snapshots(spark: SparkSession, root: str, schema: str = "Date date, Met
     require_path(spark, pattern)
     df = (spark.read.schema(schema).option("header", True).csv(pattern)
           .withColumn("_path", F.col("_metadata.file_path")))
-    return (df.where(~F.col("_path").contains("staging"))
+    below_root = F.regexp_extract("_path", r"/historical/(.*)$", 1)
+    return (df.where(~below_root.contains("staging"))
             .withColumn("snapshot_date",
                         F.try_to_date(F.regexp_extract("_path", r"results_(\d{4}-\d{2}-\d{2})\.csv", 1),
                                       "yyyy-MM-dd"))

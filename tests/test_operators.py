@@ -1,0 +1,184 @@
+"""Mutations (B1-B4), lookups (A1, D2, D3, C11), traffic (E1-E3, D6), calendar (K2-K6), sinks."""
+
+import datetime as dt
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from monthend.functions import calendar as K
+from monthend.operators import lookup as L
+from monthend.operators import mutate as U
+from monthend.operators import traffic as T
+from monthend.plans import monthly_load as Q
+from monthend.plans import report as P
+
+D = dt.date
+TS = dt.datetime
+FACT = "fecha date, metrica int, valor double"
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.fixture
+def fact(spark):
+    return spark.createDataFrame([
+        (D(2024, 1, 31), 1, 10.0), (D(2024, 1, 31), 2, 20.0), (D(2024, 1, 31), 13, 5.0),
+        (D(2024, 2, 29), 1, 11.0), (D(2023, 12, 31), 1, 9.0)], FACT)
+
+
+def test_replace_months_keeps_other_ids_and_is_idempotent(spark, fact):
+    upd = spark.createDataFrame([(D(2024, 1, 20), 1, 100.0), (D(2024, 1, 20), 2, 200.0)], FACT)
+    once = U.replace_months(fact, upd)
+    assert rows(once) == sorted([
+        (D(2024, 1, 20), 1, 100.0), (D(2024, 1, 20), 2, 200.0), (D(2024, 1, 31), 13, 5.0),
+        (D(2024, 2, 29), 1, 11.0), (D(2023, 12, 31), 1, 9.0)])
+    assert rows(U.replace_months(once, upd)) == rows(once)
+
+
+def test_delete_with_no_ids_is_noop(spark, fact):
+    months = spark.createDataFrame([(2024, 1)], "_y int, _m int")
+    none = spark.createDataFrame([], "metrica int")
+    assert rows(U.delete_month_slices(fact, months, none)) == rows(fact)
+
+
+def test_upsert_last_wins_and_idempotent(spark, fact):
+    upd = spark.createDataFrame([(D(2024, 1, 31), 13, 7.0, 1), (D(2024, 1, 31), 13, 8.0, 2),
+                                 (D(2024, 3, 31), 13, 1.0, 1)], "fecha date, metrica int, valor double, seq int")
+    once = U.upsert(fact, upd, order_col="seq")
+    got = {(r.fecha, r.metrica): r.valor for r in once.collect()}
+    assert got[(D(2024, 1, 31), 13)] == 8.0 and got[(D(2024, 3, 31), 13)] == 1.0
+    assert once.count() == fact.count() + 1
+    assert rows(U.upsert(once, upd, order_col="seq")) == rows(once)
+
+
+def test_insert_ignore(spark):
+    g = spark.createDataFrame([(13, "Existing")], "metrica int, nombre string")
+    new = spark.createDataFrame([(13, "Total Media Mentions"), (14, "Positive Media Mentions")],
+                                "metrica int, nombre string")
+    out = U.insert_ignore(g, new)
+    assert rows(out) == [(13, "Existing"), (14, "Positive Media Mentions")]
+    assert rows(U.insert_ignore(out, new)) == rows(out)
+
+
+def test_number_rows_matches_global_row_number(spark):
+    df = spark.createDataFrame([(f"n{i:04d}",) for i in range(997)], "name string").repartition(7)
+    got = L.number_rows(df, ["name"], col="id", partitions=5)
+    assert [(r.name, r.id) for r in got.orderBy("id").collect()] == [
+        (f"n{i:04d}", i + 1) for i in range(997)]
+
+
+def test_glossary_lookup_rules(spark):
+    g = spark.createDataFrame([(1, "A"), (2, "A"), (0, "Z"), (5, None)], "metrica int, nombre string")
+    long = spark.createDataFrame([(D(2024, 1, 31), "A", 1.0), (D(2024, 1, 31), "Z", 2.0),
+                                  (D(2024, 1, 31), "Q", 3.0)], "Date date, Metric string, Value double")
+    mapped = L.names_to_ids(long, g).collect()
+    assert [(r.metrica, r.Value) for r in mapped] == [(2, 1.0)]   # last id wins; 0 skipped
+    assert [r.Metric for r in L.missing_names(long, g).collect()] == ["Q"]
+
+
+def lag_sessions(pdf, keys):
+    pdf = pdf.sort_values(keys + ["user_id", "ts"])
+    gap = pdf.groupby(keys + ["user_id"])["ts"].diff()
+    pdf["start"] = gap.isna() | (gap >= pd.Timedelta(minutes=30))
+    return pdf
+
+
+def test_sessions_edge_cases(spark):
+    ev = spark.createDataFrame([
+        (TS(2024, 1, 31, 23, 50), 1, True, "p"), (TS(2024, 2, 1, 0, 10), 1, True, "p"),  # crosses month
+        (TS(2024, 2, 1, 0, 40), 1, False, "p"),                                          # exactly 30 min
+        (TS(2024, 2, 1, 1, 9, 59), 1, True, "p"),                                        # 29:59 later
+        (TS(2024, 2, 1, 5, 0), 2, True, "p"), (TS(2024, 2, 1, 5, 0), 2, True, "p")],     # same instant
+        "ts timestamp_ntz, user_id long, is_view boolean, property string")
+    got = {(r.period_start, r.users, r.views, r.sessions, r.views_per_session)
+           for r in T.traffic_report(ev, ["property"], "month").collect()}
+    assert got == {(D(2024, 1, 1), 1, 1, 1, 1.0), (D(2024, 2, 1), 2, 4, 2, 2.0)}
+
+
+def test_sessions_match_lag_definition(spark):
+    from monthend.sources import testdata as TD
+    ev = TD.traffic_events(spark, "/root/testdata/sf0.001")
+    pdf = lag_sessions(ev.toPandas(), ["property"])
+    pdf["day"] = pdf["ts"].dt.date
+    want = (pdf.groupby(["property", "day"])
+            .agg(users=("user_id", "nunique"), views=("is_view", "sum"), sessions=("start", "sum"))
+            .reset_index())
+    want = {(r.property, r.day, r.users, r.views, r.sessions) for r in want.itertuples()}
+    got = {(r.property, r.period_start, r.users, r.views, r.sessions)
+           for r in T.traffic_report(ev, ["property"], "day").collect()}
+    assert got == want
+
+
+def test_video_totals_ads_plus_organic(spark):
+    src = spark.createDataFrame([(TS(2024, 1, 2), "ADVERTISING", 3), (TS(2024, 1, 3), "SEARCH", 4),
+                                 (TS(2024, 2, 3), "SEARCH", 1)], "ts timestamp_ntz, source string, views int")
+    daily = T.source_views(src, period="day")
+    assert daily.count() == 3
+    tot = T.video_totals(T.source_views(src, period="month"), ["month"]).orderBy("month").collect()
+    assert [(r.total_views, r.ads_views, r.organic_views) for r in tot] == [(7, 3, 4), (1, 0, 1)]
+
+
+def test_choose_source_uses_period_end(spark):
+    cut = T.cutover_table(spark, [("old", "http", D(1900, 1, 1), D(2024, 10, 1), "blog"),
+                                  ("new", "https", D(2024, 10, 1), D(9999, 12, 31), None)])
+    ev = spark.createDataFrame([
+        (TS(2024, 9, 10), "http", "blog", D(2024, 9, 30)), (TS(2024, 9, 11), "http", "www", D(2024, 9, 30)),
+        (TS(2024, 9, 12), "https", "www", D(2024, 9, 30)),
+        (TS(2024, 10, 2), "https", "m", D(2024, 10, 31)), (TS(2024, 10, 3), "http", "blog", D(2024, 10, 31))],
+        "ts timestamp_ntz, scheme string, site string, period_end date")
+    got = sorted((r.source_name, r.site) for r in T.choose_source(ev, cut).collect())
+    assert got == [("new", "m"), ("old", "blog")]
+
+
+def test_in_date_range_inclusive(spark):
+    ev = spark.createDataFrame([(TS(2024, 1, 31, 23, 59),), (TS(2024, 2, 1),), (TS(2024, 1, 1),)],
+                               "ts timestamp_ntz")
+    assert ev.where(T.in_date_range("ts", "2024-01-01", "2024-01-31")).count() == 2
+
+
+def test_calendar_helpers(spark):
+    cal = K.month_calendar(spark, D(2024, 6, 15), D(2024, 9, 10)).collect()
+    assert [(r.month_start, r.period_end, r.fiscal_year) for r in cal] == [
+        (D(2024, 6, 1), D(2024, 6, 30), 2023), (D(2024, 7, 1), D(2024, 7, 31), 2023),
+        (D(2024, 8, 1), D(2024, 8, 31), 2024), (D(2024, 9, 1), D(2024, 9, 10), 2024)]
+    w = K.reload_window(spark, D(2025, 1, 15)).collect()
+    assert [(r.month_start, r.period_end) for r in w] == [(D(2024, 12, 1), D(2024, 12, 31)),
+                                                          (D(2025, 1, 1), D(2025, 1, 15))]
+    assert K.report_months(D(2025, 1, 15)) == (D(2024, 12, 1), D(2025, 1, 1))
+    assert K.report_months(D(2025, 1, 15), "2025-12") == (D(2025, 12, 1), D(2025, 1, 1))
+    assert Q.backfill_months("2024-11-20", "2025-02-01") == [D(2024, 11, 1), D(2024, 12, 1),
+                                                            D(2025, 1, 1), D(2025, 2, 1)]
+
+
+def test_monthly_load_zero_fills_and_replaces(spark):
+    ev = spark.createDataFrame([(TS(2024, 1, 5, 10), 1, True, "a"), (TS(2024, 1, 5, 10, 5), 1, True, "a")],
+                               "ts timestamp_ntz, user_id long, is_view boolean, property string")
+    src = spark.createDataFrame([(TS(2024, 1, 5), "ADVERTISING", 2), (TS(2024, 1, 6), "X", 5)],
+                                "ts timestamp_ntz, source string, views int")
+    props = spark.createDataFrame([("a",), ("b",)], "property string")
+    names = Q.traffic_metric_rows(ev, src, props, Q.reload_months("2024-01-20"), "2024-01-20")
+    got = {(r.fecha, r.Metric): r.valor for r in names.collect()}
+    assert got[(D(2024, 1, 20), "a Views Per Session")] == 2.0
+    assert got[(D(2024, 1, 20), "b Total Users")] == 0.0
+    assert got[(D(2023, 12, 31), "Video Total Views")] == 0.0
+    assert got[(D(2024, 1, 20), "Video Organic Views")] == 5.0
+    assert len(got) == 2 * (2 * 3 + 3)
+    g = L.build_glossary(names.where(~F.col("Metric").startswith("b ")))
+    target = spark.createDataFrame([(D(2024, 1, 15), 1, 99.0)], FACT)
+    out = Q.monthly_load(target, g, ev, src, props, "2024-01-20")
+    assert out.where("fecha = date'2024-01-15'").count() == 0
+    assert rows(Q.monthly_load(out, g, ev, src, props, "2024-01-20")) == rows(out)
+
+
+def test_report_tab_written_and_empty_kept(spark, tmp_path):
+    df = spark.createDataFrame([(D(2024, 8, 31), "B", None), (D(2024, 8, 31), "A", 1.5)],
+                               "Date date, Metric string, Value double")
+    path = str(tmp_path / "tab")
+    assert P.write_tab(df, path)
+    back = spark.read.option("header", True).csv(path).orderBy("Metric").collect()
+    assert [(r.Date, r.Metric, r.Value) for r in back] == [("2024-08-31", "A", "1.5"), ("2024-08-31", "B", "0.0")]
+    assert not P.write_tab(df.where("false"), path)
+    assert spark.read.option("header", True).csv(path).count() == 2
