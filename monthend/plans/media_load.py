@@ -18,8 +18,19 @@ def media_glossary_rows(spark: SparkSession) -> DataFrame:
 
 
 def mention_updates(rows: DataFrame, glossary: DataFrame) -> DataFrame:
-    """Q6 core: mention rows -> fact rows (fecha, metrica, valor) per file."""
-    return names_to_ids(mention_metrics(rows), glossary).select("fecha", "metrica", "valor")
+    """Q6 core: mention rows -> fact rows (fecha, metrica, valor[, _order]).
+
+    When the rows carry the file modification time (``mtime``), it is kept
+    as ``_order`` so that, as in the reference's one-file-at-a-time runs, the
+    newest file wins when two files report the same month.
+    """
+    m = mention_metrics(rows)
+    cols = ["fecha", "metrica", "valor"]
+    if "mtime" in rows.columns:
+        order = rows.groupBy("file").agg(F.max("mtime").alias("_order"))
+        m = m.join(order, "file")
+        cols.append("_order")
+    return names_to_ids(m, glossary).select(*cols)
 
 
 def media_monthly_load(spark: SparkSession, path: str, target: DataFrame, glossary: DataFrame,
@@ -33,8 +44,8 @@ def media_monthly_load(spark: SparkSession, path: str, target: DataFrame, glossa
     if strict:
         bad = [r.file for r in invalid.limit(20).collect()]
         if bad:
-            raise ValueError(f"files lack the '{'Calificación'}'/'Fecha' columns: {bad}")
-    return upsert(target, mention_updates(rows, glossary))
+            raise ValueError(f"files lack the 'Calificación'/'Fecha' columns: {bad}")
+    return upsert(target, mention_updates(rows, glossary), order_col="_order")
 
 
 def media_history_load(spark: SparkSession, path: str, target: DataFrame,

@@ -31,44 +31,51 @@ def require_path(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(path)
 
 
-def read_positional_csv(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """Rows of every CSV under ``path`` as (file, pos, cells array<string>)."""
-    require_path(spark, path)
-    schema = StructType([StructField(f"c{i}", StringType()) for i in range(max_columns)])
-    raw = (spark.read.schema(schema)
-           .option("header", False).option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("encoding", "UTF-8")
-           .csv(path)
-           .select(F.col("_metadata.file_path").alias("file"),
-                   F.monotonically_increasing_id().alias("_id"),
-                   F.array(*[F.col(f"c{i}") for i in range(max_columns)]).alias("cells")))
+def positional_schema(max_columns: int = MAX_COLUMNS) -> StructType:
+    return StructType([StructField(f"c{i}", StringType()) for i in range(max_columns)])
+
+
+def csv_rows(reader, path: str, max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """(file, mtime, cells) from a batch or streaming reader, in file order."""
+    return (reader.schema(positional_schema(max_columns))
+            .option("header", False).option("multiLine", True).option("mode", "PERMISSIVE")
+            .option("encoding", "UTF-8")
+            .csv(path)
+            .select(F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_modification_time").alias("mtime"),
+                    F.array(*[F.col(f"c{i}") for i in range(max_columns)]).alias("cells")))
+
+
+def with_positions(rows: DataFrame) -> DataFrame:
+    """Add ``pos``: 0-based position of each non-blank row inside its file.
+
+    Needs a frame straight off a ``multiLine`` scan (one file per task, in
+    order); only one row per file goes through the shuffle.
+    """
+    raw = rows.withColumn("_id", F.monotonically_increasing_id())
     first = raw.groupBy("file").agg(F.min("_id").alias("_first"))
     return (raw.join(first, "file")
-            .select("file", (F.col("_id") - F.col("_first")).alias("pos"), "cells"))
+            .withColumn("pos", F.col("_id") - F.col("_first")).drop("_id", "_first"))
+
+
+def read_positional_csv(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """Rows of every CSV under ``path`` as (file, mtime, cells, pos)."""
+    require_path(spark, path)
+    return with_positions(csv_rows(spark.read, path, max_columns))
 
 
 def _has(cells: str, text: str):
     return F.array_contains(F.col(cells), text)
 
 
-def read_mention_files(spark: SparkSession, path: str,
-                       max_columns: int = MAX_COLUMNS) -> tuple[DataFrame, DataFrame]:
-    """A3 + C9: mention rows of every file under ``path``.
-
-    Per file, the header is the first of the first HEADER_SEARCH_ROWS rows
-    holding both exact header names, else row 0. Returns ``(rows, invalid)``:
-    ``rows`` = (file, Fecha, Calificacion) for the data rows after the header
-    of valid files; ``invalid`` = files whose header lacks a required column
-    (the reference stops on such a file and loads nothing from it).
-    """
-    raw = read_positional_csv(spark, path, max_columns)
+def mentions_from_positions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A3 + C9 on positional rows; see :func:`read_mention_files`."""
     found = (raw.where((F.col("pos") < HEADER_SEARCH_ROWS)
                        & _has("cells", RATING_HEADER) & _has("cells", DATE_HEADER))
              .groupBy("file").agg(F.min("pos").alias("_hpos")))
     header_pos = (raw.select("file").distinct().join(found, "file", "left")
-                  .select("file", F.coalesce("_hpos", F.lit(0)).alias("_hpos")))
-    hp = header_pos.select(F.col("file").alias("_hfile"), "_hpos")
-    headers = (raw.join(hp, (F.col("file") == F.col("_hfile")) & (F.col("pos") == F.col("_hpos")))
+                  .select(F.col("file").alias("_hfile"), F.coalesce("_hpos", F.lit(0)).alias("_hpos")))
+    headers = (raw.join(header_pos, (F.col("file") == F.col("_hfile")) & (F.col("pos") == F.col("_hpos")))
                .select("file", "_hpos",
                        F.array_position("cells", RATING_HEADER).alias("_ri"),
                        F.array_position("cells", DATE_HEADER).alias("_di")))
@@ -76,12 +83,25 @@ def read_mention_files(spark: SparkSession, path: str,
     valid = headers.where((F.col("_ri") > 0) & (F.col("_di") > 0))
     rows = (raw.join(valid, "file")
             .where(F.col("pos") > F.col("_hpos"))
-            .select("file",
+            .select("file", "mtime",
                     F.element_at("cells", F.col("_di").cast("int")).alias("Fecha"),
                     F.element_at("cells", F.col("_ri").cast("int")).alias("Calificacion")))
     return rows, invalid
 
 
+def read_mention_files(spark: SparkSession, path: str,
+                       max_columns: int = MAX_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """A3 + C9: mention rows of every file under ``path``.
+
+    Per file, the header is the first of the first HEADER_SEARCH_ROWS rows
+    holding both exact header names, else row 0. Returns ``(rows, invalid)``:
+    ``rows`` = (file, mtime, Fecha, Calificacion) for the data rows after the
+    header of valid files; ``invalid`` = files whose header lacks a required
+    column (the reference stops on such a file and loads nothing from it).
+    """
+    return mentions_from_positions(read_positional_csv(spark, path, max_columns))
+
+
 def read_history_file(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS) -> DataFrame:
     """A4: a wide history CSV as a frame named by its header row, plus ``_row``.
 
