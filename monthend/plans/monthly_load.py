@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from monthend.functions.calendar import add_months_py, period_end
 from monthend.operators.lookup import names_to_ids
 from monthend.operators.mutate import replace_months
-from monthend.operators.traffic import (ADS_SOURCE, in_date_range, source_views,
-                                        traffic_report, video_totals)
+from monthend.operators.reshape import wide_to_long
+from monthend.operators.traffic import (ADS_SOURCE, choose_source, in_date_range,
+                                        source_views, traffic_report, video_totals)
 
 # Metric name suffixes per property and the video metric names.
 PROPERTY_MEASURES = {"users": "Total Users", "views": "Views",
@@ -60,25 +61,38 @@ def _month_grid(df: DataFrame, months: list[dt.date]) -> DataFrame:
 
 def traffic_metric_rows(events: DataFrame, sources: DataFrame, properties: DataFrame,
                         months: list[dt.date], as_of, ads_source: str = ADS_SOURCE,
-                        daily_sources: bool = False) -> DataFrame:
+                        daily_sources: bool = False,
+                        cutover: tuple[str, DataFrame] | None = None) -> DataFrame:
     """Named metric rows (fecha, Metric, valor) for ``months`` up to ``as_of``.
 
     ``events``: (ts, user_id, is_view, property); ``sources``: (ts, source,
     views); ``properties``: the catalogue (property). ``daily_sources``
     aggregates the video views by (source, day) first, as the backfill does;
     the monthly totals are the same.
+
+    ``cutover=(name, table)`` adds property ``name`` whose events, per month,
+    come from the source valid at that month's end (D6; ``events`` then also
+    needs ``scheme`` and ``site``).
     """
     as_of = _as_date(as_of)
     first = months[0]
+    cols = ["ts", "user_id", "is_view", "property"]
     ev = events.where(in_date_range("ts", first, as_of))
+    props = properties.select("property").distinct()
+    if cutover is not None:
+        name, table = cutover
+        pe = period_end(F.trunc(F.to_date("ts"), "month"), as_of).alias("period_end")
+        chosen = (choose_source(ev.select("*", pe), table)
+                  .withColumn("property", F.lit(name)).select(*cols))
+        ev = ev.select(*cols).unionByName(chosen)
+        props = props.unionByName(props.sparkSession.range(1).select(F.lit(name).alias("property")))
     rep = traffic_report(ev, ["property"], period="month")
-    grid = _month_grid(properties.select("property").distinct(), months)
+    grid = _month_grid(props, months)
     prop = (grid.join(rep, ["property", "period_start"], "left")
             .select("property", "period_start",
                     *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in PROPERTY_MEASURES]))
-    prop_rows = prop.select("period_start", F.explode(F.array(*[
-        F.struct(F.concat_ws(" ", "property", F.lit(label)).alias("Metric"), F.col(c).alias("valor"))
-        for c, label in PROPERTY_MEASURES.items()])).alias("m"))
+    prop_rows = (wide_to_long(prop, ["property", "period_start"], PROPERTY_MEASURES)
+                 .select("period_start", F.concat_ws(" ", "property", "Metric").alias("Metric"), "valor"))
 
     src = sources.where(in_date_range("ts", first, as_of))
     if daily_sources:
@@ -88,14 +102,13 @@ def traffic_metric_rows(events: DataFrame, sources: DataFrame, properties: DataF
         by_source = source_views(src, period="month").withColumnRenamed("month", "period_start")
     vid = video_totals(by_source, ["period_start"], ads_source)
     vgrid = (_month_grid(vid.sparkSession.range(1).select(), months)
-             .join(vid, "period_start", "left"))
-    vid_rows = vgrid.select("period_start", F.explode(F.array(*[
-        F.struct(F.lit(label).alias("Metric"),
-                 F.coalesce(F.col(c), F.lit(0)).cast("double").alias("valor"))
-        for c, label in VIDEO_MEASURES.items()])).alias("m"))
+             .join(vid, "period_start", "left")
+             .select("period_start",
+                     *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in VIDEO_MEASURES]))
+    vid_rows = wide_to_long(vgrid, ["period_start"], VIDEO_MEASURES)
 
     return (prop_rows.unionByName(vid_rows)
-            .select(period_end("period_start", as_of).alias("fecha"), "m.Metric", "m.valor"))
+            .select(period_end("period_start", as_of).alias("fecha"), "Metric", "valor"))
 
 
 def monthly_load(target: DataFrame, glossary: DataFrame, events: DataFrame, sources: DataFrame,

@@ -182,3 +182,23 @@ def test_report_tab_written_and_empty_kept(spark, tmp_path):
     assert [(r.Date, r.Metric, r.Value) for r in back] == [("2024-08-31", "A", "1.5"), ("2024-08-31", "B", "0.0")]
     assert not P.write_tab(df.where("false"), path)
     assert spark.read.option("header", True).csv(path).count() == 2
+
+
+def test_monthly_load_with_cutover_property(spark):
+    cut = T.cutover_table(spark, [("old", "http", D(1900, 1, 1), D(2024, 1, 15), "blog"),
+                                  ("new", "https", D(2024, 1, 15), D(9999, 12, 31), None)])
+    ev = spark.createDataFrame([
+        (TS(2023, 12, 5, 10), 1, True, "com", "http", "blog"),   # old source, kept
+        (TS(2023, 12, 6, 10), 2, True, "com", "http", "www"),    # old source, filtered out
+        (TS(2023, 12, 7, 10), 3, True, "net", "https", "www"),   # new source before cutover
+        (TS(2024, 1, 5, 10), 4, True, "net", "https", "m"),      # new source, month ends after
+        (TS(2024, 1, 6, 10), 5, True, "org", "http", "blog")],   # old source after cutover
+        "ts timestamp_ntz, user_id long, is_view boolean, property string, scheme string, site string")
+    src = spark.createDataFrame([], "ts timestamp_ntz, source string, views int")
+    props = spark.createDataFrame([("com",), ("net",), ("org",)], "property string")
+    out = Q.traffic_metric_rows(ev, src, props, Q.reload_months("2024-01-20"), "2024-01-20",
+                                cutover=("Careers", cut))
+    got = {(r.fecha, r.Metric): r.valor for r in out.collect() if r.Metric.startswith("Careers")}
+    assert got[(D(2023, 12, 31), "Careers Total Users")] == 1.0
+    assert got[(D(2024, 1, 20), "Careers Total Users")] == 1.0
+    assert got[(D(2024, 1, 20), "Careers Views")] == 1.0
