@@ -47,6 +47,7 @@ from monthend.functions.calendar import (FISCAL_START_MONTH, add_months_py,
                                          fiscal_year_start, month_index,
                                          next_month)
 from monthend.functions.numeric import SUM_TYPE, as_double, exact_sum, round2
+from monthend.session import checkpoint_dir
 
 # Fixed value: metrics whose name contains this text (case-sensitive) are
 # averaged; all others are summed.
@@ -115,7 +116,7 @@ def ytd_table(df: DataFrame, start_month: int = FISCAL_START_MONTH,
 
 
 def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
-                 marker: str = MEAN_MARKER) -> DataFrame:
+                 marker: str = MEAN_MARKER, max_month_rows: int | None = None) -> DataFrame:
     """Reference-parity plan for any grain (D4 self-join, E6 after the join, D5).
 
     Identical rows (same Date, Metric, Value) are interchangeable, so the
@@ -131,7 +132,14 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
     * finally each pair is expanded into its output rows. Pairs standing for
       more than EXPAND_CHUNK rows are cut into chunks that are spread over
       all tasks before expanding, so no task emits a hot group alone.
+
+    A pair expands to at most ``max_month_rows ** 2`` rows (copies and
+    partners both lie in one (Metric, month)); when that bound, measured by
+    one aggregate job unless given, fits in one chunk, the chunked branch is
+    left out of the plan.
     """
+    if max_month_rows is None:
+        max_month_rows = max_rows_per_month(df)
     rows = report_input(df)
     g = _with_keys(rows.groupBy("Date", "Metric", "Value").agg(F.count(F.lit(1)).alias("_c")),
                    start_month, marker)
@@ -143,6 +151,12 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
         "_p": F.coalesce(F.sum(F.col("Value").cast(SUM_TYPE) * F.col("_c")).over(before), zero),
         "_np": F.coalesce(F.sum("_c").over(before), F.lit(0)).cast("long"),
     })
+    # g feeds both join sides, the FY aggregate and the output; column
+    # pruning makes those subtrees differ, so Spark would rescan and
+    # re-aggregate the input for each. Materialise it once in the shared
+    # checkpoint folder (this also cuts the lineage).
+    checkpoint_dir(g.sparkSession)
+    g = g.checkpoint(eager=True)
     prior = g.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo",
                      F.col("Value").alias("_hv"), F.col("_c").alias("_hc"),
                      F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))
@@ -155,7 +169,8 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
           .withColumn("_mean", F.col("Metric").contains(marker))
           .select("Metric", (F.col("fiscal_year") + 1).alias("fiscal_year"),
                   _fy_value(F.col("_total"), F.col("_n")).alias("Previous_FY_Value")))
-    out = _expand(pairs.join(fy, ["Metric", "fiscal_year"], "left"))
+    out = _expand(pairs.join(fy, ["Metric", "fiscal_year"], "left"),
+                  hot=max_month_rows ** 2 > EXPAND_CHUNK)
     j = F.floor(F.col("_t") / F.col("_hc1")) + 1
     k = F.col("_t") % F.col("_hc1") + 1
     return _finish(out.select(
@@ -177,10 +192,12 @@ def _running(v: Column, before: Column, rows_before: Column, j: Column) -> Colum
             .otherwise(s))
 
 
-def _expand(pairs: DataFrame) -> DataFrame:
+def _expand(pairs: DataFrame, hot: bool = True) -> DataFrame:
     """One row per output row: ``_t`` in [0, _w)."""
-    small = pairs.where(F.col("_w") <= EXPAND_CHUNK).withColumn(
-        "_t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_w") - 1)))
+    small = pairs.where(F.col("_w") <= EXPAND_CHUNK) if hot else pairs
+    small = small.withColumn("_t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_w") - 1)))
+    if not hot:
+        return small
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunk = F.col("_chunk") * EXPAND_CHUNK
     big = (pairs.where(F.col("_w") > EXPAND_CHUNK)
@@ -221,27 +238,38 @@ def compare_window(df: DataFrame, start_month: int = FISCAL_START_MONTH,
 
 def duplicate_months(df: DataFrame) -> DataFrame:
     """(Metric, month) groups holding more than one row, with their count."""
+    return _month_rows(df).where(F.col("rows") > 1)
+
+
+def _month_rows(df: DataFrame) -> DataFrame:
     return (report_input(df)
             .groupBy("Metric", month_index("Date").alias("month_index"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .where(F.col("rows") > 1))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def max_rows_per_month(df: DataFrame) -> int:
+    """One aggregate job: the most rows any metric has in one month (0 if empty)."""
+    r = _month_rows(df).agg(F.max("rows")).first()[0]
+    return int(r or 0)
 
 
 def has_unique_grain(df: DataFrame) -> bool:
-    """One aggregate job: True when no metric has two rows in a month."""
-    return duplicate_months(df).isEmpty()
+    """True when no metric has two rows in a month."""
+    return max_rows_per_month(df) <= 1
 
 
 def compare_table(df: DataFrame, path: str = "auto",
                   start_month: int = FISCAL_START_MONTH,
                   marker: str = MEAN_MARKER) -> DataFrame:
     """Q1: the seven-column comparison table over the whole history."""
+    bound = None
     if path == "auto":
-        path = "window" if has_unique_grain(df) else "join"
+        bound = max_rows_per_month(df)
+        path = "window" if bound <= 1 else "join"
     if path == "window":
         return compare_window(df, start_month, marker)
     if path == "join":
-        return compare_join(df, start_month, marker)
+        return compare_join(df, start_month, marker, bound)
     raise ValueError(f"unknown path {path!r}")
 
 
@@ -274,7 +302,9 @@ def month_slice(df: DataFrame, month: dt.date, path: str = "auto",
         cut = report_input(df).where((d >= F.lit(lower)) & (d < F.lit(upper)))
         full = compare_window(cut, start_month, marker)
     else:
-        full = compare_join(df, start_month, marker)
+        # earlier months only feed this month through the previous FY,
+        # so the join path also stops at the end of the month
+        full = compare_join(report_input(df).where(d < F.lit(upper)), start_month, marker)
     return _month_filter(full, month)
 
 
