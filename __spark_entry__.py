@@ -32,6 +32,7 @@ ANALYTICS_MONTH = dt.date(2001, 7, 1)       # Analytics tab month
 CURRENT_MONTH = dt.date(2001, 8, 1)         # Current Month tab month
 EVENTS_AS_OF = dt.date(2024, 1, 20)         # as-of date of the event stream
 BACKFILL_START = dt.date(2023, 11, 1)       # first month of the backfill
+PREVIOUS_RUN = dt.date(2024, 1, 10)         # as-of date of the run a reload replaces
 CUTOVER_ROWS = [                            # effective-dated traffic source
     ("old", "http", dt.date(1900, 1, 1), dt.date(2024, 1, 15), "blog"),
     ("new", "https", dt.date(2024, 1, 15), dt.date(9999, 12, 31), None),
@@ -77,15 +78,15 @@ def _traffic_inputs(spark, sf):
             TD.page_properties(spark, sf))
 
 
-def _traffic_rows(spark, sf, months, daily=False):
+def _traffic_rows(spark, sf, months, daily=False, as_of=EVENTS_AS_OF):
     ev, src, props = _traffic_inputs(spark, sf)
-    return Q.traffic_metric_rows(ev, src, props, months, EVENTS_AS_OF,
+    return Q.traffic_metric_rows(ev, src, props, months, as_of,
                                  ads_source=TD.ADS_SOURCE, daily_sources=daily)
 
 
 def _traffic_glossary(spark, sf):
-    rows = _traffic_rows(spark, sf, Q.backfill_months(BACKFILL_START, EVENTS_AS_OF))
-    registered = rows.where(~F.col("Metric").startswith(UNREGISTERED_PROPERTY + " "))
+    names = Q.traffic_metric_names(TD.page_properties(spark, sf))
+    registered = names.where(~F.col("Metric").startswith(UNREGISTERED_PROPERTY + " "))
     return L.build_glossary(registered)
 
 
@@ -99,6 +100,21 @@ def _backfill(spark, sf):
     return L.names_to_ids(rows, _traffic_glossary(spark, sf)).select("fecha", "metrica", "valor")
 
 
+def _monthly_load(spark, sf):
+    """Q4: the table after an earlier run is reloaded by the regular run."""
+    g = _traffic_glossary(spark, sf)
+    earlier = _traffic_rows(spark, sf, Q.backfill_months(BACKFILL_START, PREVIOUS_RUN), as_of=PREVIOUS_RUN)
+    target = L.names_to_ids(earlier, g).select("fecha", "metrica", "valor")
+    ev, src, props = _traffic_inputs(spark, sf)
+    return Q.monthly_load(target, g, ev, src, props, EVENTS_AS_OF, ads_source=TD.ADS_SOURCE)
+
+
+def _media_load(spark, sf):
+    """Q6: mention files upserted into the table the history upload left."""
+    target = _history_unpivot(spark, sf)
+    return U.upsert(target, ML.mention_updates(TD.media_rows(spark, sf), ML.media_glossary_rows(spark)))
+
+
 def _source_cutover(spark, sf):
     ev = TD.traffic_events(spark, sf).withColumn("period_end", F.to_date("ts"))
     chosen = T.choose_source(ev, T.cutover_table(spark, CUTOVER_ROWS))
@@ -159,6 +175,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unpivot_metrics": lambda s, sf: _traffic_rows(s, sf, Q.reload_months(EVENTS_AS_OF)),
         "history_unpivot": _history_unpivot,
         "backfill": _backfill,
+        "monthly_load": _monthly_load,
+        "media_load": _media_load,
     }
 
 
@@ -285,11 +303,11 @@ def _sessions(src: str, key: str, period: str, name: str) -> str:
   FROM {name}_s GROUP BY 1, 2)"""
 
 
-def _traffic_rows_sql(months: list[dt.date], name: str) -> str:
+def _traffic_rows_sql(months: list[dt.date], name: str, as_of: dt.date = EVENTS_AS_OF) -> str:
     lo = months[0].isoformat()
-    hi = (EVENTS_AS_OF + dt.timedelta(days=1)).isoformat()
+    hi = (as_of + dt.timedelta(days=1)).isoformat()
     mvals = ", ".join(f"(DATE '{m.isoformat()}')" for m in months)
-    asof = EVENTS_AS_OF.isoformat()
+    asof = as_of.isoformat()
     fe = f"least(last_day(m.m), DATE '{asof}')"
     return f"""
 {name}_ev AS (SELECT * FROM tev WHERE ts >= TIMESTAMP '{lo}' AND ts < TIMESTAMP '{hi}'),
@@ -324,9 +342,15 @@ def _traffic_rows_sql(months: list[dt.date], name: str) -> str:
 
 
 _TRAFFIC_GLOSSARY = f"""
+tnames AS (
+  SELECT p.property || ' ' || l.label AS Metric
+  FROM props p CROSS JOIN (VALUES ('Total Users'), ('Views'), ('Views Per Session')) l(label)
+  UNION
+  SELECT * FROM (VALUES ('Video Advertisement Views'), ('Video Organic Views'),
+                        ('Video Total Views')) v(Metric)),
 tg AS (
   SELECT CAST(row_number() OVER (ORDER BY nombre) AS INTEGER) AS metrica, nombre
-  FROM (SELECT DISTINCT Metric AS nombre FROM bf
+  FROM (SELECT DISTINCT Metric AS nombre FROM tnames
         WHERE NOT starts_with(Metric, '{UNREGISTERED_PROPERTY} ')))"""
 
 _MEDIA = """
@@ -451,4 +475,34 @@ LATERAL (VALUES (13, CAST(total AS DOUBLE)), (14, CAST(positive AS DOUBLE)),
 WHERE m >= DATE '2024-01-01'""",
         "backfill": f"""WITH {_TEV},{_traffic_rows_sql(bf_months, 'bf')},{_TRAFFIC_GLOSSARY}
 SELECT b.fecha, g.metrica, b.valor FROM bf b JOIN tg g ON b.Metric = g.nombre""",
+        "monthly_load": f"""WITH {_TEV},
+{_traffic_rows_sql(Q.backfill_months(BACKFILL_START, PREVIOUS_RUN), 'old', PREVIOUS_RUN).strip()},
+{_traffic_rows_sql(reload, 'rl').strip()},{_TRAFFIC_GLOSSARY},
+target AS (SELECT o.fecha, g.metrica, o.valor FROM old o JOIN tg g ON o.Metric = g.nombre),
+upd AS (SELECT r.fecha, g.metrica, r.valor FROM rl r JOIN tg g ON r.Metric = g.nombre)
+SELECT fecha, metrica, valor FROM target t
+WHERE NOT (EXISTS (SELECT 1 FROM upd u WHERE year(u.fecha) = year(t.fecha) AND month(u.fecha) = month(t.fecha))
+           AND t.metrica IN (SELECT metrica FROM upd))
+UNION ALL SELECT fecha, metrica, valor FROM upd""",
+        "media_load": f"""WITH {_MEDIA},
+hm AS (
+  SELECT CAST(date_trunc('month', CAST(Fecha AS DATE)) AS DATE) AS m, count(*) AS total,
+         count(*) FILTER (WHERE lower(trim(Calificacion)) = 'positiva') AS positive,
+         count(*) FILTER (WHERE lower(trim(Calificacion)) = 'negativa') AS negative,
+         count(*) FILTER (WHERE lower(trim(Calificacion)) = 'neutra') AS neutral
+  FROM mrows GROUP BY 1),
+target AS (
+  SELECT last_day(m) AS fecha, x.metrica, x.valor FROM hm,
+  LATERAL (VALUES (13, CAST(total AS DOUBLE)), (14, CAST(positive AS DOUBLE)),
+                  (15, CAST(negative AS DOUBLE)), (16, CAST(neutral AS DOUBLE))) x(metrica, valor)
+  WHERE m >= DATE '2024-01-01'),
+upd AS (
+  SELECT m.fecha, x.metrica, max(x.valor) AS valor
+  FROM mcounts c JOIN mmonth m ON c.file = m.file,
+  LATERAL (VALUES (13, CAST(c.total AS DOUBLE)), (14, CAST(c.positive AS DOUBLE)),
+                  (15, CAST(c.negative AS DOUBLE)), (16, CAST(c.neutral AS DOUBLE))) x(metrica, valor)
+  GROUP BY 1, 2)
+SELECT fecha, metrica, valor FROM target t
+WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.fecha = t.fecha AND u.metrica = t.metrica)
+UNION ALL SELECT fecha, metrica, valor FROM upd""",
     }

@@ -111,6 +111,16 @@ def traffic_metric_rows(events: DataFrame, sources: DataFrame, properties: DataF
             .select(period_end("period_start", as_of).alias("fecha"), "Metric", "valor"))
 
 
+def traffic_metric_names(properties: DataFrame) -> DataFrame:
+    """Every metric name the traffic load can produce for a property catalogue."""
+    labels = F.array(*[F.lit(v) for v in PROPERTY_MEASURES.values()])
+    prop = (properties.select("property", F.explode(labels).alias("_label"))
+            .select(F.concat_ws(" ", "property", "_label").alias("Metric")))
+    video = properties.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(v) for v in VIDEO_MEASURES.values()])).alias("Metric"))
+    return prop.unionByName(video).distinct()
+
+
 def monthly_load(target: DataFrame, glossary: DataFrame, events: DataFrame, sources: DataFrame,
                  properties: DataFrame, as_of, **kw) -> DataFrame:
     """Q4: reload the previous and the current month into ``target``.

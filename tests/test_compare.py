@@ -114,3 +114,19 @@ def test_slice_auto_keeps_reference_numbers_with_duplicates(spark):
     df = rows(spark, DUP_CASE)
     got = result(C.analytics_slice(df, D(2026, 8, 1)))
     assert got == [DUP_EXPECT[4]]
+
+
+def test_last_ytd_of_a_year_is_next_years_previous_fy(spark):
+    # SURVEY §5 property: sum metrics, unique grain, no null values
+    from monthend.sources import testdata as TD
+    from pyspark.sql import Window, functions as F
+    from monthend.functions.calendar import fiscal_year
+    out = C.compare_table(TD.customers_long(spark, "/root/testdata/sf0.001"))
+    out = out.withColumn("fy", fiscal_year("Date"))
+    last = (out.withColumn("_rk", F.row_number().over(
+        Window.partitionBy("Metric", "fy").orderBy(F.col("Date").desc())))
+        .where("_rk = 1").select("Metric", (F.col("fy") + 1).alias("fy"), F.col("ytd").alias("last_ytd")))
+    nxt = out.select("Metric", "fy", "Previous_FY_Value").distinct()
+    joined = nxt.join(last, ["Metric", "fy"])
+    assert joined.count() > 100
+    assert joined.where("last_ytd <> Previous_FY_Value").count() == 0
