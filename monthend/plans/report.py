@@ -13,8 +13,12 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthend.functions.calendar import report_months
-from monthend.operators.compare import analytics_slice, current_slice, sort_report
+from monthend.functions.calendar import (fiscal_year_of, fiscal_year_start, next_month,
+                                         report_months)
+from monthend.operators.compare import (CURRENT_COLUMNS, REPORT_COLUMNS, analytics_slice,
+                                        current_slice, has_unique_grain, month_slice,
+                                        sort_report)
+from monthend.operators.lookup import ids_to_names
 
 
 def report_frames(report_input: DataFrame, as_of, target_month: str | None = None,
@@ -27,6 +31,32 @@ def report_frames(report_input: DataFrame, as_of, target_month: str | None = Non
             current_slice(report_input, current, path=path))
 
 
+def report_from_store(store, glossary: DataFrame, as_of, target_month: str | None = None
+                      ) -> tuple[DataFrame, DataFrame]:
+    """Q2 + Q3 reading only the fact partitions they need.
+
+    Each tab needs its month, its fiscal year so far and the whole previous
+    fiscal year; the grain check looks one more fiscal year back (see
+    ``compare.month_slice``). Older partitions are neither listed nor read
+    on the window path; the join path (duplicate months) reads the history
+    up to the month.
+    """
+    if isinstance(as_of, str):
+        as_of = dt.date.fromisoformat(as_of)
+    tabs = []
+    for month, cols in zip(report_months(as_of, target_month), (REPORT_COLUMNS, CURRENT_COLUMNS)):
+        fy = fiscal_year_of(month)
+        upper = next_month(month)
+        recent = ids_to_names(store.read_range(fiscal_year_start(fy - 2), upper), glossary)
+        path = "window" if has_unique_grain(recent) else "join"
+        if path == "window":
+            src = recent
+        else:
+            src = ids_to_names(store.read_range(None, upper), glossary)
+        tabs.append(month_slice(src, month, path=path).select(*cols))
+    return tabs[0], tabs[1]
+
+
 def to_sheet(df: DataFrame) -> DataFrame:
     """B5 formatting: ``Date`` as text, nulls as 0, report order."""
     out = df.withColumn("Date", F.date_format("Date", "yyyy-MM-dd"))

@@ -18,6 +18,8 @@ loses the month (T6); here the old slice stays until the new one is ready.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,23 @@ class FactStore:
             cond = c if cond is None else (cond | c)
         return U.as_fact(df.where(cond))
 
+    def read_range(self, start: dt.date | None, end: dt.date | None) -> DataFrame:
+        """Rows with ``start <= fecha < end`` (either bound optional).
+
+        The bounds are also written on the partition columns, so Spark lists
+        and opens only the month folders in range.
+        """
+        if not self.exists():
+            return self.spark.createDataFrame([], "fecha date, metrica int, valor double")
+        df = self.spark.read.option("basePath", self.root).parquet(self.root)
+        ym = F.col("year") * 12 + F.col("month")
+        if start is not None:
+            df = df.where((ym >= start.year * 12 + start.month) & (F.col("fecha") >= F.lit(start)))
+        if end is not None:
+            last = end - dt.timedelta(days=1)
+            df = df.where((ym <= last.year * 12 + last.month) & (F.col("fecha") < F.lit(end)))
+        return U.as_fact(df)
+
     @staticmethod
     def _with_partitions(df: DataFrame) -> DataFrame:
         return U.as_fact(df).withColumns({"year": F.year("fecha"), "month": F.month("fecha")})

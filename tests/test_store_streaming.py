@@ -58,3 +58,30 @@ def test_streaming_folder_load_is_incremental(spark, tmp_path):
     assert got[(D(2024, 2, 29), 14)] == 1.0 and len(got) == 8
     start_media_folder_load(spark, str(inbox), store, glossary, checkpoint=ckpt).awaitTermination()
     assert len(store.read().collect()) == 8
+
+
+def test_report_from_store_prunes_and_matches(spark, tmp_path):
+    import random
+    from monthend.operators import compare as C
+    from monthend.plans.report import report_from_store
+    rnd = random.Random(7)
+    data = []
+    for y in range(2015, 2026):
+        for m in range(1, 13):
+            last = D(y + m // 12, m % 12 + 1, 1) - dt.timedelta(days=1)
+            for mid in (1, 2):
+                data.append((last, mid, float(rnd.randint(0, 100))))
+    g = spark.createDataFrame([(1, "A Views"), (2, "B Views Per Session")], "metrica int, nombre string")
+    store = FactStore(spark, str(tmp_path / "fact"))
+    store.write_all(spark.createDataFrame(data, FACT))
+    a, c = report_from_store(store, g, D(2025, 3, 15))
+    full = C.compare_table(spark.createDataFrame(
+        [(d, "A Views" if i == 1 else "B Views Per Session", v) for d, i, v in data],
+        "Date date, Metric string, Value double"))
+    want_a = full.where("Date = date'2025-02-28'")
+    assert rows(a) == rows(want_a)
+    assert rows(c) == rows(full.where("Date = date'2025-03-31'")
+                           .select("Date", "Metric", "Value", "Previous_FY_Value"))
+    plan = store.read_range(D(2022, 8, 1), D(2025, 3, 1))._jdf.queryExecution().executedPlan().toString()
+    pf = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
+    assert "year" in pf and "month" in pf
