@@ -47,6 +47,7 @@ from monthend.functions.calendar import (FISCAL_START_MONTH, add_months_py,
                                          fiscal_year_start, month_index,
                                          next_month)
 from monthend.functions.numeric import SUM_TYPE, as_double, exact_sum, round2
+from monthend.operators.running import prefix_sums
 from monthend.session import checkpoint_dir
 
 # Fixed value: metrics whose name contains this text (case-sensitive) are
@@ -124,7 +125,9 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
 
     * running sums per (Metric, fiscal year) over the groups give, for copy
       ``j`` of a group, ``ytd_j = before + j * Value`` and ``rows_j =
-      rows_before + j`` -- a group of a million copies is one row here;
+      rows_before + j`` -- a group of a million copies is one row here, and
+      the sums are range-partitioned prefix sums (``running.prefix_sums``),
+      so not even many distinct values of one metric-year meet in one task;
     * the self-join pairs a group with the groups of the same month a year
       earlier; the pair stands for ``copies x partner copies`` output rows;
     * the previous-FY aggregate weights each pair by that count, which is
@@ -143,14 +146,19 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
     rows = report_input(df)
     g = _with_keys(rows.groupBy("Date", "Metric", "Value").agg(F.count(F.lit(1)).alias("_c")),
                    start_month, marker)
-    before = (Window.partitionBy("Metric", "fiscal_year")
-              .orderBy("Date", F.col("Value").asc_nulls_last())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    zero = F.lit(0).cast(SUM_TYPE)
-    g = g.withColumns({
-        "_p": F.coalesce(F.sum(F.col("Value").cast(SUM_TYPE) * F.col("_c")).over(before), zero),
-        "_np": F.coalesce(F.sum("_c").over(before), F.lit(0)).cast("long"),
-    })
+    # sums over the earlier groups of the same metric-year. A metric-year
+    # holds at most 12 * max_month_rows groups; while that is small a plain
+    # window is cheapest, beyond it range-partitioned prefix sums keep a hot
+    # metric-year from landing in one task.
+    order = [F.col("Date"), F.col("Value").asc_nulls_last()]
+    sums = {"_p": F.col("Value").cast(SUM_TYPE) * F.col("_c"), "_np": F.col("_c")}
+    if 12 * max_month_rows > WINDOW_GROUP_ROWS:
+        g = prefix_sums(g, ["Metric", "fiscal_year"], order, sums)
+    else:
+        before = (Window.partitionBy("Metric", "fiscal_year").orderBy(*order)
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        g = g.withColumns({k: F.coalesce(F.sum(v).over(before), F.lit(0).cast(t))
+                           for (k, v), t in zip(sums.items(), (SUM_TYPE, "long"))})
     # g feeds both join sides, the FY aggregate and the output; column
     # pruning makes those subtrees differ, so Spark would rescan and
     # re-aggregate the input for each. Materialise it once in the shared
@@ -182,6 +190,9 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
 
 # Output rows one pair may emit inside its own task; larger pairs are split.
 EXPAND_CHUNK = 100_000
+# Rows a metric-year window may hold in one task before the running sums
+# switch to range-partitioned prefix sums.
+WINDOW_GROUP_ROWS = 1_000_000
 
 
 def _running(v: Column, before: Column, rows_before: Column, j: Column) -> Column:

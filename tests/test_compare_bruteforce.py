@@ -104,6 +104,13 @@ def test_window_path_unique_grain(spark, seed):
     assert got(C.compare_table(df)) == brute(rows)
 
 
+@pytest.mark.parametrize("seed", [6])
+def test_join_path_with_range_partitioned_sums(spark, monkeypatch, seed):
+    monkeypatch.setattr(C, "WINDOW_GROUP_ROWS", 1)
+    rows = random_rows(seed, unique=False)
+    assert got(C.compare_join(to_df(spark, rows))) == brute(rows)
+
+
 def test_hot_copies_are_expanded_in_chunks(spark, monkeypatch):
     # 40 copies of one row and 30 of its prior-year partner: 1,200 output
     # rows from one pair; with a chunk of 7 rows they are spread over tasks
