@@ -82,17 +82,22 @@ def session_buckets(events: DataFrame, keys: list[str], ts: str = "ts",
 
 
 def traffic_report(events: DataFrame, keys: list[str], period: str = "month",
-                   ts: str = "ts", user: str = "user_id", view: str = "is_view") -> DataFrame:
+                   ts: str = "ts", user: str = "user_id", view: str = "is_view",
+                   approx_users: float | None = None) -> DataFrame:
     """Per (keys, period): users, views, sessions, views per session.
 
     users = distinct users with an event in the period; views = view events;
     views_per_session = views / sessions rounded half-to-even to 2 decimals,
-    0 when there is no session.
+    0 when there is no session. ``approx_users=<relative error>`` counts
+    users with HyperLogLog sketches instead (merged map-side, so no
+    (period, user) set is shuffled) -- an option for very many users.
     """
     b = session_buckets(events, keys, ts, user, view)
     p = period_start(F.col("_first_ts"), period).alias("period_start")
+    users = (F.count_distinct(user) if approx_users is None
+             else F.approx_count_distinct(user, approx_users))
     agg = (b.groupBy(*keys, p)
-           .agg(F.count_distinct(user).alias("users"),
+           .agg(users.alias("users"),
                 F.sum("_views").alias("views"),
                 F.sum("_start").alias("sessions")))
     return agg.withColumn("views_per_session",
