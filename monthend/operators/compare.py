@@ -25,11 +25,12 @@ Two physical plans compute it:
 metric has two rows in one month, the join multiplies rows and the
 fiscal-year aggregate counts them again, exactly as the reference does (T4).
 
-``window`` (unique grain only): all three lookups are window frames over one
-hash exchange on ``Metric`` -- a 12-month RANGE frame for the prior year and
-a 1-fiscal-year RANGE frame for the previous FY. On unique grain a metric
-holds at most one row per month, so every window group is bounded by the
-calendar (12 rows per fiscal year), not by the data volume.
+``window`` (unique grain only): one hash exchange on ``Metric`` and one
+sort. The running sum is a ROWS frame per (Metric, fiscal year); a RANGE
+frame over the previous fiscal year gives both its aggregate and, among its
+at most 12 rows, the row of the same month (the prior-year value). On unique
+grain a metric holds at most one row per month, so every window group is
+bounded by the calendar, not by the data volume.
 
 ``auto`` checks the grain with one aggregate job and picks ``window`` when
 it is unique, else ``join``.
@@ -125,9 +126,10 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
 
     * running sums per (Metric, fiscal year) over the groups give, for copy
       ``j`` of a group, ``ytd_j = before + j * Value`` and ``rows_j =
-      rows_before + j`` -- a group of a million copies is one row here, and
-      the sums are range-partitioned prefix sums (``running.prefix_sums``),
-      so not even many distinct values of one metric-year meet in one task;
+      rows_before + j`` -- a group of a million copies is one row here; when
+      a metric-year could hold more than WINDOW_GROUP_ROWS groups the sums
+      are range-partitioned prefix sums (``running.prefix_sums``), so not
+      even many distinct values of one metric-year meet in one task;
     * the self-join pairs a group with the groups of the same month a year
       earlier; the pair stands for ``copies x partner copies`` output rows;
     * the previous-FY aggregate weights each pair by that count, which is
