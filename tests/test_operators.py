@@ -211,3 +211,13 @@ def test_approx_users_close_to_exact(spark):
     approx = {r.property: r.users for r in T.traffic_report(ev, ["property"], approx_users=0.02).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= 0.1 * exact[k] for k in exact)
+
+
+def test_table_readers(spark, tmp_path):
+    from monthend.sources.tables import read_fact, read_glossary, report_source
+    (tmp_path / "g.csv").write_text("metrica,nombre\n1,A Views\n2,B\n", encoding="utf-8")
+    spark.createDataFrame([(D(2024, 1, 31), 1, 5.0), (D(2024, 1, 31), 3, 1.0)], FACT).write.parquet(
+        str(tmp_path / "f"))
+    g = read_glossary(spark, str(tmp_path / "g.csv"), format="csv")
+    f = read_fact(spark, str(tmp_path / "f"))
+    assert [tuple(r) for r in report_source(f, g).collect()] == [(D(2024, 1, 31), "A Views", 5.0)]
