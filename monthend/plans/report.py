@@ -37,22 +37,21 @@ def report_from_store(store, glossary: DataFrame, as_of, target_month: str | Non
 
     Each tab needs its month, its fiscal year so far and the whole previous
     fiscal year; the grain check looks one more fiscal year back (see
-    ``compare.month_slice``). Older partitions are neither listed nor read
-    on the window path; the join path (duplicate months) reads the history
-    up to the month.
+    ``compare.month_slice``) and runs once, over the union of both tabs'
+    ranges. Older partitions are neither listed nor read on the window path;
+    the join path (duplicate months) reads the history up to each month.
     """
     if isinstance(as_of, str):
         as_of = dt.date.fromisoformat(as_of)
+    months = report_months(as_of, target_month)
+    first_fy = min(fiscal_year_of(m) for m in months)
+    last_upper = max(next_month(m) for m in months)
+    probe = ids_to_names(store.read_range(fiscal_year_start(first_fy - 2), last_upper), glossary)
+    path = "window" if has_unique_grain(probe) else "join"
     tabs = []
-    for month, cols in zip(report_months(as_of, target_month), (REPORT_COLUMNS, CURRENT_COLUMNS)):
-        fy = fiscal_year_of(month)
-        upper = next_month(month)
-        recent = ids_to_names(store.read_range(fiscal_year_start(fy - 2), upper), glossary)
-        path = "window" if has_unique_grain(recent) else "join"
-        if path == "window":
-            src = recent
-        else:
-            src = ids_to_names(store.read_range(None, upper), glossary)
+    for month, cols in zip(months, (REPORT_COLUMNS, CURRENT_COLUMNS)):
+        lower = fiscal_year_start(fiscal_year_of(month) - 1) if path == "window" else None
+        src = ids_to_names(store.read_range(lower, next_month(month)), glossary)
         tabs.append(month_slice(src, month, path=path).select(*cols))
     return tabs[0], tabs[1]
 
