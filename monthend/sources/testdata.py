@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthend.functions.numeric import SUM_TYPE, round2
+from monthend.functions.numeric import round2
 from monthend.operators.lookup import build_glossary, names_to_ids
 
 # Fixed values of the test derivations (FIXTURES.md section 3).
@@ -160,4 +160,4 @@ def media_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["table", "segments_long", "customers_long", "to_fact", "segments_glossary",
            "segments_fact", "segment_updates", "traffic_events", "page_properties",
-           "traffic_sources", "media_rows", "SUM_TYPE", "ADS_SOURCE"]
+           "traffic_sources", "media_rows", "ADS_SOURCE"]
