@@ -109,9 +109,12 @@ def read_history_file(spark: SparkSession, path: str, max_columns: int = MAX_COL
     is 0). Only the header row is brought to the driver, to name columns.
     """
     raw = read_positional_csv(spark, path, max_columns)
-    head = raw.where(F.col("pos") == 0).select("cells").first()
-    if head is None:
+    heads = raw.where(F.col("pos") == 0).select("cells").limit(2).collect()
+    if not heads:
         raise ValueError(f"empty history file: {path}")
+    if len(heads) > 1:
+        raise ValueError(f"one history file at a time (its header names the columns): {path}")
+    head = heads[0]
     names = [c if c is not None else f"_c{i}" for i, c in enumerate(head.cells)]
     while names and names[-1].startswith("_c"):
         names.pop()

@@ -139,3 +139,10 @@ def test_snapshots_reject_staging(spark, tmp_path):
     write_snapshot(df.selectExpr("Date", "Metric", "Value + 1 as Value"), str(tmp_path), "current", D(2024, 2, 10))
     got = FS.read_snapshots(spark, str(tmp_path)).collect()
     assert [(r.Value, r.snapshot_date) for r in got] == [(1.0, D(2024, 1, 31))]
+
+
+def test_history_reader_takes_one_file(spark, tmp_path):
+    write(tmp_path, "a.csv", HISTORY)
+    write(tmp_path, "b.csv", HISTORY)
+    with pytest.raises(ValueError, match="one history file"):
+        FS.read_history_file(spark, str(tmp_path))
