@@ -179,8 +179,11 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
           .withColumn("_mean", F.col("Metric").contains(marker))
           .select("Metric", (F.col("fiscal_year") + 1).alias("fiscal_year"),
                   _fy_value(F.col("_total"), F.col("_n")).alias("Previous_FY_Value")))
-    out = _expand(pairs.join(fy, ["Metric", "fiscal_year"], "left"),
-                  hot=max_month_rows ** 2 > EXPAND_CHUNK)
+    joined = pairs.join(fy, ["Metric", "fiscal_year"], "left")
+    if max_month_rows <= 1:
+        out = joined.withColumn("_t", F.lit(0).cast("long"))   # every pair is one row
+    else:
+        out = _expand(joined, hot=max_month_rows ** 2 > EXPAND_CHUNK)
     j = F.floor(F.col("_t") / F.col("_hc1")) + 1
     k = F.col("_t") % F.col("_hc1") + 1
     return _finish(out.select(

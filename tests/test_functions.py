@@ -59,3 +59,13 @@ def test_text_helpers(spark):
             X.contains(F.lit("A Views Per Session"), "Session").alias("s1"),
             X.contains(F.lit("A session"), "Session").alias("s2"))
     assert (r.m, r.bad, r.lab, r.c, r.s1, r.s2) == (8, None, "dic", "neutra", True, False)
+
+
+def test_round2_equals_numpy_round_on_random_values(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    xs = np.concatenate([rng.uniform(-1e4, 1e4, 5000), rng.integers(0, 100000, 2000) / 1000.0,
+                         np.array([0.125, 2.665, 2.675, 1.005, -0.125, 0.005])])
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    got = [r[0] for r in df.select(N.round2("x")).collect()]
+    assert got == [float(v) for v in np.round(xs, 2)]

@@ -85,3 +85,29 @@ def test_report_from_store_prunes_and_matches(spark, tmp_path):
     plan = store.read_range(D(2022, 8, 1), D(2025, 3, 1))._jdf.queryExecution().executedPlan().toString()
     pf = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
     assert "year" in pf and "month" in pf
+
+
+def test_failed_reload_leaves_table_unchanged(spark, tmp_path):
+    # The reference deleted the month before fetching; here a job that
+    # fails while computing the new slice must not touch the table
+    import pytest
+    from pyspark.sql import functions as F
+    store = FactStore(spark, str(tmp_path / "fact"))
+    base = spark.createDataFrame([(D(2024, 1, 31), 1, 1.0), (D(2024, 2, 29), 1, 2.0)], FACT)
+    store.write_all(base)
+    bad = (spark.createDataFrame([(D(2024, 1, 31), 1, 0.0)], FACT)
+           .withColumn("valor", F.assert_true(F.col("valor") > 0).cast("double") + F.col("valor")))
+    with pytest.raises(Exception):
+        store.replace_months(bad)
+    assert rows(store.read()) == rows(base)
+
+
+def test_empty_updates_are_a_no_op(spark, tmp_path):
+    # An empty but valid input changes nothing
+    store = FactStore(spark, str(tmp_path / "fact"))
+    base = spark.createDataFrame([(D(2024, 1, 31), 1, 1.0)], FACT)
+    store.write_all(base)
+    empty = spark.createDataFrame([], FACT)
+    store.replace_months(empty)
+    store.upsert(empty)
+    assert rows(store.read()) == rows(base)
