@@ -70,13 +70,21 @@ def last_per_key(updates: DataFrame, keys: list[str], order_col: str | None = No
 
 
 def upsert(target: DataFrame, updates: DataFrame, order_col: str | None = None) -> DataFrame:
-    """Insert, or set ``valor`` when (fecha, metrica) exists."""
+    """Insert, or set ``valor`` when (fecha, metrica) exists.
+
+    Only target rows of the months the updates touch meet the update keys in
+    a join; the other months stream through against a broadcast month list
+    (bounded by the calendar), so a small upsert does not shuffle the table.
+    """
     keys = ["fecha", "metrica"]
     cols = FACT_COLUMNS + ([order_col] if order_col else [])
     u = as_fact(updates) if order_col is None else updates.select(*cols)
     u = as_fact(last_per_key(u, keys, order_col))
-    kept = as_fact(target).join(u.select(*keys), keys, "left_anti")
-    return kept.unionByName(u)
+    m = F.broadcast(_month_keys(u).distinct())
+    t = as_fact(target).withColumns({"_y": F.year("fecha"), "_m": F.month("fecha")})
+    other_months = t.join(m, ["_y", "_m"], "left_anti")
+    same_months = t.join(m, ["_y", "_m"], "left_semi").join(u.select(*keys), keys, "left_anti")
+    return other_months.unionByName(same_months).select(*FACT_COLUMNS).unionByName(u)
 
 
 def insert_ignore(table: DataFrame, rows: DataFrame, key: str = "metrica") -> DataFrame:
