@@ -67,37 +67,42 @@ def host_equals(host: str, value: str) -> Column:
 
 def session_buckets(events: DataFrame, keys: list[str], ts: str = "ts",
                     user: str = "user_id", view: str = "is_view",
-                    gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
-    """(keys, user, bucket) rows with first/last event, views and a session-start flag."""
+                    gap_minutes: int = SESSION_GAP_MINUTES, period: str = "month") -> DataFrame:
+    """(keys, user, bucket) rows with views, period and two flags.
+
+    ``_start``: the bucket's first event opens a session. ``_new_user``: the
+    bucket is the user's first in its period, so summing it counts distinct
+    users without a separate distinct aggregation.
+    """
     gap = gap_minutes * 60 * 1_000_000
     us = epoch_micros(events, ts)
     b = (events.withColumn("_us", us)
          .groupBy(*keys, user, F.floor(F.col("_us") / gap).alias("_bucket"))
          .agg(F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"),
               F.min(ts).alias("_first_ts"),
-              F.sum(F.col(view).cast("long")).alias("_views")))
+              F.sum(F.col(view).cast("long")).alias("_views"))
+         .withColumn("_period", period_start(F.col("_first_ts"), period)))
     w = Window.partitionBy(*keys, user).orderBy("_bucket")
     prev_last = F.lag("_last_us").over(w)
-    return b.withColumn("_start", (prev_last.isNull() | (F.col("_first_us") - prev_last >= gap)).cast("long"))
+    prev_period = F.lag("_period").over(w)
+    return b.withColumns({
+        "_start": (prev_last.isNull() | (F.col("_first_us") - prev_last >= gap)).cast("long"),
+        "_new_user": (prev_period.isNull() | (prev_period != F.col("_period"))).cast("long"),
+    })
 
 
 def traffic_report(events: DataFrame, keys: list[str], period: str = "month",
-                   ts: str = "ts", user: str = "user_id", view: str = "is_view",
-                   approx_users: float | None = None) -> DataFrame:
+                   ts: str = "ts", user: str = "user_id", view: str = "is_view") -> DataFrame:
     """Per (keys, period): users, views, sessions, views per session.
 
     users = distinct users with an event in the period; views = view events;
     views_per_session = views / sessions rounded half-to-even to 2 decimals,
-    0 when there is no session. ``approx_users=<relative error>`` counts
-    users with HyperLogLog sketches instead (merged map-side, so no
-    (period, user) set is shuffled) -- an option for very many users.
+    0 when there is no session. All three come from the bucket rows: no
+    distinct aggregation and no second pass over the events.
     """
-    b = session_buckets(events, keys, ts, user, view)
-    p = period_start(F.col("_first_ts"), period).alias("period_start")
-    users = (F.count_distinct(user) if approx_users is None
-             else F.approx_count_distinct(user, approx_users))
-    agg = (b.groupBy(*keys, p)
-           .agg(users.alias("users"),
+    b = session_buckets(events, keys, ts, user, view, period=period)
+    agg = (b.groupBy(*keys, F.col("_period").alias("period_start"))
+           .agg(F.sum("_new_user").alias("users"),
                 F.sum("_views").alias("views"),
                 F.sum("_start").alias("sessions")))
     return agg.withColumn("views_per_session",

@@ -204,15 +204,6 @@ def test_monthly_load_with_cutover_property(spark):
     assert got[(D(2024, 1, 20), "Careers Views")] == 1.0
 
 
-def test_approx_users_close_to_exact(spark):
-    from monthend.sources import testdata as TD
-    ev = TD.traffic_events(spark, "/root/testdata/sf0.01")
-    exact = {r.property: r.users for r in T.traffic_report(ev, ["property"]).collect()}
-    approx = {r.property: r.users for r in T.traffic_report(ev, ["property"], approx_users=0.02).collect()}
-    assert exact.keys() == approx.keys()
-    assert all(abs(approx[k] - exact[k]) <= 0.1 * exact[k] for k in exact)
-
-
 def test_table_readers(spark, tmp_path):
     from monthend.sources.tables import read_fact, read_glossary, report_source
     (tmp_path / "g.csv").write_text("metrica,nombre\n1,A Views\n2,B\n", encoding="utf-8")
