@@ -55,8 +55,9 @@ def in_date_range(ts: str, start, end) -> Column:
     timestamp range so Parquet can skip row groups."""
     start = dt.date.fromisoformat(start) if isinstance(start, str) else start
     end = dt.date.fromisoformat(end) if isinstance(end, str) else end
-    s = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
-    e = F.lit(dt.datetime.combine(end + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+    # text -> TIMESTAMP_NTZ does not depend on the session time zone
+    s = F.lit(f"{start.isoformat()} 00:00:00").cast("timestamp_ntz")
+    e = F.lit(f"{(end + dt.timedelta(days=1)).isoformat()} 00:00:00").cast("timestamp_ntz")
     return (F.col(ts) >= s) & (F.col(ts) < e)
 
 
