@@ -33,6 +33,7 @@ CURRENT_MONTH = dt.date(2001, 8, 1)         # Current Month tab month
 EVENTS_AS_OF = dt.date(2024, 1, 20)         # as-of date of the event stream
 BACKFILL_START = dt.date(2023, 11, 1)       # first month of the backfill
 PREVIOUS_RUN = dt.date(2024, 1, 10)         # as-of date of the run a reload replaces
+EVENTS_MONTH = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))  # report range of the event month
 CUTOVER_ROWS = [                            # effective-dated traffic source
     ("old", "http", dt.date(1900, 1, 1), dt.date(2024, 1, 15), "blog"),
     ("new", "https", dt.date(2024, 1, 15), dt.date(9999, 12, 31), None),
@@ -115,6 +116,18 @@ def _media_load(spark, sf):
     return U.upsert(target, ML.mention_updates(TD.media_rows(spark, sf), ML.media_glossary_rows(spark)))
 
 
+def _traffic_sources_range(spark, sf):
+    """A6 + C6: views by source over an inclusive date range."""
+    src = TD.traffic_sources(spark, sf)
+    return T.source_views(src.where(T.in_date_range("ts", *EVENTS_MONTH)))
+
+
+def _video_totals(spark, sf):
+    """E2 + E3: total, advertising and organic views per month."""
+    by_source = T.source_views(TD.traffic_sources(spark, sf), period="month")
+    return T.video_totals(by_source, ["month"], ads_source=TD.ADS_SOURCE)
+
+
 def _source_cutover(spark, sf):
     ev = TD.traffic_events(spark, sf).withColumn("period_end", F.to_date("ts"))
     chosen = T.choose_source(ev, T.cutover_table(spark, CUTOVER_ROWS))
@@ -177,6 +190,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "backfill": _backfill,
         "monthly_load": _monthly_load,
         "media_load": _media_load,
+        "traffic_sources_range": _traffic_sources_range,
+        "video_totals": _video_totals,
     }
 
 
@@ -444,6 +459,16 @@ FROM events GROUP BY 1, 2""",
         "traffic_sources_daily": """
 SELECT event_type AS source, CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS views
 FROM events GROUP BY 1, 2""",
+        "traffic_sources_range": f"""
+SELECT event_type AS source, CAST(count(*) AS BIGINT) AS views FROM events
+WHERE ts >= TIMESTAMP '{EVENTS_MONTH[0].isoformat()}'
+  AND ts < TIMESTAMP '{(EVENTS_MONTH[1] + dt.timedelta(days=1)).isoformat()}'
+GROUP BY 1""",
+        "video_totals": f"""
+SELECT CAST(date_trunc('month', ts) AS DATE) AS month, CAST(count(*) AS BIGINT) AS total_views,
+       CAST(count(*) FILTER (WHERE event_type = '{TD.ADS_SOURCE}') AS BIGINT) AS ads_views,
+       CAST(count(*) - count(*) FILTER (WHERE event_type = '{TD.ADS_SOURCE}') AS BIGINT) AS organic_views
+FROM events GROUP BY 1""",
         "source_cutover": f"""WITH {_TEV},
 cut AS (SELECT * FROM (VALUES {cut}) v(source_name, scheme, valid_from, valid_to, site_filter)),
 cev AS (
