@@ -56,6 +56,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
             s.add_argument("--start", type=_date, required=True)
         if name == "media-load":
             s.add_argument("--files", required=True)
+            s.add_argument("--split-files", action="store_true",
+                           help="read big files in parallel blocks (no field spans lines)")
         if name == "media-history":
             s.add_argument("--file", required=True)
         if name == "media-watch":
@@ -93,7 +95,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
     elif a.job == "media-load":
         from monthend.plans.media_load import mention_updates
         from monthend.sources.files import read_mention_files
-        rows, invalid = read_mention_files(spark, a.files)
+        rows, invalid = read_mention_files(spark, a.files, multiline=not a.split_files)
         bad = [r.file for r in invalid.limit(20).collect()]
         if bad:
             raise SystemExit(f"files lack the 'Calificación'/'Fecha' columns: {bad}")

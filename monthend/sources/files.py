@@ -1,11 +1,17 @@
 """File sources: mention CSVs (A3, C9), wide history CSV (A4), snapshots (A7), guard.
 
 CSV files are read with an explicit all-string schema of positional columns
-(``c0 .. c{n-1}``); nothing is inferred. ``multiLine`` keeps every file in
-one task and in file order, so a row's position inside its file is its
-``monotonically_increasing_id`` minus the file's first id -- no per-file
-sort or shuffle of the rows is needed. Blank lines are skipped, as in the
-reference, so positions count non-blank lines.
+(``c0 .. c{n-1}``); nothing is inferred. Rows of one file block are read by
+one task in file order, so a row's position inside its file is its
+``monotonically_increasing_id`` minus the first id of the file's first
+block -- no per-file sort or shuffle of the rows is needed. Blank lines are
+skipped, as in the reference, so positions count non-blank lines.
+
+By default (``multiline=True``) a file is one block, because a quoted field
+may span lines. ``multiline=False`` lets Spark split large files into
+blocks read in parallel: only rows of a file's first block get a position
+(the header is always within its first rows); rows of later blocks are data
+rows. Use it for big files whose fields never span lines.
 """
 
 from __future__ import annotations
@@ -35,33 +41,43 @@ def positional_schema(max_columns: int = MAX_COLUMNS) -> StructType:
     return StructType([StructField(f"c{i}", StringType()) for i in range(max_columns)])
 
 
-def csv_rows(reader, path: str, max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """(file, mtime, cells) from a batch or streaming reader, in file order."""
+# Position given to rows outside a file's first block: after any header.
+LATER_BLOCK = 1 << 62
+
+
+def csv_rows(reader, path: str, max_columns: int = MAX_COLUMNS, multiline: bool = True) -> DataFrame:
+    """(file, mtime, _block, cells) from a batch or streaming reader."""
     return (reader.schema(positional_schema(max_columns))
-            .option("header", False).option("multiLine", True).option("mode", "PERMISSIVE")
+            .option("header", False).option("multiLine", multiline).option("mode", "PERMISSIVE")
             .option("encoding", "UTF-8")
             .csv(path)
             .select(F.col("_metadata.file_path").alias("file"),
                     F.col("_metadata.file_modification_time").alias("mtime"),
+                    F.col("_metadata.file_block_start").alias("_block"),
                     F.array(*[F.col(f"c{i}") for i in range(max_columns)]).alias("cells")))
 
 
 def with_positions(rows: DataFrame) -> DataFrame:
     """Add ``pos``: 0-based position of each non-blank row inside its file.
 
-    Needs a frame straight off a ``multiLine`` scan (one file per task, in
-    order); only one row per file goes through the shuffle.
+    Needs a frame straight off a file scan. Only rows of a file's first
+    block are numbered (one row per file goes through the shuffle for the
+    first id); later blocks get LATER_BLOCK.
     """
     raw = rows.withColumn("_id", F.monotonically_increasing_id())
-    first = raw.groupBy("file").agg(F.min("_id").alias("_first"))
-    return (raw.join(first, "file")
-            .withColumn("pos", F.col("_id") - F.col("_first")).drop("_id", "_first"))
+    first = (raw.where(F.col("_block") == 0)
+             .groupBy("file").agg(F.min("_id").alias("_first")))
+    return (raw.join(first, "file", "left")
+            .withColumn("pos", F.when(F.col("_block") == 0, F.col("_id") - F.col("_first"))
+                        .otherwise(F.lit(LATER_BLOCK)))
+            .drop("_id", "_first", "_block"))
 
 
-def read_positional_csv(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS) -> DataFrame:
+def read_positional_csv(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS,
+                        multiline: bool = True) -> DataFrame:
     """Rows of every CSV under ``path`` as (file, mtime, cells, pos)."""
     require_path(spark, path)
-    return with_positions(csv_rows(spark.read, path, max_columns))
+    return with_positions(csv_rows(spark.read, path, max_columns, multiline))
 
 
 def _has(cells: str, text: str):
@@ -89,8 +105,8 @@ def mentions_from_positions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, invalid
 
 
-def read_mention_files(spark: SparkSession, path: str,
-                       max_columns: int = MAX_COLUMNS) -> tuple[DataFrame, DataFrame]:
+def read_mention_files(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS,
+                       multiline: bool = True) -> tuple[DataFrame, DataFrame]:
     """A3 + C9: mention rows of every file under ``path``.
 
     Per file, the header is the first of the first HEADER_SEARCH_ROWS rows
@@ -99,7 +115,7 @@ def read_mention_files(spark: SparkSession, path: str,
     header of valid files; ``invalid`` = files whose header lacks a required
     column (the reference stops on such a file and loads nothing from it).
     """
-    return mentions_from_positions(read_positional_csv(spark, path, max_columns))
+    return mentions_from_positions(read_positional_csv(spark, path, max_columns, multiline))
 
 
 def read_history_file(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS) -> DataFrame:

@@ -146,3 +146,25 @@ def test_history_reader_takes_one_file(spark, tmp_path):
     write(tmp_path, "b.csv", HISTORY)
     with pytest.raises(ValueError, match="one history file"):
         FS.read_history_file(spark, str(tmp_path))
+
+
+def test_large_file_split_into_blocks_gives_same_counts(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    body = "".join(f"2024-01-{i % 28 + 1:02d},{['positiva', 'negativa', 'neutra', 'otra'][i % 4]},m{i}\n"
+                   for i in range(4000))
+    write(d, "big.csv", "Reporte mensual,,\n\nFecha,Calificación,Medio\n" + body)
+    write(d, "small.csv", MENTIONS)
+    one, _ = FS.read_mention_files(spark, str(d))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        split, invalid = FS.read_mention_files(spark, str(d), multiline=False)
+        blocks = FS.csv_rows(spark.read, str(d), multiline=False).select("_block").distinct().count()
+        got_split = sorted(map(tuple, M.mention_counts(split).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert blocks > 5 and invalid.count() == 0
+    assert got_split == sorted(map(tuple, M.mention_counts(one).collect()))
+    big = [r for r in got_split if r[0].endswith("big.csv")][0]
+    assert big[1:] == (4000, 1000, 1000, 1000)
