@@ -8,6 +8,7 @@
 | media-load | upsert every mention file of a folder | the monthly media extractor |
 | media-history | seed the glossary, upsert a wide history file | the media history upload |
 | media-watch | the media load as a stream over an inbox folder | (incremental variant) |
+| snapshot-upload | upsert finalized ``historical/`` snapshots, never ``staging/`` | the snapshot uploader of the older design notes |
 
 Tables: the fact table is a ``FactStore`` folder; the glossary a Parquet
 folder ``(metrica, nombre)``; traffic events Parquet with
@@ -39,7 +40,8 @@ def _replace_glossary(spark: SparkSession, path: str, new: DataFrame) -> None:
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(prog="monthend")
     sub = p.add_subparsers(dest="job", required=True)
-    for name in ("report", "monthly-load", "backfill", "media-load", "media-history", "media-watch"):
+    for name in ("report", "monthly-load", "backfill", "media-load", "media-history", "media-watch",
+                 "snapshot-upload"):
         s = sub.add_parser(name)
         s.add_argument("--fact", required=True, help="fact table folder")
         s.add_argument("--glossary", required=True, help="glossary Parquet folder")
@@ -63,6 +65,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         if name == "media-watch":
             s.add_argument("--inbox", required=True)
             s.add_argument("--continuous", action="store_true")
+        if name == "snapshot-upload":
+            s.add_argument("--root", required=True, help="folder holding historical/ and staging/")
     a = p.parse_args(argv)
 
     spark = spark or get_session()
@@ -116,6 +120,9 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         q = start_media_folder_load(spark, a.inbox, store, glossary,
                                     trigger="processing_time" if a.continuous else "available_now")
         q.awaitTermination()
+    elif a.job == "snapshot-upload":
+        from monthend.plans.report import snapshot_updates
+        store.upsert(snapshot_updates(spark, a.root, glossary), order_col="_order")
 
 
 if __name__ == "__main__":

@@ -91,3 +91,17 @@ def write_snapshot(df: DataFrame, root: str, mode: str, as_of) -> str:
     (df.select(F.col("Date").cast("date"), "Metric", F.col("Value").cast("double"))
      .write.mode("overwrite").option("header", True).csv(path))
     return path
+
+
+def snapshot_updates(spark, root: str, glossary: DataFrame) -> DataFrame:
+    """A7 -> fact rows: finalized snapshots only (``staging`` is never read).
+
+    Returns (fecha, metrica, valor, _order) with the snapshot date as the
+    upsert order, so a later snapshot of the same month wins.
+    """
+    from monthend.operators.lookup import names_to_ids
+    from monthend.sources.files import read_snapshots
+    snaps = read_snapshots(spark, root)
+    return (names_to_ids(snaps, glossary)
+            .select(F.col("Date").alias("fecha"), "metrica", F.col("Value").alias("valor"),
+                    F.col("snapshot_date").alias("_order")))

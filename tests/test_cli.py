@@ -40,3 +40,17 @@ def test_cli_jobs(spark, tmp_path):
     tab = spark.read.option("header", True).csv(str(out / "Analytics")).collect()
     assert {r.Metric for r in tab} >= {"a Views", "Total Media Mentions"}
     assert not (out / "Current Month").exists()          # empty month: nothing written
+
+
+def test_snapshot_upload_ignores_staging(spark, tmp_path):
+    from monthend.plans.report import write_snapshot
+    fact, gl = str(tmp_path / "fact"), str(tmp_path / "glossary")
+    spark.createDataFrame([(1, "A Views")], "metrica int, nombre string").write.parquet(gl)
+    snap = spark.createDataFrame([(D(2024, 1, 31), "A Views", 5.0), (D(2024, 1, 31), "Unknown", 1.0)],
+                                 "Date date, Metric string, Value double")
+    root = str(tmp_path / "snaps")
+    write_snapshot(snap, root, "historical", D(2024, 2, 1))
+    write_snapshot(snap.selectExpr("Date", "Metric", "Value * 10 AS Value"), root, "historical", D(2024, 2, 5))
+    write_snapshot(snap.selectExpr("Date", "Metric", "Value * 100 AS Value"), root, "current", D(2024, 2, 9))
+    run(["snapshot-upload", "--fact", fact, "--glossary", gl, "--root", root], spark)
+    assert [tuple(r) for r in FactStore(spark, fact).read().collect()] == [(D(2024, 1, 31), 1, 50.0)]
