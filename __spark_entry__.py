@@ -22,6 +22,7 @@ from monthend.operators import reshape as R
 from monthend.operators import traffic as T
 from monthend.plans import media_load as ML
 from monthend.plans import monthly_load as Q
+from monthend.session import materialize
 from monthend.sources import testdata as TD
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -105,15 +106,16 @@ def _monthly_load(spark, sf):
     """Q4: the table after an earlier run is reloaded by the regular run."""
     g = _traffic_glossary(spark, sf)
     earlier = _traffic_rows(spark, sf, Q.backfill_months(BACKFILL_START, PREVIOUS_RUN), as_of=PREVIOUS_RUN)
-    target = L.names_to_ids(earlier, g).select("fecha", "metrica", "valor")
+    target = materialize(L.names_to_ids(earlier, g).select("fecha", "metrica", "valor"))
     ev, src, props = _traffic_inputs(spark, sf)
     return Q.monthly_load(target, g, ev, src, props, EVENTS_AS_OF, ads_source=TD.ADS_SOURCE)
 
 
 def _media_load(spark, sf):
     """Q6: mention files upserted into the table the history upload left."""
-    target = _history_unpivot(spark, sf)
-    return U.upsert(target, ML.mention_updates(TD.media_rows(spark, sf), ML.media_glossary_rows(spark)))
+    target = materialize(_history_unpivot(spark, sf))
+    updates = materialize(ML.mention_updates(TD.media_rows(spark, sf), ML.media_glossary_rows(spark)))
+    return U.upsert(target, updates)
 
 
 def _traffic_sources_range(spark, sf):

@@ -9,6 +9,7 @@ from monthend.operators.lookup import names_to_ids
 from monthend.operators.media import MEDIA_METRICS, mention_metrics
 from monthend.operators.mutate import insert_ignore, upsert
 from monthend.operators.reshape import history_bad_cells, history_to_long
+from monthend.session import materialize
 from monthend.sources.files import read_history_file, read_mention_files
 
 
@@ -45,7 +46,7 @@ def media_monthly_load(spark: SparkSession, path: str, target: DataFrame, glossa
         bad = [r.file for r in invalid.limit(20).collect()]
         if bad:
             raise ValueError(f"files lack the 'Calificación'/'Fecha' columns: {bad}")
-    return upsert(target, mention_updates(rows, glossary), order_col="_order")
+    return upsert(target, materialize(mention_updates(rows, glossary)), order_col="_order")
 
 
 def media_history_load(spark: SparkSession, path: str, target: DataFrame,
@@ -60,7 +61,7 @@ def media_history_load(spark: SparkSession, path: str, target: DataFrame,
     if bad:
         raise ValueError(f"non-numeric history cells: {[tuple(r) for r in bad]}")
     new_glossary = insert_ignore(glossary, media_glossary_rows(spark))
-    return upsert(target, history_to_long(wide)), new_glossary
+    return upsert(target, materialize(history_to_long(wide))), new_glossary
 
 
 def history_frame(counts: DataFrame, month_col: str = "month") -> DataFrame:

@@ -22,6 +22,7 @@ from monthend.operators.mutate import replace_months
 from monthend.operators.reshape import wide_to_long
 from monthend.operators.traffic import (ADS_SOURCE, choose_source, in_date_range,
                                         source_views, traffic_report, video_totals)
+from monthend.session import materialize
 
 # Metric name suffixes per property and the video metric names.
 PROPERTY_MEASURES = {"users": "Total Users", "views": "Views",
@@ -130,7 +131,9 @@ def monthly_load(target: DataFrame, glossary: DataFrame, events: DataFrame, sour
     ``lookup.missing_names`` for the report).
     """
     rows = traffic_metric_rows(events, sources, properties, reload_months(as_of), as_of, **kw)
-    updates = names_to_ids(rows, glossary)
+    # the update batch is small but costly (it aggregates the events); the
+    # month slice reads it three times, so compute it once
+    updates = materialize(names_to_ids(rows, glossary).select("fecha", "metrica", "valor"))
     return replace_months(target, updates)
 
 
@@ -139,4 +142,5 @@ def backfill(target: DataFrame, glossary: DataFrame, events: DataFrame, sources:
     """Q5: reload every month from ``start`` to ``as_of`` in one job."""
     rows = traffic_metric_rows(events, sources, properties, backfill_months(start, as_of), as_of,
                                daily_sources=True, **kw)
-    return replace_months(target, names_to_ids(rows, glossary))
+    updates = materialize(names_to_ids(rows, glossary).select("fecha", "metrica", "valor"))
+    return replace_months(target, updates)

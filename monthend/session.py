@@ -57,3 +57,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    For small intermediate results that several branches of a plan read
+    (update batches, glossaries): without it each branch would recompute
+    them from the raw tables. A reliable checkpoint, so a lost executor does
+    not lose it.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

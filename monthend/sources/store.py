@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthend.operators import mutate as U
-from monthend.session import scratch_path
+from monthend.session import materialize, scratch_path
 
 PARTITIONS = ["year", "month"]
 
@@ -111,6 +111,7 @@ class FactStore:
 
     def replace_months(self, updates: DataFrame, ids: DataFrame | None = None) -> None:
         """B1+B2 on disk: reload the months present in ``updates``."""
+        updates = materialize(updates)      # read by several branches below
         months = self.months_of(updates)
         if not months:
             return
@@ -118,6 +119,7 @@ class FactStore:
 
     def upsert(self, updates: DataFrame, order_col: str | None = None) -> None:
         """B3 on disk: insert or update (fecha, metrica) rows."""
+        updates = materialize(updates)      # read by several branches below
         months = self.months_of(updates)
         if not months:
             return

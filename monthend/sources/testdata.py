@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from monthend.functions.numeric import round2
 from monthend.operators.lookup import build_glossary, names_to_ids
+from monthend.session import materialize
 
 # Fixed values of the test derivations (FIXTURES.md section 3).
 SEGMENT_KINDS = ("Total Orders", "Revenue", "Lines Per Session")
@@ -82,9 +83,9 @@ def segments_glossary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments_fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(fact_segments, its glossary)."""
-    g = segments_glossary(spark, sf_dir)
-    return to_fact(segments_long(spark, sf_dir), g), g
+    """(fact_segments, its glossary), each computed once (many plans read both)."""
+    g = materialize(segments_glossary(spark, sf_dir))
+    return materialize(to_fact(segments_long(spark, sf_dir), g)), g
 
 
 def segment_updates(fact: DataFrame, glossary: DataFrame) -> DataFrame:
