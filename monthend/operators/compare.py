@@ -130,8 +130,10 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
       a metric-year could hold more than WINDOW_GROUP_ROWS groups the sums
       are range-partitioned prefix sums (``running.prefix_sums``), so not
       even many distinct values of one metric-year meet in one task;
-    * the self-join pairs a group with the groups of the same month a year
-      earlier; the pair stands for ``copies x partner copies`` output rows;
+    * each group is paired with the groups of the same month a year
+      earlier -- by a window frame over years within (Metric, month) while
+      a metric-month holds at most PAIR_WINDOW_ROWS rows, else by a
+      self-join; the pair stands for ``copies x partner copies`` output rows;
     * the previous-FY aggregate weights each pair by that count, which is
       exactly the reference's aggregate over the joined rows (T4);
     * finally each pair is expanded into its output rows. Pairs standing for
@@ -154,6 +156,8 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
     # metric-year from landing in one task.
     order = [F.col("Date"), F.col("Value").asc_nulls_last()]
     sums = {"_p": F.col("Value").cast(SUM_TYPE) * F.col("_c"), "_np": F.col("_c")}
+    if max_month_rows <= PAIR_WINDOW_ROWS:
+        g = g.repartition("Metric")       # every window below is per Metric
     if 12 * max_month_rows > WINDOW_GROUP_ROWS:
         g = prefix_sums(g, ["Metric", "fiscal_year"], order, sums)
     else:
@@ -161,25 +165,43 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
                   .rowsBetween(Window.unboundedPreceding, -1))
         g = g.withColumns({k: F.coalesce(F.sum(v).over(before), F.lit(0).cast(t))
                            for (k, v), t in zip(sums.items(), (SUM_TYPE, "long"))})
-    # g feeds both join sides, the FY aggregate and the output; column
-    # pruning makes those subtrees differ, so Spark would rescan and
-    # re-aggregate the input for each. Materialise it once in the shared
-    # checkpoint folder (this also cuts the lineage).
-    checkpoint_dir(g.sparkSession)
-    g = g.checkpoint(eager=True)
-    prior = g.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo",
-                     F.col("Value").alias("_hv"), F.col("_c").alias("_hc"),
-                     F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))
-    pairs = (g.join(prior, ["Metric", "_yr", "_mo"], "left")
-             .withColumn("_hc1", F.coalesce(F.col("_hc"), F.lit(1)).cast("long"))
-             .withColumn("_w", F.col("_c") * F.col("_hc1")))
-    fy = (pairs.groupBy("Metric", "fiscal_year")
-          .agg(F.sum(F.col("Value").cast(SUM_TYPE) * F.col("_w")).alias("_total"),
-               F.sum(F.when(F.col("Value").isNotNull(), F.col("_w"))).alias("_n"))
-          .withColumn("_mean", F.col("Metric").contains(marker))
-          .select("Metric", (F.col("fiscal_year") + 1).alias("fiscal_year"),
-                  _fy_value(F.col("_total"), F.col("_n")).alias("Previous_FY_Value")))
-    joined = pairs.join(fy, ["Metric", "fiscal_year"], "left")
+    weighted = F.col("Value").cast(SUM_TYPE) * F.col("_w")
+    counted = F.when(F.col("Value").isNotNull(), F.col("_w"))
+    if max_month_rows <= PAIR_WINDOW_ROWS:
+        # few rows per metric-month: gather each group's prior-year partners
+        # (at most max_month_rows) and the previous FY with window frames
+        # over one hash exchange on Metric -- no self-join
+        same_month = Window.partitionBy("Metric", "_mo").orderBy("_yr").rangeBetween(-1, -1)
+        partners = F.collect_list(F.struct(
+            F.col("Value").alias("_hv"), F.col("_c").alias("_hc"),
+            F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))).over(same_month)
+        pairs = (g.withColumn("_partners", partners)
+                 .select("*", F.explode_outer("_partners").alias("_h")).drop("_partners")
+                 .select("*", "_h._hv", "_h._hc", "_h._hp", "_h._hnp").drop("_h")
+                 .withColumn("_hc1", F.coalesce(F.col("_hc"), F.lit(1)).cast("long"))
+                 .withColumn("_w", F.col("_c") * F.col("_hc1")))
+        prior_fy = Window.partitionBy("Metric").orderBy("fiscal_year").rangeBetween(-1, -1)
+        joined = pairs.withColumn("Previous_FY_Value", _fy_value(F.sum(weighted).over(prior_fy),
+                                                                 F.sum(counted).over(prior_fy)))
+    else:
+        # g feeds both join sides, the FY aggregate and the output; column
+        # pruning makes those subtrees differ, so Spark would rescan and
+        # re-aggregate the input for each. Materialise it once in the shared
+        # checkpoint folder (this also cuts the lineage).
+        checkpoint_dir(g.sparkSession)
+        g = g.checkpoint(eager=True)
+        prior = g.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo",
+                         F.col("Value").alias("_hv"), F.col("_c").alias("_hc"),
+                         F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))
+        pairs = (g.join(prior, ["Metric", "_yr", "_mo"], "left")
+                 .withColumn("_hc1", F.coalesce(F.col("_hc"), F.lit(1)).cast("long"))
+                 .withColumn("_w", F.col("_c") * F.col("_hc1")))
+        fy = (pairs.groupBy("Metric", "fiscal_year")
+              .agg(F.sum(weighted).alias("_total"), F.sum(counted).alias("_n"))
+              .withColumn("_mean", F.col("Metric").contains(marker))
+              .select("Metric", (F.col("fiscal_year") + 1).alias("fiscal_year"),
+                      _fy_value(F.col("_total"), F.col("_n")).alias("Previous_FY_Value")))
+        joined = pairs.join(fy, ["Metric", "fiscal_year"], "left")
     if max_month_rows <= 1:
         out = joined.withColumn("_t", F.lit(0).cast("long"))   # every pair is one row
     else:
@@ -198,6 +220,9 @@ EXPAND_CHUNK = 100_000
 # Rows a metric-year window may hold in one task before the running sums
 # switch to range-partitioned prefix sums.
 WINDOW_GROUP_ROWS = 1_000_000
+# Most rows per metric-month for which prior-year partners are gathered with
+# a window frame; above it the groups are paired by a self-join.
+PAIR_WINDOW_ROWS = 64
 
 
 def _running(v: Column, before: Column, rows_before: Column, j: Column) -> Column:

@@ -104,6 +104,13 @@ def test_window_path_unique_grain(spark, seed):
     assert got(C.compare_table(df)) == brute(rows)
 
 
+@pytest.mark.parametrize("seed", [7])
+def test_join_path_with_self_join_pairing(spark, monkeypatch, seed):
+    monkeypatch.setattr(C, "PAIR_WINDOW_ROWS", 0)
+    rows = random_rows(seed, unique=False)
+    assert got(C.compare_join(to_df(spark, rows))) == brute(rows)
+
+
 @pytest.mark.parametrize("seed", [6])
 def test_join_path_with_range_partitioned_sums(spark, monkeypatch, seed):
     monkeypatch.setattr(C, "WINDOW_GROUP_ROWS", 1)
@@ -115,6 +122,7 @@ def test_hot_copies_are_expanded_in_chunks(spark, monkeypatch):
     # 40 copies of one row and 30 of its prior-year partner: 1,200 output
     # rows from one pair; with a chunk of 7 rows they are spread over tasks
     monkeypatch.setattr(C, "EXPAND_CHUNK", 7)
+    monkeypatch.setattr(C, "PAIR_WINDOW_ROWS", 0)
     rows = ([(dt.date(2024, 8, 31), "H", 2.0)] * 30 + [(dt.date(2025, 8, 31), "H", 3.0)] * 40
             + [(dt.date(2025, 9, 30), "H", None), (dt.date(2026, 1, 31), "H", 1.5)])
     want = brute(rows)
@@ -127,3 +135,10 @@ def test_month_slice_equals_full_table(spark):
     df = to_df(spark, rows)
     full = [r for r in brute(rows) if (r[0].year, r[0].month) == (2024, 3)]
     assert got(C.analytics_slice(df, dt.date(2024, 3, 1))) == full
+
+
+def test_hot_copies_with_window_pairing(spark, monkeypatch):
+    monkeypatch.setattr(C, "EXPAND_CHUNK", 7)
+    rows = ([(dt.date(2024, 8, 31), "H", 2.0)] * 30 + [(dt.date(2025, 8, 31), "H", 3.0)] * 40
+            + [(dt.date(2025, 8, 2), "H", 1.0)] * 3 + [(dt.date(2026, 8, 31), "H Session", 1.5)])
+    assert got(C.compare_join(to_df(spark, rows))) == brute(rows)
