@@ -69,3 +69,13 @@ def test_round2_equals_numpy_round_on_random_values(spark):
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
     got = [r[0] for r in df.select(N.round2("x")).collect()]
     assert got == [float(v) for v in np.round(xs, 2)]
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from monthend.session import checkpoint_dir, scratch_path
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = checkpoint_dir(spark)
+    assert configured is None or configured.rstrip("/").endswith(d.split(":", 1)[-1].rstrip("/")) \
+        or d.rstrip("/").endswith(configured.split(":", 1)[-1].rstrip("/"))
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(d) and b.startswith(d)
