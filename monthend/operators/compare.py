@@ -329,7 +329,8 @@ def month_slice(df: DataFrame, month: dt.date, path: str = "auto",
     the scan); a filter above a Window is otherwise not pushed below it. The
     cut is exact only when the grain is unique from two fiscal years back
     (earlier duplicates would inflate the previous FY, T4), which ``auto``
-    checks on that range; otherwise the whole history goes through the join.
+    checks on that range; otherwise the join path runs on the history from
+    two fiscal years back, which is exact for any grain.
     """
     fy = fiscal_year_of(month, start_month)
     upper = next_month(month)
@@ -343,9 +344,12 @@ def month_slice(df: DataFrame, month: dt.date, path: str = "auto",
         cut = report_input(df).where((d >= F.lit(lower)) & (d < F.lit(upper)))
         full = compare_window(cut, start_month, marker)
     else:
-        # earlier months only feed this month through the previous FY,
-        # so the join path also stops at the end of the month
-        full = compare_join(report_input(df).where(d < F.lit(upper)), start_month, marker)
+        # the month's rows depend on its fiscal year, the previous one, and
+        # (through the partner counts that weight the previous FY) the one
+        # before -- nothing earlier and nothing after the month
+        lower = fiscal_year_start(fy - 2, start_month)
+        cut = report_input(df).where((d >= F.lit(lower)) & (d < F.lit(upper)))
+        full = compare_join(cut, start_month, marker)
     return _month_filter(full, month)
 
 

@@ -38,8 +38,8 @@ def report_from_store(store, glossary: DataFrame, as_of, target_month: str | Non
     Each tab needs its month, its fiscal year so far and the whole previous
     fiscal year; the grain check looks one more fiscal year back (see
     ``compare.month_slice``) and runs once, over the union of both tabs'
-    ranges. Older partitions are neither listed nor read on the window path;
-    the join path (duplicate months) reads the history up to each month.
+    ranges. Older partitions are neither listed nor read: the window path
+    reads two fiscal years, the join path (duplicate months) three.
     """
     if isinstance(as_of, str):
         as_of = dt.date.fromisoformat(as_of)
@@ -50,7 +50,7 @@ def report_from_store(store, glossary: DataFrame, as_of, target_month: str | Non
     path = "window" if has_unique_grain(probe) else "join"
     tabs = []
     for month, cols in zip(months, (REPORT_COLUMNS, CURRENT_COLUMNS)):
-        lower = fiscal_year_start(fiscal_year_of(month) - 1) if path == "window" else None
+        lower = fiscal_year_start(fiscal_year_of(month) - (1 if path == "window" else 2))
         src = ids_to_names(store.read_range(lower, next_month(month)), glossary)
         tabs.append(month_slice(src, month, path=path).select(*cols))
     return tabs[0], tabs[1]

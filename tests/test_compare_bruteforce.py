@@ -142,3 +142,11 @@ def test_hot_copies_with_window_pairing(spark, monkeypatch):
     rows = ([(dt.date(2024, 8, 31), "H", 2.0)] * 30 + [(dt.date(2025, 8, 31), "H", 3.0)] * 40
             + [(dt.date(2025, 8, 2), "H", 1.0)] * 3 + [(dt.date(2026, 8, 31), "H Session", 1.5)])
     assert got(C.compare_join(to_df(spark, rows))) == brute(rows)
+
+
+@pytest.mark.parametrize("month", [dt.date(2023, 8, 1), dt.date(2024, 3, 1), dt.date(2024, 12, 1)])
+def test_join_path_month_slice_equals_full_table(spark, month):
+    rows = random_rows(8, unique=False)
+    full = [r for r in brute(rows) if (r[0].year, r[0].month) == (month.year, month.month)]
+    assert got(C.analytics_slice(to_df(spark, rows), month, path="join")) == full
+    assert got(C.analytics_slice(to_df(spark, rows), month)) == full
