@@ -79,3 +79,23 @@ def test_checkpoint_folder_comes_from_the_session(spark):
         or d.rstrip("/").endswith(configured.split(":", 1)[-1].rstrip("/"))
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(d) and b.startswith(d)
+
+
+def test_calendar_expressions_against_python(spark):
+    import calendar as pycal
+    import random
+    rnd = random.Random(11)
+    dates = [D(1995, 1, 1) + dt.timedelta(days=rnd.randint(0, 12000)) for _ in range(3000)]
+    as_of = D(2010, 6, 15)
+    df = spark.createDataFrame([(d,) for d in dates], "d date")
+    got = df.select("d", K.fiscal_year("d").alias("fy"), K.month_start("d").alias("ms"),
+                    K.period_end(K.month_start("d"), as_of).alias("pe"),
+                    K.last_day_of(F.year("d"), F.month("d")).alias("ld"),
+                    K.month_index("d").alias("mi")).collect()
+    for r in got:
+        d = r.d
+        last = D(d.year, d.month, pycal.monthrange(d.year, d.month)[1])
+        assert r.fy == (d.year if d.month >= 8 else d.year - 1)
+        assert r.ms == d.replace(day=1) and r.ld == last
+        assert r.pe == min(last, as_of)
+        assert r.mi == d.year * 12 + d.month - 1
