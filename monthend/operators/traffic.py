@@ -100,6 +100,11 @@ def traffic_report(events: DataFrame, keys: list[str], period: str = "month",
     views_per_session = views / sessions rounded half-to-even to 2 decimals,
     0 when there is no session. All three come from the bucket rows: no
     distinct aggregation and no second pass over the events.
+
+    Rounding (T1): the report's rule ``rint(x * 100) / 100`` is used. The
+    reference rounded this one value with exact-decimal rounding instead, so
+    for a ratio that is exactly a half cent in decimal (e.g. 2.675) the last
+    digit can differ (2.68 here, 2.67 there).
     """
     b = session_buckets(events, keys, ts, user, view, period=period)
     agg = (b.groupBy(*keys, F.col("_period").alias("period_start"))
