@@ -65,6 +65,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         if name == "media-watch":
             s.add_argument("--inbox", required=True)
             s.add_argument("--continuous", action="store_true")
+            s.add_argument("--checkpoint", help="stream progress folder (default: under the "
+                                                 "shared checkpoint folder, one per inbox)")
         if name == "snapshot-upload":
             s.add_argument("--root", required=True, help="folder holding historical/ and staging/")
     a = p.parse_args(argv)
@@ -117,7 +119,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         store.upsert(history_to_long(wide))
     elif a.job == "media-watch":
         from monthend.streaming.media_folder import start_media_folder_load
-        q = start_media_folder_load(spark, a.inbox, store, glossary,
+        q = start_media_folder_load(spark, a.inbox, store, glossary, checkpoint=a.checkpoint,
                                     trigger="processing_time" if a.continuous else "available_now")
         q.awaitTermination()
     elif a.job == "snapshot-upload":

@@ -15,6 +15,8 @@ monthly run; a processing-time trigger keeps watching the folder.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,7 +40,9 @@ def start_media_folder_load(spark: SparkSession, folder: str, store: FactStore,
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     stream = csv_rows(reader, folder, max_columns)
-    ckpt = checkpoint or f"{checkpoint_dir(spark)}/media-folder-load"
+    # one progress folder per inbox, so two watched folders never share one
+    inbox_key = hashlib.sha1(folder.rstrip("/").encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/media-folder-load-{inbox_key}"
     w = (stream.writeStream
          .foreachBatch(lambda df, _epoch: process_batch(df, store, glossary))
          .option("checkpointLocation", ckpt))

@@ -54,3 +54,17 @@ def test_snapshot_upload_ignores_staging(spark, tmp_path):
     write_snapshot(snap.selectExpr("Date", "Metric", "Value * 100 AS Value"), root, "current", D(2024, 2, 9))
     run(["snapshot-upload", "--fact", fact, "--glossary", gl, "--root", root], spark)
     assert [tuple(r) for r in FactStore(spark, fact).read().collect()] == [(D(2024, 1, 31), 1, 50.0)]
+
+
+def test_media_watch_job(spark, tmp_path):
+    fact, gl = str(tmp_path / "fact"), str(tmp_path / "glossary")
+    from monthend.plans.media_load import media_glossary_rows
+    media_glossary_rows(spark).write.parquet(gl)
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "m.csv").write_text("Fecha,Calificación\n2024-05-02,negativa\n2024-05-03,neutra\n", encoding="utf-8")
+    run(["media-watch", "--fact", fact, "--glossary", gl, "--inbox", str(inbox),
+         "--checkpoint", str(tmp_path / "ckpt")], spark)
+    got = {(r.fecha, r.metrica): r.valor for r in FactStore(spark, fact).read().collect()}
+    assert got == {(D(2024, 5, 31), 13): 2.0, (D(2024, 5, 31), 14): 0.0,
+                   (D(2024, 5, 31), 15): 1.0, (D(2024, 5, 31), 16): 1.0}
