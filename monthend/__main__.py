@@ -13,7 +13,8 @@
 Tables: the fact table is a ``FactStore`` folder; the glossary a Parquet
 folder ``(metrica, nombre)``; traffic events Parquet with
 ``(ts, user_id, is_view, property[, scheme, site])``; traffic sources
-Parquet with ``(ts, source, views)``.
+Parquet with ``(ts, source, views)``; an optional effective-dated source
+table ``(source_name, scheme, valid_from, valid_to, site_filter)``.
 """
 
 from __future__ import annotations
@@ -54,6 +55,9 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
             s.add_argument("--sources", required=True)
             s.add_argument("--as-of", type=_date, required=True)
             s.add_argument("--ads-source", default="ADVERTISING")
+            s.add_argument("--cutover", help="Parquet table (source_name, scheme, valid_from, "
+                                             "valid_to, site_filter) for an effective-dated property")
+            s.add_argument("--cutover-name", help="property name reported from --cutover")
         if name == "backfill":
             s.add_argument("--start", type=_date, required=True)
         if name == "media-load":
@@ -92,8 +96,10 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         props = events.select("property").where(F.col("property").isNotNull()).distinct()
         months = (Q.reload_months(a.as_of) if a.job == "monthly-load"
                   else Q.backfill_months(a.start, a.as_of))
+        cutover = (a.cutover_name, spark.read.parquet(a.cutover)) if a.cutover else None
         rows = Q.traffic_metric_rows(events, sources, props, months, a.as_of,
-                                     ads_source=a.ads_source, daily_sources=a.job == "backfill")
+                                     ads_source=a.ads_source, daily_sources=a.job == "backfill",
+                                     cutover=cutover)
         missing = [r.Metric for r in missing_names(rows, glossary).limit(50).collect()]
         if missing:
             print(f"metrics not in the glossary (skipped): {missing}")

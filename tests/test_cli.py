@@ -68,3 +68,24 @@ def test_media_watch_job(spark, tmp_path):
     got = {(r.fecha, r.metrica): r.valor for r in FactStore(spark, fact).read().collect()}
     assert got == {(D(2024, 5, 31), 13): 2.0, (D(2024, 5, 31), 14): 0.0,
                    (D(2024, 5, 31), 15): 1.0, (D(2024, 5, 31), 16): 1.0}
+
+
+def test_monthly_load_with_cutover(spark, tmp_path):
+    fact, gl = str(tmp_path / "fact"), str(tmp_path / "glossary")
+    spark.createDataFrame([(1, "Careers Total Users"), (2, "Careers Views")],
+                          "metrica int, nombre string").write.parquet(gl)
+    ev, src, cut = str(tmp_path / "events"), str(tmp_path / "sources"), str(tmp_path / "cut")
+    spark.createDataFrame([(TS(2024, 1, 5, 10), 1, True, "com", "http", "blog"),
+                           (TS(2024, 1, 6, 10), 2, True, "net", "https", "www")],
+                          "ts timestamp_ntz, user_id long, is_view boolean, property string, "
+                          "scheme string, site string").write.parquet(ev)
+    spark.createDataFrame([], "ts timestamp_ntz, source string, views int").write.parquet(src)
+    spark.createDataFrame([("old", "http", D(1900, 1, 1), D(2024, 1, 15), "blog"),
+                           ("new", "https", D(2024, 1, 15), D(9999, 12, 31), None)],
+                          "source_name string, scheme string, valid_from date, valid_to date, "
+                          "site_filter string").write.parquet(cut)
+    run(["monthly-load", "--fact", fact, "--glossary", gl, "--events", ev, "--sources", src,
+         "--as-of", "2024-01-10", "--cutover", cut, "--cutover-name", "Careers"], spark)
+    got = {(r.fecha, r.metrica): r.valor for r in FactStore(spark, fact).read().collect()}
+    # period end 2024-01-10 is before the cutover: the old source (http, blog) counts
+    assert got[(D(2024, 1, 10), 1)] == 1.0 and got[(D(2024, 1, 10), 2)] == 1.0
