@@ -88,6 +88,13 @@ def upsert(target: DataFrame, updates: DataFrame, order_col: str | None = None)
 
 
 def insert_ignore(table: DataFrame, rows: DataFrame, key: str = "metrica") -> DataFrame:
-    """Add rows whose key is absent; existing keys keep their row."""
-    new = rows.join(table.select(key), key, "left_anti").dropDuplicates([key])
+    """Add rows whose key is absent; existing keys keep their row.
+
+    When the batch itself repeats a key, one row is kept -- the smallest,
+    so the result does not depend on how the batch is partitioned.
+    """
+    others = [c for c in table.columns if c != key]
+    new = (rows.join(table.select(key), key, "left_anti")
+           .groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
+           .select(key, *[F.col(f"_row.{c}").alias(c) for c in others]))
     return table.unionByName(new.select(*table.columns))

@@ -212,3 +212,9 @@ def test_table_readers(spark, tmp_path):
     g = read_glossary(spark, str(tmp_path / "g.csv"), format="csv")
     f = read_fact(spark, str(tmp_path / "f"))
     assert [tuple(r) for r in report_source(f, g).collect()] == [(D(2024, 1, 31), "A Views", 5.0)]
+
+
+def test_insert_ignore_repeated_key_in_batch_is_deterministic(spark):
+    g = spark.createDataFrame([(1, "A")], "metrica int, nombre string")
+    new = spark.createDataFrame([(2, "Zeta"), (2, "Beta"), (3, "C")], "metrica int, nombre string")
+    assert rows(U.insert_ignore(g, new.repartition(3))) == [(1, "A"), (2, "Beta"), (3, "C")]
