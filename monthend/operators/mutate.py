@@ -66,7 +66,9 @@ def last_per_key(updates: DataFrame, keys: list[str], order_col: str | None = No
         return updates.groupBy(*keys).agg(F.max("valor").alias("valor"))
     # max_by aggregates partially before the shuffle, so a key repeated a
     # million times is merged map-side instead of landing in one task
-    return updates.groupBy(*keys).agg(F.max_by("valor", order_col).alias("valor"))
+    # ties in the order go to the larger value, so the choice is deterministic
+    return updates.groupBy(*keys).agg(
+        F.max_by("valor", F.struct(order_col, "valor")).alias("valor"))
 
 
 def upsert(target: DataFrame, updates: DataFrame, order_col: str | None = None) -> DataFrame:

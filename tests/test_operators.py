@@ -218,3 +218,10 @@ def test_insert_ignore_repeated_key_in_batch_is_deterministic(spark):
     g = spark.createDataFrame([(1, "A")], "metrica int, nombre string")
     new = spark.createDataFrame([(2, "Zeta"), (2, "Beta"), (3, "C")], "metrica int, nombre string")
     assert rows(U.insert_ignore(g, new.repartition(3))) == [(1, "A"), (2, "Beta"), (3, "C")]
+
+
+def test_upsert_order_ties_are_deterministic(spark, fact):
+    upd = spark.createDataFrame([(D(2024, 1, 31), 13, 7.0, 1), (D(2024, 1, 31), 13, 9.0, 1),
+                                 (D(2024, 1, 31), 13, 8.0, 1)], "fecha date, metrica int, valor double, seq int")
+    got = {(r.fecha, r.metrica): r.valor for r in U.upsert(fact, upd.repartition(3), order_col="seq").collect()}
+    assert got[(D(2024, 1, 31), 13)] == 9.0
