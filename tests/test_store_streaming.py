@@ -111,3 +111,13 @@ def test_empty_updates_are_a_no_op(spark, tmp_path):
     store.replace_months(empty)
     store.upsert(empty)
     assert rows(store.read()) == rows(base)
+
+
+def test_read_months_prunes_partitions(spark, tmp_path):
+    store = FactStore(spark, str(tmp_path / "fact"))
+    store.write_all(spark.createDataFrame([(D(2024, m, 28), 1, float(m)) for m in range(1, 13)], FACT))
+    df = store.read_months([(2024, 3), (2024, 7)])
+    assert rows(df) == [(D(2024, 3, 28), 1, 3.0), (D(2024, 7, 28), 1, 7.0)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pf = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
+    assert "year" in pf and "month" in pf
