@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,21 @@ from monthend.sources import testdata as TD
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
+# The training-data operators and their pipeline are optional parts of a checkout.
+EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+EXTRA_ORACLES: dict[str, str] = {}
+if find_spec("monthend.llm"):
+    from monthend.llm import queries as _llm
+
+    EXTRA_QUERIES |= _llm.QUERIES
+    EXTRA_ORACLES |= _llm.ORACLES
+if find_spec("corpus_pipeline"):
+    import corpus_pipeline as _pipeline
+
+    EXTRA_QUERIES["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL:
+        EXTRA_ORACLES["pipeline"] = _pipeline.ORACLE_SQL
+
 # Fixed run parameters of the registered queries.
 ORDERS_AS_OF = dt.date(2001, 8, 1)          # as-of date of the order history
 ANALYTICS_MONTH = dt.date(2001, 7, 1)       # Analytics tab month
@@ -163,7 +179,7 @@ def _history_unpivot(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return EXTRA_QUERIES | {
         "fiscal_year": _fiscal_year,
         "month_calendar": _month_calendar,
         "ytd": lambda s, sf: C.ytd_table(TD.segments_long(s, sf)),
@@ -409,7 +425,7 @@ def oracle_sql() -> dict[str, str]:
         f"('{n}', '{s}', DATE '{f.isoformat()}', DATE '{t.isoformat()}', "
         f"{'NULL' if h is None else repr(h)})" for n, s, f, t, h in CUTOVER_ROWS)
     media_vals = ", ".join(f"({i}, '{n}')" for i, n in M.MEDIA_METRICS)
-    return {
+    return EXTRA_ORACLES | {
         "fiscal_year": """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
        CAST(CASE WHEN month(o_orderdate) >= 8 THEN year(o_orderdate)
