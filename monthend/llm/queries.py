@@ -2,20 +2,41 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from monthend.llm import linededup
+from monthend.llm import chat, linededup, packing, tokencount
+
+BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
+BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = turns.unionByName(chat.probe(spark, turns))
+    return chat.read_back(chat.format_chat(said, BPE_RANKS), BPE_RANKS)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), BPE_JSON)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BPE_RANKS)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_chat_format,
+    op2_token_counts,
+    op6_best_fit_packing,
     op10_line_dedup,
 )}
 
