@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from monthend.llm import chat, linededup, packing, tokencount
+from monthend.llm import chat, langid, linededup, minhash, packing, tokencount
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,10 +25,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), BPE_JSON)
 
 
+def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BPE_RANKS)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
@@ -36,7 +44,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_format,
     op2_token_counts,
+    op3_minhash_forest,
     op6_best_fit_packing,
+    op9_language_id,
     op10_line_dedup,
 )}
 
