@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from monthend.llm import chat, langid, linededup, minhash, packing, tokencount
+from monthend.llm import chat, langid, linededup, minhash, packing, substring, tokencount
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -29,6 +30,11 @@ def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BPE_RANKS)
 
@@ -45,6 +51,7 @@ QUERIES = {f.__name__: f for f in (
     op1_chat_format,
     op2_token_counts,
     op3_minhash_forest,
+    op4_substring_dedup,
     op6_best_fit_packing,
     op9_language_id,
     op10_line_dedup,
