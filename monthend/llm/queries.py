@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthend.llm import chat, langid, linededup, minhash, packing, substring, tokencount
+from monthend.llm import chat, embedding, langid, linededup, minhash, packing, substring, tokencount
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -35,6 +35,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BPE_RANKS)
 
@@ -52,6 +56,7 @@ QUERIES = {f.__name__: f for f in (
     op2_token_counts,
     op3_minhash_forest,
     op4_substring_dedup,
+    op5_embedding_dedup,
     op6_best_fit_packing,
     op9_language_id,
     op10_line_dedup,
