@@ -47,6 +47,8 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
+_PLAIN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
 _BYTES = _Powers(_M, _M_INV)
 _C = np.uint64(0xD6E8FEB86659FD93)
 _WORDS = _Powers(_C, np.uint64(pow(int(_C), -1, 1 << 64)))
@@ -91,13 +93,17 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Rec
             at = to
 
 
-def words_of(col: pa.Array, lower: bool) -> Words:
-    """Hashes of the words of each text; ``lower`` folds A-Z only."""
+def words_of(col: pa.Array, lower: bool, plain: bool = False) -> Words:
+    """Hashes of the words of each text; ``lower`` folds A-Z only.
+
+    With ``plain`` every ASCII character that is no letter or digit separates
+    words, not only white space.
+    """
     data, offsets = buffers(col)
     n = len(data)
     if not n:
         return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64))
-    white = (data == 32) | ((data >= 9) & (data <= 13))
+    white = _PLAIN[data] if plain else (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.empty(n, bool)
