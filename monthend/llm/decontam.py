@@ -9,11 +9,12 @@ few steps; windows that agree with an item on all of them are candidates, and
 their surroundings are verified by exact edit distance.
 
 Items are taken in classes of similar length, so that sampled steps lie
-within the shortest of a class. Of a window within ``e`` edits of an item at
-most ``e`` words can be foreign to it; windows with more words that are in no
-item are left out by a running count, which loses nothing. The number of
-repetitions follows from how often edited copies of the items themselves, at
-the largest distance allowed, agree with them.
+within the shortest of a class. Two running counts leave out places that no
+item of a class can begin at, which loses nothing: within ``e`` edits at most
+``e`` words are in no item, and all but ``e`` of an item's rare words (those
+that few items hold) are there. The number of repetitions follows from how
+often edited copies of the items themselves, at the largest distance allowed,
+agree with them.
 
 Items are searched in blocks of bounded size, each block sent to all tasks in
 one pass over the documents; windows do not overlap documents.
@@ -44,6 +45,7 @@ RECALL = 0.95        # of copies at the largest distance; nearer ones are found
 TRIALS = 400         # edited copies that the number of repetitions is found with
 BLOCK_WORDS = 1 << 20
 RATIO = 1.25         # longest to shortest item of a class
+COMMON = 0.02        # words in more than this part of a block's items are not rare
 
 Item = tuple[int, np.ndarray]
 
@@ -66,32 +68,41 @@ class Repetition:
 @dataclass
 class LengthClass:
     shortest: int
+    longest: int
     most_edits: int
+    least_rare: int  # rare words that are left of any item of the class
     repetitions: list[Repetition]
 
 
-def walk(words: np.ndarray, place: np.ndarray, end: np.ndarray, bits: np.ndarray, steps: list[int],
+def walk(words: np.ndarray, place: np.ndarray, bits: np.ndarray, steps: list[int],
          partial: list[np.ndarray] | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Values after each sampled step of walks from ``place``; ends hold the empty word 0.
+    """Values after each sampled step of walks from ``place``.
 
+    Every text in ``words`` ends with the word 0, which a walk never leaves.
     With ``partial`` walks go on only while their value is one of an item's.
     Gives the walks that are left and their values after each sampled step.
     """
     left, values = np.arange(len(place)), []
     value = np.zeros(len(place), np.uint64)
     for step in range(steps[-1] + 1):
-        word = np.where(place < end, words[np.minimum(place, len(words) - 1)], np.uint64(0))
+        word = words[place]
         if step in steps:
             value = mix(value * np.uint64(0x9E3779B97F4A7C15) + word)
             if partial is not None:
-                known = partial[len(values)]
-                ok = known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value
-                left, value, place, end, word = left[ok], value[ok], place[ok], end[ok], word[ok]
+                ok = among(value, partial[len(values)])
+                left, value, place, word = left[ok], value[ok], place[ok], word[ok]
             values.append(value)
         place = place + ((word * bits[step]) >> np.uint64(63)).astype(np.int64)
     return left, values
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def edited(rng: np.random.Generator, words: np.ndarray, n: int) -> np.ndarray:
     """``words`` after ``n`` random insertions, deletions and replacements."""
     out = words.tolist()
@@ -114,9 +125,11 @@ def draw(rng: np.random.Generator, shortest: int, sampled: int) -> tuple[np.ndar
     return rng.integers(0, 1 << 63, reach, np.uint64) * np.uint64(2) + np.uint64(1), steps
 
 
-def laid_out(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ends = np.cumsum([len(r) for r in rows])
-    return np.concatenate(rows), np.concatenate([[0], ends[:-1]]).astype(np.int64), ends.astype(np.int64)
+def laid_out(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows one after another, each closed by the word 0, and where each begins."""
+    zero = np.zeros(1, np.uint64)
+    sizes = np.array([len(r) + 1 for r in rows])
+    return np.concatenate([x for r in rows for x in (r, zero)]), np.cumsum(sizes) - sizes
 
 
 def repetitions_needed(rng: np.random.Generator, items: list[Item], shortest: int, edits: float, recall: float,
@@ -138,26 +151,40 @@ def repetitions_needed(rng: np.random.Generator, items: list[Item], shortest: in
     return rounds
 
 
-def prepare(items: list[Item], edits: float, recall: float, sampled: int, seed: int = 7) -> list[LengthClass]:
-    """Length classes of a block of items, with their walks."""
+@dataclass
+class Block:
+    """Items by length, the words they hold, those of few items, and their length classes."""
+
+    items: list[Item]
+    words: np.ndarray
+    rare: np.ndarray
+    classes: list[LengthClass]
+
+
+def prepare(items: list[Item], edits: float, recall: float, sampled: int, seed: int = 7) -> Block:
+    """A block of items made ready to be searched for."""
     rng, classes = np.random.default_rng(seed), []
     items = sorted(items, key=lambda x: (len(x[1]), x[0]))
+    vocabulary, times = np.unique(np.concatenate([np.unique(w) for _, w in items]), return_counts=True)
+    rare = vocabulary[times <= max(2, COMMON * len(items))]
     at = 0
     while at < len(items):
         shortest, to = len(items[at][1]), at
         while to < len(items) and len(items[to][1]) <= max(RATIO * shortest, shortest + 1):
             to += 1
         own = items[at:to]
-        words, place, end = laid_out([w for _, w in own])
+        words, place = laid_out([w for _, w in own])
         reps = []
         for _ in range(repetitions_needed(rng, own, shortest, edits, recall, sampled)):
             bits, steps = draw(rng, shortest, sampled)
-            _, values = walk(words, place, end, bits, steps)
+            _, values = walk(words, place, bits, steps)
             order = np.argsort(values[-1], kind="stable")
             reps.append(Repetition(bits, steps, [np.unique(v) for v in values], values[-1][order], order + at))
-        classes.append(LengthClass(shortest, allowed(len(own[-1][1]), edits), reps))
+        longest = len(own[-1][1])
+        least_rare = min(int(among(w, rare).sum()) - allowed(len(w), edits) for _, w in own)
+        classes.append(LengthClass(shortest, longest, allowed(longest, edits), least_rare, reps))
         at = to
-    return classes
+    return Block(items, vocabulary, rare, classes)
 
 
 def nearest(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
@@ -173,24 +200,26 @@ def nearest(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
-def find_hits(words: np.ndarray, first: np.ndarray, items: list[Item], vocabulary: np.ndarray,
-              classes: list[LengthClass], edits: float) -> list[tuple[int, int, int, int]]:
+def find_hits(words: np.ndarray, first: np.ndarray, block: Block, edits: float) -> list[tuple[int, int, int, int]]:
     """(text, item index, distance, end word) of the best part of each text for each item it holds."""
     n = len(words)
-    if not n or not len(vocabulary):
+    if not n:
         return []
-    familiar = vocabulary[np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)] == words
-    count = np.concatenate([[0], np.cumsum(familiar)])
-    end_of = np.repeat(first[1:], np.diff(first))
-    at = np.arange(n)
+    counts = [np.concatenate([[0], np.cumsum(among(words, some))]) for some in (block.words, block.rare)]
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    at, end_of = np.arange(n), first[1:][owner]
+    closed = np.zeros(n + len(first) - 1, np.uint64)  # each text followed by the word 0
+    closed[at + owner] = words
     starts, found = [], []
-    for group in classes:
-        inside = count[np.minimum(at + group.shortest, end_of)] - count[:-1]
-        start = np.flatnonzero(inside >= group.shortest - group.most_edits)
+    for group in block.classes:
+        inside = counts[0][np.minimum(at + group.shortest, end_of)] - counts[0][:-1]
+        rare = counts[1][np.minimum(at + group.longest + group.most_edits, end_of)] - counts[1][:-1]
+        start = np.flatnonzero((inside >= group.shortest - group.most_edits) & (rare >= group.least_rare))
         if not len(start):
             continue
+        place = start + owner[start]
         for rep in group.repetitions:
-            left, values = walk(words, start, end_of[start], rep.bits, rep.steps, rep.partial)
+            left, values = walk(closed, place, rep.bits, rep.steps, rep.partial)
             lo, hi = (np.searchsorted(rep.keys, values[-1], side) for side in ("left", "right"))
             times = hi - lo
             if times.any():
@@ -199,25 +228,27 @@ def find_hits(words: np.ndarray, first: np.ndarray, items: list[Item], vocabular
                 found.append(rep.items[pos])
     if not starts:
         return []
-    owner = np.searchsorted(first, np.concatenate(starts), "right") - 1
-    cand = np.unique(np.stack([owner, np.concatenate(found), np.concatenate(starts)], 1), axis=0)
+    cand = np.concatenate(starts)
+    cand = np.unique(np.stack([owner[cand], np.concatenate(found), cand], 1), axis=0)
     hits = {}
     k = 0
     while k < len(cand):  # candidates of a text and item that lie together are verified together
         text, which, lo = cand[k].tolist()
-        item, hi = items[which][1], lo
+        item, hi = block.items[which][1], lo
         while k < len(cand) and cand[k, 0] == text and cand[k, 1] == which and cand[k, 2] - hi <= len(item):
             hi = int(cand[k, 2])
             k += 1
         e = allowed(len(item), edits)
         left, right = max(int(first[text]), lo - e), min(int(first[text + 1]), hi + len(item) + e)
+        if len(item) - int(np.isin(item, words[left:right]).sum()) > e:
+            continue  # every word of the item that is not there costs an edit
         distance, end = nearest(item, words[left:right])
         if distance <= e and distance < hits.get((text, which), (e + 1,))[0]:
             hits[text, which] = (distance, left + end - int(first[text]))
     return [(*key, *value) for key, value in hits.items()]
 
 
-def read_items(benchmark: DataFrame, item_col: str, text_col: str, least_words: int, edits: float) -> list[Item]:
+def read_items(benchmark: DataFrame, item_col: str, text_col: str, least_words: int) -> list[Item]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             w = words_of(batch.column("text"), lower=True, plain=True)
@@ -230,6 +261,18 @@ def read_items(benchmark: DataFrame, item_col: str, text_col: str, least_words:
     return sorted(((i, w) for i, w in items if i is not None and len(w) >= least_words), key=lambda x: (x[0], x[1].tobytes()))
 
 
+def blocks_of(benchmark: DataFrame, item_col: str, item_text: str, edits: float, recall: float,
+              least_words: int) -> Iterator[Block]:
+    """The benchmark's items in blocks of bounded size, each ready to be sent to all tasks."""
+    size = benchmark.agg(F.sum(F.length(item_text))).first()[0] or 0
+    blocks = max(1, math.ceil(size / 5 / BLOCK_WORDS))
+    for k in range(blocks):
+        part = benchmark.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == k)
+        items = read_items(part, item_col, item_text, least_words)
+        if items:
+            yield prepare(items, edits, recall, SAMPLED)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text", edits: float = EDITS, recall: float = RECALL,
                  least_words: int = LEAST_WORDS) -> DataFrame:
@@ -239,30 +282,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     the text; the part ends before ``end_word``.
     """
     spark = docs.sparkSession
-    size = benchmark.agg(F.sum(F.length(item_text))).first()[0] or 0
-    blocks = max(1, math.ceil(size / 5 / BLOCK_WORDS))
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     schema = f"`{id_col}` bigint, `{item_col}` bigint, item_words bigint, distance bigint, end_word bigint"
     out = spark.createDataFrame([], schema)
-    for k in range(blocks):
-        items = read_items(benchmark.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == k), item_col, item_text,
-                           least_words, edits)
-        if not items:
-            continue
-        items.sort(key=lambda x: (len(x[1]), x[0]))  # the order that prepare() numbers them in
-        sent = spark.sparkContext.broadcast(
-            (items, np.unique(np.concatenate([w for _, w in items])), prepare(items, edits, recall, SAMPLED)))
+    for block in blocks_of(benchmark, item_col, item_text, edits, recall, least_words):
+        sent = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            own, vocabulary, classes = sent.value
+            items = sent.value.items
             for batch in text_slices(batches, "text"):
                 w = words_of(batch.column("text"), lower=True, plain=True)
-                hits = find_hits(w.hashes, w.first, own, vocabulary, classes, edits)
+                hits = find_hits(w.hashes, w.first, sent.value, edits)
                 if hits:
                     text, which, distance, end = (np.array(x) for x in zip(*hits, strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("id").take(pa.array(text)), pa.array([own[i][0] for i in which], pa.int64()),
-                         pa.array([len(own[i][1]) for i in which], pa.int64()), pa.array(distance, pa.int64()),
+                        [batch.column("id").take(pa.array(text)), pa.array([items[i][0] for i in which], pa.int64()),
+                         pa.array([len(items[i][1]) for i in which], pa.int64()), pa.array(distance, pa.int64()),
                          pa.array(end, pa.int64())],
                         [id_col, item_col, "item_words", "distance", "end_word"])
 
@@ -270,3 +305,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # repeated rows of a document or an item are one: the nearest counts
     return out.groupBy(id_col, item_col, "item_words").agg(F.min(F.struct("distance", "end_word")).alias("m")).select(
         id_col, item_col, "item_words", "m.distance", "m.end_word")
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                         item_text: str = "text", edits: float = EDITS, recall: float = RECALL,
+                         least_words: int = LEAST_WORDS) -> DataFrame:
+    """The rows of ``docs`` that hold no item, all their columns unchanged."""
+    spark = docs.sparkSession
+    out = docs
+    for block in blocks_of(benchmark, item_col, item_text, edits, recall, least_words):
+        sent = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in text_slices(batches, text_col):
+                w = words_of(batch.column(text_col), lower=True, plain=True)
+                keep = np.ones(batch.num_rows, bool)
+                keep[[hit[0] for hit in find_hits(w.hashes, w.first, sent.value, edits)]] = False
+                yield batch.filter(pa.array(keep))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out

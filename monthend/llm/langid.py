@@ -125,7 +125,10 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str], text_col: str = "text",
             dimensions: int = DIMENSIONS) -> DataFrame:
-    """The columns ``keep`` of ``docs``, ``lang_pred`` and ``score`` (the cosine, 0 to 1)."""
+    """The columns ``keep`` of ``docs``, ``lang_pred`` and ``score`` (the cosine, 0 to 1).
+
+    Columns of the same names in ``keep`` have to be renamed by the caller.
+    """
     names = sorted(n for n, v in prototypes.items() if np.any(v))
     matrix = np.stack([prototypes[n] / np.linalg.norm(prototypes[n]) for n in names], 1).astype(np.float32) \
         if names else np.zeros((dimensions, 0), np.float32)
@@ -164,3 +167,18 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     prototypes = learn(flagged.where(~F.col("_held_out") & F.col(id_col).isNotNull()), text_col, lang_col)
     said = predict(flagged, prototypes, [id_col, "_held_out"], text_col)
     return said.withColumnRenamed("_held_out", "held_out")
+
+
+def keep_identified(docs: DataFrame, least_score: float = 0.02, id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text has a language, all their columns unchanged.
+
+    Rejected are texts without a letter and those whose profile is hardly
+    nearer to any prototype than to a random one.
+    """
+    flagged = docs.withColumn("_held_out", held_out(id_col))
+    prototypes = learn(flagged.where(~F.col("_held_out") & F.col(id_col).isNotNull()), text_col, lang_col)
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    said = predict(docs.withColumnsRenamed(names), prototypes, list(names.values()), names[text_col])
+    kept = said.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return kept.select(*(F.col(n).alias(c) for c, n in names.items()))

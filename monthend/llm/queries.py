@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthend.llm import chat, embedding, langid, linededup, minhash, packing, pii, substring, tokencount
+from monthend.llm import chat, decontam, embedding, langid, linededup, minhash, packing, pii, substring, tokencount
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -43,6 +43,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BPE_RANKS)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES = {f.__name__: f for f in (
     op4_substring_dedup,
     op5_embedding_dedup,
     op6_best_fit_packing,
+    op7_decontamination,
     op8_personal_data,
     op9_language_id,
     op10_line_dedup,
