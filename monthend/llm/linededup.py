@@ -9,7 +9,8 @@ the positions it loses.
 Defined cases: a null or empty text is one empty line; lines whose key is
 empty are never dropped; rows repeated under one id count as one document and
 each row is cleaned; rows with a null id count together as one document; an
-empty table gives an empty result; other columns pass through untouched.
+empty table gives an empty result; other columns pass through untouched,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -29,43 +30,42 @@ def line_key(line: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """``docs`` plus ``_n_lines``, ``_n_dropped`` and ``_kept`` (the text left over).
+    """``row`` (all columns of ``docs``), ``n_lines``, ``n_dropped`` and ``kept`` (the text left over).
 
     A key of at least ``min_chars`` code points that occurs in at least
     ``min_docs`` distinct documents loses all its lines everywhere.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    own = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_fp"),
-                      F.posexplode(F.split(text, "\n", -1)).alias("_pos", "_line"))
-    keys = (own.select("_id", "_fp", "_pos", line_key(F.col("_line")).alias("_key"))
-            .where(F.length("_key") >= min_chars)
-            .select("_id", "_fp", "_pos", F.xxhash64("_key").alias("_h1"),
-                    F.xxhash64(F.lit("second"), F.col("_key")).alias("_h2")))
-    per_doc = keys.groupBy("_h1", "_h2", "_id").agg(F.lit(1).alias("_one"))
-    common = (per_doc.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") >= min_docs)
+    source = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    source = source.withColumn("fp", F.xxhash64("text"))
+    lines = source.select("id", "fp", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    keys = (lines.select("id", "fp", "pos", line_key(F.col("line")).alias("key"))
+            .where(F.length("key") >= min_chars)
+            .select("id", "fp", "pos", F.xxhash64("key").alias("h1"),
+                    F.xxhash64(F.lit("second"), F.col("key")).alias("h2")))
+    per_doc = keys.groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
+    common = (per_doc.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") >= min_docs)
               # a common line may hold a third of all rows: its key is spread over salts
-              .select("_h1", "_h2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
-    salted = keys.withColumn("_salt", F.pmod(F.xxhash64("_id", "_pos"), F.lit(SALTS)).cast("int"))
-    dropped = (salted.join(common, ["_h1", "_h2", "_salt"], "left_semi")
-               .groupBy("_id", "_fp").agg(F.collect_set("_pos").alias("_drop")))
-    whole = docs.withColumn("_fp", F.xxhash64(text)).alias("d").join(
-        dropped.alias("x"),
-        F.col(f"d.{id_col}").eqNullSafe(F.col("x._id")) & (F.col("d._fp") == F.col("x._fp")), "left")
-    split = whole.select("d.*", "x._drop", F.split(text, "\n", -1).alias("_lines")).drop("_fp")
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
-    kept = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
+              .select("h1", "h2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    salted = keys.withColumn("salt", F.pmod(F.xxhash64("id", "pos"), F.lit(SALTS)).cast("int"))
+    dropped = (salted.join(common, ["h1", "h2", "salt"], "left_semi")
+               .groupBy("id", "fp").agg(F.collect_set("pos").alias("drop"))
+               .withColumnsRenamed({"id": "of", "fp": "print"}))
+    whole = source.join(dropped, F.col("id").eqNullSafe(F.col("of")) & (F.col("fp") == F.col("print")), "left")
+    split = whole.select("row", "text", "drop", F.split("text", "\n", -1).alias("lines"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drop"))
+    kept = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
     return split.select(
-        *docs.columns, F.size("_lines").cast("long").alias("_n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_n_dropped"),
-        F.when(F.col("_drop").isNull(), text).otherwise(kept).alias("_kept"))
+        "row", F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept).alias("kept"))
 
 
 def line_report(docs: DataFrame, **params) -> DataFrame:
     """Per document: ``doc_id, n_lines, n_dropped, kept_sha256``."""
     return dedup_lines(docs, **params).select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-        F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
+        "row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 SQL = r"""
