@@ -135,6 +135,7 @@ def cosine_links(rows, least):
     def unit(v):
         if not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
             return None
+        v = [x / max(map(abs, v)) for x in v]
         n = math.sqrt(sum(x * x for x in v))
         return [x / n for x in v]
 
