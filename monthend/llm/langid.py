@@ -114,7 +114,8 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         for frame in frames:
             for lang, profile in zip(frame["lang"], frame["profile"], strict=True):
                 sums[lang] = sums.get(lang, 0) + profile
-        yield pd.DataFrame({"lang": list(sums), "profile": list(sums.values())})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "profile": list(sums.values())})
 
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -179,6 +180,7 @@ def keep_identified(docs: DataFrame, least_score: float = 0.02, id_col: str = "d
     flagged = docs.withColumn("_held_out", held_out(id_col))
     prototypes = learn(flagged.where(~F.col("_held_out") & F.col(id_col).isNotNull()), text_col, lang_col)
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    said = predict(docs.withColumnsRenamed(names), prototypes, list(names.values()), names[text_col])
+    renamed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    said = predict(renamed, prototypes, list(names.values()), names[text_col])
     kept = said.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
     return kept.select(*(F.col(n).alias(c) for c, n in names.items()))
