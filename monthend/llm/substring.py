@@ -129,6 +129,8 @@ def repeated_anchor_filter(docs: DataFrame, window: int, buckets: int) -> np.nda
         for _, rows in groups(batches, "bucket"):
             values, times = np.unique(u64(rows, "once"), return_counts=True)
             found = np.union1d(values[times > 1], u64(rows, "more"))
+            if not len(found):
+                continue
             part, x, y = probes(found)
             parts, first = np.unique(part, return_index=True)
             blobs = []
