@@ -18,14 +18,14 @@ with these rules (traps T1-T5, T9):
   values) of the metric over the previous fiscal year, 2 decimals, 0 if none.
 * Nulls become 0 on output; rows with a null date or metric are dropped.
 
-Two physical plans compute it:
+Two physical plans compute it; the grain of the data decides between them:
 
-``join`` (reference parity, any input): a left self-join on
-(Metric, month, year - 1) and an aggregate over the joined rows. When a
-metric has two rows in one month, the join multiplies rows and the
-fiscal-year aggregate counts them again, exactly as the reference does (T4).
+``join`` (parity, any input): a left self-join on (Metric, month, year - 1)
+and an aggregate over the joined rows. When a metric has two rows in one
+month, the join multiplies rows and the fiscal-year aggregate counts them
+again (T4).
 
-``window`` (unique grain only): one hash exchange on ``Metric`` and one
+``window`` (unique grain only; a second row in a month is an error): one hash exchange on ``Metric`` and one
 sort. The running sum is a ROWS frame per (Metric, fiscal year); a RANGE
 frame over the previous fiscal year gives both its aggregate and, among its
 at most 12 rows, the row of the same month (the prior-year value). On unique
@@ -49,7 +49,7 @@ from monthend.functions.calendar import (FISCAL_START_MONTH, add_months_py,
                                          next_month)
 from monthend.functions.numeric import SUM_TYPE, as_double, exact_sum, round2
 from monthend.operators.running import prefix_sums
-from monthend.session import checkpoint_dir
+from monthend.session import materialize
 
 # Fixed value: metrics whose name contains this text (case-sensitive) are
 # averaged; all others are summed.
@@ -64,12 +64,13 @@ def report_input(df: DataFrame, date: str = "Date", metric: str = "Metric",
                  value: str = "Value") -> DataFrame:
     """Normalise to (Date date, Metric string, Value double).
 
-    Drops rows with a null metric (C3) or a null date (T9: the reference
-    would silently drop them from the running sums anyway).
+    Drops rows with a null metric (C3) or a null date (T9: they belong to no
+    running sum). A NaN value is a missing one.
     """
+    number = F.col(value).cast("double")
     return (df.select(F.col(date).cast("date").alias("Date"),
                       F.col(metric).cast("string").alias("Metric"),
-                      F.col(value).cast("double").alias("Value"))
+                      F.when(~F.isnan(number), number).alias("Value"))
             .where(F.col("Date").isNotNull() & F.col("Metric").isNotNull()))
 
 
@@ -118,94 +119,50 @@ def ytd_table(df: DataFrame, start_month: int = FISCAL_START_MONTH,
 
 
 def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
-                 marker: str = MEAN_MARKER, max_month_rows: int | None = None) -> DataFrame:
-    """Reference-parity plan for any grain (D4 self-join, E6 after the join, D5).
+                 marker: str = MEAN_MARKER) -> DataFrame:
+    """Parity plan for any grain (D4 self-join, E6 after the join, D5).
 
     Identical rows (same Date, Metric, Value) are interchangeable, so the
     work runs on *groups of copies* ``(Date, Metric, Value, copies)``:
 
     * running sums per (Metric, fiscal year) over the groups give, for copy
       ``j`` of a group, ``ytd_j = before + j * Value`` and ``rows_j =
-      rows_before + j`` -- a group of a million copies is one row here; when
-      a metric-year could hold more than WINDOW_GROUP_ROWS groups the sums
+      rows_before + j`` -- a group of a million copies is one row here. They
       are range-partitioned prefix sums (``running.prefix_sums``), so not
       even many distinct values of one metric-year meet in one task;
-    * each group is paired with the groups of the same month a year
-      earlier -- by a window frame over years within (Metric, month) while
-      a metric-month holds at most PAIR_WINDOW_ROWS rows, else by a
-      self-join; the pair stands for ``copies x partner copies`` output rows;
-    * the previous-FY aggregate weights each pair by that count, which is
-      exactly the reference's aggregate over the joined rows (T4);
+    * a row counts once per row of the same metric-month a year earlier in
+      the previous-FY aggregate (T4). That weight is the month's row count,
+      so the aggregate needs totals per metric-month only, no pairs;
+    * each group is paired with the groups of the same month a year earlier;
+      the pair stands for ``copies x partner copies`` output rows;
     * finally each pair is expanded into its output rows. Pairs standing for
       more than EXPAND_CHUNK rows are cut into chunks that are spread over
       all tasks before expanding, so no task emits a hot group alone.
-
-    A pair expands to at most ``max_month_rows ** 2`` rows (copies and
-    partners both lie in one (Metric, month)); when that bound, measured by
-    one aggregate job unless given, fits in one chunk, the chunked branch is
-    left out of the plan.
     """
-    if max_month_rows is None:
-        max_month_rows = max_rows_per_month(df)
     rows = report_input(df)
     g = _with_keys(rows.groupBy("Date", "Metric", "Value").agg(F.count(F.lit(1)).alias("_c")),
                    start_month, marker)
-    # sums over the earlier groups of the same metric-year. A metric-year
-    # holds at most 12 * max_month_rows groups; while that is small a plain
-    # window is cheapest, beyond it range-partitioned prefix sums keep a hot
-    # metric-year from landing in one task.
     order = [F.col("Date"), F.col("Value").asc_nulls_last()]
     sums = {"_p": F.col("Value").cast(SUM_TYPE) * F.col("_c"), "_np": F.col("_c")}
-    if max_month_rows <= PAIR_WINDOW_ROWS:
-        g = g.repartition("Metric")       # every window below is per Metric
-    if 12 * max_month_rows > WINDOW_GROUP_ROWS:
-        g = prefix_sums(g, ["Metric", "fiscal_year"], order, sums)
-    else:
-        before = (Window.partitionBy("Metric", "fiscal_year").orderBy(*order)
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        g = g.withColumns({k: F.coalesce(F.sum(v).over(before), F.lit(0).cast(t))
-                           for (k, v), t in zip(sums.items(), (SUM_TYPE, "long"))})
-    weighted = F.col("Value").cast(SUM_TYPE) * F.col("_w")
-    counted = F.when(F.col("Value").isNotNull(), F.col("_w"))
-    if max_month_rows <= PAIR_WINDOW_ROWS:
-        # few rows per metric-month: gather each group's prior-year partners
-        # (at most max_month_rows) and the previous FY with window frames
-        # over one hash exchange on Metric -- no self-join
-        same_month = Window.partitionBy("Metric", "_mo").orderBy("_yr").rangeBetween(-1, -1)
-        partners = F.collect_list(F.struct(
-            F.col("Value").alias("_hv"), F.col("_c").alias("_hc"),
-            F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))).over(same_month)
-        pairs = (g.withColumn("_partners", partners)
-                 .select("*", F.explode_outer("_partners").alias("_h")).drop("_partners")
-                 .select("*", "_h._hv", "_h._hc", "_h._hp", "_h._hnp").drop("_h")
-                 .withColumn("_hc1", F.coalesce(F.col("_hc"), F.lit(1)).cast("long"))
-                 .withColumn("_w", F.col("_c") * F.col("_hc1")))
-        prior_fy = Window.partitionBy("Metric").orderBy("fiscal_year").rangeBetween(-1, -1)
-        joined = pairs.withColumn("Previous_FY_Value", _fy_value(F.sum(weighted).over(prior_fy),
-                                                                 F.sum(counted).over(prior_fy)))
-    else:
-        # g feeds both join sides, the FY aggregate and the output; column
-        # pruning makes those subtrees differ, so Spark would rescan and
-        # re-aggregate the input for each. Materialise it once in the shared
-        # checkpoint folder (this also cuts the lineage).
-        checkpoint_dir(g.sparkSession)
-        g = g.checkpoint(eager=True)
-        prior = g.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo",
-                         F.col("Value").alias("_hv"), F.col("_c").alias("_hc"),
-                         F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))
-        pairs = (g.join(prior, ["Metric", "_yr", "_mo"], "left")
-                 .withColumn("_hc1", F.coalesce(F.col("_hc"), F.lit(1)).cast("long"))
-                 .withColumn("_w", F.col("_c") * F.col("_hc1")))
-        fy = (pairs.groupBy("Metric", "fiscal_year")
-              .agg(F.sum(weighted).alias("_total"), F.sum(counted).alias("_n"))
-              .withColumn("_mean", F.col("Metric").contains(marker))
-              .select("Metric", (F.col("fiscal_year") + 1).alias("fiscal_year"),
-                      _fy_value(F.col("_total"), F.col("_n")).alias("Previous_FY_Value")))
-        joined = pairs.join(fy, ["Metric", "fiscal_year"], "left")
-    if max_month_rows <= 1:
-        out = joined.withColumn("_t", F.lit(0).cast("long"))   # every pair is one row
-    else:
-        out = _expand(joined, hot=max_month_rows ** 2 > EXPAND_CHUNK)
+    # g feeds both sides of the join, the totals and the output; stored once
+    g = materialize(prefix_sums(g, ["Metric", "fiscal_year"], order, sums))
+    months = (g.groupBy("Metric", "fiscal_year", "_yr", "_mo", "_mean")
+              .agg(F.sum("_c").alias("_rows"), F.sum(sums["_p"]).alias("_sum"),
+                   F.sum(F.when(F.col("Value").isNotNull(), F.col("_c"))).alias("_n")))
+    same_month = Window.partitionBy("Metric", "_mo").orderBy("_yr").rangeBetween(-1, -1)
+    weight = F.coalesce(F.sum("_rows").over(same_month), F.lit(1))
+    fy = (months.withColumn("_w", weight).groupBy("Metric", "fiscal_year", "_mean")
+          .agg(F.sum(F.col("_sum") * F.col("_w")).alias("_total"), F.sum(F.col("_n") * F.col("_w")).alias("_n"))
+          .select("Metric", (F.col("fiscal_year") + 1).alias("fiscal_year"),
+                  _fy_value(F.col("_total"), F.col("_n")).alias("Previous_FY_Value")))
+    prior = g.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo",
+                     F.col("Value").alias("_hv"), F.col("_c").alias("_hc"),
+                     F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))
+    pairs = (g.join(fy, ["Metric", "fiscal_year"], "left")
+             .join(prior, ["Metric", "_yr", "_mo"], "left")
+             .withColumn("_hc1", F.coalesce(F.col("_hc"), F.lit(1)).cast("long"))
+             .withColumn("_w", F.col("_c") * F.col("_hc1")))
+    out = _expand(pairs)
     j = F.floor(F.col("_t") / F.col("_hc1")) + 1
     k = F.col("_t") % F.col("_hc1") + 1
     return _finish(out.select(
@@ -217,12 +174,6 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
 
 # Output rows one pair may emit inside its own task; larger pairs are split.
 EXPAND_CHUNK = 100_000
-# Rows a metric-year window may hold in one task before the running sums
-# switch to range-partitioned prefix sums.
-WINDOW_GROUP_ROWS = 1_000_000
-# Most rows per metric-month for which prior-year partners are gathered with
-# a window frame; above it the groups are paired by a self-join.
-PAIR_WINDOW_ROWS = 64
 
 
 def _running(v: Column, before: Column, rows_before: Column, j: Column) -> Column:
@@ -233,12 +184,10 @@ def _running(v: Column, before: Column, rows_before: Column, j: Column) -> Colum
             .otherwise(s))
 
 
-def _expand(pairs: DataFrame, hot: bool = True) -> DataFrame:
+def _expand(pairs: DataFrame) -> DataFrame:
     """One row per output row: ``_t`` in [0, _w)."""
-    small = pairs.where(F.col("_w") <= EXPAND_CHUNK) if hot else pairs
-    small = small.withColumn("_t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_w") - 1)))
-    if not hot:
-        return small
+    small = (pairs.where(F.col("_w") <= EXPAND_CHUNK)
+             .withColumn("_t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_w") - 1))))
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunk = F.col("_chunk") * EXPAND_CHUNK
     big = (pairs.where(F.col("_w") > EXPAND_CHUNK)
@@ -257,15 +206,20 @@ def compare_window(df: DataFrame, start_month: int = FISCAL_START_MONTH,
     The previous fiscal year is one RANGE frame over ``fiscal_year``; it
     yields both the FY aggregate and, among its (at most 12) rows, the row of
     the same month -- the prior-year value. Its ordering is a prefix of the
-    running-sum ordering, so Spark sorts once.
+    running-sum ordering, so Spark sorts once. The same sort shows a second
+    row of a month, which ends the job with an error instead of a wrong row.
     """
     base = _with_keys(report_input(df), start_month, marker).repartition("Metric")
-    base = _ytd(base)
+    by_date = Window.partitionBy("Metric", "fiscal_year").orderBy("Date", F.col("Value").asc_nulls_last())
+    again = F.lag("_mi").over(by_date) == F.col("_mi")
+    base = _ytd(base.withColumn("_again", again))
     prior_fy = Window.partitionBy("Metric").orderBy("fiscal_year").rangeBetween(-1, -1)
     months = F.collect_list(F.struct(F.col("_mo").alias("mo"), F.col("Value").alias("v"),
                                      F.col("ytd").alias("y"))).over(prior_fy)
+    checked = F.when(F.col("_again"), F.raise_error(F.concat(
+        F.lit("two rows in one month, use path='join': "), F.col("Metric")))).otherwise(F.col("Value"))
     out = base.select(
-        "Date", "Metric", "Value", "ytd", "_mo", "_mean",
+        "Date", "Metric", checked.cast("double").alias("Value"), "ytd", "_mo", "_mean",
         months.alias("_prev"),
         exact_sum("Value").over(prior_fy).alias("_total"),
         F.count("Value").over(prior_fy).alias("_n"))
@@ -288,29 +242,21 @@ def _month_rows(df: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
-def max_rows_per_month(df: DataFrame) -> int:
-    """One aggregate job: the most rows any metric has in one month (0 if empty)."""
-    r = _month_rows(df).agg(F.max("rows")).first()[0]
-    return int(r or 0)
-
-
 def has_unique_grain(df: DataFrame) -> bool:
-    """True when no metric has two rows in a month."""
-    return max_rows_per_month(df) <= 1
+    """True when no metric has two rows in a month (one aggregate job)."""
+    return duplicate_months(df).isEmpty()
 
 
 def compare_table(df: DataFrame, path: str = "auto",
                   start_month: int = FISCAL_START_MONTH,
                   marker: str = MEAN_MARKER) -> DataFrame:
     """Q1: the seven-column comparison table over the whole history."""
-    bound = None
     if path == "auto":
-        bound = max_rows_per_month(df)
-        path = "window" if bound <= 1 else "join"
+        path = "window" if has_unique_grain(df) else "join"
     if path == "window":
         return compare_window(df, start_month, marker)
     if path == "join":
-        return compare_join(df, start_month, marker, bound)
+        return compare_join(df, start_month, marker)
     raise ValueError(f"unknown path {path!r}")
 
 

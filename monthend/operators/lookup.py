@@ -12,20 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthend.operators.running import stored_ranges
+
 
 def number_rows(df: DataFrame, order_by: list[str], col: str = "row_id",
                 start: int = 1, partitions: int | None = None) -> DataFrame:
     """Global 1-based row number in ``order_by`` order, without one-task windows.
 
     A global ``row_number()`` moves every row into one task. Here rows are
-    range-partitioned on the order key, numbered inside each range, and
-    offset by the row counts of the earlier ranges. The offset table has one
+    range-partitioned on the order key (stored once, so that all that follows
+    sees the same ranges), numbered inside each range, and offset by the row
+    counts of the earlier ranges. The offset table has one
     row per range, so broadcasting it is bounded by the partition count.
     Ties in ``order_by`` are numbered in an arbitrary but fixed order.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_by).withColumn("_range", F.spark_partition_id())
+    ranged = stored_ranges(df, n, *order_by)
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_range").orderBy(*order_by)))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))

@@ -3,7 +3,9 @@
 ``Window.partitionBy(g).orderBy(o)`` sends every row of a group to one
 task. Here rows are range-partitioned on ``(g, o)`` instead -- Spark samples
 the keys, so a group holding a third of the table is spread over many
-ranges. Each range computes its own running totals, and the total a group
+ranges. Sampling again could draw other bounds, so every row's range number
+is computed once and stored with it in the checkpoint folder; all that
+follows reads the stored number. Each range computes its own running totals, and the total a group
 carried in from earlier ranges is added back. Only the first group of a
 range can have started in an earlier range, so the carry table has at most
 one row per range and is broadcast with a bound of the partition count.
@@ -19,6 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthend.session import materialize
+
+
+def stored_ranges(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
+    """``df`` in ``n`` ranges of ``order``, with the number of each row's range as ``_range``.
+
+    The result is stored: evaluating it twice gives the same ranges.
+    """
+    return materialize(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()))
+
 
 def prefix_sums(df: DataFrame, group: list[str], order: list[Column | str],
                 values: dict[str, Column], partitions: int | None = None) -> DataFrame:
@@ -30,15 +42,15 @@ def prefix_sums(df: DataFrame, group: list[str], order: list[Column | str],
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumns({f"_v_{k}": v for k, v in values.items()})
-    ranged = keyed.repartitionByRange(n, *group, *order).withColumn("_range", F.spark_partition_id())
+    ranged = stored_ranges(keyed, n, *group, *order)
     before = (Window.partitionBy("_range", *group).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
     local = ranged.withColumns({f"_l_{k}": F.sum(f"_v_{k}").over(before) for k in values})
     totals = ranged.groupBy("_range", *group).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (totals.select("_range", *group,
+    carry = (totals.select("_range", *group, F.count(F.lit(1)).over(earlier).alias("_ranges"),
                            *[F.sum(f"_t_{k}").over(earlier).alias(f"_c_{k}") for k in values])
-             .where(F.col(f"_c_{next(iter(values))}").isNotNull()))
+             .where(F.col("_ranges") > 0).drop("_ranges"))
     out = local.join(F.broadcast(carry), ["_range", *group], "left")
     zero = {k: F.lit(0).cast(keyed.schema[f"_v_{k}"].dataType) for k in values}
     return out.select(

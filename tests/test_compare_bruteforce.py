@@ -5,7 +5,9 @@ import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from monthend.operators import compare as C
 
@@ -104,25 +106,10 @@ def test_window_path_unique_grain(spark, seed):
     assert got(C.compare_table(df)) == brute(rows)
 
 
-@pytest.mark.parametrize("seed", [7])
-def test_join_path_with_self_join_pairing(spark, monkeypatch, seed):
-    monkeypatch.setattr(C, "PAIR_WINDOW_ROWS", 0)
-    rows = random_rows(seed, unique=False)
-    assert got(C.compare_join(to_df(spark, rows))) == brute(rows)
-
-
-@pytest.mark.parametrize("seed", [6])
-def test_join_path_with_range_partitioned_sums(spark, monkeypatch, seed):
-    monkeypatch.setattr(C, "WINDOW_GROUP_ROWS", 1)
-    rows = random_rows(seed, unique=False)
-    assert got(C.compare_join(to_df(spark, rows))) == brute(rows)
-
-
 def test_hot_copies_are_expanded_in_chunks(spark, monkeypatch):
     # 40 copies of one row and 30 of its prior-year partner: 1,200 output
     # rows from one pair; with a chunk of 7 rows they are spread over tasks
     monkeypatch.setattr(C, "EXPAND_CHUNK", 7)
-    monkeypatch.setattr(C, "PAIR_WINDOW_ROWS", 0)
     rows = ([(dt.date(2024, 8, 31), "H", 2.0)] * 30 + [(dt.date(2025, 8, 31), "H", 3.0)] * 40
             + [(dt.date(2025, 9, 30), "H", None), (dt.date(2026, 1, 31), "H", 1.5)])
     want = brute(rows)
@@ -137,11 +124,40 @@ def test_month_slice_equals_full_table(spark):
     assert got(C.analytics_slice(df, dt.date(2024, 3, 1))) == full
 
 
-def test_hot_copies_with_window_pairing(spark, monkeypatch):
-    monkeypatch.setattr(C, "EXPAND_CHUNK", 7)
-    rows = ([(dt.date(2024, 8, 31), "H", 2.0)] * 30 + [(dt.date(2025, 8, 31), "H", 3.0)] * 40
-            + [(dt.date(2025, 8, 2), "H", 1.0)] * 3 + [(dt.date(2026, 8, 31), "H Session", 1.5)])
-    assert got(C.compare_join(to_df(spark, rows))) == brute(rows)
+def test_window_path_refuses_two_rows_in_a_month(spark):
+    rows = [(dt.date(2024, 8, 30), "H", 2.0), (dt.date(2024, 8, 31), "H", 3.0)]
+    with pytest.raises(Exception, match="two rows in one month"):
+        C.compare_table(to_df(spark, rows), path="window").collect()
+
+
+def test_nan_is_a_missing_value(spark):
+    rows = [(dt.date(2024, 8, 31), "H Session", float("nan")), (dt.date(2024, 9, 30), "H Session", 3.0),
+            (dt.date(2025, 9, 30), "H Session", 4.0)]
+    nulls = [(d, m, None if v != v else v) for d, m, v in rows]
+    for path in ("join", "window"):
+        assert got(C.compare_table(to_df(spark, rows), path=path)) == brute(nulls)
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_hot_metric_year_at_scale(spark, tmp_path, reuse):
+    """1.2 million distinct values in one metric-year, every column against a plain window in DuckDB."""
+    n = 100_000
+    rows = spark.range(12 * n).select(
+        F.last_day(F.make_date(F.lit(2024) + F.when(F.col("id") % 12 < 7, 1).otherwise(0), F.col("id") % 12 + 1, F.lit(1))).alias("Date"),
+        F.lit("Hot").alias("Metric"), (F.floor(F.col("id") / 12) * 7 % n / 4).alias("Value"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        rows.write.parquet(f"{tmp_path}/in")
+        C.compare_join(spark.read.parquet(f"{tmp_path}/in")).write.parquet(f"{tmp_path}/out")
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    bad = duckdb.sql(f"""
+        WITH w AS (SELECT Date, Value, round(sum(CAST(Value AS DECIMAL(18, 2))) OVER (ORDER BY Date, Value), 2) AS ytd
+                   FROM '{tmp_path}/in/*.parquet')
+        SELECT count(*) FROM w FULL JOIN '{tmp_path}/out/*.parquet' o ON w.Date = o.Date AND w.Value = o.Value
+        WHERE o.ytd IS NULL OR w.ytd IS NULL OR abs(w.ytd - o.ytd) > 0.001""").fetchall()
+    assert bad == [(0,)]
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 12 * n
 
 
 @pytest.mark.parametrize("month", [dt.date(2023, 8, 1), dt.date(2024, 3, 1), dt.date(2024, 12, 1)])

@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from monthend.operators.lookup import number_rows
 from monthend.operators.running import prefix_sums
 
 
@@ -19,3 +20,17 @@ def test_prefix_sums_match_window_with_a_hot_group(spark):
     ranges = (df.repartitionByRange(16, "g", "o").withColumn("r", F.spark_partition_id())
               .where("g = 'hot'").select("r").distinct().count())
     assert ranges > 4
+
+
+def test_ranges_stay_the_same_whatever_columns_are_read(spark):
+    """Extra columns, many rows, exchange reuse off: numbers are 1..n and sums exact."""
+    n = 300_000
+    df = spark.range(n).select(F.hash("id").alias("k"), "id", F.lit("x" * 40).alias("extra"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        ids = number_rows(df, ["k", "id"], partitions=12)
+        assert ids.select(F.count_distinct("row_id"), F.min("row_id"), F.max("row_id")).first() == (n, 1, n)
+        got = prefix_sums(df.withColumn("g", F.lit(1)), ["g"], [F.col("id")], {"s": F.lit(1).cast("long")}, partitions=12)
+        assert got.where(F.col("s") != F.col("id")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
