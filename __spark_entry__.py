@@ -91,6 +91,10 @@ def _month_calendar(spark, sf):
     return calendar_over(first, "first", ORDERS_AS_OF)
 
 
+def _compare_duplicates(spark, sf):
+    return C.compare_table(TD.daily_customers_long(spark, sf))
+
+
 def _traffic_inputs(spark, sf):
     return (TD.traffic_events(spark, sf), TD.traffic_sources(spark, sf),
             TD.page_properties(spark, sf))
@@ -189,6 +193,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         .select("Date", "Metric", "Previous_FY_Value"),
         "compare_full": lambda s, sf: C.compare_table(TD.customers_long(s, sf)),
         "compare_segments": lambda s, sf: C.compare_table(TD.segments_long(s, sf), path="window"),
+        "compare_duplicates": _compare_duplicates,
+        "yoy_duplicates": lambda s, sf: C.compare_join(TD.daily_customers_long(s, sf))
+        .select("Date", "Metric", "year_over_year", "ytd_over_year"),
+        "prev_fy_duplicates": lambda s, sf: C.compare_join(TD.daily_customers_long(s, sf))
+        .select("Date", "Metric", "Previous_FY_Value"),
         "analytics_slice": _analytics_slice,
         "current_slice": _current_slice,
         "fact_glossary_join": _seg_report_input,
@@ -267,6 +276,16 @@ cust_long AS (
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2)"""
 
 
+# several rows per metric-month, null values, null names, copies of rows
+_DAILY = """
+day_long AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS Date,
+         CASE WHEN o.o_orderkey % 101 <> 0 THEN c.c_name
+              || CASE WHEN o.o_custkey % 3 = 0 THEN ' Lines Per Session' ELSE ' Orders' END END AS Metric,
+         CASE WHEN o.o_orderkey % 7 <> 0 THEN CAST(o.o_orderkey % 5 AS DOUBLE) / 4 END AS Value
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
+
 def _compare(src: str) -> str:
     """CTEs cmp_base .. cmp_out over ``src`` (Date, Metric, Value): reference semantics."""
     s = _dbl("s")
@@ -318,14 +337,14 @@ props AS (SELECT DISTINCT property FROM page_hosts WHERE property IS NOT NULL)""
 
 
 def _sessions(src: str, key: str, period: str, name: str) -> str:
-    """Per-(key, period) users/views/sessions over events ``src`` (lag form)."""
+    """Per-(key, period) users/views/sessions over events ``src`` (lag form), each period alone."""
     trunc = "CAST(ts AS DATE)" if period == "day" else "CAST(date_trunc('month', ts) AS DATE)"
     return f"""
 {name}_s AS (
   SELECT {key}, user_id, ts, is_view,
          CASE WHEN lag(ts) OVER w IS NULL
                 OR epoch_us(ts) - epoch_us(lag(ts) OVER w) >= 1800000000 THEN 1 ELSE 0 END AS is_start
-  FROM {src} WINDOW w AS (PARTITION BY {key}, user_id ORDER BY ts)),
+  FROM {src} WINDOW w AS (PARTITION BY {key}, user_id, {trunc} ORDER BY ts)),
 {name} AS (
   SELECT {key}, {trunc} AS period_start,
          CAST(count(DISTINCT user_id) AS BIGINT) AS users,
@@ -445,6 +464,11 @@ FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)),
                    "SELECT Date, Metric, Previous_FY_Value FROM cmp_out",
         "compare_full": f"WITH {_CUST},{_compare('cust_long')}\nSELECT * FROM cmp_out",
         "compare_segments": f"WITH {_SEG},{_compare('seg_long')}\nSELECT * FROM cmp_out",
+        "compare_duplicates": f"WITH {_DAILY},{_compare('day_long')}\nSELECT * FROM cmp_out",
+        "yoy_duplicates": f"""WITH {_DAILY},{_compare('day_long')}
+SELECT Date, Metric, year_over_year, ytd_over_year FROM cmp_out""",
+        "prev_fy_duplicates": f"""WITH {_DAILY},{_compare('day_long')}
+SELECT Date, Metric, Previous_FY_Value FROM cmp_out""",
         "analytics_slice": f"WITH {_SEG},{_compare('seg_input')}\n"
                            f"SELECT * FROM cmp_out WHERE Date >= DATE '{a_lo}' AND Date < DATE '{a_hi}'",
         "current_slice": f"WITH {_SEG},{_compare('seg_input')}\n"

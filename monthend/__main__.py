@@ -100,27 +100,26 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         rows = Q.traffic_metric_rows(events, sources, props, months, a.as_of,
                                      ads_source=a.ads_source, daily_sources=a.job == "backfill",
                                      cutover=cutover)
-        missing = [r.Metric for r in missing_names(rows, glossary).limit(50).collect()]
-        if missing:
-            print(f"metrics not in the glossary (skipped): {missing}")
+        missing = scratch_path(spark, "missing-metrics")
+        missing_names(rows, glossary).write.parquet(missing)
+        names = spark.read.parquet(missing)
+        if not names.isEmpty():
+            print(f"{names.count()} metrics not in the glossary (skipped), all in {missing}, "
+                  f"e.g. {[r.Metric for r in names.orderBy('Metric').limit(5).collect()]}")
         store.replace_months(names_to_ids(rows, glossary).select("fecha", "metrica", "valor"))
     elif a.job == "media-load":
-        from monthend.plans.media_load import mention_updates
+        from monthend.plans.media_load import mention_updates, refuse
         from monthend.sources.files import read_mention_files
         rows, invalid = read_mention_files(spark, a.files, multiline=not a.split_files)
-        bad = [r.file for r in invalid.limit(20).collect()]
-        if bad:
-            raise SystemExit(f"files lack the 'Calificación'/'Fecha' columns: {bad}")
+        refuse(invalid, "files lack the 'Calificación'/'Fecha' columns", SystemExit)
         store.upsert(mention_updates(rows, glossary), order_col="_order")
     elif a.job == "media-history":
         from monthend.operators.mutate import insert_ignore
         from monthend.operators.reshape import history_bad_cells, history_to_long
-        from monthend.plans.media_load import media_glossary_rows
+        from monthend.plans.media_load import media_glossary_rows, refuse
         from monthend.sources.files import read_history_file
         wide = read_history_file(spark, a.file)
-        bad = history_bad_cells(wide).limit(20).collect()
-        if bad:
-            raise SystemExit(f"non-numeric history cells: {[tuple(r) for r in bad]}")
+        refuse(history_bad_cells(wide), "non-numeric history cells", SystemExit)
         _replace_glossary(spark, a.glossary, insert_ignore(glossary, media_glossary_rows(spark)))
         store.upsert(history_to_long(wide))
     elif a.job == "media-watch":

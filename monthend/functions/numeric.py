@@ -45,10 +45,23 @@ def safe_ratio(num, den) -> Column:
     return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
 
 
+# Cells that a table reader takes for missing.
+MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                 "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def missing_text(c) -> Column:
+    """Whether a cell is null or one of the texts that stand for a missing value."""
+    return _col(c).isNull() | F.trim(_col(c)).isin(*MISSING_TEXTS)
+
+
 def text_to_int(c) -> Column:
     """Text -> double -> integer, truncating toward zero.
 
-    Text that is not a number (e.g. ``1,234``) becomes null instead of
-    failing the job; callers report such cells.
+    Missing values and text that is no finite number within range (``1,234``,
+    ``Infinity``) become null instead of failing the job; callers report the
+    latter.
     """
-    return _col(c).try_cast("double").cast("long")
+    number = F.when(~missing_text(c), _col(c).try_cast("double"))
+    whole = F.when(number >= 0, F.floor(number.try_cast("decimal(38,6)"))).otherwise(F.ceil(number.try_cast("decimal(38,6)")))
+    return whole.try_cast("long")

@@ -58,15 +58,42 @@ def report_month(rows: DataFrame, file: str = "file", date: str = "Fecha") -> Da
             .select("file", last_day_of(F.col("_y"), F.col("_m")).alias("fecha")))
 
 
-def mention_metrics(rows: DataFrame, file: str = "file", rating: str = "Calificacion",
+def mention_reports(rows: DataFrame, file: str = "file", rating: str = "Calificacion",
                     date: str = "Fecha") -> DataFrame:
-    """Q6 core: per file, four rows (file, fecha, Metric, valor)."""
-    counts = mention_counts(rows, file, rating)
-    month = report_month(rows, file, date)
+    """Q6 core: per file its month and counts, in one aggregation.
+
+    ``file, fecha, total, positive, negative, neutral`` and, if the rows carry
+    the file's modification time, ``mtime``. Files without a parseable date
+    are left out.
+    """
+    r, d = clean_label(F.col(rating)), parse_iso_date(F.col(date))
+    order = [F.max("mtime").alias("mtime")] if "mtime" in rows.columns else []
+    agg = rows.groupBy(F.col(file).alias("file")).agg(
+        F.mode(F.year(d), True).alias("_y"), F.mode(F.month(d), True).alias("_m"),
+        F.count(F.lit(1)).alias("total"), F.count_if(r == POSITIVE).alias("positive"),
+        F.count_if(r == NEGATIVE).alias("negative"), F.count_if(r == NEUTRAL).alias("neutral"), *order)
+    return agg.where(F.col("_y").isNotNull()).withColumn("fecha", last_day_of(F.col("_y"), F.col("_m"))).drop("_y", "_m")
+
+
+def last_report_per_month(reports: DataFrame) -> DataFrame:
+    """Of several files that report one month the last whole file: by ``mtime``, then by name."""
+    last = [c for c in ("mtime", "file") if c in reports.columns]
+    rest = [c for c in reports.columns if c not in ("fecha", *last)]
+    one = reports.groupBy("fecha").agg(F.max(F.struct(*last, *rest)).alias("_r"))
+    return one.select("fecha", "_r.*")
+
+
+def report_rows(reports: DataFrame) -> DataFrame:
+    """Per report four rows (file, fecha, Metric, valor)."""
     names = dict(MEDIA_METRICS)
-    return (counts.join(month, "file", "inner")
-            .select("file", "fecha", F.explode(F.array(
+    return (reports.select("file", "fecha", F.explode(F.array(
                 *[F.struct(F.lit(names[i]).alias("Metric"), F.col(c).cast("double").alias("valor"))
                   for i, c in zip((13, 14, 15, 16), ("total", "positive", "negative", "neutral"))]
             )).alias("m"))
             .select("file", "fecha", "m.Metric", "m.valor"))
+
+
+def mention_metrics(rows: DataFrame, file: str = "file", rating: str = "Calificacion",
+                    date: str = "Fecha") -> DataFrame:
+    """Q6 core: per file, four rows (file, fecha, Metric, valor)."""
+    return report_rows(mention_reports(rows, file, rating, date))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthend.functions.calendar import last_day_of, two_digit_year
-from monthend.functions.numeric import text_to_int
+from monthend.functions.numeric import missing_text, text_to_int
 from monthend.functions.text import spanish_month_number
 
 # History rows by position -> metric id (total, positive,
@@ -77,11 +77,10 @@ def history_bad_cells(wide: DataFrame, row_col: str = "_row",
                       first: str = HISTORY_FIRST_COLUMN) -> DataFrame:
     """Cells of the read rows that hold text but not a number (e.g. ``1,234``).
 
-    The reference would stop on them; here they load as 0 and are listed.
+    Missing values (``N/A``, ``nan``, blank) are not among them; they load as 0.
     """
     months = history_month_columns([c for c in wide.columns if c != row_col], first)
     if not months:
         return wide.sparkSession.createDataFrame([], "_rank int, _label string, _text string")
     return (_cells(wide, row_col, months)
-            .where(F.col("_text").isNotNull() & (F.trim("_text") != "")
-                   & text_to_int(F.col("_text")).isNull()))
+            .where(~missing_text("_text") & text_to_int("_text").isNull()))

@@ -6,10 +6,12 @@ source. Here the same numbers are computed from raw events
 ``(ts, user_id, is_view, <keys>...)``.
 
 Sessions: a user's session ends after SESSION_GAP_MINUTES without events
-(a gap of exactly that length starts a new one, as ``session_window`` does)
-and is counted in the period of its first event. They are found without a
-per-user sort of raw events: events are first pre-aggregated into
-(keys, user, 30-minute bucket) rows -- a map-side combine, so one very
+(a gap of exactly that length starts a new one, as ``session_window`` does).
+Every period stands alone, as a report asked for that period alone: a session
+that runs on into the next period counts in both, and no number depends on
+which other periods a run computes. They are found without a per-user sort
+of raw events: events are first pre-aggregated into
+(keys, user, period, 30-minute bucket) rows -- a map-side combine, so one very
 active user costs no more than one row per bucket. Inside a bucket no gap
 can reach 30 minutes, so only the first event of a bucket can open a
 session, and that is decided by comparing it with the last event of the
@@ -61,9 +63,9 @@ def in_date_range(ts: str, start, end) -> Column:
     return (F.col(ts) >= s) & (F.col(ts) < e)
 
 
-def host_equals(host: str, value: str) -> Column:
-    """Exact (case-sensitive) host filter."""
-    return F.col(host) == F.lit(value)
+def host_equals(host: str, value: str | Column) -> Column:
+    """Exact (case-sensitive) filter on the whole host."""
+    return F.col(host) == (F.lit(value) if isinstance(value, str) else value)
 
 
 def session_buckets(events: DataFrame, keys: list[str], ts: str = "ts",
@@ -71,24 +73,22 @@ def session_buckets(events: DataFrame, keys: list[str], ts: str = "ts",
                     gap_minutes: int = SESSION_GAP_MINUTES, period: str = "month") -> DataFrame:
     """(keys, user, bucket) rows with views, period and two flags.
 
-    ``_start``: the bucket's first event opens a session. ``_new_user``: the
-    bucket is the user's first in its period, so summing it counts distinct
-    users without a separate distinct aggregation.
+    ``_start``: the bucket's first event opens a session of its period.
+    ``_new_user``: the bucket is the user's first in its period, so summing it
+    counts distinct users without a separate distinct aggregation. The period
+    is part of the bucket, as in time zones off the half hour a bucket can lie
+    on both sides of midnight.
     """
     gap = gap_minutes * 60 * 1_000_000
     us = epoch_micros(events, ts)
-    b = (events.withColumn("_us", us)
-         .groupBy(*keys, user, F.floor(F.col("_us") / gap).alias("_bucket"))
+    b = (events.withColumns({"_us": us, "_period": period_start(F.col(ts), period)})
+         .groupBy(*keys, user, "_period", F.floor(F.col("_us") / gap).alias("_bucket"))
          .agg(F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"),
-              F.min(ts).alias("_first_ts"),
-              F.sum(F.col(view).cast("long")).alias("_views"))
-         .withColumn("_period", period_start(F.col("_first_ts"), period)))
-    w = Window.partitionBy(*keys, user).orderBy("_bucket")
-    prev_last = F.lag("_last_us").over(w)
-    prev_period = F.lag("_period").over(w)
+              F.sum(F.col(view).cast("long")).alias("_views")))
+    prev_last = F.lag("_last_us").over(Window.partitionBy(*keys, user, "_period").orderBy("_bucket"))
     return b.withColumns({
         "_start": (prev_last.isNull() | (F.col("_first_us") - prev_last >= gap)).cast("long"),
-        "_new_user": (prev_period.isNull() | (prev_period != F.col("_period"))).cast("long"),
+        "_new_user": prev_last.isNull().cast("long"),
     })
 
 
@@ -139,17 +139,38 @@ def cutover_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
         rows, "source_name string, scheme string, valid_from date, valid_to date, site_filter string")
 
 
+def checked_cutover(cutover: DataFrame) -> DataFrame:
+    """The table, failing when an event could match two of its rows.
+
+    Two rows can meet one event if they share a scheme and overlapping dates
+    and do not filter on different sites.
+    """
+    cols = ["scheme", "valid_from", "valid_to", "site_filter", "source_name"]
+    rows = cutover.groupBy(*cols).count()
+    a, b = (rows.select("scheme", F.struct(*cols, "count").alias(side)) for side in "ab")
+    meet = ((F.col("a.valid_from") < F.col("b.valid_to")) & (F.col("b.valid_from") < F.col("a.valid_to"))
+            & (F.col("a.site_filter").isNull() | F.col("b.site_filter").isNull()
+               | (F.col("a.site_filter") == F.col("b.site_filter"))))
+    clash = (a.join(b, "scheme").where(meet & ((F.col("a") < F.col("b")) | ((F.col("a") == F.col("b")) & (F.col("a.count") > 1))))
+             .select("a.source_name", F.col("b.source_name").alias("other")).first())
+    if clash:
+        raise ValueError(f"sources {clash.source_name!r} and {clash.other!r} overlap in time")
+    return cutover
+
+
 def choose_source(events: DataFrame, cutover: DataFrame, period_end: str = "period_end",
                   scheme: str = "scheme", site: str = "site") -> DataFrame:
     """Keep each event only from the source valid at its period's end.
 
     A period uses the row with ``valid_from <= period_end < valid_to`` (the
     period *end* decides, so a month that ends after the cutover uses the new
-    source for all of it). A non-null ``site_filter`` adds an exact filter.
-    The table is a handful of configuration rows, so it is broadcast.
+    source for all of it). A non-null ``site_filter`` adds an exact filter on
+    ``site`` (a column of whole hosts, or of whatever the table names). The
+    optimizer broadcasts the table while it is small. Rows of one scheme whose
+    dates overlap would count events twice and are refused.
     """
-    c = F.broadcast(cutover)
+    c = checked_cutover(cutover)
     cond = ((events[scheme] == c.scheme)
             & (events[period_end] >= c.valid_from) & (events[period_end] < c.valid_to)
-            & (c.site_filter.isNull() | (events[site] == c.site_filter)))
+            & (c.site_filter.isNull() | host_equals(site, c.site_filter)))
     return events.join(c, cond, "inner").drop(c.scheme).drop("valid_from", "valid_to", "site_filter")

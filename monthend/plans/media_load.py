@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from monthend.functions.text import spanish_month_label
 from monthend.operators.lookup import names_to_ids
-from monthend.operators.media import MEDIA_METRICS, mention_metrics
+from monthend.operators.media import MEDIA_METRICS, last_report_per_month, mention_reports, report_rows
 from monthend.operators.mutate import insert_ignore, upsert
 from monthend.operators.reshape import history_bad_cells, history_to_long
-from monthend.session import materialize
+from monthend.session import materialize, scratch_path
 from monthend.sources.files import read_history_file, read_mention_files
 
 
@@ -20,19 +20,25 @@ def media_glossary_rows(spark: SparkSession) -> DataFrame:
 
 
 def mention_updates(rows: DataFrame, glossary: DataFrame) -> DataFrame:
-    """Q6 core: mention rows -> fact rows (fecha, metrica, valor[, _order]).
+    """Q6 core: mention rows -> fact rows (fecha, metrica, valor, _order).
 
-    When the rows carry the file modification time (``mtime``), it is kept
-    as ``_order`` so that, as in the reference's one-file-at-a-time runs, the
-    newest file wins when two files report the same month.
+    When several files report one month, the last one wins as a whole: the
+    one with the newest modification time, then the last by name. ``_order``
+    orders it against reports loaded before.
     """
-    m = mention_metrics(rows)
-    cols = ["fecha", "metrica", "valor"]
-    if "mtime" in rows.columns:
-        order = rows.groupBy("file").agg(F.max("mtime").alias("_order"))
-        m = m.join(order, "file")
-        cols.append("_order")
-    return names_to_ids(m, glossary).select(*cols)
+    last = last_report_per_month(mention_reports(rows))
+    order = F.col("mtime") if "mtime" in last.columns else F.col("file")
+    m = report_rows(last).join(last.select("fecha", order.alias("_order")), "fecha")
+    return names_to_ids(m, glossary).select("fecha", "metrica", "valor", "_order")
+
+
+def refuse(rows: DataFrame, what: str, error: type[Exception] = ValueError) -> None:
+    """Stop with an error if there are any rows; all of them are in the table it names."""
+    first = [tuple(r) for r in rows.limit(5).collect()]
+    if first:
+        path = scratch_path(rows.sparkSession, "refused")
+        rows.write.parquet(path)
+        raise error(f"{what}: {rows.sparkSession.read.parquet(path).count()} in {path}, e.g. {first}")
 
 
 def media_monthly_load(spark: SparkSession, path: str, target: DataFrame, glossary: DataFrame,
@@ -40,13 +46,11 @@ def media_monthly_load(spark: SparkSession, path: str, target: DataFrame, glossa
     """Q6: every mention file under ``path`` -> upsert into ``target``.
 
     Files without the required columns are refused (C9); with ``strict`` the
-    whole load stops before writing, listing them.
+    whole load stops before writing and names a table of them.
     """
     rows, invalid = read_mention_files(spark, path)
     if strict:
-        bad = [r.file for r in invalid.limit(20).collect()]
-        if bad:
-            raise ValueError(f"files lack the 'Calificación'/'Fecha' columns: {bad}")
+        refuse(invalid, "files lack the 'Calificación'/'Fecha' columns")
     return upsert(target, materialize(mention_updates(rows, glossary)), order_col="_order")
 
 
@@ -55,12 +59,10 @@ def media_history_load(spark: SparkSession, path: str, target: DataFrame,
     """Q7: seed the glossary (B4), then upsert the unpivoted history.
 
     Returns (new fact table, new glossary). Cells that hold non-numeric text
-    stop the load with a list of them.
+    stop the load, which names a table of them.
     """
     wide = read_history_file(spark, path)
-    bad = history_bad_cells(wide).limit(20).collect()
-    if bad:
-        raise ValueError(f"non-numeric history cells: {[tuple(r) for r in bad]}")
+    refuse(history_bad_cells(wide), "non-numeric history cells")
     new_glossary = insert_ignore(glossary, media_glossary_rows(spark))
     return upsert(target, materialize(history_to_long(wide))), new_glossary
 

@@ -101,7 +101,9 @@ def snapshot_updates(spark, root: str, glossary: DataFrame) -> DataFrame:
     """
     from monthend.operators.lookup import names_to_ids
     from monthend.sources.files import read_snapshots
-    snaps = read_snapshots(spark, root)
+    snaps, rejected = read_snapshots(spark, root)
+    if rejected:
+        print(f"{len(rejected)} snapshot paths without a date or under staging were not read: {rejected}")
     return (names_to_ids(snaps, glossary)
             .select(F.col("Date").alias("fecha"), "metrica", F.col("Value").alias("valor"),
                     F.col("snapshot_date").alias("_order")))

@@ -1,11 +1,14 @@
 """File sources: mention CSVs (A3, C9), wide history CSV (A4), snapshots (A7), guard.
 
 CSV files are read with an explicit all-string schema of positional columns
-(``c0 .. c{n-1}``); nothing is inferred. Rows of one file block are read by
-one task in file order, so a row's position inside its file is its
-``monotonically_increasing_id`` minus the first id of the file's first
-block -- no per-file sort or shuffle of the rows is needed. Blank lines are
-skipped, as in the reference, so positions count non-blank lines.
+(``c0 .. c{n-1}``); nothing is inferred. The number of columns is that of the
+widest row, found in a first narrow pass, so no cell is cut off. Quotes inside
+a quoted field are doubled (``""``). Rows of one file block are read by one
+task in file order, so a row's position inside its file is its
+``monotonically_increasing_id`` minus the first id of the file's first block.
+The rows are stored once with their ids, and all that follows reads the
+stored rows: two scans of the files a load, whatever it computes. Blank lines
+are skipped, so positions count non-blank lines.
 
 By default (``multiline=True``) a file is one block, because a quoted field
 may span lines. ``multiline=False`` lets Spark split large files into
@@ -16,55 +19,73 @@ rows. Use it for big files whose fields never span lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+import re
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+
+from monthend.session import materialize
 
 # The two header names a mention file must carry, and how
 # many leading non-blank rows are searched for them.
 RATING_HEADER = "Calificación"
 DATE_HEADER = "Fecha"
 HEADER_SEARCH_ROWS = 10
-MAX_COLUMNS = 64
 
 
-def require_path(spark: SparkSession, path: str) -> None:
+def require_path(spark: SparkSession, path: str | list[str]) -> None:
     """Fail before any job starts when ``path`` does not exist."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.globStatus(p):
-        raise FileNotFoundError(path)
+    for one in [path] if isinstance(path, str) else path:
+        p = jvm.org.apache.hadoop.fs.Path(one)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.globStatus(p):
+            raise FileNotFoundError(one)
 
 
-def positional_schema(max_columns: int = MAX_COLUMNS) -> StructType:
-    return StructType([StructField(f"c{i}", StringType()) for i in range(max_columns)])
+def csv_reader(spark: SparkSession, schema: str, multiline: bool) -> DataFrameReader:
+    return (spark.read.schema(schema).option("header", False).option("multiLine", multiline)
+            .option("mode", "PERMISSIVE").option("encoding", "UTF-8").option("escape", '"'))
+
+
+def widest_row(spark: SparkSession, path: str | list[str], multiline: bool = True) -> int:
+    """The most cells of any row: one pass that counts the commas outside quotes.
+
+    Against a schema of one column every wider row is a malformed record,
+    which Spark hands over whole.
+    """
+    record = F.coalesce("_record", F.lit(""))
+    bare = F.regexp_replace(record, '"[^"]*"', "")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    rows = (csv_reader(spark, "c0 string, _record string", multiline)
+            .option("columnNameOfCorruptRecord", "_record").csv(path))
+    # Spark wants another column beside the record's
+    return rows.agg(F.max(cells), F.count("c0")).first()[0] or 1
 
 
 # Position given to rows outside a file's first block: after any header.
 LATER_BLOCK = 1 << 62
 
 
-def csv_rows(reader, path: str, max_columns: int = MAX_COLUMNS, multiline: bool = True) -> DataFrame:
-    """(file, mtime, _block, cells) from a batch or streaming reader."""
-    return (reader.schema(positional_schema(max_columns))
-            .option("header", False).option("multiLine", multiline).option("mode", "PERMISSIVE")
-            .option("encoding", "UTF-8")
-            .csv(path)
+def csv_rows(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+    """(file, mtime, _block, cells) of every row; each row has the cells of the widest."""
+    width = widest_row(spark, path, multiline)
+    return (csv_reader(spark, ", ".join(f"c{i} string" for i in range(width)), multiline).csv(path)
             .select(F.col("_metadata.file_path").alias("file"),
                     F.col("_metadata.file_modification_time").alias("mtime"),
                     F.col("_metadata.file_block_start").alias("_block"),
-                    F.array(*[F.col(f"c{i}") for i in range(max_columns)]).alias("cells")))
+                    F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells")))
 
 
 def with_positions(rows: DataFrame) -> DataFrame:
     """Add ``pos``: 0-based position of each non-blank row inside its file.
 
-    Needs a frame straight off a file scan. Only rows of a file's first
-    block are numbered (one row per file goes through the shuffle for the
-    first id); later blocks get LATER_BLOCK.
+    Needs a frame straight off a file scan, which is stored once with its row
+    ids. Only rows of a file's first block are numbered (one row per file goes
+    through the shuffle for the first id); later blocks get LATER_BLOCK.
     """
-    raw = rows.withColumn("_id", F.monotonically_increasing_id())
+    raw = materialize(rows.withColumn("_id", F.monotonically_increasing_id()))
     first = (raw.where(F.col("_block") == 0)
              .groupBy("file").agg(F.min("_id").alias("_first")))
     return (raw.join(first, "file", "left")
@@ -73,11 +94,10 @@ def with_positions(rows: DataFrame) -> DataFrame:
             .drop("_id", "_first", "_block"))
 
 
-def read_positional_csv(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS,
-                        multiline: bool = True) -> DataFrame:
+def read_positional_csv(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
     """Rows of every CSV under ``path`` as (file, mtime, cells, pos)."""
     require_path(spark, path)
-    return with_positions(csv_rows(spark.read, path, max_columns, multiline))
+    return with_positions(csv_rows(spark, path, multiline))
 
 
 def _has(cells: str, text: str):
@@ -86,26 +106,25 @@ def _has(cells: str, text: str):
 
 def mentions_from_positions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A3 + C9 on positional rows; see :func:`read_mention_files`."""
-    found = (raw.where((F.col("pos") < HEADER_SEARCH_ROWS)
-                       & _has("cells", RATING_HEADER) & _has("cells", DATE_HEADER))
-             .groupBy("file").agg(F.min("pos").alias("_hpos")))
-    header_pos = (raw.select("file").distinct().join(found, "file", "left")
-                  .select(F.col("file").alias("_hfile"), F.coalesce("_hpos", F.lit(0)).alias("_hpos")))
-    headers = (raw.join(header_pos, (F.col("file") == F.col("_hfile")) & (F.col("pos") == F.col("_hpos")))
-               .select("file", "_hpos",
-                       F.array_position("cells", RATING_HEADER).alias("_ri"),
-                       F.array_position("cells", DATE_HEADER).alias("_di")))
+    # one aggregate per file: its first row, and the first row with both names
+    names = F.struct("pos", F.array_position("cells", RATING_HEADER).alias("_ri"),
+                     F.array_position("cells", DATE_HEADER).alias("_di"))
+    both = (F.col("pos") < HEADER_SEARCH_ROWS) & _has("cells", RATING_HEADER) & _has("cells", DATE_HEADER)
+    headers = (raw.where(F.col("pos") < HEADER_SEARCH_ROWS).groupBy("file")
+               .agg(F.min(F.when(both, names)).alias("_found"), F.min(names).alias("_first"))
+               .select("file", F.coalesce("_found", "_first").alias("_h"))
+               .select("file", F.col("_h.pos").alias("_hpos"), "_h._ri", "_h._di"))
     invalid = headers.where((F.col("_ri") == 0) | (F.col("_di") == 0)).select("file")
     valid = headers.where((F.col("_ri") > 0) & (F.col("_di") > 0))
     rows = (raw.join(valid, "file")
             .where(F.col("pos") > F.col("_hpos"))
-            .select("file", "mtime",
+            .select("file", *[c for c in ("mtime",) if c in raw.columns],
                     F.element_at("cells", F.col("_di").cast("int")).alias("Fecha"),
                     F.element_at("cells", F.col("_ri").cast("int")).alias("Calificacion")))
     return rows, invalid
 
 
-def read_mention_files(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS,
+def read_mention_files(spark: SparkSession, path: str | list[str],
                        multiline: bool = True) -> tuple[DataFrame, DataFrame]:
     """A3 + C9: mention rows of every file under ``path``.
 
@@ -113,18 +132,18 @@ def read_mention_files(spark: SparkSession, path: str, max_columns: int = MAX_CO
     holding both exact header names, else row 0. Returns ``(rows, invalid)``:
     ``rows`` = (file, mtime, Fecha, Calificacion) for the data rows after the
     header of valid files; ``invalid`` = files whose header lacks a required
-    column (the reference stops on such a file and loads nothing from it).
+    column (nothing is loaded from such a file).
     """
-    return mentions_from_positions(read_positional_csv(spark, path, max_columns, multiline))
+    return mentions_from_positions(read_positional_csv(spark, path, multiline))
 
 
-def read_history_file(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS) -> DataFrame:
+def read_history_file(spark: SparkSession, path: str) -> DataFrame:
     """A4: a wide history CSV as a frame named by its header row, plus ``_row``.
 
     ``_row`` is the 0-based position of a data row (the row after the header
     is 0). Only the header row is brought to the driver, to name columns.
     """
-    raw = read_positional_csv(spark, path, max_columns)
+    raw = read_positional_csv(spark, path)
     heads = raw.where(F.col("pos") == 0).select("cells").limit(2).collect()
     if not heads:
         raise ValueError(f"empty history file: {path}")
@@ -139,19 +158,38 @@ def read_history_file(spark: SparkSession, path: str, max_columns: int = MAX_COL
                     *[F.col("cells")[i].alias(n) for i, n in enumerate(names)]))
 
 
-def read_snapshots(spark: SparkSession, root: str, schema: str = "Date date, Metric string, Value double") -> DataFrame:
+def read_snapshots(spark: SparkSession, root: str, schema: str = "Date date, Metric string, Value double"
+                   ) -> tuple[DataFrame, list[str]]:
     """A7 (older design notes): only ``historical/results_YYYY-MM-DD.csv``.
 
     Any path containing ``staging`` is rejected, so current-month progress
-    never reaches the fact table. Adds ``snapshot_date`` from the file name.
+    never reaches the fact table, and so is a name without a valid date. A
+    header that does not match the schema fails the read. Returns the rows,
+    with ``snapshot_date`` from the file name, and the rejected paths.
     """
     pattern = f"{root.rstrip('/')}/historical/results_*.csv"
     require_path(spark, pattern)
-    df = (spark.read.schema(schema).option("header", True).csv(pattern)
-          .withColumn("_path", F.col("_metadata.file_path")))
-    below_root = F.regexp_extract("_path", r"/historical/(.*)$", 1)
-    return (df.where(~below_root.contains("staging"))
-            .withColumn("snapshot_date",
-                        F.try_to_date(F.regexp_extract("_path", r"results_(\d{4}-\d{2}-\d{2})\.csv", 1),
-                                      "yyyy-MM-dd"))
-            .drop("_path"))
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    taken, rejected = [], []
+    for status in fs.globStatus(path):
+        name = status.getPath().toString()
+        below_root = name.rsplit("/historical/", 1)[-1]
+        (taken if "staging" not in below_root and _snapshot_date(below_root) else rejected).append(name)
+    if not taken:
+        empty = spark.createDataFrame([], schema).withColumn("snapshot_date", F.lit(None).cast("date"))
+        return empty, rejected
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(taken)
+          .withColumn("snapshot_date", F.to_date(F.regexp_extract(
+              F.col("_metadata.file_path"), r"results_(\d{4}-\d{2}-\d{2})\.csv", 1), "yyyy-MM-dd")))
+    return df, rejected
+
+
+def _snapshot_date(name: str) -> dt.date | None:
+    """The date of a snapshot's file name, or None if it has no valid one."""
+    m = re.fullmatch(r"results_(\d{4}-\d{2}-\d{2})\.csv", name)
+    try:
+        return dt.date.fromisoformat(m.group(1)) if m else None
+    except ValueError:
+        return None

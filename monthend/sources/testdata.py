@@ -72,6 +72,17 @@ def customers_long(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("double").alias("Value")))
 
 
+def daily_customers_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per customer per day: several rows in a metric-month, copies, null values and names."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    kind = F.when(F.col("o_custkey") % 3 == 0, " Lines Per Session").otherwise(" Orders")
+    return (o.join(c, o.o_custkey == c.c_custkey)
+            .select(F.to_date("o_orderdate").alias("Date"),
+                    F.when(F.col("o_orderkey") % 101 != 0, F.concat("c_name", kind)).alias("Metric"),
+                    F.when(F.col("o_orderkey") % 7 != 0, (F.col("o_orderkey") % 5).cast("double") / 4).alias("Value")))
+
+
 def to_fact(long_df: DataFrame, glossary: DataFrame) -> DataFrame:
     """(Date, Metric, Value) -> fact (fecha, metrica, valor) via the glossary."""
     return (names_to_ids(long_df, glossary)

@@ -137,8 +137,19 @@ def test_snapshots_reject_staging(spark, tmp_path):
     df = spark.createDataFrame([(D(2024, 1, 31), "A", 1.0)], "Date date, Metric string, Value double")
     write_snapshot(df, str(tmp_path), "historical", D(2024, 1, 31))
     write_snapshot(df.selectExpr("Date", "Metric", "Value + 1 as Value"), str(tmp_path), "current", D(2024, 2, 10))
-    got = FS.read_snapshots(spark, str(tmp_path)).collect()
-    assert [(r.Value, r.snapshot_date) for r in got] == [(1.0, D(2024, 1, 31))]
+    write_snapshot(df, str(tmp_path), "historical", D(2024, 2, 29))
+    (tmp_path / "historical" / "results_old.csv").write_text("Date,Metric,Value\n2024-01-31,A,9\n")
+    (tmp_path / "historical" / "results_2024-02-30.csv").write_text("Date,Metric,Value\n2024-01-31,A,9\n")
+    rows, rejected = FS.read_snapshots(spark, str(tmp_path))
+    assert sorted((r.Value, r.snapshot_date) for r in rows.collect()) == [(1.0, D(2024, 1, 31)), (1.0, D(2024, 2, 29))]
+    assert sorted(p.rsplit("/", 1)[1] for p in rejected) == ["results_2024-02-30.csv", "results_old.csv"]
+
+
+def test_snapshot_with_reordered_header_fails(spark, tmp_path):
+    (tmp_path / "historical").mkdir()
+    (tmp_path / "historical" / "results_2024-01-31.csv").write_text("Metric,Date,Value\nA,2024-01-31,9\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        FS.read_snapshots(spark, str(tmp_path))[0].collect()
 
 
 def test_history_reader_takes_one_file(spark, tmp_path):
@@ -160,7 +171,7 @@ def test_large_file_split_into_blocks_gives_same_counts(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
         split, invalid = FS.read_mention_files(spark, str(d), multiline=False)
-        blocks = FS.csv_rows(spark.read, str(d), multiline=False).select("_block").distinct().count()
+        blocks = FS.csv_rows(spark, str(d), multiline=False).select("_block").distinct().count()
         got_split = sorted(map(tuple, M.mention_counts(split).collect()))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -168,3 +179,65 @@ def test_large_file_split_into_blocks_gives_same_counts(spark, tmp_path):
     assert got_split == sorted(map(tuple, M.mention_counts(one).collect()))
     big = [r for r in got_split if r[0].endswith("big.csv")][0]
     assert big[1:] == (4000, 1000, 1000, 1000)
+
+
+QUOTED = """Titular,Fecha,Calificación
+"Dice ""hola"", y sigue",2025-01-05,positiva
+"uno, dos",2025-01-06,negativa
+simple,2025-01-07,neutra
+"""
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_quoted_headlines(spark, tmp_path, multiline):
+    write(tmp_path, "q.csv", QUOTED)
+    rows, invalid = FS.read_mention_files(spark, str(tmp_path / "q.csv"), multiline=multiline)
+    assert invalid.count() == 0
+    assert sorted(r.Fecha for r in rows.collect()) == ["2025-01-05", "2025-01-06", "2025-01-07"]
+    assert M.mention_counts(rows).first()[1:] == (3, 1, 1, 1)
+
+
+def test_field_over_several_lines(spark, tmp_path):
+    write(tmp_path, "m.csv", 'Titular,Fecha,Calificación\n"uno,\ndos ""tres""\n",2025-01-05,positiva\n')
+    rows, _ = FS.read_mention_files(spark, str(tmp_path / "m.csv"))
+    assert [(r.Fecha, r.Calificacion) for r in rows.collect()] == [("2025-01-05", "positiva")]
+
+
+def test_history_of_96_months_and_wide_mentions(spark, tmp_path):
+    months = [f"{m}-{y}" for y in range(24, 32) for m in
+              ("ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "sep", "oct", "nov", "dic")]
+    body = "".join(f"r{i}," + ",".join(str(i + k) for k in range(96)) + "\n" for i in range(4))
+    p = write(tmp_path, "hist.csv", "Concepto," + ",".join(months) + "\n" + body)
+    got = R.history_to_long(FS.read_history_file(spark, str(p)))
+    assert got.count() == 4 * 96 and got.where("fecha = date'2031-12-31' and metrica = 16").first().valor == 98.0
+    wide = write(tmp_path, "wide.csv", ",".join(f"x{i}" for i in range(80)) + ",Fecha,Calificación\n"
+                 + "," * 80 + "2025-01-05,positiva\n")
+    rows, invalid = FS.read_mention_files(spark, str(wide))
+    assert invalid.count() == 0 and [r.Fecha for r in rows.collect()] == ["2025-01-05"]
+
+
+def test_missing_and_odd_numbers_in_history(spark, tmp_path):
+    p = write(tmp_path, "odd.csv", "Concepto,ene-24,feb-24,mar-24\nTotal,N/A,nan,24.9\nP,NULL,,-3.7\nN,NA,1e3,2\nU,Infinity,1e30,x\n")
+    wide = FS.read_history_file(spark, str(p))
+    assert sorted(r._text for r in R.history_bad_cells(wide).collect()) == ["1e30", "Infinity", "x"]
+    got = {(r.fecha.month, r.metrica): r.valor for r in R.history_to_long(wide).collect()}
+    assert got[1, 13] == got[2, 13] == got[1, 14] == got[2, 14] == got[1, 15] == got[1, 16] == got[3, 16] == 0.0
+    assert (got[3, 13], got[3, 14], got[2, 15]) == (24.0, -3.0, 1000.0)
+
+
+def test_last_file_of_a_month_wins_whole(spark):
+    rows = ([("a", "2024-01-05", "positiva")] * 5 + [("b", "2024-01-06", "negativa")] * 2 + [("a", "x", None)])
+    df = spark.createDataFrame(rows, "file string, Fecha string, Calificacion string")
+    got = {r.metrica: r.valor for r in ML.mention_updates(df, ML.media_glossary_rows(spark)).collect()}
+    assert got == {13: 2.0, 14: 0.0, 15: 2.0, 16: 0.0}
+    stamped = df.selectExpr("*", "case file when 'a' then timestamp'2024-03-01' else timestamp'2024-02-01' end as mtime")
+    got = {r.metrica: r.valor for r in ML.mention_updates(stamped, ML.media_glossary_rows(spark)).collect()}
+    assert got == {13: 6.0, 14: 5.0, 15: 0.0, 16: 0.0}
+
+
+def test_a_load_scans_its_files_twice(spark, tmp_path):
+    """Once for the width, once for the rows, which are stored; everything else reads these."""
+    write(tmp_path, "a.csv", MENTIONS)
+    rows, _ = FS.read_mention_files(spark, str(tmp_path / "a.csv"))
+    plan = ML.mention_updates(rows, ML.media_glossary_rows(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "csv" not in plan.lower() or "Relation" not in plan

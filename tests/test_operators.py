@@ -81,7 +81,7 @@ def test_glossary_lookup_rules(spark):
 
 def lag_sessions(pdf, keys):
     pdf = pdf.sort_values(keys + ["user_id", "ts"])
-    gap = pdf.groupby(keys + ["user_id"])["ts"].diff()
+    gap = pdf.groupby([*keys, "user_id", pdf["ts"].dt.date])["ts"].diff()
     pdf["start"] = gap.isna() | (gap >= pd.Timedelta(minutes=30))
     return pdf
 
@@ -95,7 +95,8 @@ def test_sessions_edge_cases(spark):
         "ts timestamp_ntz, user_id long, is_view boolean, property string")
     got = {(r.period_start, r.users, r.views, r.sessions, r.views_per_session)
            for r in T.traffic_report(ev, ["property"], "month").collect()}
-    assert got == {(D(2024, 1, 1), 1, 1, 1, 1.0), (D(2024, 2, 1), 2, 4, 2, 2.0)}
+    # each month stands alone: the session over its end counts in both
+    assert got == {(D(2024, 1, 1), 1, 1, 1, 1.0), (D(2024, 2, 1), 2, 4, 3, 1.33)}
 
 
 def test_sessions_match_lag_definition(spark):
@@ -133,6 +134,22 @@ def test_choose_source_uses_period_end(spark):
     assert got == [("new", "m"), ("old", "blog")]
 
 
+def test_overlapping_sources_are_refused(spark):
+    def clash(*rows):
+        try:
+            T.checked_cutover(T.cutover_table(spark, list(rows)))
+        except ValueError as e:
+            return "overlap" in str(e)
+        return False
+
+    old = ("old", "http", D(1900, 1, 1), D(2024, 10, 1), "blog")
+    assert not clash(old, ("new", "http", D(2024, 10, 1), D(9999, 12, 31), None))
+    assert not clash(old, ("new", "https", D(2024, 1, 1), D(9999, 12, 31), None))
+    assert not clash(old, ("new", "http", D(2024, 1, 1), D(9999, 12, 31), "www"))
+    assert clash(old, ("new", "http", D(2024, 9, 30), D(9999, 12, 31), None))
+    assert clash(old, old)
+
+
 def test_in_date_range_inclusive(spark):
     ev = spark.createDataFrame([(TS(2024, 1, 31, 23, 59),), (TS(2024, 2, 1),), (TS(2024, 1, 1),)],
                                "ts timestamp_ntz")

@@ -48,8 +48,8 @@ def sessions_python(events, gap=dt.timedelta(minutes=30)):
             o = out.setdefault(month, [set(), 0, 0])
             o[0].add(user)
             o[1] += int(view)
-            if prev is None or ts - prev >= gap:
-                o[2] += 1
+            if prev is None or ts - prev >= gap or (prev.year, prev.month) != (ts.year, ts.month):
+                o[2] += 1  # every month stands alone
             prev = ts
     return {m: (len(u), v, s) for m, (u, v, s) in out.items()}
 
@@ -70,3 +70,35 @@ def test_sessions_against_python(spark, seed):
     got = {r.period_start: (r.users, r.views, r.sessions)
            for r in T.traffic_report(df, ["property"], "month").collect()}
     assert got == sessions_python(events)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kathmandu"])
+def test_any_window_of_months_gives_the_same_closed_months(spark, zone):
+    """Reload and backfill agree on every month, also where zones are off the half hour."""
+    from monthend.plans import monthly_load as Q
+    rnd = random.Random(9)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        events = []
+        for user in range(5):
+            t = dt.datetime(2024, 1, 28, 20, 0)
+            for _ in range(160):
+                t += dt.timedelta(minutes=rnd.choice([5, 20, 29, 31, 200, 900]))
+                events.append((t.isoformat(" "), user, True, "p"))
+        text = "ts string, user_id long, is_view boolean, property string"
+        ev = spark.createDataFrame(events, text).selectExpr("cast(ts as timestamp) ts", "user_id", "is_view", "property")
+        src = ev.selectExpr("ts", "'click' as source", "1 as views")
+        props = spark.createDataFrame([("p",)], "property string")
+        seen = {}
+        for start, as_of in ((D(2024, 1, 1), D(2024, 4, 30)), (D(2024, 2, 1), D(2024, 4, 10)), (D(2024, 3, 1), D(2024, 4, 1))):
+            rows = Q.traffic_metric_rows(ev, src, props, Q.backfill_months(start, as_of), as_of)
+            for r in rows.collect():
+                if r.fecha < as_of:  # closed months
+                    assert seen.setdefault((r.fecha, r.Metric), r.valor) == r.valor
+        assert len(seen) > 12
+        first = [e for e in events if e[0] < "2024-02-01"]
+        assert seen[D(2024, 1, 31), "p Views"] == len(first)
+        assert seen[D(2024, 1, 31), "p Total Users"] == len({e[1] for e in first})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -6,7 +6,7 @@ import time
 
 from monthend.plans.media_load import media_glossary_rows
 from monthend.sources.store import FactStore
-from monthend.streaming.media_folder import start_media_folder_load
+from monthend.streaming.media_folder import reject_path, start_media_folder_load
 
 D = dt.date
 FACT = "fecha date, metrica int, valor double"
@@ -60,6 +60,19 @@ def test_streaming_folder_load_is_incremental(spark, tmp_path):
     assert len(store.read().collect()) == 8
 
 
+def test_stream_records_files_it_cannot_load(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "bad.csv").write_text("Fecha,Rating\n2024-01-03,positiva\n", encoding="utf-8")
+    (inbox / "good.csv").write_text('Titular,Fecha,Calificación\n"a ""b"", c",2024-01-03,positiva\n', encoding="utf-8")
+    store = FactStore(spark, str(tmp_path / "fact"))
+    start_media_folder_load(spark, str(inbox), store, media_glossary_rows(spark),
+                            checkpoint=str(tmp_path / "ckpt")).awaitTermination()
+    assert {r.metrica: r.valor for r in store.read().collect()} == {13: 1.0, 14: 1.0, 15: 0.0, 16: 0.0}
+    bad = spark.read.parquet(reject_path(store)).collect()
+    assert [(r.file.rsplit("/", 1)[1], "Calificación" in r.reason) for r in bad] == [("bad.csv", True)]
+
+
 def test_report_from_store_prunes_and_matches(spark, tmp_path):
     import random
     from monthend.operators import compare as C
