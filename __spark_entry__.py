@@ -14,7 +14,7 @@ from importlib.util import find_spec
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthend.functions.calendar import calendar_over, fiscal_year
+from monthend.functions.calendar import calendar_over, fiscal_year, report_month_columns
 from monthend.operators import compare as C
 from monthend.operators import lookup as L
 from monthend.operators import media as M
@@ -23,7 +23,9 @@ from monthend.operators import reshape as R
 from monthend.operators import traffic as T
 from monthend.plans import media_load as ML
 from monthend.plans import monthly_load as Q
+from monthend.plans import report as RP
 from monthend.session import materialize
+from monthend.sources import files as FS
 from monthend.sources import testdata as TD
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -50,7 +52,7 @@ CURRENT_MONTH = dt.date(2001, 8, 1)         # Current Month tab month
 EVENTS_AS_OF = dt.date(2024, 1, 20)         # as-of date of the event stream
 BACKFILL_START = dt.date(2023, 11, 1)       # first month of the backfill
 PREVIOUS_RUN = dt.date(2024, 1, 10)         # as-of date of the run a reload replaces
-EVENTS_MONTH = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))  # report range of the event month
+EVENTS_RANGE = (dt.date(2024, 1, 5), dt.date(2024, 1, 20))  # a report range that leaves events out
 CUTOVER_ROWS = [                            # effective-dated traffic source
     ("old", "http", dt.date(1900, 1, 1), dt.date(2024, 1, 15), "blog"),
     ("new", "https", dt.date(2024, 1, 15), dt.date(9999, 12, 31), None),
@@ -141,7 +143,7 @@ def _media_load(spark, sf):
 def _traffic_sources_range(spark, sf):
     """A6 + C6: views by source over an inclusive date range."""
     src = TD.traffic_sources(spark, sf)
-    return T.source_views(src.where(T.in_date_range("ts", *EVENTS_MONTH)))
+    return T.source_views(src.where(T.in_date_range("ts", *EVENTS_RANGE)))
 
 
 def _video_totals(spark, sf):
@@ -170,7 +172,7 @@ def _insert_ignore(spark, sf):
     return U.insert_ignore(TD.segments_glossary(spark, sf), ML.media_glossary_rows(spark))
 
 
-def _history_unpivot(spark, sf):
+def _history_wide(spark, sf):
     rows = TD.media_rows(spark, sf)
     r = F.lower(F.trim("Calificacion"))
     counts = (rows.groupBy(F.trunc(F.to_date("Fecha"), "month").alias("month"))
@@ -179,7 +181,73 @@ def _history_unpivot(spark, sf):
                    F.count_if(r == M.NEGATIVE).alias("negative"),
                    F.count_if(r == M.NEUTRAL).alias("neutral"),
                    F.count_if(F.col("Calificacion").isNull()).alias("unrated")))
-    return R.history_to_long(ML.history_frame(counts))
+    return ML.history_frame(counts)
+
+
+def _history_unpivot(spark, sf):
+    return R.history_to_long(_history_wide(spark, sf))
+
+
+def _history_dirty(spark, sf):
+    """C5 + J12: an earlier month, columns that are no months, missing and fractional cells."""
+    wide = _history_wide(spark, sf)
+    row = F.col("_row")
+    return R.history_to_long(wide.select(
+        "_row", F.lit("9").alias("dic-23"), F.concat(F.lit("r-"), row).alias("Concepto"),
+        F.when(row == 1, F.concat(F.col("`ene-24`"), F.lit(".9"))).otherwise(F.col("`ene-24`")).alias("ene-24"),
+        F.lit("x").alias("Nota"),
+        F.when(row == 2, "N/A").when(row == 3, "nan").otherwise(F.col("`feb-24`")).alias("feb-24")))
+
+
+def _media_history(spark, sf):
+    """Q7: the wide history upserted into what the mention files left."""
+    target = materialize(ML.mention_updates(TD.media_rows(spark, sf), ML.media_glossary_rows(spark)).drop("_order"))
+    return U.upsert(target, materialize(_history_unpivot(spark, sf)))
+
+
+def _mention_files(spark, sf):
+    """A3 + G4 + C9: header discovery over raw rows; files without the columns have no counts."""
+    rows, invalid = FS.mentions_from_positions(TD.positional_rows(spark, sf))
+    good = M.mention_counts(rows).withColumn("valid", F.lit(True))
+    bad = invalid.select("file", *[F.lit(None).cast("long").alias(c) for c in ("total", "positive", "negative", "neutral")],
+                         F.lit(False).alias("valid"))
+    return good.unionByName(bad)
+
+
+def _report_sheet(spark, sf):
+    """B5 + G2: the sheet's rows as text and numbers, with their place in the report order."""
+    full = C.compare_table(TD.segments_long(spark, sf))
+    return L.number_rows(RP.to_sheet(full), ["Metric", "Date"], col="row_no")
+
+
+def _report_targets(spark, sf):
+    """K6: analytics and current month of a run on each order's day, a fifth with a chosen month."""
+    o = TD.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("as_of"))
+    target = F.when(F.col("o_orderkey") % 5 == 0, F.date_format(F.add_months("as_of", -3), "yyyy-MM"))
+    analytics, current = report_month_columns(F.col("as_of"), target)
+    return o.select("o_orderkey", analytics.alias("analytics_month"), current.alias("current_month"))
+
+
+def _host_traffic(spark, sf):
+    """Traffic of one whole host."""
+    events = TD.traffic_events(spark, sf)
+    host = events.agg(F.min("host")).first()[0]
+    return T.traffic_report(events.where(T.host_equals("host", host)), ["host"], period="day")
+
+
+def _skipped_ids(spark, sf):
+    """C11: a glossary whose first name has the id 0."""
+    g = TD.segments_glossary(spark, sf).select((F.col("metrica") - 1).alias("metrica"), "nombre")
+    return TD.to_fact(TD.segments_long(spark, sf), g)
+
+
+def _backfill_load(spark, sf):
+    """Q5: the table after an earlier run is backfilled."""
+    g = _traffic_glossary(spark, sf)
+    earlier = _traffic_rows(spark, sf, Q.backfill_months(BACKFILL_START, PREVIOUS_RUN), as_of=PREVIOUS_RUN)
+    target = materialize(L.names_to_ids(earlier, g).select("fecha", "metrica", (F.col("valor") + 1).alias("valor")))
+    ev, src, props = _traffic_inputs(spark, sf)
+    return Q.backfill(target, g, ev, src, props, BACKFILL_START, EVENTS_AS_OF, ads_source=TD.ADS_SOURCE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -219,6 +287,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "media_load": _media_load,
         "traffic_sources_range": _traffic_sources_range,
         "video_totals": _video_totals,
+        "media_dirty": lambda s, sf: M.mention_metrics(TD.dirty_media_rows(s, sf)),
+        "mention_files": _mention_files,
+        "history_dirty": _history_dirty,
+        "media_history": _media_history,
+        "report_sheet": _report_sheet,
+        "report_targets": _report_targets,
+        "host_traffic": _host_traffic,
+        "skipped_ids": _skipped_ids,
+        "backfill_load": _backfill_load,
     }
 
 
@@ -434,6 +511,50 @@ mmonth AS (
   FROM my JOIN mm ON my.file = mm.file)"""
 
 
+# of several files of one month the last by name wins, with all its counts
+_LAST_FILE = """
+upd AS (
+  SELECT m.fecha, x.metrica, x.valor
+  FROM (SELECT fecha, max(file) AS file FROM mmonth GROUP BY 1) m JOIN mcounts c ON c.file = m.file,
+  LATERAL (VALUES (13, CAST(c.total AS DOUBLE)), (14, CAST(c.positive AS DOUBLE)),
+                  (15, CAST(c.negative AS DOUBLE)), (16, CAST(c.neutral AS DOUBLE))) x(metrica, valor))"""
+
+_HISTORY = """
+hm AS (
+  SELECT CAST(date_trunc('month', CAST(Fecha AS DATE)) AS DATE) AS m, count(*) AS total,
+         count(*) FILTER (WHERE lower(trim(Calificacion)) = 'positiva') AS positive,
+         count(*) FILTER (WHERE lower(trim(Calificacion)) = 'negativa') AS negative,
+         count(*) FILTER (WHERE lower(trim(Calificacion)) = 'neutra') AS neutral
+  FROM mrows GROUP BY 1),
+hist AS (
+  SELECT last_day(m) AS fecha, x.metrica, x.valor FROM hm,
+  LATERAL (VALUES (13, CAST(total AS DOUBLE)), (14, CAST(positive AS DOUBLE)),
+                  (15, CAST(negative AS DOUBLE)), (16, CAST(neutral AS DOUBLE))) x(metrica, valor)
+  WHERE m >= DATE '2024-01-01')"""
+
+_DIRTY = """
+drows AS (
+  SELECT file,
+         CASE dayofyear(CAST(Fecha AS DATE)) % 13 WHEN 0 THEN '2024-02-30' WHEN 1 THEN ' ' || Fecha WHEN 2 THEN '2024-1-5'
+              WHEN 3 THEN Fecha || ' 10:00' WHEN 4 THEN NULL ELSE Fecha END AS Fecha,
+         p.pad || CASE dayofyear(CAST(Fecha AS DATE)) % 3 WHEN 0 THEN upper(Calificacion)
+                       WHEN 1 THEN upper(Calificacion[1]) || lower(Calificacion[2:]) ELSE Calificacion END || p.pad AS Calificacion
+  FROM mrows JOIN (VALUES (0, chr(160)), (1, chr(9) || ' '), (2, '  '), (3, '')) p(k, pad)
+    ON dayofyear(CAST(Fecha AS DATE)) % 4 = p.k),
+dlab AS (
+  SELECT file, lower(trim(Calificacion, ' ' || chr(9) || chr(160))) AS label,
+         CASE WHEN regexp_full_match(Fecha, '[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}') THEN try_strptime(Fecha, '%Y-%m-%d') END AS d
+  FROM drows),
+dcounts AS (
+  SELECT file, count(*) AS total, count(*) FILTER (WHERE label = 'positiva') AS positive,
+         count(*) FILTER (WHERE label = 'negativa') AS negative, count(*) FILTER (WHERE label = 'neutra') AS neutral
+  FROM dlab GROUP BY 1),
+dy AS (SELECT file, y FROM (SELECT file, year(d) AS y, row_number() OVER (PARTITION BY file ORDER BY count(*) DESC, year(d)) AS rn
+       FROM dlab WHERE d IS NOT NULL GROUP BY 1, 2) WHERE rn = 1),
+dm AS (SELECT file, m FROM (SELECT file, month(d) AS m, row_number() OVER (PARTITION BY file ORDER BY count(*) DESC, month(d)) AS rn
+       FROM dlab WHERE d IS NOT NULL GROUP BY 1, 2) WHERE rn = 1)"""
+
+
 def oracle_sql() -> dict[str, str]:
     asof_o = ORDERS_AS_OF.isoformat()
     reload = Q.reload_months(EVENTS_AS_OF)
@@ -503,8 +624,8 @@ SELECT event_type AS source, CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) A
 FROM events GROUP BY 1, 2""",
         "traffic_sources_range": f"""
 SELECT event_type AS source, CAST(count(*) AS BIGINT) AS views FROM events
-WHERE ts >= TIMESTAMP '{EVENTS_MONTH[0].isoformat()}'
-  AND ts < TIMESTAMP '{(EVENTS_MONTH[1] + dt.timedelta(days=1)).isoformat()}'
+WHERE ts >= TIMESTAMP '{EVENTS_RANGE[0].isoformat()}'
+  AND ts < TIMESTAMP '{(EVENTS_RANGE[1] + dt.timedelta(days=1)).isoformat()}'
 GROUP BY 1""",
         "video_totals": f"""
 SELECT CAST(date_trunc('month', ts) AS DATE) AS month, CAST(count(*) AS BIGINT) AS total_views,
@@ -563,13 +684,52 @@ target AS (
   LATERAL (VALUES (13, CAST(total AS DOUBLE)), (14, CAST(positive AS DOUBLE)),
                   (15, CAST(negative AS DOUBLE)), (16, CAST(neutral AS DOUBLE))) x(metrica, valor)
   WHERE m >= DATE '2024-01-01'),
-upd AS (
-  SELECT m.fecha, x.metrica, max(x.valor) AS valor
-  FROM mcounts c JOIN mmonth m ON c.file = m.file,
-  LATERAL (VALUES (13, CAST(c.total AS DOUBLE)), (14, CAST(c.positive AS DOUBLE)),
-                  (15, CAST(c.negative AS DOUBLE)), (16, CAST(c.neutral AS DOUBLE))) x(metrica, valor)
-  GROUP BY 1, 2)
+{_LAST_FILE}
 SELECT fecha, metrica, valor FROM target t
 WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.fecha = t.fecha AND u.metrica = t.metrica)
+UNION ALL SELECT fecha, metrica, valor FROM upd""",
+        "media_dirty": f"""WITH {_MEDIA},{_DIRTY}
+SELECT c.file, last_day(make_date(CAST(dy.y AS INTEGER), CAST(dm.m AS INTEGER), 1)) AS fecha, x.Metric, x.valor
+FROM dcounts c JOIN dy ON c.file = dy.file JOIN dm ON c.file = dm.file,
+LATERAL (VALUES ('Total Media Mentions', CAST(c.total AS DOUBLE)),
+                ('Positive Media Mentions', CAST(c.positive AS DOUBLE)),
+                ('Negative Media Mentions', CAST(c.negative AS DOUBLE)),
+                ('Neutral Media Mentions', CAST(c.neutral AS DOUBLE))) x(Metric, valor)""",
+        "mention_files": f"""WITH {_MEDIA},
+files AS (SELECT DISTINCT file, coalesce(TRY_CAST(regexp_extract(file, '[0-9]+') AS INTEGER), 0) AS k FROM mrows),
+judged AS (SELECT file, k % 12 < 10 AND k % 7 <> 3 AS valid FROM files)
+SELECT j.file, j.valid, CASE WHEN j.valid THEN c.total END AS total, CASE WHEN j.valid THEN c.positive END AS positive,
+       CASE WHEN j.valid THEN c.negative END AS negative, CASE WHEN j.valid THEN c.neutral END AS neutral
+FROM judged j JOIN mcounts c ON c.file = j.file""",
+        "history_dirty": f"""WITH {_MEDIA},{_HISTORY}
+SELECT fecha, metrica, CASE WHEN month(fecha) = 2 AND metrica IN (15, 16) THEN 0 ELSE valor END AS valor FROM hist""",
+        "media_history": f"""WITH {_MEDIA},{_LAST_FILE},{_HISTORY}
+SELECT fecha, metrica, valor FROM upd u
+WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.fecha = u.fecha AND h.metrica = u.metrica)
+UNION ALL SELECT fecha, metrica, valor FROM hist""",
+        "report_sheet": f"""WITH {_SEG},{_compare('seg_long')}
+SELECT strftime(Date, '%Y-%m-%d') AS Date, Metric, Value, ytd, year_over_year, ytd_over_year, Previous_FY_Value,
+       CAST(row_number() OVER (ORDER BY Metric, Date) AS INTEGER) AS row_no
+FROM cmp_out""",
+        "report_targets": """
+SELECT o_orderkey,
+       CAST(CASE WHEN o_orderkey % 5 = 0 THEN date_trunc('month', o_orderdate) - INTERVAL 3 MONTH
+                 ELSE date_trunc('month', o_orderdate) - INTERVAL 1 MONTH END AS DATE) AS analytics_month,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS current_month
+FROM orders""",
+        "host_traffic": f"""WITH {_TEV},
+one AS (SELECT * FROM tev WHERE host = (SELECT min(host) FROM tev)),
+{_sessions('one', 'host', 'day', 'hrep').strip()}
+SELECT * FROM hrep""",
+        "skipped_ids": f"""WITH {_SEG}
+SELECT fecha, CAST(metrica - 1 AS INTEGER) AS metrica, valor FROM seg_fact WHERE metrica <> 1""",
+        "backfill_load": f"""WITH {_TEV},
+{_traffic_rows_sql(Q.backfill_months(BACKFILL_START, PREVIOUS_RUN), 'old', PREVIOUS_RUN).strip()},
+{_traffic_rows_sql(bf_months, 'bf').strip()},{_TRAFFIC_GLOSSARY},
+target AS (SELECT o.fecha, g.metrica, o.valor + 1 AS valor FROM old o JOIN tg g ON o.Metric = g.nombre),
+upd AS (SELECT b.fecha, g.metrica, b.valor FROM bf b JOIN tg g ON b.Metric = g.nombre)
+SELECT fecha, metrica, valor FROM target t
+WHERE NOT (EXISTS (SELECT 1 FROM upd u WHERE year(u.fecha) = year(t.fecha) AND month(u.fecha) = month(t.fecha))
+           AND t.metrica IN (SELECT metrica FROM upd))
 UNION ALL SELECT fecha, metrica, valor FROM upd""",
     }

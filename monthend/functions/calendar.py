@@ -146,3 +146,13 @@ def report_months(as_of: dt.date, target_month: str | None = None) -> tuple[dt.d
     else:
         analytics = add_months_py(current, -1)
     return analytics, current
+
+
+def report_month_columns(as_of, target_month) -> tuple[Column, Column]:
+    """K6 as columns: (analytics month, current month) of each row.
+
+    A null ``target_month`` is the automatic mode, ``'YYYY-MM'`` the manual one.
+    """
+    current = F.trunc(as_of, "month")
+    chosen = F.try_to_date(F.concat(target_month, F.lit("-01")), "yyyy-MM-dd")
+    return F.coalesce(chosen, F.add_months(current, -1)), current

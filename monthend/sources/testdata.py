@@ -170,6 +170,39 @@ def media_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     rating.alias("Calificacion")))
 
 
+def dirty_media_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """media_rows as people type them: padded and capitalised ratings, dates that do not parse."""
+    rows = media_rows(spark, sf_dir)
+    day = F.dayofyear(F.to_date("Fecha"))
+    pad = F.element_at(F.array(F.lit("\u00a0"), F.lit("\t "), F.lit("  "), F.lit("")), (day % 4 + 1).cast("int"))
+    said = F.when(day % 3 == 0, F.upper("Calificacion")).when(day % 3 == 1, F.initcap("Calificacion")).otherwise(F.col("Calificacion"))
+    date = (F.when(day % 13 == 0, F.lit("2024-02-30")).when(day % 13 == 1, F.concat(F.lit(" "), "Fecha"))
+            .when(day % 13 == 2, F.lit("2024-1-5")).when(day % 13 == 3, F.concat("Fecha", F.lit(" 10:00")))
+            .when(day % 13 != 4, F.col("Fecha")))
+    return rows.select("file", date.alias("Fecha"), F.concat(pad, said, pad).alias("Calificacion"))
+
+
+def positional_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mention files as raw rows (file, pos, cells), a file per document source ``srcK``.
+
+    ``K % 12`` rows stand before the header; its columns change with ``K``,
+    and for ``K % 7 = 3`` the rating's column has another name.
+    """
+    number = F.coalesce(F.regexp_extract("file", "[0-9]+", 0).try_cast("int"), F.lit(0))
+    before = number % 12
+    rating = F.when(number % 7 == 3, F.lit("Rating")).otherwise(F.lit("Calificación"))
+    even = number % 2 == 0
+    cells = lambda rate, date: F.when(even, F.array(F.lit("m"), rate, date)).otherwise(F.array(date, F.lit("m"), rate))
+    files = table(spark, sf_dir, "documents").select(F.col("source").alias("file")).distinct()
+    top = (files.select("file", F.explode(F.sequence(F.lit(0), before)).alias("pos"))
+           .select("file", F.col("pos").cast("long").alias("pos"),
+                   F.when(F.col("pos") == before, cells(rating, F.lit("Fecha")))
+                   .otherwise(F.array(F.lit("Reporte"), F.lit(None).cast("string"), F.lit(None).cast("string"))).alias("cells")))
+    rows = (media_rows(spark, sf_dir).withColumn("_id", F.monotonically_increasing_id())
+            .select("file", (before + 1 + F.col("_id")).alias("pos"), cells(F.col("Calificacion"), F.col("Fecha")).alias("cells")))
+    return top.unionByName(rows)
+
+
 __all__ = ["table", "segments_long", "customers_long", "to_fact", "segments_glossary",
            "segments_fact", "segment_updates", "traffic_events", "page_properties",
-           "traffic_sources", "media_rows", "ADS_SOURCE"]
+           "traffic_sources", "media_rows", "dirty_media_rows", "positional_rows", "daily_customers_long", "ADS_SOURCE"]
