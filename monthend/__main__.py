@@ -32,10 +32,9 @@ def _date(s: str) -> dt.date:
 
 
 def _replace_glossary(spark: SparkSession, path: str, new: DataFrame) -> None:
-    """Stage the new glossary, then overwrite (never overwrite what is read)."""
-    staged = scratch_path(spark, "glossary-stage")
-    new.write.parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    """Write the new glossary beside the old one, then switch (never overwrite what is read)."""
+    from monthend.sources.store import publish
+    publish(spark, path, lambda staged: new.write.parquet(staged))
 
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -55,6 +54,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
             s.add_argument("--sources", required=True)
             s.add_argument("--as-of", type=_date, required=True)
             s.add_argument("--ads-source", default="ADVERTISING")
+            s.add_argument("--properties", help="Parquet catalogue (property); default: those the glossary names")
             s.add_argument("--cutover", help="Parquet table (source_name, scheme, valid_from, "
                                              "valid_to, site_filter) for an effective-dated property")
             s.add_argument("--cutover-name", help="property name reported from --cutover")
@@ -87,13 +87,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         write_tab(analytics, f"{a.out.rstrip('/')}/Analytics")
         write_tab(current, f"{a.out.rstrip('/')}/Current Month")
     elif a.job in ("monthly-load", "backfill"):
-        from pyspark.sql import functions as F
-
         from monthend.operators.lookup import missing_names, names_to_ids
         from monthend.plans import monthly_load as Q
         events = spark.read.parquet(a.events)
         sources = spark.read.parquet(a.sources)
-        props = events.select("property").where(F.col("property").isNotNull()).distinct()
+        props = (spark.read.parquet(a.properties).select("property") if a.properties
+                 else Q.glossary_properties(glossary))
         months = (Q.reload_months(a.as_of) if a.job == "monthly-load"
                   else Q.backfill_months(a.start, a.as_of))
         cutover = (a.cutover_name, spark.read.parquet(a.cutover)) if a.cutover else None

@@ -112,6 +112,17 @@ def traffic_metric_rows(events: DataFrame, sources: DataFrame, properties: DataF
             .select(period_end("period_start", as_of).alias("fecha"), "Metric", "valor"))
 
 
+def glossary_properties(glossary: DataFrame) -> DataFrame:
+    """The properties whose metrics the glossary names: no scan of the events for a list of sites."""
+    others = set(VIDEO_MEASURES.values())
+    found = F.lit(None).cast("string")
+    for label in PROPERTY_MEASURES.values():
+        own = F.col("nombre").endswith(f" {label}")
+        found = F.coalesce(found, F.when(own, F.substring("nombre", F.lit(1), F.length("nombre") - len(label) - 1)))
+    return (glossary.where(~F.col("nombre").isin(*others)).select(found.alias("property"))
+            .where(F.col("property").isNotNull()).distinct())
+
+
 def traffic_metric_names(properties: DataFrame) -> DataFrame:
     """Every metric name the traffic load can produce for a property catalogue."""
     labels = F.array(*[F.lit(v) for v in PROPERTY_MEASURES.values()])

@@ -19,6 +19,8 @@ from monthend.operators.compare import (CURRENT_COLUMNS, REPORT_COLUMNS, analyti
                                         current_slice, has_unique_grain, month_slice,
                                         sort_report)
 from monthend.operators.lookup import ids_to_names
+from monthend.session import materialize
+from monthend.sources.store import publish
 
 
 def report_frames(report_input: DataFrame, as_of, target_month: str | None = None,
@@ -63,13 +65,16 @@ def to_sheet(df: DataFrame) -> DataFrame:
 
 
 def write_tab(df: DataFrame, path: str) -> bool:
-    """Overwrite a tab; an empty frame writes nothing and keeps the old tab.
+    """Replace a tab; an empty frame writes nothing and keeps the old tab.
 
+    The rows are computed once and stored, so the test for emptiness does not
+    compute them again; the new folder is switched in after its job committed.
     Returns whether a new tab was written.
     """
-    if df.isEmpty():
+    rows = materialize(df)
+    if rows.isEmpty():
         return False
-    (to_sheet(df).write.mode("overwrite").option("header", True).csv(path))
+    publish(df.sparkSession, path, lambda staged: to_sheet(rows).write.option("header", True).csv(staged))
     return True
 
 

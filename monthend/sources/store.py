@@ -19,6 +19,8 @@ loses the month (T6); here the old slice stays until the new one is ready.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,15 +31,43 @@ from monthend.session import materialize, scratch_path
 PARTITIONS = ["year", "month"]
 
 
+def _fs_of(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a fresh sibling folder, then switch it in as ``path``.
+
+    Until the write has committed, ``path`` keeps its old content; the switch
+    is two renames. A run that died between them is put right by the next
+    one: the set-aside old folder comes back first.
+    """
+    path = path.rstrip("/")
+    target, fs = _fs_of(spark, path)
+    sibling = lambda kind: target.suffix(f".{kind}-{uuid.uuid4().hex}")
+    left = [s.getPath() for s in (fs.globStatus(target.suffix(".old-*")) or [])]
+    if left and not fs.exists(target):
+        fs.rename(left.pop(), target)
+    for folder in [*left, *(s.getPath() for s in (fs.globStatus(target.suffix(".new-*")) or []))]:
+        fs.delete(folder, True)
+    new, old = sibling("new"), sibling("old")
+    write(new.toString())
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(new, target):
+        raise OSError(f"cannot switch in {path}")
+    if fs.exists(old):
+        fs.delete(old, True)
+
+
 class FactStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
     def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.root)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return _fs_of(self.spark, self.root)
 
     def exists(self) -> bool:
         p, fs = self._fs()
@@ -99,6 +129,8 @@ class FactStore:
         (self._layout(self.spark.read.parquet(staged))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITIONS).parquet(self.root))
+        folder, fs = _fs_of(self.spark, staged)
+        fs.delete(folder, True)
 
     @staticmethod
     def months_of(updates: DataFrame) -> list[tuple[int, int]]:

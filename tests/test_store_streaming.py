@@ -134,3 +134,42 @@ def test_read_months_prunes_partitions(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     pf = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
     assert "year" in pf and "month" in pf
+
+
+def test_failed_tab_write_keeps_the_old_tab(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from monthend.plans.report import write_tab
+    from monthend.sources.store import publish
+    tab = str(tmp_path / "Current Month")
+    old = spark.createDataFrame([(D(2024, 1, 31), "A", 1.0)], "Date date, Metric string, Value double")
+    assert write_tab(old, tab)
+    read = lambda: [tuple(r) for r in spark.read.option("header", True).csv(tab).collect()]
+    for adaptive in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            bad = old.withColumn("Value", F.when(F.col("Value") == 1.0, F.raise_error(F.lit("lost"))).cast("double"))
+            for attempt in (lambda: write_tab(bad, tab),
+                            lambda: publish(spark, tab, lambda staged: bad.write.csv(staged))):
+                try:
+                    attempt()
+                    raise AssertionError("the write should have failed")
+                except Exception as e:  # noqa: BLE001
+                    assert "lost" in str(e)
+                assert read() == [("2024-01-31", "A", "1.0")]
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # a run that died between the two renames: the old tab is set aside, the next run brings it back
+    os.rename(tab, tab + ".old-0")
+    assert not write_tab(old.limit(0), tab)
+    publish(spark, tab, lambda staged: old.selectExpr("Date", "Metric", "2 as Value").write.option("header", True).csv(staged))
+    assert read() == [("2024-01-31", "A", "2")]
+    assert [n for n in os.listdir(tmp_path) if ".old-" in n or ".new-" in n] == []
+
+
+def test_properties_named_by_the_glossary(spark):
+    from monthend.plans.monthly_load import glossary_properties
+    names = ["a b Total Users", "a b Views", "a b Views Per Session", "c Views", "Video Total Views", "Video Organic Views",
+             "Total Media Mentions"]
+    g = spark.createDataFrame(list(enumerate(names, 1)), "metrica int, nombre string")
+    assert sorted(r.property for r in glossary_properties(g).collect()) == ["a b", "c"]
