@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from monthend.functions.calendar import (fiscal_year_of, fiscal_year_start, next_month,
                                          report_months)
-from monthend.operators.compare import (CURRENT_COLUMNS, REPORT_COLUMNS, analytics_slice,
-                                        current_slice, has_unique_grain, month_slice,
-                                        sort_report)
+from monthend.operators.compare import (CURRENT_COLUMNS, REPORT_COLUMNS, analytics_slice, compare_table,
+                                        current_slice, has_unique_grain, sort_report)
 from monthend.operators.lookup import ids_to_names
 from monthend.session import materialize
 from monthend.sources.store import publish
@@ -35,13 +34,15 @@ def report_frames(report_input: DataFrame, as_of, target_month: str | None = Non
 
 def report_from_store(store, glossary: DataFrame, as_of, target_month: str | None = None
                       ) -> tuple[DataFrame, DataFrame]:
-    """Q2 + Q3 reading only the fact partitions they need.
+    """Q2 + Q3 from one comparison over the fact partitions they need.
 
     Each tab needs its month, its fiscal year so far and the whole previous
     fiscal year; the grain check looks one more fiscal year back (see
-    ``compare.month_slice``) and runs once, over the union of both tabs'
-    ranges. Older partitions are neither listed nor read: the window path
-    reads two fiscal years, the join path (duplicate months) three.
+    ``compare.month_slice``). Both tabs are cut from one comparison over the
+    union of their ranges, whose two months are stored, so that writing the
+    tabs computes nothing again. Older partitions are neither listed nor
+    read: the window path reads two fiscal years, the join path (duplicate
+    months) three.
     """
     if isinstance(as_of, str):
         as_of = dt.date.fromisoformat(as_of)
@@ -50,12 +51,11 @@ def report_from_store(store, glossary: DataFrame, as_of, target_month: str | Non
     last_upper = max(next_month(m) for m in months)
     probe = ids_to_names(store.read_range(fiscal_year_start(first_fy - 2), last_upper), glossary)
     path = "window" if has_unique_grain(probe) else "join"
-    tabs = []
-    for month, cols in zip(months, (REPORT_COLUMNS, CURRENT_COLUMNS)):
-        lower = fiscal_year_start(fiscal_year_of(month) - (1 if path == "window" else 2))
-        src = ids_to_names(store.read_range(lower, next_month(month)), glossary)
-        tabs.append(month_slice(src, month, path=path).select(*cols))
-    return tabs[0], tabs[1]
+    lower = fiscal_year_start(first_fy - (1 if path == "window" else 2))
+    table = compare_table(ids_to_names(store.read_range(lower, last_upper), glossary), path=path)
+    either = [(F.col("Date") >= F.lit(m)) & (F.col("Date") < F.lit(next_month(m))) for m in months]
+    both = materialize(table.where(either[0] | either[1]))
+    return both.where(either[0]).select(*REPORT_COLUMNS), both.where(either[1]).select(*CURRENT_COLUMNS)
 
 
 def to_sheet(df: DataFrame) -> DataFrame:
