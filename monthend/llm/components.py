@@ -3,22 +3,33 @@
 Each round links every node's larger neighbours to its smallest one, then all
 its neighbours to the smallest; rounds grow with the logarithm of a
 component's size. The links stay distributed and each round is cut off by a
-reliable checkpoint; only a count and a checksum reach the driver.
+reliable checkpoint; only counts reach the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthend.session import materialize
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files and checkpoints of steps that nothing refers to any more.
+
+    It does so when the driver's JVM collects its garbage, which a loop of
+    small steps on large data may not bring about for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` of every node with a link; ``component`` is its smallest reachable node."""
-    stars = (links.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
-             .where(F.col("lo") < F.col("hi")).distinct())
-    before = None
+    stars = materialize(links.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
+                        .where(F.col("lo") < F.col("hi")).distinct())
     while True:
         both = stars.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             stars.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
@@ -30,9 +41,27 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
                  .select("m", F.explode(F.array("lo", "hi")).alias("hi"))
                  .where(F.col("hi") > F.col("m")).select(F.col("m").alias("lo"), "hi").distinct())
         stars = materialize(small)
-        now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
-        if now == before or not now[0]:
+        # done when every node has one centre and no centre has another
+        roles = stars.select(F.col("hi").alias("node"), F.lit(1).alias("ray")).unionByName(
+            stars.select(F.col("lo").alias("node"), F.lit(0).alias("ray")).distinct())
+        several = roles.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("ray").alias("ray"))
+        done = several.where((F.col("n") > 1) & (F.col("ray") == 1)).isEmpty()
+        del both, least, large, small, roles, several
+        release(stars.sparkSession)
+        if done:
             break
-        before = now
     roots = stars.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return stars.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
+
+
+def merged(component: DataFrame, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``node, component`` after further links; only the components they touch are gone through."""
+    of = lambda end: component.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+    between = links.join(of(a), a, "left").join(of(b), b, "left").select(
+        F.coalesce(f"of_{a}", a).alias("a"), F.coalesce(f"of_{b}", b).alias("b"))
+    moved = connected_components(between).withColumnsRenamed({"node": "was", "component": "now"})
+    old = component.join(moved, F.col("component") == F.col("was"), "left").select(
+        "node", F.coalesce("now", "component").alias("component"))
+    new = moved.join(component, F.col("was") == F.col("node"), "left_anti").select(
+        F.col("was").alias("node"), F.col("now").alias("component"))
+    return materialize(old.unionByName(new))

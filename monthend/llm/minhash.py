@@ -5,21 +5,23 @@ label of minhash values. Documents with equal sets form a class, and one
 document of each class goes on. Every tree lists all labels in sorted order,
 so that the labels with the longest common prefix stand side by side; a
 document's candidates are its nearest neighbours there, as long as they share
-a prefix of ``min_depth`` values. Where few labels share a prefix all of them
-are neighbours; in crowded regions the neighbours share longer ones, so the
-depth adapts by itself.
-
-Candidates whose sketches disagree too much for the threshold are left out
-(by a margin of about five standard deviations); all others are confirmed on
-their full sets, unless they are already connected: first each document with
-its most similar candidate, then every candidate pair between different
-components. Then whole neighbourhoods are swept again with the components
-known, each document meeting its nearest neighbours of other components,
-until a sweep finds no new link.
-
-A text moves only if its document has candidates. A document has at most
-2 * trees * neighbours of them a sweep, so no group is unbounded; sorted
-orders are cut into ranges, a crowded region into several.
+a prefix of ``MIN_DEPTH`` values. The documents that share it are a region.
+
+Of these neighbours each document is paired with the most similar by sketch,
+unless their sketches disagree too much for the threshold (by a margin of
+about five standard deviations). Pairs are confirmed on their full sets.
+
+A region of several components that holds more documents than neighbours
+were paired is then gone through whole: all its pairs between different
+components are compared by signature and the similar ones on their full sets,
+each in the first tree that brings it together; only links leave the region.
+Where a region is too large for that
+its prefix grows by a value at a time, which parts it into smaller ones: the
+depth adapts to how crowded a region is.
+
+A text moves only if its document has candidates. Sorted orders are cut into
+ranges, a crowded region into several; regions that are gone through whole
+hold ``CROWD`` documents at most.
 
 Defined cases: a text without words (or null) has an empty set and is linked
 with nothing; fewer words than a shingle has make one shingle of the whole
@@ -37,14 +39,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthend.llm.components import connected_components
+from monthend.llm.components import connected_components, merged, release
+from monthend.llm.idfilter import id_filter, thin
 from monthend.llm.words import mix, shingle_sets, text_slices, words_of
 from monthend.session import materialize
 
 TREES, DEPTH, MIN_DEPTH = 16, 8, 3
-NEIGHBOURS = 8
+NEIGHBOURS = 8     # places on either side that are looked at
+PARTNERS = 2       # of them, those that a document is paired with in a tree
+CROWD = 8192       # documents of a region whose pairs are all compared
+CELL = 1 << 20     # shingles of a region that a task compares with as many others
 SKETCH = 64        # bytes compared before full sets are
 SKETCH_MARGIN = 0.25
+SIGNATURE_MARGIN = 0.18  # the same for whole signatures, of twice as many values
 
 _FUNCTIONS = np.random.default_rng(20_240).integers(0, 1 << 63, (2, TREES * DEPTH), np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -73,7 +80,7 @@ def byte_rows(col: pa.Array, width: int) -> np.ndarray:
 
 
 def sketch_documents(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``id, n, fp1, fp2, signature`` of every row: set size, set fingerprint, minhash values."""
+    """Of every row ``id, n`` (set size), ``fp1, fp2`` (set fingerprint), ``signature`` and its low bytes, ``sketch``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
@@ -88,41 +95,197 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, size: int) ->
                 mixed = mix(sets + np.uint64(1))
                 fp1[some] = np.add.reduceat(mixed, starts)
                 fp2[some] = np.bitwise_xor.reduceat(mix(mixed ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
+            sketch = signature[:, ::TREES * DEPTH // SKETCH].astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)),
-                 fixed_binary(signature.astype(">u4").view(np.uint8))],
-                ["id", "n", "fp1", "fp2", "signature"])
+                 fixed_binary(signature.astype(">u4").view(np.uint8)), fixed_binary(sketch)],
+                ["id", "n", "fp1", "fp2", "signature", "sketch"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id bigint, n bigint, fp1 bigint, fp2 bigint, signature binary")
+        run, "id bigint, n bigint, fp1 bigint, fp2 bigint, signature binary, sketch binary")
+
+
+def prefixes(rows: np.ndarray, tree: int) -> list[np.ndarray]:
+    """Of signatures (bytes) a tree's prefix of each depth from ``MIN_DEPTH`` on, as one number."""
+    values = np.ascontiguousarray(rows[:, 4 * DEPTH * tree:4 * DEPTH * (tree + 1)]).view(">u4").astype(np.uint64)
+    number, out = np.full(len(rows), tree, np.uint64), []
+    for depth in range(DEPTH):
+        number = mix(number * np.uint64(0x9E3779B97F4A7C15) + values[:, depth])
+        if depth + 1 >= MIN_DEPTH:
+            out.append(number.view(np.int64))
+    return out
 
 
 def forest(classes: DataFrame) -> DataFrame:
-    """A row per class and tree: ``region`` (tree and shortest prefix), ``label``, and what candidates are judged by."""
-    width = 4 * DEPTH
+    """A row per class and tree: ``region`` (tree and shortest prefix), ``label`` (the rest), ``rep, n, sketch``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = byte_rows(batch.column("signature"), 4 * TREES * DEPTH)
+            for tree in range(TREES):
+                label = rows[:, 4 * (DEPTH * tree + MIN_DEPTH):4 * DEPTH * (tree + 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(prefixes(rows, tree)[0]), fixed_binary(label), batch.column("rep"), batch.column("n"),
+                     batch.column("sketch")], ["region", "label", "rep", "n", "sketch"])
+
+    return classes.select("signature", "rep", "n", "sketch").mapInArrow(
+        run, "region bigint, label binary, rep bigint, n bigint, sketch binary")
+
+
+def crowded(classes: DataFrame, component: DataFrame) -> DataFrame:
+    """``region, tree, rep, n, component, signature, parted`` of mixed regions where pairs were passed over.
+
+    Regions of more than ``CROWD`` documents are parted by longer prefixes.
+    """
+    deeper = [f"d{k}" for k in range(MIN_DEPTH + 1, DEPTH + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = byte_rows(batch.column("signature"), 4 * TREES * DEPTH)
-            sketch = fixed_binary(rows.reshape(len(rows), -1, 4)[:, ::TREES * DEPTH // SKETCH, 3])
             for tree in range(TREES):
-                label = rows[:, tree * width:(tree + 1) * width]
-                head = np.ascontiguousarray(label[:, :4 * MIN_DEPTH]).view(">u4").astype(np.uint64)
-                region = np.full(len(rows), tree, np.uint64)
-                for i in range(MIN_DEPTH):
-                    region = mix(region * np.uint64(0x9E3779B97F4A7C15) + head[:, i])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(region.view(np.int64)), fixed_binary(label[:, 4 * MIN_DEPTH:]), batch.column("rep"),
-                     batch.column("n"), batch.column("component"), sketch],
-                    ["region", "label", "rep", "n", "component", "sketch"])
+                    [*map(pa.array, prefixes(rows, tree)), pa.array(np.full(len(rows), tree, np.int32)), batch.column("rep")],
+                    ["region", *deeper, "tree", "rep"])
+
+    places = classes.select("signature", "rep").mapInArrow(
+        run, f"region bigint, {', '.join(f'{d} bigint' for d in deeper)}, tree int, rep bigint")
+    known = lambda rows: rows.join(component, F.col("rep") == F.col("node"), "left").select(
+        *rows.columns, F.coalesce("component", "rep").alias("component"))
+    sizes = places.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > PARTNERS + 1)
+    rows, done = materialize(known(places.join(sizes, "region"))), None
+    # the trees in which a document's region is parted: there a pair may not have met
+    parted = (rows.where(F.col("size") > CROWD).groupBy("rep")
+              .agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("parted")))
+    for depth in [*deeper, None]:
+        mixed = rows.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        rows = rows.join(mixed.where(F.col("x") != F.col("y")).select("region"), "region", "left_semi")
+        fit = rows if depth is None else rows.where(F.col("size") <= CROWD)
+        fit = fit.select("region", "tree", "rep", "component")
+        done = fit if done is None else done.unionByName(fit)
+        if depth is None or rows.where(F.col("size") > CROWD).isEmpty():
+            break
+        longer = rows.where(F.col("size") > CROWD).drop("size", "region").withColumnRenamed(depth, "region")
+        sizes = longer.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+        rows = materialize(longer.join(sizes, "region"))
+    return (done.join(classes.select("rep", "n", "signature"), "rep").join(parted, "rep", "left")
+            .withColumn("parted", F.coalesce("parted", F.lit(0))))
+
+
+class Region:
+    """Documents of a region, the largest component first, which has nothing to compare within."""
+
+    names = ("n", "component", "rep", "tree", "parted")
+
+    def __init__(self, columns: dict[str, np.ndarray], values: np.ndarray, percent: int):
+        _, which, sizes = np.unique(columns["component"], return_inverse=True, return_counts=True)
+        self.order = np.lexsort((which, -sizes[which]))
+        self.n, self.component, self.rep, self.tree, self.parted = (columns[c][self.order] for c in self.names)
+        self.values, self.others, self.percent = values[self.order], int(sizes.max()), percent
+        self.least_agree = int(TREES * DEPTH * (percent / 100 - SIGNATURE_MARGIN))
+
+    def candidates(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(j, earlier places) whose signatures agree enough, each pair in the first tree that brings it together."""
+        for j in range(self.others, len(self.n)):
+            i = np.flatnonzero((self.component[:j] != self.component[j])
+                               & (100 * np.minimum(self.n[:j], self.n[j]) >= self.percent * np.maximum(self.n[:j], self.n[j])))
+            same = self.values[i] == self.values[j]
+            enough = same.sum(1) >= self.least_agree
+            i, same = i[enough], same[enough]
+            met = same.reshape(len(i), TREES, DEPTH)[:, :self.tree[j], :MIN_DEPTH].all(2)
+            whole = (self.parted[j] | self.parted[i])[:, None] >> np.arange(self.tree[j]) & 1 == 0
+            i = i[~(met & whole).any(1)]
+            if len(i):
+                yield j, i
+
+
+def in_regions(rows: DataFrame, percent: int) -> DataFrame:
+    """``region, rep`` of the documents that have a candidate there."""
+
+    def within(region: int, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        own = Region(dict(zip(Region.names, columns[:-1], strict=True)), columns[-1], percent)
+        has = np.zeros(len(own.n), bool)
+        for j, i in own.candidates():
+            has[j] = has[i] = True
+        if has.any():
+            rep = own.rep[has]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rep), region)), pa.array(rep)], ["region", "rep"])
 
-    return classes.mapInArrow(run, "region bigint, label binary, rep bigint, n bigint, component bigint, sketch binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = [batch.column(c).to_numpy() for c in ("region", *Region.names)]
+            new.append(byte_rows(batch.column("signature"), 4 * TREES * DEPTH).view(np.uint32))
+            held = [np.concatenate([x, y]) for x, y in zip(held, new, strict=True)] if held else new
+            cut = [0, *(np.flatnonzero(held[0][1:] != held[0][:-1]) + 1).tolist()]
+            for i, j in zip(cut[:-1], cut[1:], strict=True):
+                yield from within(held[0][i], [x[i:j] for x in held[1:]])
+            held = [x[cut[-1]:] for x in held]  # the last region may go on in the next batch
+        if held:
+            yield from within(held[0][0], held[1:])
+
+    return rows.repartition("region").sortWithinPartitions("region").mapInArrow(run, "region bigint, rep bigint")
+
+
+def confirm_in_regions(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between components within regions, from the texts of ``rows``.
+
+    A region is dealt in parts of about ``CELL`` shingles, each pair of parts
+    to a task of its own. Only links come out, one of each document and
+    component at most.
+    """
+    parts = rows.groupBy("region").agg(F.ceil(F.sum("n") / CELL).cast("int").alias("parts"))
+    cell = ["region", "i", "j"]
+    dealt = (rows.join(parts, "region").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}))
+
+    def compare(key: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        columns = {c: np.array([r[k] for r in held]) for k, c in enumerate(Region.names)}
+        own = Region(columns, np.stack([r[5] for r in held]), percent)
+        part, sets = np.array([r[6] for r in held])[own.order], [held[k][7] for k in own.order]
+        a, b = [], []
+        for j, i in own.candidates():
+            if key[1] != key[2]:
+                i = i[part[i] != part[j]]
+            if not len(i):
+                continue
+            cat, mine = np.concatenate([sets[k] for k in i]), sets[j]
+            hit = mine[np.minimum(np.searchsorted(mine, cat), len(mine) - 1)] == cat
+            both = np.add.reduceat(hit, np.cumsum([0, *(len(sets[k]) for k in i[:-1])]), dtype=np.int64)
+            i = i[100 * both >= percent * (own.n[i] + own.n[j] - both)]
+            i = i[np.unique(own.component[i], return_index=True)[1]]
+            a += np.minimum(own.rep[i], own.rep[j]).tolist()
+            b += np.maximum(own.rep[i], own.rep[j]).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in text_slices(batches, "text"):
+            sets, first = shingle_sets(words_of(batch.column("text"), lower=True), size)
+            values = byte_rows(batch.column("signature"), 4 * TREES * DEPTH).view(np.uint32)
+            keys = zip(*(batch.column(c).to_pylist() for c in cell), strict=True)
+            rest = zip(*(batch.column(c).to_pylist() for c in (*Region.names, "part")), strict=True)
+            for k, (own, row) in enumerate(zip(keys, rest, strict=True)):
+                if own != key and held:
+                    yield from compare(key, held)
+                    held = []
+                key = own
+                held.append((*row[:5], values[k], row[5], sets[first[k]:first[k + 1]]))
+        if held:
+            yield from compare(key, held)
+
+    return (dealt.select(*cell, *Region.names, "part", "signature", "text").repartition(*cell)
+            .sortWithinPartitions(*cell).mapInArrow(run, "a bigint, b bigint"))
 
 
 def neighbours(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs ``a, b, agree`` between components: neighbours in each tree's sorted order."""
+    """Candidate pairs ``a, b``: neighbours in each tree's sorted order."""
     least_agree = int(SKETCH * (percent / 100 - SKETCH_MARGIN))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,34 +293,39 @@ def neighbours(rows: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = [batch.column(c).to_numpy() for c in ("region", "rep", "n", "component")]
+            new = [batch.column(c).to_numpy() for c in ("region", "rep", "n")]
             new.append(byte_rows(batch.column("sketch"), SKETCH))
             seen = len(last[0]) if last else 0
-            region, rep, n, component, sketch = (np.concatenate([x, y]) for x, y in zip(last, new)) if last else new
-            found = []
+            region, rep, n, sketch = (np.concatenate([x, y]) for x, y in zip(last, new, strict=True)) if last else new
+            score = np.full((NEIGHBOURS, len(region)), -1, np.int64)  # agreement with the row so many places back
             for step in range(1, NEIGHBOURS + 1):
                 j = np.arange(max(seen, step), len(region))
                 i = j - step
-                ok = (region[i] == region[j]) & (component[i] != component[j])
+                ok = region[i] == region[j]
                 ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
                 i, j = i[ok], j[ok]
                 agree = (sketch[i] == sketch[j]).sum(1)
-                ok = agree >= least_agree
-                found.append((np.minimum(rep[i], rep[j])[ok], np.maximum(rep[i], rep[j])[ok], agree[ok]))
-            a, b, agree = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(agree, pa.int32())], ["a", "b", "agree"])
-            last = [x[-NEIGHBOURS:] for x in (region, rep, n, component, sketch)]
+                score[step - 1, j] = np.where(agree >= least_agree, agree, -1)
+            found = []
+            for _ in range(PARTNERS):
+                step = score.argmax(0)
+                j = np.flatnonzero(score[step, np.arange(len(region))] >= 0)
+                i = j - step[j] - 1
+                found.append((np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])))
+                score[step[j], j] = -1
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            last = [x[-NEIGHBOURS:] for x in (region, rep, n, sketch)]
 
     listed = rows.repartitionByRange("region", "label", "rep").sortWithinPartitions("region", "label", "rep")
-    pairs = listed.mapInArrow(run, "a bigint, b bigint, agree int")
-    return pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
+    return listed.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def confirm(pairs: DataFrame, pool: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the pairs ``a, b`` whose full sets are similar enough.
 
     ``pool`` has the texts. A pair's texts meet where its first document's
-    pairs are; these are bounded by the trees and neighbours.
+    pairs are; they stream by, one set held.
     """
     roles = pairs.select(F.col("a").alias("hub"), F.col("b").alias("id"), F.lit(1).alias("leaf")).unionByName(
         pairs.select(F.col("a").alias("hub"), F.col("a").alias("id"), F.lit(0).alias("leaf")).distinct())
@@ -185,13 +353,6 @@ def confirm(pairs: DataFrame, pool: DataFrame, size: int, percent: int) -> DataF
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def between(pairs: DataFrame, component: DataFrame) -> DataFrame:
-    """The pairs whose ends are not known to be connected."""
-    of = lambda end: component.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-    return (pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-            .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).drop("of_a", "of_b"))
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                     percent: int = 80) -> DataFrame:
     """Per row: its id, ``n_shingles``, ``component_id``, ``kept``.
@@ -202,37 +363,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     sketches = materialize(sketch_documents(docs, id_col, text_col, shingle_words))
     own = sketches.where((F.col("n") > 0) & F.col("id").isNotNull())
-    grouped = own.groupBy("fp1", "fp2").agg(F.min(F.struct("id", "n", "signature")).alias("r"))
+    grouped = own.groupBy("fp1", "fp2").agg(F.min(F.struct("id", "n", "signature", "sketch")).alias("r"))
     classes = materialize(grouped.select("fp1", "fp2", F.col("r.id").alias("rep"), F.col("r.n").alias("n"),
-                                         F.col("r.signature").alias("signature")))
+                                         F.col("r.signature").alias("signature"), F.col("r.sketch").alias("sketch")))
     spark = docs.sparkSession
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    component = spark.createDataFrame([], "node bigint, component bigint")
-    judged = spark.createDataFrame([], "a bigint, b bigint")
-    while True:
-        known = classes.join(component, F.col("rep") == F.col("node"), "left").select(
-            "rep", "n", "signature", F.coalesce("component", "rep").alias("component"))
-        pairs = materialize(neighbours(forest(known), percent).join(judged, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            break
-        judged = judged.unionByName(pairs.select("a", "b"))
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        pool = materialize(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-                           .join(wanted, "id").dropDuplicates(["id"]))
-        ends = pairs.select("a", "b", "agree").unionByName(
-            pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
-        best = ends.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("m")).select(
-            F.least("a", -F.col("m.b")).alias("a"), F.greatest("a", -F.col("m.b")).alias("b")).distinct()
-        new = materialize(confirm(best, pool, shingle_words, percent))
-        links = links.unionByName(new)
-        component = connected_components(links)
-        rest = between(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), component)
-        more = materialize(confirm(rest, pool, shingle_words, percent))
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            component = connected_components(links)
-        if new.isEmpty() and more.isEmpty():
-            break
+    del own, grouped
+    release(spark)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+
+    def texts_of(ids):
+        wanted = ids.distinct()
+        return materialize(thin(texts, "id", id_filter(wanted)).join(wanted, "id").dropDuplicates(["id"]))
+
+    pairs = materialize(neighbours(forest(classes), percent))
+    pool = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    component = connected_components(confirm(pairs, pool, shingle_words, percent))
+    del pairs, pool
+    rows = materialize(crowded(classes, component))
+    release(spark)
+    some = materialize(in_regions(rows, percent))
+    if not some.isEmpty():
+        passed = rows.join(some, ["region", "rep"], "left_semi")
+        pool = texts_of(some.select(F.col("rep").alias("id"))).withColumnRenamed("id", "rep")
+        component = merged(component, materialize(confirm_in_regions(passed.join(pool, "rep"), shingle_words, percent)))
     rep = classes.select("fp1", "fp2", "rep")
     named = sketches.join(rep, ["fp1", "fp2"], "left").join(component, F.col("rep") == F.col("node"), "left")
     found = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "rep", "id"))
