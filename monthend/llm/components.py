@@ -35,17 +35,17 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
             stars.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.where(F.col("v") > F.col("u")).join(least, "u")
-                 .select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct())
+                 .select(F.col("m").alias("lo"), F.col("v").alias("hi")))
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = (large.join(least, "hi")
                  .select("m", F.explode(F.array("lo", "hi")).alias("hi"))
                  .where(F.col("hi") > F.col("m")).select(F.col("m").alias("lo"), "hi").distinct())
         stars = materialize(small)
         # done when every node has one centre and no centre has another
-        roles = stars.select(F.col("hi").alias("node"), F.lit(1).alias("ray")).unionByName(
-            stars.select(F.col("lo").alias("node"), F.lit(0).alias("ray")).distinct())
-        several = roles.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("ray").alias("ray"))
-        done = several.where((F.col("n") > 1) & (F.col("ray") == 1)).isEmpty()
+        roles = stars.select(F.explode(F.array(F.struct(F.col("hi").alias("node"), F.lit(1).alias("ray")),
+                                               F.struct(F.col("lo").alias("node"), F.lit(0).alias("ray")))).alias("r"))
+        several = roles.groupBy("r.node").agg(F.sum("r.ray").alias("rays"), F.min("r.ray").alias("least"))
+        done = several.where((F.col("rays") > 1) | (F.col("rays") > 0) & (F.col("least") == 0)).isEmpty()
         del both, least, large, small, roles, several
         release(stars.sparkSession)
         if done:
