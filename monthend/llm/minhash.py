@@ -15,13 +15,12 @@ A region of several components that holds more documents than neighbours
 were paired is then gone through whole: all its pairs between different
 components are compared by signature and the similar ones on their full sets,
 each in the first tree that brings it together; only links leave the region.
-Where a region is too large for that
-its prefix grows by a value at a time, which parts it into smaller ones: the
-depth adapts to how crowded a region is.
+A region of any size is compared whole, at the same prefix: above ``CROWD``
+documents it is dealt in parts, each pair of parts to a task of its own.
 
 A text moves only if its document has candidates. Sorted orders are cut into
-ranges, a crowded region into several; regions that are gone through whole
-hold ``CROWD`` documents at most.
+ranges, a crowded region into several; a task that compares signatures holds
+about two times ``CROWD`` of them at most.
 
 Defined cases: a text without words (or null) has an empty set and is linked
 with nothing; fewer words than a shingle has make one shingle of the whole
@@ -47,7 +46,7 @@ from monthend.session import materialize
 TREES, DEPTH, MIN_DEPTH = 16, 8, 3
 NEIGHBOURS = 8     # places on either side that are looked at
 PARTNERS = 2       # of them, those that a document is paired with in a tree
-CROWD = 8192       # documents of a region whose pairs are all compared
+CROWD = 8192       # documents of a part of a region; a task compares two parts
 CELL = 1 << 20     # shingles of a region that a task compares with as many others
 SKETCH = 64        # bytes compared before full sets are
 SKETCH_MARGIN = 0.25
@@ -105,15 +104,13 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, size: int) ->
         run, "id bigint, n bigint, fp1 bigint, fp2 bigint, signature binary, sketch binary")
 
 
-def prefixes(rows: np.ndarray, tree: int) -> list[np.ndarray]:
-    """Of signatures (bytes) a tree's prefix of each depth from ``MIN_DEPTH`` on, as one number."""
+def regions_of(rows: np.ndarray, tree: int) -> np.ndarray:
+    """Of signatures (bytes) a tree and its prefix of ``MIN_DEPTH`` values, as one number."""
     values = np.ascontiguousarray(rows[:, 4 * DEPTH * tree:4 * DEPTH * (tree + 1)]).view(">u4").astype(np.uint64)
-    number, out = np.full(len(rows), tree, np.uint64), []
-    for depth in range(DEPTH):
+    number = np.full(len(rows), tree, np.uint64)
+    for depth in range(MIN_DEPTH):
         number = mix(number * np.uint64(0x9E3779B97F4A7C15) + values[:, depth])
-        if depth + 1 >= MIN_DEPTH:
-            out.append(number.view(np.int64))
-    return out
+    return number.view(np.int64)
 
 
 def forest(classes: DataFrame) -> DataFrame:
@@ -127,7 +124,7 @@ def forest(classes: DataFrame) -> DataFrame:
             for tree in range(TREES):
                 label = rows[:, 4 * (DEPTH * tree + MIN_DEPTH):4 * DEPTH * (tree + 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(prefixes(rows, tree)[0]), fixed_binary(label), batch.column("rep"), batch.column("n"),
+                    [pa.array(regions_of(rows, tree)), fixed_binary(label), batch.column("rep"), batch.column("n"),
                      batch.column("sketch")], ["region", "label", "rep", "n", "sketch"])
 
     return classes.select("signature", "rep", "n", "sketch").mapInArrow(
@@ -135,11 +132,10 @@ def forest(classes: DataFrame) -> DataFrame:
 
 
 def crowded(classes: DataFrame, component: DataFrame) -> DataFrame:
-    """``region, tree, rep, n, component, signature, parted`` of mixed regions where pairs were passed over.
+    """``region, tree, rep, n, component, signature, parts, whole, big`` of mixed regions where pairs were passed over.
 
-    Regions of more than ``CROWD`` documents are parted by longer prefixes.
+    A region of more than ``CROWD`` documents is dealt in ``parts``.
     """
-    deeper = [f"d{k}" for k in range(MIN_DEPTH + 1, DEPTH + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,88 +144,99 @@ def crowded(classes: DataFrame, component: DataFrame) -> DataFrame:
             rows = byte_rows(batch.column("signature"), 4 * TREES * DEPTH)
             for tree in range(TREES):
                 yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, prefixes(rows, tree)), pa.array(np.full(len(rows), tree, np.int32)), batch.column("rep")],
-                    ["region", *deeper, "tree", "rep"])
+                    [pa.array(regions_of(rows, tree)), pa.array(np.full(len(rows), tree, np.int32)), batch.column("rep")],
+                    ["region", "tree", "rep"])
 
-    places = classes.select("signature", "rep").mapInArrow(
-        run, f"region bigint, {', '.join(f'{d} bigint' for d in deeper)}, tree int, rep bigint")
-    known = lambda rows: rows.join(component, F.col("rep") == F.col("node"), "left").select(
-        *rows.columns, F.coalesce("component", "rep").alias("component"))
+    places = classes.select("signature", "rep").mapInArrow(run, "region bigint, tree int, rep bigint")
     sizes = places.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > PARTNERS + 1)
-    rows, done = materialize(known(places.join(sizes, "region"))), None
-    # the trees in which a document's region is parted: there a pair may not have met
-    parted = (rows.where(F.col("size") > CROWD).groupBy("rep")
-              .agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("parted")))
-    for depth in [*deeper, None]:
-        mixed = rows.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        rows = rows.join(mixed.where(F.col("x") != F.col("y")).select("region"), "region", "left_semi")
-        fit = rows if depth is None else rows.where(F.col("size") <= CROWD)
-        fit = fit.select("region", "tree", "rep", "component")
-        done = fit if done is None else done.unionByName(fit)
-        if depth is None or rows.where(F.col("size") > CROWD).isEmpty():
-            break
-        longer = rows.where(F.col("size") > CROWD).drop("size", "region").withColumnRenamed(depth, "region")
-        sizes = longer.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-        rows = materialize(longer.join(sizes, "region"))
-    return (done.join(classes.select("rep", "n", "signature"), "rep").join(parted, "rep", "left")
-            .withColumn("parted", F.coalesce("parted", F.lit(0))))
+    rows = materialize(places.join(sizes.select("region"), "region").join(component, F.col("rep") == F.col("node"), "left")
+                       .select("region", "tree", "rep", F.coalesce("component", "rep").alias("component")))
+    counts = rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("own"))
+    mixed = counts.groupBy("region").agg(F.sum("own").alias("size"), F.max(F.struct("own", "component")).alias("top")).where(
+        F.col("size") > F.col("top.own"))
+    in_parts = lambda n: F.when(F.col("size") > CROWD, F.ceil(n / CROWD)).cast("int")
+    dealt = mixed.select("region", F.col("top.component").alias("largest"),
+                         F.coalesce(in_parts(F.col("size")), F.lit(1)).alias("parts"), F.lit(0).alias("whole"))
+    return (rows.join(dealt, "region").withColumn("big", (F.col("whole") > 0) & (F.col("component") == F.col("largest")))
+            .drop("largest").join(classes.select("rep", "n", "signature"), "rep"))
+
+
+def cells(rows: DataFrame) -> DataFrame:
+    """The rows of ``crowded`` with their ``part``, once for each pair of parts ``i <= j`` whose documents are compared.
+
+    Parts of the largest component come last and meet only those of the other
+    documents, so a cell holds two parts of about ``CROWD`` documents at most,
+    however large the region or the component.
+    """
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("big"), F.col("whole")).otherwise(F.col("parts"))).cast("int")
+    last = F.when(F.col("big"), F.col("parts")).otherwise(F.col("parts") + F.col("whole")) - 1
+    return (rows.withColumn("part", F.when(F.col("big"), F.col("parts")).otherwise(F.lit(0)) + own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+            .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+            .select("region", "i", "j", *Region.names, "signature"))
 
 
 class Region:
-    """Documents of a region, the largest component first, which has nothing to compare within."""
+    """Documents of a region that are compared: those of one part with each other, or of two parts across.
+
+    The largest component comes first, or the larger part, which has nothing
+    to compare within.
+    """
 
-    names = ("n", "component", "rep", "tree", "parted")
+    names = ("n", "component", "rep", "tree", "part")
 
-    def __init__(self, columns: dict[str, np.ndarray], values: np.ndarray, percent: int):
-        _, which, sizes = np.unique(columns["component"], return_inverse=True, return_counts=True)
+    def __init__(self, columns: dict[str, np.ndarray], values: np.ndarray, percent: int, across: bool):
+        _, which, sizes = np.unique(columns["part" if across else "component"], return_inverse=True, return_counts=True)
         self.order = np.lexsort((which, -sizes[which]))
-        self.n, self.component, self.rep, self.tree, self.parted = (columns[c][self.order] for c in self.names)
-        self.values, self.others, self.percent = values[self.order], int(sizes.max()), percent
+        self.n, self.component, self.rep, self.tree, _ = (columns[c][self.order] for c in self.names)
+        self.values, self.others, self.percent, self.across = values[self.order], int(sizes.max()), percent, across
         self.least_agree = int(TREES * DEPTH * (percent / 100 - SIGNATURE_MARGIN))
 
     def candidates(self) -> Iterator[tuple[int, np.ndarray]]:
         """(j, earlier places) whose signatures agree enough, each pair in the first tree that brings it together."""
         for j in range(self.others, len(self.n)):
-            i = np.flatnonzero((self.component[:j] != self.component[j])
-                               & (100 * np.minimum(self.n[:j], self.n[j]) >= self.percent * np.maximum(self.n[:j], self.n[j])))
+            to = self.others if self.across else j
+            i = np.flatnonzero((self.component[:to] != self.component[j])
+                               & (100 * np.minimum(self.n[:to], self.n[j]) >= self.percent * np.maximum(self.n[:to], self.n[j])))
             same = self.values[i] == self.values[j]
             enough = same.sum(1) >= self.least_agree
             i, same = i[enough], same[enough]
             met = same.reshape(len(i), TREES, DEPTH)[:, :self.tree[j], :MIN_DEPTH].all(2)
-            whole = (self.parted[j] | self.parted[i])[:, None] >> np.arange(self.tree[j]) & 1 == 0
-            i = i[~(met & whole).any(1)]
+            i = i[~met.any(1)]
             if len(i):
                 yield j, i
 
 
 def in_regions(rows: DataFrame, percent: int) -> DataFrame:
-    """``region, rep`` of the documents that have a candidate there."""
+    """``region, rep`` of the documents that have a candidate there; each cell is a task's of its own."""
+    cell = ["region", "i", "j"]
 
-    def within(region: int, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        own = Region(dict(zip(Region.names, columns[:-1], strict=True)), columns[-1], percent)
+    def within(key: tuple, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        own = Region(dict(zip(Region.names, columns[:-1], strict=True)), columns[-1], percent, key[1] != key[2])
         has = np.zeros(len(own.n), bool)
         for j, i in own.candidates():
             has[j] = has[i] = True
         if has.any():
             rep = own.rep[has]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rep), region)), pa.array(rep)], ["region", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rep), key[0])), pa.array(rep)], ["region", "rep"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = [batch.column(c).to_numpy() for c in ("region", *Region.names)]
+            new = [batch.column(c).to_numpy() for c in (*cell, *Region.names)]
             new.append(byte_rows(batch.column("signature"), 4 * TREES * DEPTH).view(np.uint32))
             held = [np.concatenate([x, y]) for x, y in zip(held, new, strict=True)] if held else new
-            cut = [0, *(np.flatnonzero(held[0][1:] != held[0][:-1]) + 1).tolist()]
+            other = np.any([x[1:] != x[:-1] for x in held[:3]], axis=0)
+            cut = [0, *(np.flatnonzero(other) + 1).tolist()]
             for i, j in zip(cut[:-1], cut[1:], strict=True):
-                yield from within(held[0][i], [x[i:j] for x in held[1:]])
-            held = [x[cut[-1]:] for x in held]  # the last region may go on in the next batch
+                yield from within(tuple(x[i] for x in held[:3]), [x[i:j] for x in held[3:]])
+            held = [x[cut[-1]:] for x in held]  # the last cell may go on in the next batch
         if held:
-            yield from within(held[0][0], held[1:])
+            yield from within(tuple(x[0] for x in held[:3]), held[3:])
 
-    return rows.repartition("region").sortWithinPartitions("region").mapInArrow(run, "region bigint, rep bigint")
+    return cells(rows).repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, "region bigint, rep bigint")
 
 
 def confirm_in_regions(rows: DataFrame, size: int, percent: int) -> DataFrame:
@@ -239,6 +246,7 @@ def confirm_in_regions(rows: DataFrame, size: int, percent: int) -> DataFrame:
     to a task of its own. Only links come out, one of each document and
     component at most.
     """
+    rows = rows.drop("parts", "whole", "big")
     parts = rows.groupBy("region").agg(F.ceil(F.sum("n") / CELL).cast("int").alias("parts"))
     cell = ["region", "i", "j"]
     dealt = (rows.join(parts, "region").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
@@ -247,14 +255,10 @@ def confirm_in_regions(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
     def compare(key: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         columns = {c: np.array([r[k] for r in held]) for k, c in enumerate(Region.names)}
-        own = Region(columns, np.stack([r[5] for r in held]), percent)
-        part, sets = np.array([r[6] for r in held])[own.order], [held[k][7] for k in own.order]
+        own = Region(columns, np.stack([r[5] for r in held]), percent, key[1] != key[2])
+        sets = [held[k][6] for k in own.order]
         a, b = [], []
         for j, i in own.candidates():
-            if key[1] != key[2]:
-                i = i[part[i] != part[j]]
-            if not len(i):
-                continue
             cat, mine = np.concatenate([sets[k] for k in i]), sets[j]
             hit = mine[np.minimum(np.searchsorted(mine, cat), len(mine) - 1)] == cat
             both = np.add.reduceat(hit, np.cumsum([0, *(len(sets[k]) for k in i[:-1])]), dtype=np.int64)
@@ -270,17 +274,17 @@ def confirm_in_regions(rows: DataFrame, size: int, percent: int) -> DataFrame:
             sets, first = shingle_sets(words_of(batch.column("text"), lower=True), size)
             values = byte_rows(batch.column("signature"), 4 * TREES * DEPTH).view(np.uint32)
             keys = zip(*(batch.column(c).to_pylist() for c in cell), strict=True)
-            rest = zip(*(batch.column(c).to_pylist() for c in (*Region.names, "part")), strict=True)
+            rest = zip(*(batch.column(c).to_pylist() for c in Region.names), strict=True)
             for k, (own, row) in enumerate(zip(keys, rest, strict=True)):
                 if own != key and held:
                     yield from compare(key, held)
                     held = []
                 key = own
-                held.append((*row[:5], values[k], row[5], sets[first[k]:first[k + 1]]))
+                held.append((*row, values[k], sets[first[k]:first[k + 1]]))
         if held:
             yield from compare(key, held)
 
-    return (dealt.select(*cell, *Region.names, "part", "signature", "text").repartition(*cell)
+    return (dealt.select(*cell, *Region.names, "signature", "text").repartition(*cell)
             .sortWithinPartitions(*cell).mapInArrow(run, "a bigint, b bigint"))
 
 

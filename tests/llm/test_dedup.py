@@ -100,6 +100,54 @@ def test_near_duplicates_of_groups_and_odd_texts(spark):
     check_near(frame, dict(enumerate(texts)), 2)
 
 
+def class_rows(spark, values):
+    """A table of classes with these signatures (rows of minhash values)."""
+    rows = [(i, 100, bytearray(v.astype(">u4").tobytes())) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "rep long, n long, signature binary")
+
+
+def crowd_of_signatures(n):
+    """Unlike signatures that share three values in tree 0; the first two agree by 80 % but in no other prefix."""
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 1 << 32, (n, minhash.TREES, minhash.DEPTH), np.uint64)
+    values[1] = values[0]
+    values[1, 1:, 0] += np.uint64(1)
+    values[1, 0, 3] += np.uint64(1)
+    values[:, 0, :3] = 7
+    return values.reshape(n, -1)
+
+
+def test_a_large_region_is_compared_at_its_shortest_prefix(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CROWD", 4)
+    classes = class_rows(spark, crowd_of_signatures(30))
+    rows = minhash.crowded(classes, spark.createDataFrame([], "node long, component long"))
+    assert {r.rep for r in minhash.in_regions(rows, 80).collect()} == {0, 1}
+
+
+def template_family(rng, pairs, n=60):
+    """Texts of one template, far from each other but for pairs near the threshold."""
+    base = [f"t{i}" for i in range(n)]
+    texts = []
+    for k in range(pairs):
+        own = list(base)
+        for j in rng.sample(range(0, n, 2), 4):
+            own[j] = f"o{k}x{j}"
+        other = list(own)
+        for j in rng.sample([j for j in range(0, n, 2) if own[j] == base[j]], 3):
+            other[j] = f"p{k}x{j}"
+        texts += [" ".join(own), " ".join(other)]
+    rng.shuffle(texts)
+    return texts
+
+
+def test_regions_above_the_crowd_lose_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CROWD", 4)
+    monkeypatch.setattr(minhash, "PARTNERS", 1)  # so that most pairs are left to the regions
+    monkeypatch.setattr(minhash, "NEIGHBOURS", 1)
+    texts = template_family(random.Random(6), 100)
+    check_near(documents(spark, texts), dict(enumerate(texts)), 2)
+
+
 def test_near_duplicates_with_null_and_repeated_ids(spark):
     frame = documents(spark, ["a b c", "a b c", "a b c", "x y z", None], ids=[None, 4, 4, 9, None])
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(frame, shingle_words=2).collect()),
