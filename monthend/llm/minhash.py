@@ -16,7 +16,9 @@ were paired is then gone through whole: all its pairs between different
 components are compared by signature and the similar ones on their full sets,
 each in the first tree that brings it together; only links leave the region.
 A region of any size is compared whole, at the same prefix: above ``CROWD``
-documents it is dealt in parts, each pair of parts to a task of its own.
+documents it is dealt in parts, each pair of parts to a task of its own. Its
+largest component is only what the other documents are compared with, so one
+large group of copies is sent once for every ``CROWD`` of the others.
 
 A text moves only if its document has candidates. Sorted orders are cut into
 ranges, a crowded region into several; a task that compares signatures holds
@@ -134,7 +136,8 @@ def forest(classes: DataFrame) -> DataFrame:
 def crowded(classes: DataFrame, component: DataFrame) -> DataFrame:
     """``region, tree, rep, n, component, signature, parts, whole, big`` of mixed regions where pairs were passed over.
 
-    A region of more than ``CROWD`` documents is dealt in ``parts``.
+    A region of more than ``CROWD`` documents is dealt: its largest component
+    (``big``) in ``whole`` parts, the other documents in ``parts``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +159,8 @@ def crowded(classes: DataFrame, component: DataFrame) -> DataFrame:
         F.col("size") > F.col("top.own"))
     in_parts = lambda n: F.when(F.col("size") > CROWD, F.ceil(n / CROWD)).cast("int")
     dealt = mixed.select("region", F.col("top.component").alias("largest"),
-                         F.coalesce(in_parts(F.col("size")), F.lit(1)).alias("parts"), F.lit(0).alias("whole"))
+                         F.coalesce(in_parts(F.col("size") - F.col("top.own")), F.lit(1)).alias("parts"),
+                         F.coalesce(in_parts(F.col("top.own")), F.lit(0)).alias("whole"))
     return (rows.join(dealt, "region").withColumn("big", (F.col("whole") > 0) & (F.col("component") == F.col("largest")))
             .drop("largest").join(classes.select("rep", "n", "signature"), "rep"))
 

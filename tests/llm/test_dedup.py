@@ -140,6 +140,18 @@ def template_family(rng, pairs, n=60):
     return texts
 
 
+def test_a_component_that_shares_a_whole_label_is_dealt_to_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CROWD", 4)
+    values = crowd_of_signatures(81)
+    values[:, :minhash.DEPTH] = 7
+    component = spark.createDataFrame([(i, 1) for i in range(1, 81)], "node long, component long")
+    rows = minhash.crowded(class_rows(spark, values), component)
+    held = rows.transform(minhash.cells).groupBy("region", "i", "j").count().collect()
+    assert max(r["count"] for r in held) <= 4 * minhash.CROWD
+    assert sum(r["count"] for r in held) <= 2 * 81  # the large component once for each part of the others
+    assert {r.rep for r in minhash.in_regions(rows, 80).collect()} == {0, 1}
+
+
 def test_regions_above_the_crowd_lose_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(minhash, "CROWD", 4)
     monkeypatch.setattr(minhash, "PARTNERS", 1)  # so that most pairs are left to the regions
