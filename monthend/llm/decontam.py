@@ -19,10 +19,16 @@ agree with them.
 Items are searched in blocks of bounded size, each block sent to all tasks in
 one pass over the documents; windows do not overlap documents.
 
-Defined cases: items below ``least_words`` words match nothing; null or empty
-texts hold nothing; repeated rows of either table count once; rows with a
-null id are searched and hit with a null id; empty tables give an empty
-result; other columns are ignored.
+Items below ``least_words`` words are searched for as well with ``short``, by
+exact equality: of their words, or, if they begin or end in a script written
+without spaces, of their characters (``LEAST_CHARS`` at least, as a shorter
+one is in most texts); their distance is 0.
+
+Defined cases: items without words match nothing, nor do items below
+``least_words`` words without ``short``; null or empty texts hold nothing;
+repeated rows of either table count once; rows of either table with a null id
+are searched or searched for, and hit with a null id; empty tables give an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthend.llm.words import mix, text_slices, words_of
+from monthend.llm.words import PLAIN, mix, text_slices, window_hashes, words_of
 
 EDITS = 0.2          # edits allowed, as a part of the item's words
 LEAST_WORDS = 8
@@ -46,8 +52,13 @@ TRIALS = 400         # edited copies that the number of repetitions is found wit
 BLOCK_WORDS = 1 << 20
 RATIO = 1.25         # longest to shortest item of a class
 COMMON = 0.02        # words in more than this part of a block's items are not rare
+LEAST_CHARS = 8      # of short items that are searched for by characters
+#: First and last characters of scripts written without spaces: South-East Asian, CJK and kana, full width, further CJK.
+UNSPACED = np.array([(0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x2E80, 0x31FF),
+                     (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0xFF00, 0xFFDC), (0x20000, 0x3FFFF)])
+_SEPARATED = bytes(32 if white else b + 32 if 65 <= b <= 90 else b for b, white in enumerate(PLAIN))
 
-Item = tuple[int, np.ndarray]
+Item = tuple[int | None, np.ndarray]
 
 
 def allowed(n: int, edits: float) -> int:
@@ -151,20 +162,31 @@ def repetitions_needed(rng: np.random.Generator, items: list[Item], shortest: in
     return rounds
 
 
+@dataclass
+class Exact:
+    """Short items: by number of words their sorted hashes and whose they are, or by first eight bytes their text."""
+
+    runs: dict[int, tuple[np.ndarray, np.ndarray]]
+    texts: dict[int, list[tuple[int, bytes]]]
+
+
 @dataclass
 class Block:
-    """Items by length, the words they hold, those of few items, and their length classes."""
+    """Items by length, the words they hold, those of few items, their length classes, and then the short items."""
 
     items: list[Item]
     words: np.ndarray
     rare: np.ndarray
     classes: list[LengthClass]
+    exact: Exact | None = None
 
 
 def prepare(items: list[Item], edits: float, recall: float, sampled: int, seed: int = 7) -> Block:
     """A block of items made ready to be searched for."""
     rng, classes = np.random.default_rng(seed), []
-    items = sorted(items, key=lambda x: (len(x[1]), x[0]))
+    items = sorted(items, key=lambda x: (len(x[1]), x[0] is None, x[0] or 0, x[1].tobytes()))
+    if not items:
+        return Block([], np.zeros(0, np.uint64), np.zeros(0, np.uint64), [])
     vocabulary, times = np.unique(np.concatenate([np.unique(w) for _, w in items]), return_counts=True)
     rare = vocabulary[times <= max(2, COMMON * len(items))]
     at = 0
@@ -248,34 +270,112 @@ def find_hits(words: np.ndarray, first: np.ndarray, block: Block, edits: float)
     return [(*key, *value) for key, value in hits.items()]
 
 
-def read_items(benchmark: DataFrame, item_col: str, text_col: str, least_words: int) -> list[Item]:
+def separated(col: pa.Array) -> Iterator[bytes]:
+    """The words of each text, A-Z folded, with a space between."""
+    for text in col.cast(pa.large_string()).cast(pa.large_binary()).to_pylist():
+        yield b" ".join((text or b"").translate(_SEPARATED).split())
+
+
+def unspaced(char: str) -> bool:
+    return bool(((UNSPACED[:, 0] <= ord(char)) & (ord(char) <= UNSPACED[:, 1])).any())
+
+
+def prepare_exact(short: list[tuple[int | None, np.ndarray, bytes]], at: int) -> Exact:
+    """Short items made ready to be searched for; the first has index ``at``."""
+    runs, texts = {}, {}
+    for k, (_, words, text) in enumerate(short, at):
+        chars = text.decode(errors="replace")
+        if not (unspaced(chars[0]) or unspaced(chars[-1])):
+            runs.setdefault(len(words), []).append((int(window_hashes(words, len(words))[0]), k))
+        elif len(chars) >= LEAST_CHARS:
+            texts.setdefault(int.from_bytes(text[:8], "little"), []).append((k, text))
+    laid = {n: sorted(x) for n, x in runs.items()}
+    return Exact({n: (np.array([h for h, _ in x], np.uint64), np.array([k for _, k in x])) for n, x in laid.items()}, texts)
+
+
+def find_runs(words: np.ndarray, first: np.ndarray, exact: Exact) -> Iterator[tuple[int, int, int, int]]:
+    """``find_hits`` of the short items that are searched for by words."""
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    for n, (keys, items) in exact.runs.items():
+        start = np.flatnonzero(among(window_hashes(words, n), keys))
+        start = start[start + n <= first[1:][owner[start]]]
+        values = window_hashes(words, n)[start]
+        lo, hi = (np.searchsorted(keys, values, side) for side in ("left", "right"))
+        seen = {}
+        for at, i, j in zip(start.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            for k in range(i, j):
+                seen.setdefault((int(owner[at]), int(items[k])), at + n - int(first[owner[at]]))
+        yield from ((*key, 0, end) for key, end in seen.items())
+
+
+def find_texts(col: pa.Array, exact: Exact) -> Iterator[tuple[int, int, int, int]]:
+    """``find_hits`` of the short items that are searched for by characters."""
+    anchors, step = np.array(sorted(exact.texts), np.uint64), 1 << 20
+    for k, own in enumerate(separated(col)):
+        data, seen = np.frombuffer(own, np.uint8), set()
+        for base in range(0, len(data) - 7, step):
+            keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data[base:base + step + 7], 8)).view("<u8")[:, 0]
+            for at in (np.flatnonzero(among(keys, anchors)) + base).tolist():
+                for which, item in exact.texts[int.from_bytes(own[at:at + 8], "little")]:
+                    to = at + len(item)
+                    if which in seen or not own.startswith(item, at):
+                        continue
+                    chars = item.decode(errors="replace")  # beside a letter of a spaced script the word has to end
+                    if (at == 0 or own[at - 1] == 32 or unspaced(chars[0])) and (
+                            to == len(own) or own[to] == 32 or unspaced(chars[-1])):
+                        seen.add(which)
+                        yield k, which, 0, own.count(b" ", 0, to) + 1
+
+
+def hits_of(col: pa.Array, block: Block, edits: float) -> list[tuple[int, int, int, int]]:
+    """(text, item index, distance, end word) of the best part of each text for each item of a block it holds."""
+    w = words_of(col, lower=True, plain=True)
+    hits = find_hits(w.hashes, w.first, block, edits) if block.classes else []
+    if block.exact and block.exact.runs and len(w.hashes):
+        hits += find_runs(w.hashes, w.first, block.exact)
+    if block.exact and block.exact.texts:
+        hits += find_texts(col, block.exact)
+    return hits
+
+
+def read_items(benchmark: DataFrame, item_col: str, text_col: str) -> list[tuple[int | None, np.ndarray, bytes]]:
+    """Id, words and separated text of each item that has words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             w = words_of(batch.column("text"), lower=True, plain=True)
             rows = [w.hashes[i:j].tobytes() for i, j in zip(w.first[:-1], w.first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.binary())], ["id", "words"])
+            texts = list(separated(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.binary()), pa.array(texts, pa.binary())],
+                                             ["id", "words", "text"])
 
     read = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id bigint, words binary").distinct()
-    items = [(r["id"], np.frombuffer(r["words"], np.uint64)) for r in read.collect()]
-    return sorted(((i, w) for i, w in items if i is not None and len(w) >= least_words), key=lambda x: (x[0], x[1].tobytes()))
+        run, "id bigint, words binary, text binary").distinct()
+    items = [(r["id"], np.frombuffer(r["words"], np.uint64), bytes(r["text"])) for r in read.collect() if len(r["words"])]
+    return sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1].tobytes()))
 
 
 def blocks_of(benchmark: DataFrame, item_col: str, item_text: str, edits: float, recall: float,
-              least_words: int) -> Iterator[Block]:
+              least_words: int, short: bool) -> Iterator[Block]:
     """The benchmark's items in blocks of bounded size, each ready to be sent to all tasks."""
     size = benchmark.agg(F.sum(F.length(item_text))).first()[0] or 0
     blocks = max(1, math.ceil(size / 5 / BLOCK_WORDS))
     for k in range(blocks):
-        part = benchmark.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == k)
-        items = read_items(part, item_col, item_text, least_words)
-        if items:
-            yield prepare(items, edits, recall, SAMPLED)
+        # by text too, as many items may have a null id
+        part = benchmark.where(F.pmod(F.xxhash64(item_col, item_text), F.lit(blocks)) == k)
+        items = read_items(part, item_col, item_text)
+        below = [x for x in items if len(x[1]) < least_words] if short else []
+        above = [x[:2] for x in items if len(x[1]) >= least_words]
+        if above or below:
+            block = prepare(above, edits, recall, SAMPLED)
+            block.exact = prepare_exact(below, len(block.items))
+            block.items += [x[:2] for x in below]
+            yield block
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text", edits: float = EDITS, recall: float = RECALL,
-                 least_words: int = LEAST_WORDS) -> DataFrame:
+                 least_words: int = LEAST_WORDS, short: bool = False) -> DataFrame:
     """A row per document and item it holds: ids, ``item_words``, ``distance``, ``end_word``.
 
     ``distance`` counts word edits between the item and the nearest part of
@@ -285,14 +385,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     schema = f"`{id_col}` bigint, `{item_col}` bigint, item_words bigint, distance bigint, end_word bigint"
     out = spark.createDataFrame([], schema)
-    for block in blocks_of(benchmark, item_col, item_text, edits, recall, least_words):
+    for block in blocks_of(benchmark, item_col, item_text, edits, recall, least_words, short):
         sent = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             items = sent.value.items
             for batch in text_slices(batches, "text"):
-                w = words_of(batch.column("text"), lower=True, plain=True)
-                hits = find_hits(w.hashes, w.first, sent.value, edits)
+                hits = hits_of(batch.column("text"), sent.value, edits)
                 if hits:
                     text, which, distance, end = (np.array(x) for x in zip(*hits, strict=True))
                     yield pa.RecordBatch.from_arrays(
@@ -309,18 +408,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                          item_text: str = "text", edits: float = EDITS, recall: float = RECALL,
-                         least_words: int = LEAST_WORDS) -> DataFrame:
+                         least_words: int = LEAST_WORDS, short: bool = False) -> DataFrame:
     """The rows of ``docs`` that hold no item, all their columns unchanged."""
     spark = docs.sparkSession
     out = docs
-    for block in blocks_of(benchmark, item_col, item_text, edits, recall, least_words):
+    for block in blocks_of(benchmark, item_col, item_text, edits, recall, least_words, short):
         sent = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in text_slices(batches, text_col):
-                w = words_of(batch.column(text_col), lower=True, plain=True)
                 keep = np.ones(batch.num_rows, bool)
-                keep[[hit[0] for hit in find_hits(w.hashes, w.first, sent.value, edits)]] = False
+                keep[[hit[0] for hit in hits_of(batch.column(text_col), sent.value, edits)]] = False
                 yield batch.filter(pa.array(keep))
 
         out = out.mapInArrow(run, docs.schema)

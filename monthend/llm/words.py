@@ -47,7 +47,7 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_PLAIN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+PLAIN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 _BYTES = _Powers(_M, _M_INV)
 _C = np.uint64(0xD6E8FEB86659FD93)
@@ -103,7 +103,7 @@ def words_of(col: pa.Array, lower: bool, plain: bool = False) -> Words:
     n = len(data)
     if not n:
         return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64))
-    white = _PLAIN[data] if plain else (data == 32) | ((data >= 9) & (data <= 13))
+    white = PLAIN[data] if plain else (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.empty(n, bool)

@@ -85,6 +85,24 @@ def test_items_in_blocks_and_odd_ids(spark, monkeypatch):
     assert decontam.contaminated(documents(spark, []), benchmark(spark, items)).count() == 0
 
 
+def test_short_items_and_items_without_an_id(spark, tmp_path):
+    rng = random.Random(4)
+    long = [prose(rng, 20), prose(rng, 20)]
+    items = [(1, "Seven words make this item, not eight"), (2, "constantinople"), (None, long[0]), (4, "人工智能将改变世界的未来"),
+             (5, "是的"), (None, "two Words"), (7, long[1]), (8, "GPT-4 は大規模言語モデル"), (9, "..."), (None, None)]
+    texts = ["He said: seven words, make THIS item not eight!", "seven words make this item not nine eight", "in Constantinople.",
+             "constantinoples", f"so {long[0]} it is", "有人说人工智能将改变世界的未来,是的", "人工智能将改变世界", "two\nwords", "two other words",
+             long[1], None, "", "x gpt 4 は大規模言語モデルです", "xgpt 4 は大規模言語モデルです", "two", "words"]
+    frame = documents(spark, texts)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in queries.op7_decontamination(spark, str(tmp_path)).collect()}
+    assert got == {(0, 1, 7, 0, 9), (2, 2, 1, 0, 2), (4, None, 20, 0, 21), (5, 4, 1, 0, 1), (7, None, 2, 0, 2), (9, 7, 20, 0, 20),
+                   (12, 8, 3, 0, 4)}
+    left = corpus_pipeline.decontamination(spark, frame, str(tmp_path))
+    assert {r.doc_id for r in left.collect()} == set(range(len(texts))) - {0, 2, 4, 5, 7, 9, 12}
+
+
 def test_recall_at_the_largest_distance():
     rng, words = np.random.default_rng(5), random.Random(5)
     texts = [prose(words, 12 + k % 50) for k in range(120)]
