@@ -49,6 +49,7 @@ LEAST_WORDS = 8
 SAMPLED = 3          # steps a repetition compares
 RECALL = 0.95        # of copies at the largest distance; nearer ones are found more often
 TRIALS = 400         # edited copies that the number of repetitions is found with
+MOST_ROUNDS = 400    # repetitions, beyond which fewer steps are sampled
 BLOCK_WORDS = 1 << 20
 RATIO = 1.25         # longest to shortest item of a class
 COMMON = 0.02        # words in more than this part of a block's items are not rare
@@ -144,22 +145,26 @@ def laid_out(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repetitions_needed(rng: np.random.Generator, items: list[Item], shortest: int, edits: float, recall: float,
-                       sampled: int) -> int:
-    """How many repetitions find a copy at the largest distance with probability ``recall``."""
+                       sampled: int) -> tuple[int, int]:
+    """How many repetitions of how many sampled steps find a copy at the largest distance with probability ``recall``.
+
+    Copies are followed by other words, as in a document. Fewer steps are
+    sampled where ``MOST_ROUNDS`` repetitions are not enough.
+    """
     pick = [items[i][1] for i in rng.integers(len(items), size=TRIALS)]
-    copies = [edited(rng, w, allowed(len(w), edits)) for w in pick]
-    missed = np.zeros(TRIALS, np.int64)
+    copies = [np.concatenate([edited(rng, w, allowed(len(w), edits)), rng.integers(1, 1 << 63, 2 * shortest, np.uint64)])
+              for w in pick]
     both = [laid_out(pick), laid_out(copies)]
-    rounds = 0
-    while rounds < 400:
-        bits, steps = draw(rng, shortest, sampled)
-        a, b = (walk(*x, bits, steps)[1][-1] for x in both)
-        missed += a == b
-        rounds += 1
-        # the mean over copies, as their chances differ
-        if rounds % 5 == 0 and (missed > 0).mean() >= recall:
-            break
-    return rounds
+    for steps_of in range(sampled, 0, -1):
+        found = np.zeros(TRIALS, bool)
+        for rounds in range(1, MOST_ROUNDS + 1):
+            bits, steps = draw(rng, shortest, steps_of)
+            a, b = (walk(*x, bits, steps)[1][-1] for x in both)
+            found |= a == b
+            # the mean over copies, as their chances differ
+            if rounds % 5 == 0 and found.mean() >= recall:
+                return rounds, steps_of
+    raise ValueError(f"a recall of {recall} is not reached for items of {shortest} words with {edits} edits a word")
 
 
 @dataclass
@@ -197,8 +202,9 @@ def prepare(items: list[Item], edits: float, recall: float, sampled: int, seed:
         own = items[at:to]
         words, place = laid_out([w for _, w in own])
         reps = []
-        for _ in range(repetitions_needed(rng, own, shortest, edits, recall, sampled)):
-            bits, steps = draw(rng, shortest, sampled)
+        rounds, steps_of = repetitions_needed(rng, own, shortest, edits, recall, sampled)
+        for _ in range(rounds):
+            bits, steps = draw(rng, shortest, steps_of)
             _, values = walk(words, place, bits, steps)
             order = np.argsort(values[-1], kind="stable")
             reps.append(Repetition(bits, steps, [np.unique(v) for v in values], values[-1][order], order + at))

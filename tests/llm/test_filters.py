@@ -118,6 +118,21 @@ def test_recall_at_the_largest_distance():
     assert found / len(items) >= 0.9
 
 
+@pytest.mark.parametrize(("n", "most"), [(8, 400), (15, 400), (60, 20)])
+def test_recall_of_the_shortest_items_of_a_class_and_with_few_rounds(monkeypatch, n, most):
+    monkeypatch.setattr(decontam, "MOST_ROUNDS", most, raising=False)
+    rng = np.random.default_rng(2)
+    block = decontam.prepare([(i, rng.integers(1, 1 << 63, n, np.uint64)) for i in range(60)], 0.2, 0.95, decontam.SAMPLED)
+    assert len(block.classes[0].repetitions) <= most
+    found = 0
+    for k in range(300):
+        copy = decontam.edited(rng, block.items[k % 60][1], decontam.allowed(n, 0.2))
+        noise = rng.integers(1, 1 << 63, 4 * n, np.uint64)
+        text = np.concatenate([noise[:2 * n], copy, noise[2 * n:]])
+        found += any(h[1] == k % 60 for h in decontam.find_hits(text, np.array([0, len(text)]), block, 0.2))
+    assert found / 300 >= 0.94
+
+
 def test_decontamination_query_finds_every_passage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").toPandas()
