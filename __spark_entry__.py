@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,15 +32,14 @@ SF_SMOKE = "/root/testdata/sf0.001"
 # The training-data operators and their pipeline are optional parts of a checkout.
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EXTRA_ORACLES: dict[str, str] = {}
-if find_spec("monthend.llm"):
+try:
+    import corpus_pipeline as _pipeline
     from monthend.llm import queries as _llm
-
-    EXTRA_QUERIES |= _llm.QUERIES
+except ImportError:
+    pass
+else:
+    EXTRA_QUERIES |= _llm.QUERIES | {"pipeline": _pipeline.run}
     EXTRA_ORACLES |= _llm.ORACLES
-if find_spec("corpus_pipeline"):
-    import corpus_pipeline as _pipeline
-
-    EXTRA_QUERIES["pipeline"] = _pipeline.run
     if _pipeline.ORACLE_SQL:
         EXTRA_ORACLES["pipeline"] = _pipeline.ORACLE_SQL
 

@@ -1,6 +1,7 @@
 """The driver contract: entry() and every registered query against its SQL oracle."""
 
 import os
+import subprocess
 import sys
 
 import duckdb
@@ -29,6 +30,15 @@ def test_entry_runs(spark):
     assert df.count() == 15
 
 
+def test_entry_stands_without_the_optional_package():
+    """The metrics queries are there when the training-data operators, or what they import, are not."""
+    hide = ("import sys; sys.modules[{!r}] = None; import __spark_entry__ as E; "
+            "assert not E.EXTRA_QUERIES and len(E.queries()) == {}, len(E.queries())")
+    for missing in ("monthend.llm", "public_tokenizers"):
+        subprocess.run([sys.executable, "-c", hide.format(missing, len(OWN))], check=True,
+                       cwd=os.path.dirname(E.__file__))
+
+
 OWN = sorted(set(E.queries()) - set(E.EXTRA_QUERIES))
 
 
