@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthend.llm import chat, decontam, embedding, langid, linededup, minhash, packing, pii, substring, tokencount
+from monthend.llm import (
+    chat,
+    decontam,
+    embedding,
+    langid,
+    linededup,
+    merkle,
+    minhash,
+    packing,
+    pii,
+    substring,
+    tokencount,
+)
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -59,6 +71,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format,
     op2_token_counts,
@@ -70,8 +86,10 @@ QUERIES = {f.__name__: f for f in (
     op8_personal_data,
     op9_language_id,
     op10_line_dedup,
+    op11_merkle_manifest,
 )}
 
 ORACLES = {
     "op10_line_dedup": linededup.SQL,
+    "op11_merkle_manifest": merkle.SQL,
 }
