@@ -18,6 +18,7 @@ from monthend.llm import (
     pii,
     substring,
     tokencount,
+    warc,
 )
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +76,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format,
     op2_token_counts,
@@ -87,9 +92,11 @@ QUERIES = {f.__name__: f for f in (
     op9_language_id,
     op10_line_dedup,
     op11_merkle_manifest,
+    op13_warc_round_trip,
 )}
 
 ORACLES = {
     "op10_line_dedup": linededup.SQL,
     "op11_merkle_manifest": merkle.SQL,
+    "op13_warc_round_trip": warc.SQL,
 }
