@@ -16,6 +16,7 @@ from monthend.llm import (
     minhash,
     packing,
     pii,
+    spelling,
     substring,
     tokencount,
     warc,
@@ -76,6 +77,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered_manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
@@ -92,11 +97,13 @@ QUERIES = {f.__name__: f for f in (
     op9_language_id,
     op10_line_dedup,
     op11_merkle_manifest,
+    op12_spelling_variants,
     op13_warc_round_trip,
 )}
 
 ORACLES = {
     "op10_line_dedup": linededup.SQL,
     "op11_merkle_manifest": merkle.SQL,
+    "op12_spelling_variants": spelling.SQL,
     "op13_warc_round_trip": warc.SQL,
 }
