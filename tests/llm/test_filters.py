@@ -2,6 +2,7 @@
 
 import collections
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -230,18 +231,52 @@ def test_language_query_held_out_accuracy(spark):
     assert all(0 <= g.score <= 1 for g in got.values())
 
 
-def test_counts_and_profiles_against_plain_ngrams():
+def plain_profile(letters, text):
+    """The sum of the bound vectors of the n-grams around every letter."""
+    def vector(c):
+        return letters.letters[letters.index[ord(c)] if c.isalpha() else langid.BOUNDARY].astype(int)
+    padded = f" {text.lower()} "
+    grams = [padded[i - 1:i + 2] for i in range(1, len(padded) - 1) if padded[i].isalpha()]
+    return sum((np.roll(vector(x), 2) * np.roll(vector(y), 1) * vector(z) for x, y, z in grams), np.zeros(64, int))
+
+
+@pytest.mark.parametrize("limits", [{}, {"LARGEST_TABLE": 1}, {"LARGEST_COUNTS": 1}, {"PIECE": 3, "BLOCK": 2},
+                                    {"LARGEST_TABLE": 1, "LARGEST_COUNTS": 1, "PIECE": 5, "BLOCK": 3}])
+def test_profiles_against_plain_ngrams(monkeypatch, limits):
+    """Whatever the sizes of pieces and tables, a profile is the sum over the text's n-grams."""
+    for name, value in limits.items():
+        monkeypatch.setattr(langid, name, value)
     letters = langid.Letters(64)
-    texts = ["Ab c", "", "1!?", "ab-ab", "ß日"]
-    codes, counts = letters.ngrams(texts)
-    size = len(letters.rotated[0])
-    names = {v: chr(p) for p, v in enumerate(letters.index.tolist()) if v > 0} | {0: " "}
-    told = [names[c // size // size] + names[c // size % size] + names[c % size] for c in codes.tolist()]
-    got = [{t: n for t, n in zip(told, row, strict=True) if n} for row in counts.tolist()]
-    assert got == [{" ab": 1, "ab ": 1, " c ": 1}, {}, {}, {" ab": 2, "ab ": 2}, {" ß日": 1, "ß日 ": 1}]
-    one = letters.vectors(codes)[told.index(" ab")]
-    v = [letters.rotated[langid.N - 1][letters.index[p]] for p in (0, ord("a"), ord("b"))]
-    assert (one == np.roll(v[0], 2) * np.roll(v[1], 1) * v[2]).all()
+    texts = ["Ab c", "", "1!?", "ab-ab", "ß日", "abab" * 9, "日本語 — Ünïcode", "x"]
+    got, known = letters.profiles(texts)
+    assert known.tolist() == [any(c.isalpha() for c in t) for t in texts]
+    assert (got == np.array([plain_profile(letters, t) for t in texts])).all()
+
+
+def test_memory_does_not_grow_with_the_alphabet():
+    """A megabyte of text in twenty thousand different letters."""
+    rng = random.Random(4)
+    alphabet = [chr(0x4E00 + i) for i in range(20000)]
+    texts = ["".join(rng.choices(alphabet, k=341)) for _ in range(1024)]
+    letters = langid.Letters(langid.DIMENSIONS)
+    tracemalloc.start()
+    letters.profiles(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+
+
+def test_texts_in_scripts_not_learnt_are_rejected(spark):
+    rng = random.Random(5)
+    wordlist = ["".join(rng.choices("eetaoinshrdlucmfwypvbgkjqxz", k=rng.randrange(2, 9))) for _ in range(300)]
+    learnt = [" ".join(rng.choices(wordlist, k=rng.choice([1, 2, 30]))) for _ in range(60)]
+    scripts = [(0x4E00, 5000), (0x3B1, 24), (0x430, 32), (0x5D0, 26), (0x905, 50)]
+    odd = ["".join(rng.choices([chr(lo + i) for i in range(n)] + [" "], k=rng.choice([12, 60, 300])))
+           for lo, n in scripts for _ in range(40)]
+    frame = documents(spark, [*learnt, "Avec.", "A.", *odd], langs=["en"] * 60 + [None] * 202)
+    kept = {r.doc_id for r in langid.keep_identified(frame).select("doc_id").collect()}
+    assert kept >= set(range(62))
+    assert len(kept - set(range(62))) <= 0.01 * len(odd)
 
 
 def test_languages_of_odd_tables(spark):
