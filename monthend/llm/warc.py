@@ -129,7 +129,7 @@ class Member:
         self.window, self.next, self.z, self.rest = window, at, zlib.decompressobj(31), b""
         self.valid, self.fields = False, {}
         try:
-            head = self.until_end()
+            head = self.until_end(b"WARC/1.")
         except (zlib.error, EOFError):
             return
         if head is not None:
@@ -150,11 +150,11 @@ class Member:
                 return out
         return b""
 
-    def until_end(self) -> bytes | None:
-        """What comes before the next empty line, in full; None if there is none or no header begins so."""
+    def until_end(self, first: bytes = b"") -> bytes | None:
+        """What comes before the next empty line, in full; None if there is none, or if it does not begin with ``first``."""
         held = self.rest
         while END not in held:
-            if held and not b"WARC/1.".startswith(held[:7]) and not held.startswith((b"WARC/1.", b"HTTP/")):
+            if held[:len(first)] != first[:len(held)]:
                 return None
             piece = self.piece()
             if not piece:
