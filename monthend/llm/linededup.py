@@ -58,7 +58,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
     return split.select(
         "row", F.size("lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop")).cast("long").alias("n_dropped"),
         F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept).alias("kept"))
 
 
