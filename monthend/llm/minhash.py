@@ -26,9 +26,11 @@ about two times ``CROWD`` of them at most.
 
 Defined cases: a text without words (or null) has an empty set and is linked
 with nothing; fewer words than a shingle has make one shingle of the whole
-sequence; repeated rows are classes like other copies; rows with a null id
-are linked with nothing, their component is null and they are kept; an empty
-table gives an empty result; other columns are ignored.
+sequence; repeated rows are classes like other copies; an id that stands for
+several texts is one document, linked through each of them; rows with a null
+id are linked with nothing, their component is null and they are kept; texts
+of any length are read whole, in slices of about a megabyte or one text; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -80,8 +82,17 @@ def byte_rows(col: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(col.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].reshape(len(col), width)
 
 
+def texts_with_prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, print, text``: an id may stand for several texts, the hash tells which."""
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("print"),
+                       F.col(text_col).alias("text"))
+
+
 def sketch_documents(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Of every row ``id, n`` (set size), ``fp1, fp2`` (set fingerprint), ``signature`` and its low bytes, ``sketch``."""
+    """Of every row ``id, print`` (the text's hash), ``n`` (set size), ``fp1, fp2`` (set fingerprint), ``signature``, ``sketch``.
+
+    The sketch is the low bytes of some of the signature's values.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
@@ -98,12 +109,12 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, size: int) ->
                 fp2[some] = np.bitwise_xor.reduceat(mix(mixed ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
             sketch = signature[:, ::TREES * DEPTH // SKETCH].astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)),
+                [batch.column("id"), batch.column("print"), pa.array(n, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)),
                  fixed_binary(signature.astype(">u4").view(np.uint8)), fixed_binary(sketch)],
-                ["id", "n", "fp1", "fp2", "signature", "sketch"])
+                ["id", "print", "n", "fp1", "fp2", "signature", "sketch"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id bigint, n bigint, fp1 bigint, fp2 bigint, signature binary, sketch binary")
+    return texts_with_prints(docs, id_col, text_col).mapInArrow(
+        run, "id bigint, print bigint, n bigint, fp1 bigint, fp2 bigint, signature binary, sketch binary")
 
 
 def regions_of(rows: np.ndarray, tree: int) -> np.ndarray:
@@ -361,6 +372,17 @@ def confirm(pairs: DataFrame, pool: DataFrame, size: int, percent: int) -> DataF
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
+def one_id(own: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the classes of the texts that stand under one id."""
+    own_set = F.struct("fp1", "fp2")
+    several = materialize(own.groupBy("id").agg(F.min(own_set).alias("least"), F.max(own_set).alias("most"))
+                          .where(F.col("least") != F.col("most")).select("id"))
+    of = (own.select("id", "fp1", "fp2").join(several, "id", "left_semi").distinct()
+          .join(classes.select("fp1", "fp2", "rep"), ["fp1", "fp2"]))
+    least = of.groupBy("id").agg(F.min("rep").alias("a"))
+    return materialize(of.join(least, "id").where(F.col("a") != F.col("rep")).select("a", F.col("rep").alias("b")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                     percent: int = 80) -> DataFrame:
     """Per row: its id, ``n_shingles``, ``component_id``, ``kept``.
@@ -371,31 +393,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     sketches = materialize(sketch_documents(docs, id_col, text_col, shingle_words))
     own = sketches.where((F.col("n") > 0) & F.col("id").isNotNull())
-    grouped = own.groupBy("fp1", "fp2").agg(F.min(F.struct("id", "n", "signature", "sketch")).alias("r"))
-    classes = materialize(grouped.select("fp1", "fp2", F.col("r.id").alias("rep"), F.col("r.n").alias("n"),
-                                         F.col("r.signature").alias("signature"), F.col("r.sketch").alias("sketch")))
+    grouped = own.groupBy("fp1", "fp2").agg(F.min(F.struct("id", "print", "n", "signature", "sketch")).alias("r"))
+    classes = materialize(grouped.select("fp1", "fp2", F.monotonically_increasing_id().alias("rep"), "r.id", "r.print",
+                                         "r.n", "r.signature", "r.sketch"))
     spark = docs.sparkSession
+    same = one_id(own, classes)
     del own, grouped
     release(spark)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = texts_with_prints(docs, id_col, text_col)
 
-    def texts_of(ids):
-        wanted = ids.distinct()
-        return materialize(thin(texts, "id", id_filter(wanted)).join(wanted, "id").dropDuplicates(["id"]))
+    def texts_of(reps):
+        """``id`` (a class), ``text`` of these classes."""
+        wanted = materialize(reps.distinct().join(classes.select("rep", "id", "print"), "rep"))
+        found = thin(texts, "id", id_filter(wanted.select("id").distinct())).join(wanted, ["id", "print"])
+        return materialize(found.select(F.col("rep").alias("id"), "text").dropDuplicates(["id"]))
 
     pairs = materialize(neighbours(forest(classes), percent))
-    pool = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
-    component = connected_components(confirm(pairs, pool, shingle_words, percent))
+    pool = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")))
+    component = connected_components(confirm(pairs, pool, shingle_words, percent).unionByName(same))
     del pairs, pool
     rows = materialize(crowded(classes, component))
     release(spark)
     some = materialize(in_regions(rows, percent))
     if not some.isEmpty():
         passed = rows.join(some, ["region", "rep"], "left_semi")
-        pool = texts_of(some.select(F.col("rep").alias("id"))).withColumnRenamed("id", "rep")
+        pool = texts_of(some.select("rep")).withColumnRenamed("id", "rep")
         component = merged(component, materialize(confirm_in_regions(passed.join(pool, "rep"), shingle_words, percent)))
-    rep = classes.select("fp1", "fp2", "rep")
-    named = sketches.join(rep, ["fp1", "fp2"], "left").join(component, F.col("rep") == F.col("node"), "left")
-    found = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "rep", "id"))
+    first = classes.select("fp1", "fp2", "rep", F.col("id").alias("first"))
+    names = (component.join(first, F.col("node") == F.col("rep")).groupBy("component").agg(F.min("first").alias("name")))
+    named = (sketches.select("id", "n", "fp1", "fp2").join(first, ["fp1", "fp2"], "left")
+             .join(component.join(names, "component").select("node", "name"), F.col("rep") == F.col("node"), "left"))
+    found = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("name", "first", "id"))
     return named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), found.alias("component_id"),
                         F.coalesce(F.col("id") == found, F.lit(True)).alias("kept"))

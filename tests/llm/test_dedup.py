@@ -168,6 +168,27 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert minhash.near_duplicates(documents(spark, [])).count() == 0
 
 
+def by_id(rows, size, percent=80):
+    """Like ``near_duplicates`` of brute.py, for (id, text) rows: an id's texts are all its own."""
+    sets = [(i, shingles(t, size)) for i, t in rows]
+    links = [(i, j) for k, (i, x) in enumerate(sets) for j, y in sets[k + 1:]
+             if i != j and x & y and 100 * len(x & y) >= percent * len(x | y)]
+    named = components(sorted({i for i, _ in rows}), links)
+    return sorted((i, len(x), named[i], named[i] == i) for i, x in sets)
+
+
+def test_one_id_under_several_texts(spark):
+    rng = random.Random(12)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(1, a), (1, b), (3, f"{b} more"), (5, c), (2, c), (2, f"{a} w"), (7, prose(rng, 50)), (7, None), (9, ""), (9, prose(rng, 9))]
+    texts = template_family(rng, 20)
+    rows += [(100 + rng.randrange(25), t) for t in texts]
+    frame = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    got = minhash.near_duplicates(frame, shingle_words=2).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == by_id(rows, 2)
+    assert {r.component_id for r in got if r.doc_id in (1, 2, 3, 5)} == {1}
+
+
 def test_minhash_query(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     want = near_duplicates({r.doc_id: r.text for r in rows}, 2)
@@ -292,6 +313,17 @@ def test_lines_of_odd_tables(spark):
     assert linededup.line_report(documents(spark, [])).count() == 0
 
 
+def test_lines_without_ansi_mode(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        rows = [(i, "shared\nown") for i in range(10)] + [(20, None), (21, "alone")]
+        got = linededup.line_report(documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    want = {i: (n, d, sha(k)) for (i, _), (n, d, k) in zip(rows, line_dedup(rows), strict=True)}
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in got} == want
+
+
 def test_line_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     want = {i: (n, d, sha(k)) for (i, _), (n, d, k) in zip(rows, line_dedup(rows), strict=True)}
