@@ -77,9 +77,9 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
 
     spark = spark or get_session()
     checkpoint_dir(spark)
-    from monthend.sources.store import FactStore
+    from monthend.sources.store import FactStore, published
     store = FactStore(spark, a.fact)
-    glossary = spark.read.parquet(a.glossary)
+    glossary = spark.read.parquet(published(spark, a.glossary))
 
     if a.job == "report":
         from monthend.plans.report import report_from_store, write_tab

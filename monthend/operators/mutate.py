@@ -89,6 +89,24 @@ def upsert(target: DataFrame, updates: DataFrame, order_col: str | None = None)
     return other_months.unionByName(same_months).select(*FACT_COLUMNS).unionByName(u)
 
 
+def append_conflicts(target: DataFrame, updates: DataFrame) -> DataFrame:
+    """The keys that keep a batch from being appended, each once.
+
+    ``fecha, metrica``, ``copies`` (rows of the key in the batch), ``exists``
+    (whether the table has it). The batch is counted first, so a key repeated
+    a million times meets the table as one row; only target rows of the
+    batch's months take part.
+    """
+    batch = as_fact(updates).groupBy("fecha", "metrica").agg(F.count(F.lit(1)).alias("copies"))
+    months = F.broadcast(_month_keys(updates).distinct())
+    t = as_fact(target).withColumns({"_y": F.year("fecha"), "_m": F.month("fecha")})
+    there = (t.join(months, ["_y", "_m"], "left_semi").select("fecha", "metrica").distinct()
+             .withColumn("exists", F.lit(True)))
+    return (batch.join(there, ["fecha", "metrica"], "left")
+            .select("fecha", "metrica", "copies", F.coalesce("exists", F.lit(False)).alias("exists"))
+            .where(F.col("exists") | (F.col("copies") > 1)))
+
+
 def insert_ignore(table: DataFrame, rows: DataFrame, key: str = "metrica") -> DataFrame:
     """Add rows whose key is absent; existing keys keep their row.
 

@@ -68,7 +68,8 @@ def write_tab(df: DataFrame, path: str) -> bool:
     """Replace a tab; an empty frame writes nothing and keeps the old tab.
 
     The rows are computed once and stored, so the test for emptiness does not
-    compute them again; the new folder is switched in after its job committed.
+    compute them again; the new folder is switched in after its job committed
+    (``versions.published`` tells which folder holds the tab).
     Returns whether a new tab was written.
     """
     rows = materialize(df)

@@ -3,7 +3,7 @@
 import datetime as dt
 
 from monthend.__main__ import run
-from monthend.sources.store import FactStore
+from monthend.sources.store import FactStore, published
 
 D = dt.date
 TS = dt.datetime
@@ -28,7 +28,7 @@ def test_cli_jobs(spark, tmp_path):
     hist = tmp_path / "hist.csv"
     hist.write_text("Concepto,ene-24\nTotal,4\nPositivas,1\nNegativas,2\nNeutras,1\n", encoding="utf-8")
     run(["media-history", "--fact", fact, "--glossary", gl, "--file", str(hist)], spark)
-    assert spark.read.parquet(gl).count() == 8
+    assert spark.read.parquet(published(spark, gl)).count() == 8
     files = tmp_path / "mentions"
     files.mkdir()
     (files / "a.csv").write_text("Fecha,Calificación\n2024-01-02,positiva\n", encoding="utf-8")
@@ -37,7 +37,7 @@ def test_cli_jobs(spark, tmp_path):
     assert got[(D(2024, 1, 31), 13)] == 1.0 and got[(D(2024, 1, 31), 15)] == 0.0
     out = tmp_path / "report"
     run(["report", "--fact", fact, "--glossary", gl, "--as-of", "2024-02-10", "--out", str(out)], spark)
-    tab = spark.read.option("header", True).csv(str(out / "Analytics")).collect()
+    tab = spark.read.option("header", True).csv(published(spark, str(out / "Analytics"))).collect()
     assert {r.Metric for r in tab} >= {"a Views", "Total Media Mentions"}
     assert not (out / "Current Month").exists()          # empty month: nothing written
 

@@ -191,14 +191,15 @@ def test_monthly_load_zero_fills_and_replaces(spark):
 
 
 def test_report_tab_written_and_empty_kept(spark, tmp_path):
+    from monthend.sources.versions import published
     df = spark.createDataFrame([(D(2024, 8, 31), "B", None), (D(2024, 8, 31), "A", 1.5)],
                                "Date date, Metric string, Value double")
     path = str(tmp_path / "tab")
     assert P.write_tab(df, path)
-    back = spark.read.option("header", True).csv(path).orderBy("Metric").collect()
+    back = spark.read.option("header", True).csv(published(spark, path)).orderBy("Metric").collect()
     assert [(r.Date, r.Metric, r.Value) for r in back] == [("2024-08-31", "A", "1.5"), ("2024-08-31", "B", "0.0")]
     assert not P.write_tab(df.where("false"), path)
-    assert spark.read.option("header", True).csv(path).count() == 2
+    assert spark.read.option("header", True).csv(published(spark, path)).count() == 2
 
 
 def test_monthly_load_with_cutover_property(spark):

@@ -1,7 +1,6 @@
 """Fact store month-slice commits and the incremental (streaming) media load."""
 
 import datetime as dt
-import os
 import time
 
 from monthend.plans.media_load import media_glossary_rows
@@ -22,14 +21,13 @@ def test_store_replace_and_upsert(spark, tmp_path):
                                   (D(2024, 2, 29), 1, 2.0), (D(2023, 12, 31), 1, 3.0)], FACT)
     store.write_all(base)
     assert rows(store.read()) == rows(base)
-    dec_part = str(tmp_path / "fact" / "year=2023" / "month=12")
-    before = sorted(os.listdir(dec_part))
+    before = store.version().partitions["year=2023/month=12"]
     upd = spark.createDataFrame([(D(2024, 1, 31), 1, 10.0), (D(2024, 2, 29), 1, 20.0)], FACT)
     store.replace_months(upd)
     want = [(D(2023, 12, 31), 1, 3.0), (D(2024, 1, 31), 1, 10.0), (D(2024, 1, 31), 13, 5.0),
             (D(2024, 2, 29), 1, 20.0)]
     assert rows(store.read()) == want
-    assert sorted(os.listdir(dec_part)) == before          # untouched partition
+    assert store.version().partitions["year=2023/month=12"] == before          # untouched partition
     store.replace_months(upd)
     assert rows(store.read()) == want
     store.upsert(spark.createDataFrame([(D(2024, 1, 31), 13, 6.0), (D(2024, 3, 31), 13, 1.0)], FACT))
@@ -140,11 +138,11 @@ def test_failed_tab_write_keeps_the_old_tab(spark, tmp_path):
     from pyspark.sql import functions as F
 
     from monthend.plans.report import write_tab
-    from monthend.sources.store import publish
+    from monthend.sources.versions import publish, published
     tab = str(tmp_path / "Current Month")
     old = spark.createDataFrame([(D(2024, 1, 31), "A", 1.0)], "Date date, Metric string, Value double")
     assert write_tab(old, tab)
-    read = lambda: [tuple(r) for r in spark.read.option("header", True).csv(tab).collect()]
+    read = lambda: [tuple(r) for r in spark.read.option("header", True).csv(published(spark, tab)).collect()]
     for adaptive in ("true", "false"):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
         try:
@@ -159,12 +157,9 @@ def test_failed_tab_write_keeps_the_old_tab(spark, tmp_path):
                 assert read() == [("2024-01-31", "A", "1.0")]
         finally:
             spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # a run that died between the two renames: the old tab is set aside, the next run brings it back
-    os.rename(tab, tab + ".old-0")
     assert not write_tab(old.limit(0), tab)
     publish(spark, tab, lambda staged: old.selectExpr("Date", "Metric", "2 as Value").write.option("header", True).csv(staged))
     assert read() == [("2024-01-31", "A", "2")]
-    assert [n for n in os.listdir(tmp_path) if ".old-" in n or ".new-" in n] == []
 
 
 def test_properties_named_by_the_glossary(spark):
