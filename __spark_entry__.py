@@ -20,12 +20,15 @@ from monthend.operators import media as M
 from monthend.operators import mutate as U
 from monthend.operators import reshape as R
 from monthend.operators import traffic as T
+from monthend.operators import user_states as US
 from monthend.plans import media_load as ML
 from monthend.plans import monthly_load as Q
 from monthend.plans import report as RP
-from monthend.session import materialize
+from monthend.plans import upkeep as UK
+from monthend.session import materialize, scratch_path
 from monthend.sources import files as FS
 from monthend.sources import testdata as TD
+from monthend.sources.store import FactStore, published
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -248,6 +251,94 @@ def _backfill_load(spark, sf):
     return Q.backfill(target, g, ev, src, props, BACKFILL_START, EVENTS_AS_OF, ads_source=TD.ADS_SOURCE)
 
 
+def _store_reload(spark, sf):
+    """B1+B2 on disk: the table's newest version after a reload of several months."""
+    fact, glossary = TD.segments_fact(spark, sf)
+    store = FactStore(spark, scratch_path(spark, "fact"))
+    store.write_all(fact)
+    store.replace_months(TD.segment_updates(fact, glossary))
+    return store.read()
+
+
+def _append_conflicts(spark, sf):
+    """B2 + T14: the keys that keep the update batch, sent twice for one month, from being appended."""
+    fact, glossary = TD.segments_fact(spark, sf)
+    batch = TD.segment_updates(fact, glossary)
+    return U.append_conflicts(fact, batch.unionByName(batch.where(F.col("fecha") == F.lit(TD.NEW_MONTH))))
+
+
+def _compare_upkeep(spark, sf):
+    """Q1 kept current: built from the first version of the table, then brought up to the reloaded one."""
+    fact, glossary = TD.segments_fact(spark, sf)
+    store = FactStore(spark, scratch_path(spark, "fact"))
+    kept = UK.ComparisonStore(spark, scratch_path(spark, "compare"))
+    store.write_all(fact)
+    kept.refresh(store, glossary)
+    store.replace_months(TD.segment_updates(fact, glossary))
+    kept.refresh(store, glossary)
+    return kept.read()
+
+
+def _traffic_report_states(spark, sf):
+    """E1 from user-day states, loaded by a run a week."""
+    events = TD.traffic_events(spark, sf)
+    first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    states = US.TrafficStates(spark, scratch_path(spark, "states"), {"property": "string"})
+    for as_of in [*(first + dt.timedelta(days=d) for d in range(7, (last - first).days, 7)), last]:
+        states.advance(events, as_of, first)
+    return states.report("month")
+
+
+def _history_files(spark, sf):
+    """A4 + I2 from CSV files, each with months of its own."""
+    pattern = TD.written_files(TD.history_rows(spark, sf), scratch_path(spark, "history"))
+    rows, _ = FS.read_history_files(spark, pattern)
+    return rows.select(TD.file_of("file").alias("file"), "fecha", "metrica", "valor")
+
+
+def _media_history_files(spark, sf):
+    """Q7 whole: seeds the glossary, reads the wide history as a file, upserts into what the mention files left."""
+    wide = _history_wide(spark, sf)
+    names = [c for c in wide.columns if c != "_row"]
+    rows = wide.select("_row", F.array(F.lit("fila"), *[F.col(f"`{c}`") for c in names]).alias("cells"))
+    head = spark.range(1).select(F.lit(-1).alias("_row"), F.array(*[F.lit(c) for c in ["Concepto", *names]]).alias("cells"))
+    raw = head.unionByName(rows).select(F.lit("history").alias("file"), F.col("_row").alias("pos"), "cells")
+    pattern = TD.written_files(raw, scratch_path(spark, "history"))
+    glossary = ML.media_glossary_rows(spark).where("metrica > 14")
+    target = materialize(ML.mention_updates(TD.media_rows(spark, sf), ML.media_glossary_rows(spark)).drop("_order"))
+    table, seeded = ML.media_history_load(spark, pattern, target, glossary)
+    return table.join(seeded, "metrica").select("fecha", "metrica", "nombre", "valor")
+
+
+def _media_load_files(spark, sf):
+    """Q6 whole: header discovery over mention files of different months, counts, report month, ordered upsert."""
+    pattern = TD.written_files(TD.positional_rows(spark, sf, months_apart=3), scratch_path(spark, "mentions"))
+    target = materialize(_history_unpivot(spark, sf))
+    return ML.media_monthly_load(spark, pattern, target, ML.media_glossary_rows(spark), strict=False)
+
+
+def _snapshot_upload(spark, sf):
+    """B6 + A7: two finalized snapshots and a staging one are written; the later finalized one wins."""
+    fact, glossary = TD.segments_fact(spark, sf)
+    long = L.ids_to_names(fact, glossary)
+    root = scratch_path(spark, "snapshots")
+    RP.write_snapshot(long.where(F.col("Date") < F.lit(CURRENT_MONTH)), root, "historical", "2001-08-01")
+    RP.write_snapshot(long.where(F.col("Date") >= F.lit(ANALYTICS_MONTH)).withColumn("Value", F.col("Value") + 1),
+                      root, "historical", "2001-09-01")
+    RP.write_snapshot(long.withColumn("Value", F.lit(-1.0)), root, "current", "2001-09-15")
+    return U.upsert(fact.limit(0), materialize(RP.snapshot_updates(spark, root, glossary)), order_col="_order")
+
+
+def _published_tab(spark, sf):
+    """B5 + C10: the tab as readers find it after a run with an empty month, which keeps the old one."""
+    path = scratch_path(spark, "tab")
+    tab = _analytics_slice(spark, sf)
+    RP.write_tab(tab, path)
+    RP.write_tab(tab.where(F.col("Date") < F.lit(dt.date(1900, 1, 1))), path)
+    text = ", ".join(f"{c} {'string' if c in ('Date', 'Metric') else 'double'}" for c in tab.columns)
+    return spark.read.schema(text).option("header", True).csv(published(spark, path))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return EXTRA_QUERIES | {
         "fiscal_year": _fiscal_year,
@@ -294,6 +385,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "host_traffic": _host_traffic,
         "skipped_ids": _skipped_ids,
         "backfill_load": _backfill_load,
+        "store_reload": _store_reload,
+        "append_conflicts": _append_conflicts,
+        "compare_upkeep": _compare_upkeep,
+        "traffic_report_states": _traffic_report_states,
+        "history_files": _history_files,
+        "media_history_files": _media_history_files,
+        "media_load_files": _media_load_files,
+        "snapshot_upload": _snapshot_upload,
+        "published_tab": _published_tab,
     }
 
 
@@ -344,6 +444,14 @@ seg_updates AS (
   SELECT DATE '2001-09-30', metrica, valor FROM seg_fact
   WHERE CAST(date_trunc('month', fecha) AS DATE) = DATE '2001-07-01')"""
 
+_SEG_RELOADED = """
+reloaded AS (
+  SELECT fecha, metrica, valor FROM seg_fact f
+  WHERE NOT (EXISTS (SELECT 1 FROM seg_updates u
+                     WHERE year(u.fecha) = year(f.fecha) AND month(u.fecha) = month(f.fecha))
+             AND f.metrica IN (SELECT metrica FROM seg_updates))
+  UNION ALL SELECT fecha, metrica, valor FROM seg_updates)"""
+
 _CUST = """
 cust_long AS (
   SELECT last_day(CAST(o.o_orderdate AS DATE)) AS Date, c.c_name AS Metric,
@@ -597,12 +705,18 @@ SELECT Date, Metric, Previous_FY_Value FROM cmp_out""",
         "missing_metrics": f"WITH {_TEV},{_traffic_rows_sql(bf_months, 'bf')},"
                            f"{_traffic_rows_sql(reload, 'rl')},{_TRAFFIC_GLOSSARY}\n"
                            "SELECT DISTINCT Metric FROM rl WHERE Metric NOT IN (SELECT nombre FROM tg)",
-        "replace_months": f"""WITH {_SEG}
-SELECT fecha, metrica, valor FROM seg_fact f
-WHERE NOT (EXISTS (SELECT 1 FROM seg_updates u
-                   WHERE year(u.fecha) = year(f.fecha) AND month(u.fecha) = month(f.fecha))
-           AND f.metrica IN (SELECT metrica FROM seg_updates))
-UNION ALL SELECT fecha, metrica, valor FROM seg_updates""",
+        "replace_months": f"WITH {_SEG},{_SEG_RELOADED}\nSELECT * FROM reloaded",
+        "store_reload": f"WITH {_SEG},{_SEG_RELOADED}\nSELECT * FROM reloaded",
+        "compare_upkeep": f"""WITH {_SEG},{_SEG_RELOADED},
+reloaded_long AS (
+  SELECT r.fecha AS Date, g.nombre AS Metric, r.valor AS Value
+  FROM reloaded r JOIN seg_glossary g ON g.metrica = r.metrica),{_compare('reloaded_long')}
+SELECT * FROM cmp_out""",
+        "append_conflicts": f"""WITH {_SEG},
+batch AS (SELECT * FROM seg_updates UNION ALL SELECT * FROM seg_updates WHERE fecha = DATE '{TD.NEW_MONTH.isoformat()}')
+SELECT b.fecha, b.metrica, count(*) AS copies,
+       any_value(EXISTS (SELECT 1 FROM seg_fact f WHERE f.fecha = b.fecha AND f.metrica = b.metrica)) AS "exists"
+FROM batch b GROUP BY 1, 2 HAVING "exists" OR copies > 1""",
         "upsert": f"""WITH {_SEG}
 SELECT fecha, metrica, valor FROM seg_fact f
 WHERE NOT EXISTS (SELECT 1 FROM seg_updates u WHERE u.fecha = f.fecha AND u.metrica = f.metrica)
@@ -613,6 +727,7 @@ UNION ALL
 SELECT metrica, nombre FROM (VALUES {media_vals}) v(metrica, nombre)
 WHERE metrica NOT IN (SELECT metrica FROM seg_glossary)""",
         "traffic_report": f"WITH {_TEV},{_sessions('tev', 'property', 'month', 'rep')}\nSELECT * FROM rep",
+        "traffic_report_states": f"WITH {_TEV},{_sessions('tev', 'property', 'month', 'rep')}\nSELECT * FROM rep",
         "traffic_sources": """
 SELECT event_type AS source, CAST(date_trunc('month', ts) AS DATE) AS month,
        CAST(count(*) AS BIGINT) AS views
@@ -705,6 +820,48 @@ SELECT fecha, metrica, CASE WHEN month(fecha) = 2 AND metrica IN (15, 16) THEN 0
 SELECT fecha, metrica, valor FROM upd u
 WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.fecha = u.fecha AND h.metrica = u.metrica)
 UNION ALL SELECT fecha, metrica, valor FROM hist""",
+        "history_files": f"""WITH {_MEDIA},
+hf AS (
+  SELECT d.source AS file, coalesce(TRY_CAST(regexp_extract(d.source, '[0-9]+') AS INTEGER), 0) AS k, d.doc_id % 5 AS j,
+         CASE WHEN l.toxic = 1 THEN 'negative' WHEN l.quality = 1 THEN 'positive' WHEN l.quality = 0 THEN 'neutral' END AS rating
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+hc AS (
+  SELECT f.file, f.k, j.j, count(h.file) AS total, count(*) FILTER (WHERE rating = 'positive') AS positive,
+         count(*) FILTER (WHERE rating = 'negative') AS negative, count(*) FILTER (WHERE rating = 'neutral') AS neutral
+  FROM (SELECT DISTINCT file, k FROM hf) f CROSS JOIN range({TD.HISTORY_MONTHS}) j(j)
+  LEFT JOIN hf h ON h.file = f.file AND h.j = j.j GROUP BY 1, 2, 3)
+SELECT file, last_day(DATE '2024-01-01' + to_months(CAST(CASE WHEN j = 0 THEN 0 ELSE k % 4 + j END AS INTEGER))) AS fecha, x.metrica, x.valor
+FROM hc, LATERAL (VALUES (13, CAST(total AS DOUBLE)), (14, CAST(positive AS DOUBLE)), (15, CAST(negative AS DOUBLE)),
+                         (16, CAST(CASE WHEN k % 2 = 1 THEN 0 ELSE neutral END AS DOUBLE))) x(metrica, valor)""",
+        "media_history_files": f"""WITH {_MEDIA},{_LAST_FILE},{_HISTORY},
+done AS (
+  SELECT fecha, metrica, valor FROM upd u
+  WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.fecha = u.fecha AND h.metrica = u.metrica)
+  UNION ALL SELECT fecha, metrica, valor FROM hist)
+SELECT d.fecha, d.metrica, v.nombre, d.valor FROM done d JOIN (VALUES {media_vals}) v(metrica, nombre) ON v.metrica = d.metrica""",
+        "media_load_files": f"""WITH {_MEDIA},{_HISTORY},
+numbered AS (SELECT *, coalesce(TRY_CAST(regexp_extract(file, '[0-9]+') AS INTEGER), 0) AS k FROM mrows),
+moved AS (
+  SELECT file, Calificacion, CAST(CAST(Fecha AS DATE) + to_months(3 * k) AS DATE) AS d
+  FROM numbered WHERE k % 12 < 10 AND k % 7 <> 3),
+ymode AS (SELECT file, y FROM (SELECT file, year(d) AS y, row_number() OVER (PARTITION BY file ORDER BY count(*) DESC, year(d)) AS rn
+          FROM moved GROUP BY 1, 2) WHERE rn = 1),
+mmode AS (SELECT file, m FROM (SELECT file, month(d) AS m, row_number() OVER (PARTITION BY file ORDER BY count(*) DESC, month(d)) AS rn
+          FROM moved GROUP BY 1, 2) WHERE rn = 1),
+files AS (SELECT last_day(make_date(CAST(y AS INTEGER), CAST(m AS INTEGER), 1)) AS fecha, c.*
+          FROM ymode JOIN mmode USING (file) JOIN mcounts c USING (file)),
+new AS (
+  SELECT fecha, x.metrica, x.valor FROM files,
+  LATERAL (VALUES (13, CAST(total AS DOUBLE)), (14, CAST(positive AS DOUBLE)),
+                  (15, CAST(negative AS DOUBLE)), (16, CAST(neutral AS DOUBLE))) x(metrica, valor))
+SELECT fecha, metrica, valor FROM hist h
+WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.fecha = h.fecha AND n.metrica = h.metrica)
+UNION ALL SELECT fecha, metrica, valor FROM new""",
+        "snapshot_upload": f"""WITH {_SEG}
+SELECT fecha, metrica, CASE WHEN fecha >= DATE '{a_lo}' THEN valor + 1 ELSE valor END AS valor FROM seg_fact""",
+        "published_tab": f"""WITH {_SEG},{_compare('seg_input')}
+SELECT strftime(Date, '%Y-%m-%d') AS Date, Metric, Value, ytd, year_over_year, ytd_over_year, Previous_FY_Value
+FROM cmp_out WHERE Date >= DATE '{a_lo}' AND Date < DATE '{a_hi}'""",
         "report_sheet": f"""WITH {_SEG},{_compare('seg_long')}
 SELECT strftime(Date, '%Y-%m-%d') AS Date, Metric, Value, ytd, year_over_year, ytd_over_year, Previous_FY_Value,
        CAST(row_number() OVER (ORDER BY Metric, Date) AS INTEGER) AS row_no

@@ -6,7 +6,7 @@
 | monthly-load | reload previous + current month of traffic metrics | the web/video extractor |
 | backfill | reload every month from --start to --as-of | the historical repair |
 | media-load | upsert every mention file of a folder | the monthly media extractor |
-| media-history | seed the glossary, upsert a wide history file | the media history upload |
+| media-history | seed the glossary, upsert wide history files | the media history upload |
 | media-watch | the media load as a stream over an inbox folder | (incremental variant) |
 | snapshot-upload | upsert finalized ``historical/`` snapshots, never ``staging/`` | the snapshot uploader of the older design notes |
 
@@ -114,13 +114,13 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         store.upsert(mention_updates(rows, glossary), order_col="_order")
     elif a.job == "media-history":
         from monthend.operators.mutate import insert_ignore
-        from monthend.operators.reshape import history_bad_cells, history_to_long
+        from monthend.operators.reshape import history_updates
         from monthend.plans.media_load import media_glossary_rows, refuse
-        from monthend.sources.files import read_history_file
-        wide = read_history_file(spark, a.file)
-        refuse(history_bad_cells(wide), "non-numeric history cells", SystemExit)
+        from monthend.sources.files import read_history_files
+        rows, refused = read_history_files(spark, a.file)
+        refuse(refused, "history cells, columns or files that cannot be loaded", SystemExit)
         _replace_glossary(spark, a.glossary, insert_ignore(glossary, media_glossary_rows(spark)))
-        store.upsert(history_to_long(wide))
+        store.upsert(history_updates(rows), order_col="_order")
     elif a.job == "media-watch":
         from monthend.streaming.media_folder import start_media_folder_load
         q = start_media_folder_load(spark, a.inbox, store, glossary, checkpoint=a.checkpoint,

@@ -84,3 +84,65 @@ def history_bad_cells(wide: DataFrame, row_col: str = "_row",
         return wide.sparkSession.createDataFrame([], "_rank int, _label string, _text string")
     return (_cells(wide, row_col, months)
             .where(~missing_text("_text") & text_to_int("_text").isNull()))
+
+
+# ---- many history files in one job: the header is data
+
+HISTORY_ROWS = "file string, mtime timestamp, pos long, cells array<string>"
+
+
+def history_labels(raw: DataFrame, first: str = HISTORY_FIRST_COLUMN) -> DataFrame:
+    """C5 + T12 for any number of files: ``file, place, label, copies`` of their month columns.
+
+    ``raw`` has rows ``(file, pos, cells)``; a file's row 0 is its header. Its
+    month columns are those from the column ``first`` on whose name contains
+    ``-``; ``copies`` tells how often the file names that month. No header
+    reaches the driver.
+    """
+    cells = raw.where(F.col("pos") == 0).select("file", F.posexplode("cells").alias("place", "label"))
+    begin = cells.where(F.col("label") == first).groupBy("file").agg(F.min("place").alias("begin"))
+    months = cells.join(begin, "file").where((F.col("place") >= F.col("begin")) & F.col("label").contains("-"))
+    copies = months.groupBy("file", "label").agg(F.count(F.lit(1)).alias("copies"))
+    return months.select("file", "place", "label").join(copies, ["file", "label"])
+
+
+def history_cells(raw: DataFrame, first: str = HISTORY_FIRST_COLUMN) -> DataFrame:
+    """A4 + C4: ``file, mtime, row, label, text, copies`` of the month cells of each file's first four rows.
+
+    Cells are exploded by position and meet their own file's header: a file
+    has four rows here, so no file is a large group however many rows it has.
+    """
+    read = raw.where(F.col("pos").between(1, len(HISTORY_ROW_IDS)))
+    cells = read.select("file", "mtime", (F.col("pos") - 1).cast("int").alias("row"), F.posexplode("cells").alias("place", "text"))
+    return cells.join(history_labels(raw, first), ["file", "place"]).drop("place")
+
+
+def history_from_positions(raw: DataFrame, first: str = HISTORY_FIRST_COLUMN) -> tuple[DataFrame, DataFrame]:
+    """A4, C4, C5, I2, J12-J15 for any number of history files with months of their own.
+
+    Returns ``(rows, refused)``: ``rows`` = ``file, mtime, fecha, metrica,
+    valor`` as ``history_to_long`` gives them for each file alone; ``refused``
+    = ``file, label, text, reason`` of the month columns a file names twice
+    (T12), of labels that are no month, and of cells that hold text but not a
+    number. A file with a refused column or cell gives no rows.
+    """
+    cells = history_cells(raw, first)
+    parts = F.split("label", "-")
+    cells = cells.withColumns({
+        "fecha": last_day_of(F.lit(2000) + parts.getItem(1).try_cast("int"), spanish_month_number(parts.getItem(0))),
+        "number": text_to_int(F.col("text"))})
+    reason = (F.when(F.col("copies") > 1, "month column named twice")
+              .when(F.col("fecha").isNull(), "column is no month")
+              .when(~missing_text("text") & F.col("number").isNull(), "cell is no number"))
+    judged = cells.withColumn("reason", reason)
+    refused = judged.where(F.col("reason").isNotNull()).select("file", "label", "text", "reason")
+    position = F.create_map(*[x for i, m in enumerate(HISTORY_ROW_IDS) for x in (F.lit(i), F.lit(m))])
+    rows = judged.join(refused.select("file").distinct(), "file", "left_anti").select(
+        "file", "mtime", "fecha", F.try_element_at(position, F.col("row")).cast("int").alias("metrica"),
+        F.coalesce("number", F.lit(0)).cast("double").alias("valor"))
+    return rows, refused
+
+
+def history_updates(rows: DataFrame) -> DataFrame:
+    """``fecha, metrica, valor, _order`` for the upsert: of several files naming a month the newest wins, then the last name."""
+    return rows.select("fecha", "metrica", "valor", F.struct("mtime", "file").alias("_order"))

@@ -9,9 +9,9 @@ from monthend.functions.text import spanish_month_label
 from monthend.operators.lookup import names_to_ids
 from monthend.operators.media import MEDIA_METRICS, last_report_per_month, mention_reports, report_rows
 from monthend.operators.mutate import insert_ignore, upsert
-from monthend.operators.reshape import history_bad_cells, history_to_long
+from monthend.operators.reshape import history_updates
 from monthend.session import materialize, scratch_path
-from monthend.sources.files import read_history_file, read_mention_files
+from monthend.sources.files import read_history_files, read_mention_files
 
 
 def media_glossary_rows(spark: SparkSession) -> DataFrame:
@@ -56,15 +56,18 @@ def media_monthly_load(spark: SparkSession, path: str, target: DataFrame, glossa
 
 def media_history_load(spark: SparkSession, path: str, target: DataFrame,
                        glossary: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Q7: seed the glossary (B4), then upsert the unpivoted history.
+    """Q7: seed the glossary (B4), then upsert the unpivoted history files.
 
-    Returns (new fact table, new glossary). Cells that hold non-numeric text
-    stop the load, which names a table of them.
+    ``path`` is a file, a folder or a pattern; each file has months of its
+    own, and of files that name one month the newest wins. Returns (new fact
+    table, new glossary). Cells that hold non-numeric text, month columns
+    named twice and files without rows stop the load, which names a table of
+    them.
     """
-    wide = read_history_file(spark, path)
-    refuse(history_bad_cells(wide), "non-numeric history cells")
+    rows, refused = read_history_files(spark, path)
+    refuse(refused, "history cells, columns or files that cannot be loaded")
     new_glossary = insert_ignore(glossary, media_glossary_rows(spark))
-    return upsert(target, materialize(history_to_long(wide))), new_glossary
+    return upsert(target, materialize(history_updates(rows)), order_col="_order"), new_glossary
 
 
 def history_frame(counts: DataFrame, month_col: str = "month") -> DataFrame:

@@ -25,6 +25,7 @@ import re
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from monthend.operators.reshape import history_from_positions
 from monthend.session import materialize
 
 # The two header names a mention file must carry, and how
@@ -134,7 +135,33 @@ def read_mention_files(spark: SparkSession, path: str | list[str],
     header of valid files; ``invalid`` = files whose header lacks a required
     column (nothing is loaded from such a file).
     """
-    return mentions_from_positions(read_positional_csv(spark, path, multiline))
+    raw = read_positional_csv(spark, path, multiline)
+    rows, invalid = mentions_from_positions(raw)
+    return rows, invalid.unionByName(files_without_rows(spark, path, raw))
+
+
+def files_without_rows(spark: SparkSession, path: str | list[str], raw: DataFrame) -> DataFrame:
+    """The files (``file``) under ``path`` that gave no row: empty ones, or those of blank lines only.
+
+    Names come from the listing that every scan makes (a scan itself leaves
+    empty files out); no content is read for it.
+    """
+    names = spark.read.format("binaryFile").load(path).inputFiles()
+    listed = spark.createDataFrame([(re.sub("^file:/+", "file:/", n),) for n in names], "file string")
+    return listed.join(raw.select("file").distinct(), "file", "left_anti")
+
+
+def read_history_files(spark: SparkSession, path: str | list[str], **params) -> tuple[DataFrame, DataFrame]:
+    """A4 + I2 for every wide history CSV under ``path``, each with months of its own.
+
+    ``(rows, refused)`` as ``reshape.history_from_positions`` gives them;
+    files without a row are refused too.
+    """
+    raw = read_positional_csv(spark, path)
+    rows, refused = history_from_positions(raw, **params)
+    none = files_without_rows(spark, path, raw).select(
+        "file", *[F.lit(None).cast("string").alias(c) for c in ("label", "text")], F.lit("file without rows").alias("reason"))
+    return rows, refused.unionByName(none)
 
 
 def read_history_file(spark: SparkSession, path: str) -> DataFrame:

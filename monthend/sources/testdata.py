@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthend.functions.numeric import round2
+from monthend.functions.text import spanish_month_label
 from monthend.operators.lookup import build_glossary, names_to_ids
 from monthend.session import materialize
 
@@ -182,13 +183,19 @@ def dirty_media_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("file", date.alias("Fecha"), F.concat(pad, said, pad).alias("Calificacion"))
 
 
-def positional_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def file_number() -> Column:
+    """``K`` of a file ``srcK``."""
+    return F.coalesce(F.regexp_extract("file", "[0-9]+", 0).try_cast("int"), F.lit(0))
+
+
+def positional_rows(spark: SparkSession, sf_dir: str, months_apart: int = 0) -> DataFrame:
     """Mention files as raw rows (file, pos, cells), a file per document source ``srcK``.
 
     ``K % 12`` rows stand before the header; its columns change with ``K``,
-    and for ``K % 7 = 3`` the rating's column has another name.
+    and for ``K % 7 = 3`` the rating's column has another name. Dates are
+    moved by ``months_apart`` months a file.
     """
-    number = F.coalesce(F.regexp_extract("file", "[0-9]+", 0).try_cast("int"), F.lit(0))
+    number = file_number()
     before = number % 12
     rating = F.when(number % 7 == 3, F.lit("Rating")).otherwise(F.lit("Calificación"))
     even = number % 2 == 0
@@ -198,11 +205,62 @@ def positional_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
            .select("file", F.col("pos").cast("long").alias("pos"),
                    F.when(F.col("pos") == before, cells(rating, F.lit("Fecha")))
                    .otherwise(F.array(F.lit("Reporte"), F.lit(None).cast("string"), F.lit(None).cast("string"))).alias("cells")))
-    rows = (media_rows(spark, sf_dir).withColumn("_id", F.monotonically_increasing_id())
+    moved = F.date_format(F.add_months(F.to_date("Fecha"), number * months_apart), "yyyy-MM-dd")
+    rows = (media_rows(spark, sf_dir).withColumn("Fecha", moved).withColumn("_id", F.monotonically_increasing_id())
             .select("file", (before + 1 + F.col("_id")).alias("pos"), cells(F.col("Calificacion"), F.col("Fecha")).alias("cells")))
     return top.unionByName(rows)
 
 
-__all__ = ["table", "segments_long", "customers_long", "to_fact", "segments_glossary",
+HISTORY_MONTHS = 5      # month columns of a history file from ene-24 on
+
+
+def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide history files as raw rows (file, pos, cells), one per document source ``srcK``.
+
+    A document falls on column ``doc_id % HISTORY_MONTHS``: the first is
+    ``ene-24``, the others the months that follow after ``K % 4`` more. An
+    earlier month, a column that is no month and a fifth row stand around
+    what is read; positive counts end in ``.9``, neutral ones of odd files
+    are blank.
+    """
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("file"))
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    rated = d.join(lab, "doc_id", "left").withColumn("j", F.col("doc_id") % HISTORY_MONTHS)
+    toxic, quality = F.col("toxic") == 1, F.col("quality")
+    kinds = [F.lit(True), ~F.coalesce(toxic, F.lit(False)) & (quality == 1), toxic,
+             ~F.coalesce(toxic, F.lit(False)) & (quality == 0)]
+    counts = rated.groupBy("file").agg(*[F.count_if((F.col("j") == j) & kind).cast("string").alias(f"c{j}_{k}")
+                                         for j in range(HISTORY_MONTHS) for k, kind in enumerate(kinds)])
+    shift = file_number() % 4
+    month = lambda j: F.add_months(F.lit(MEDIA_FIRST_DAY), F.lit(0) if j == 0 else shift + j)
+    label = lambda j: F.concat(spanish_month_label(F.month(month(j))), F.lit("-"), F.date_format(month(j), "yy"))
+    blank = file_number() % 2 == 1
+
+    def cell(j: int, k: int) -> Column:
+        held = F.col(f"c{j}_{k}")
+        return {1: F.concat(held, F.lit(".9")), 3: F.when(~blank, held)}.get(k, held)
+
+    js = range(HISTORY_MONTHS)
+    head = F.array(F.lit("Concepto"), F.lit("dic-23"), *[label(j) for j in js], F.lit("Nota"))
+    body = [F.array(F.lit(name), F.lit("9"), *[cell(j, k) for j in js], F.lit("x")) for k, name in
+            enumerate(("Total", "Positivas", "Negativas", "Neutras"))]
+    rest = F.array(*[F.lit("7")] * (HISTORY_MONTHS + 3))
+    return counts.select("file", F.posexplode(F.array(head, *body, rest)).alias("pos", "cells"))
+
+
+def written_files(rows: DataFrame, folder: str) -> str:
+    """Writes raw rows (file, pos, cells) as one CSV file each; the pattern that names the files."""
+    lines = rows.select("file", "pos", F.array_join("cells", ",", "").alias("value"))
+    (lines.repartition("file").sortWithinPartitions("file", "pos").select("file", "value")
+     .write.partitionBy("file").text(folder))
+    return f"{folder}/file=*/*.txt"
+
+
+def file_of(path: str) -> Column:
+    """The ``file`` that a path of ``written_files`` stands for."""
+    return F.regexp_extract(path, "file=([^/]*)", 1)
+
+
+__all__ = ["history_rows", "written_files", "file_of", "table", "segments_long", "customers_long", "to_fact", "segments_glossary",
            "segments_fact", "segment_updates", "traffic_events", "page_properties",
            "traffic_sources", "media_rows", "dirty_media_rows", "positional_rows", "daily_customers_long", "ADS_SOURCE"]

@@ -1,6 +1,7 @@
 """Mention files (A3, C9, E4, E5, J1, J4), history file."""
 
 import datetime as dt
+import os
 
 import pytest
 
@@ -241,3 +242,64 @@ def test_a_load_scans_its_files_twice(spark, tmp_path):
     rows, _ = FS.read_mention_files(spark, str(tmp_path / "a.csv"))
     plan = ML.mention_updates(rows, ML.media_glossary_rows(spark))._jdf.queryExecution().optimizedPlan().toString()
     assert "csv" not in plan.lower() or "Relation" not in plan
+
+
+def history(tmp_path, name, text):
+    (tmp_path / name).write_text(text, encoding="utf-8")
+
+
+def test_many_history_files_in_one_job(spark, tmp_path):
+    """Files with months, widths and positions of their own equal the single-file reader, file by file."""
+    texts = {
+        "a.csv": "Concepto,dic-23,ene-24,feb-24\nT,9,4,5\nP,9,1.9,N/A\nN,9,-2.5,\nX,9,1,nan\nextra,1,1,1\n",
+        "b.csv": "\nene-24,Nota,MAR-24,dic-25\n7,x,8,9\n\n1,x,2,3\n",
+        "c.csv": "Concepto,feb-24\nT,4\n",                      # no ene-24: no month columns
+        "d d.csv": '"Concepto, todo",ene-24\n"T ""x""",3\n',
+    }
+    for name, text in texts.items():
+        history(tmp_path, name, text)
+    rows_, refused = FS.read_history_files(spark, str(tmp_path / "*.csv"))
+    assert refused.count() == 0
+    got = sorted((r.file.rsplit("/", 1)[1], r.fecha, r.metrica, r.valor) for r in rows_.collect())
+    want = []
+    for name in texts:
+        one = R.history_to_long(FS.read_history_file(spark, str(tmp_path / name)))
+        want += [(name.replace(" ", "%20"), *r) for r in map(tuple, one.collect())]
+    assert got == sorted(want) and len(got) == 8 + 6 + 1
+
+
+def test_history_files_that_cannot_be_loaded(spark, tmp_path):
+    history(tmp_path, "good.csv", "c,ene-24\nT,1\n")
+    history(tmp_path, "twice.csv", "c,ene-24,feb-24,feb-24\nT,1,2,3\n")
+    history(tmp_path, "odd.csv", 'c,ene-24,foo-24,mar-x,abr-24\nT,1,2,3,"1,234"\n')
+    history(tmp_path, "empty.csv", "")
+    history(tmp_path, "blank.csv", "\n\n")
+    rows_, refused = FS.read_history_files(spark, str(tmp_path))
+    assert {r.file.rsplit("/", 1)[1] for r in rows_.collect()} == {"good.csv"}
+    assert sorted((r.file.rsplit("/", 1)[1], r.label, r.text, r.reason) for r in refused.collect() if r.label) == [
+        ("odd.csv", "abr-24", "1,234", "cell is no number"), ("odd.csv", "foo-24", "2", "column is no month"),
+        ("odd.csv", "mar-x", "3", "column is no month"),
+        ("twice.csv", "feb-24", "2", "month column named twice"), ("twice.csv", "feb-24", "3", "month column named twice")]
+    assert sorted(r.file.rsplit("/", 1)[1] for r in refused.collect() if not r.label) == ["blank.csv", "empty.csv"]
+    target = spark.createDataFrame([(D(2024, 1, 31), 13, 9.0)], "fecha date, metrica int, valor double")
+    with pytest.raises(ValueError, match="cannot be loaded"):
+        ML.media_history_load(spark, str(tmp_path), target, ML.media_glossary_rows(spark))
+
+
+def test_newest_history_file_wins(spark, tmp_path):
+    history(tmp_path, "z_old.csv", "c,ene-24,feb-24\nT,1,2\n")
+    os.utime(tmp_path / "z_old.csv", (1e9, 1e9))
+    history(tmp_path, "a_new.csv", "c,ene-24\nT,5\n")
+    target = spark.createDataFrame([(D(2024, 2, 29), 13, 9.0)], "fecha date, metrica int, valor double")
+    table, glossary = ML.media_history_load(spark, str(tmp_path), target, ML.media_glossary_rows(spark).limit(1))
+    assert sorted(map(tuple, table.collect())) == [(D(2024, 1, 31), 13, 5.0), (D(2024, 2, 29), 13, 2.0)]
+    assert glossary.count() == 4
+
+
+def test_empty_mention_files_are_named(spark, tmp_path):
+    history(tmp_path, "empty.csv", "")
+    history(tmp_path, "blank.csv", "\n \n".replace(" ", ""))
+    history(tmp_path, "good.csv", "Fecha,Calificación\n2024-01-02,positiva\n")
+    rows_, invalid = FS.read_mention_files(spark, str(tmp_path))
+    assert rows_.count() == 1
+    assert sorted(r.file.rsplit("/", 1)[1] for r in invalid.collect()) == ["blank.csv", "empty.csv"]
