@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthend.functions.calendar import calendar_over, fiscal_year, report_month_columns
+from monthend.operators import asof as AO
 from monthend.operators import compare as C
 from monthend.operators import lookup as L
 from monthend.operators import media as M
@@ -339,6 +340,22 @@ def _published_tab(spark, sf):
     return spark.read.schema(text).option("header", True).csv(published(spark, path))
 
 
+def _order_before(spark, sf):
+    """D6 at any size: the customer's last order as of thirty days before each order, an as-of join."""
+    o = TD.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    asking = o.select("o_orderkey", "o_custkey", F.date_sub("day", 30).alias("asked"))
+    source = o.select("o_custkey", F.col("day").alias("since"), F.col("o_orderkey").alias("last_orderkey"))
+    return AO.as_of(asking, source, ["o_custkey"], "asked", "since", ["last_orderkey"])
+
+
+def _source_overlaps(spark, sf):
+    """customers' orders as sources valid for a week, an overlap wherever the next comes earlier."""
+    o = TD.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    table = o.select("o_custkey", "o_orderkey", "day", F.date_add("day", 7).alias("until"),
+                     F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") % 3).alias("scope"))
+    return AO.overlaps(table, ["o_custkey"], "day", "until", "o_orderkey", "scope").select(F.col("name").alias("o_orderkey")).distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return EXTRA_QUERIES | {
         "fiscal_year": _fiscal_year,
@@ -394,6 +411,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "media_load_files": _media_load_files,
         "snapshot_upload": _snapshot_upload,
         "published_tab": _published_tab,
+        "order_before": _order_before,
+        "source_overlaps": _source_overlaps,
     }
 
 
@@ -857,6 +876,16 @@ new AS (
 SELECT fecha, metrica, valor FROM hist h
 WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.fecha = h.fecha AND n.metrica = h.metrica)
 UNION ALL SELECT fecha, metrica, valor FROM new""",
+        "order_before": """
+WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders),
+last AS (SELECT o_custkey, day, max(o_orderkey) AS last_orderkey FROM o GROUP BY 1, 2)
+SELECT a.o_orderkey, a.o_custkey, CAST(a.day - 30 AS DATE) AS asked, l.day AS since, l.last_orderkey
+FROM o a ASOF LEFT JOIN last l ON l.o_custkey = a.o_custkey AND a.day - 30 >= l.day""",
+        "source_overlaps": """
+WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, nullif(o_orderkey % 3, 0) AS scope FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY day, o_orderkey) AS rn FROM o)
+SELECT DISTINCT b.o_orderkey FROM r a JOIN r b ON a.o_custkey = b.o_custkey AND a.rn < b.rn
+ AND b.day < a.day + 7 AND (a.scope IS NULL OR b.scope IS NULL OR a.scope = b.scope)""",
         "snapshot_upload": f"""WITH {_SEG}
 SELECT fecha, metrica, CASE WHEN fecha >= DATE '{a_lo}' THEN valor + 1 ELSE valor END AS valor FROM seg_fact""",
         "published_tab": f"""WITH {_SEG},{_compare('seg_input')}

@@ -18,8 +18,11 @@ table does.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from monthend.session import materialize
 
@@ -39,21 +42,39 @@ def prefix_sums(df: DataFrame, group: list[str], order: list[Column | str],
     ``values`` maps an output column name to the expression to sum; rows
     with no earlier row get 0 (cast to the expression's type).
     """
+    def put_together(local: Column, carried: Column, kind: DataType) -> Column:
+        zero = F.lit(0).cast(kind)
+        return F.coalesce(local, zero) + F.coalesce(carried, zero)
+
+    return _prefix(df, group, order, values, F.sum, put_together, partitions)
+
+
+def prefix_max(df: DataFrame, group: list[str], order: list[Column | str],
+               values: dict[str, Column], partitions: int | None = None) -> DataFrame:
+    """Add, per row, the largest of ``values`` over the earlier rows of its group (null: none).
+
+    With a struct that begins with the ordering column this is the last
+    earlier row that has a value. Group columns must not be null.
+    """
+    return _prefix(df, group, order, values, F.max, lambda local, carried, _: F.greatest(local, carried), partitions)
+
+
+def _prefix(df: DataFrame, group: list[str], order: list[Column | str], values: dict[str, Column],
+            total: Callable[[str], Column], put_together: Callable[[Column, Column, DataType], Column],
+            partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumns({f"_v_{k}": v for k, v in values.items()})
     ranged = stored_ranges(keyed, n, *group, *order)
     before = (Window.partitionBy("_range", *group).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
-    local = ranged.withColumns({f"_l_{k}": F.sum(f"_v_{k}").over(before) for k in values})
-    totals = ranged.groupBy("_range", *group).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
+    local = ranged.withColumns({f"_l_{k}": total(f"_v_{k}").over(before) for k in values})
+    totals = ranged.groupBy("_range", *group).agg(*[total(f"_v_{k}").alias(f"_t_{k}") for k in values])
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carry = (totals.select("_range", *group, F.count(F.lit(1)).over(earlier).alias("_ranges"),
-                           *[F.sum(f"_t_{k}").over(earlier).alias(f"_c_{k}") for k in values])
+                           *[total(f"_t_{k}").over(earlier).alias(f"_c_{k}") for k in values])
              .where(F.col("_ranges") > 0).drop("_ranges"))
     out = local.join(F.broadcast(carry), ["_range", *group], "left")
-    zero = {k: F.lit(0).cast(keyed.schema[f"_v_{k}"].dataType) for k in values}
     return out.select(
         *df.columns,
-        *[(F.coalesce(F.col(f"_l_{k}"), zero[k]) + F.coalesce(F.col(f"_c_{k}"), zero[k])).alias(k)
-          for k in values])
+        *[put_together(F.col(f"_l_{k}"), F.col(f"_c_{k}"), keyed.schema[f"_v_{k}"].dataType).alias(k) for k in values])

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from monthend.functions.numeric import round2, safe_ratio
+from monthend.operators.asof import SMALL, as_of, overlaps
 
 # Design choice (the reference only names the metric): inactivity gap that
 # ends a session, in minutes.
@@ -143,34 +144,42 @@ def checked_cutover(cutover: DataFrame) -> DataFrame:
     """The table, failing when an event could match two of its rows.
 
     Two rows can meet one event if they share a scheme and overlapping dates
-    and do not filter on different sites.
+    and do not filter on different sites; a sorted sweep finds them.
     """
-    cols = ["scheme", "valid_from", "valid_to", "site_filter", "source_name"]
-    rows = cutover.groupBy(*cols).count()
-    a, b = (rows.select("scheme", F.struct(*cols, "count").alias(side)) for side in "ab")
-    meet = ((F.col("a.valid_from") < F.col("b.valid_to")) & (F.col("b.valid_from") < F.col("a.valid_to"))
-            & (F.col("a.site_filter").isNull() | F.col("b.site_filter").isNull()
-               | (F.col("a.site_filter") == F.col("b.site_filter"))))
-    clash = (a.join(b, "scheme").where(meet & ((F.col("a") < F.col("b")) | ((F.col("a") == F.col("b")) & (F.col("a.count") > 1))))
-             .select("a.source_name", F.col("b.source_name").alias("other")).first())
+    clash = overlaps(cutover, ["scheme"], "valid_from", "valid_to", "source_name", "site_filter").first()
     if clash:
-        raise ValueError(f"sources {clash.source_name!r} and {clash.other!r} overlap in time")
+        raise ValueError(f"sources {clash.name!r} and {clash.other!r} overlap in time")
     return cutover
 
 
 def choose_source(events: DataFrame, cutover: DataFrame, period_end: str = "period_end",
-                  scheme: str = "scheme", site: str = "site") -> DataFrame:
+                  scheme: str = "scheme", site: str = "site", small: int = SMALL) -> DataFrame:
     """Keep each event only from the source valid at its period's end.
 
     A period uses the row with ``valid_from <= period_end < valid_to`` (the
     period *end* decides, so a month that ends after the cutover uses the new
     source for all of it). A non-null ``site_filter`` adds an exact filter on
-    ``site`` (a column of whole hosts, or of whatever the table names). The
-    optimizer broadcasts the table while it is small. Rows of one scheme whose
-    dates overlap would count events twice and are refused.
+    ``site`` (a column of whole hosts, or of whatever the table names). Rows
+    of one scheme whose dates overlap would count events twice and are refused.
+
+    A table of at most ``small`` rows meets the events in one join, which the
+    optimizer broadcasts. A larger one is looked up by an as-of join for the
+    distinct (scheme, site, period end) of the events, once for rows with a
+    site and once for those without; as no two rows overlap, at most one fits.
     """
     c = checked_cutover(cutover)
-    cond = ((events[scheme] == c.scheme)
-            & (events[period_end] >= c.valid_from) & (events[period_end] < c.valid_to)
-            & (c.site_filter.isNull() | host_equals(site, c.site_filter)))
-    return events.join(c, cond, "inner").drop(c.scheme).drop("valid_from", "valid_to", "site_filter")
+    if c.limit(small + 1).count() <= small:
+        cond = ((events[scheme] == c.scheme)
+                & (events[period_end] >= c.valid_from) & (events[period_end] < c.valid_to)
+                & (c.site_filter.isNull() | host_equals(site, c.site_filter)))
+        return events.join(c, cond, "inner").drop(c.scheme).drop("valid_from", "valid_to", "site_filter")
+    asked = events.select(F.col(scheme).alias("_scheme"), F.col(site).alias("_site"), F.col(period_end).alias("_end")).distinct()
+    rows = c.where("valid_from < valid_to").select(F.col("scheme").alias("_scheme"), F.col("site_filter").alias("_site"),
+                                                   "valid_from", "valid_to", "source_name")
+    take = ["valid_to", "source_name"]
+    found = as_of(asked, rows.where("_site is not null"), ["_scheme", "_site"], "_end", "valid_from", take).unionByName(
+        as_of(asked, rows.where("_site is null").drop("_site"), ["_scheme"], "_end", "valid_from", take))
+    chosen = found.where("_end < valid_to").select("_scheme", "_site", "_end", "source_name")
+    met = ((events[scheme] == F.col("_scheme")) & events[site].eqNullSafe(F.col("_site"))
+           & (events[period_end] == F.col("_end")))
+    return events.join(chosen, met).drop("_site", "_end", "_scheme")
