@@ -60,6 +60,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
             s.add_argument("--cutover-name", help="property name reported from --cutover")
         if name == "backfill":
             s.add_argument("--start", type=_date, required=True)
+            s.add_argument("--months-per-commit", type=int, default=12,
+                           help="a run that died skips the months it committed when it is run again")
         if name == "media-load":
             s.add_argument("--files", required=True)
             s.add_argument("--split-files", action="store_true",
@@ -87,25 +89,25 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         write_tab(analytics, f"{a.out.rstrip('/')}/Analytics")
         write_tab(current, f"{a.out.rstrip('/')}/Current Month")
     elif a.job in ("monthly-load", "backfill"):
-        from monthend.operators.lookup import missing_names, names_to_ids
+        from monthend.operators.lookup import missing_names
         from monthend.plans import monthly_load as Q
         events = spark.read.parquet(a.events)
         sources = spark.read.parquet(a.sources)
         props = (spark.read.parquet(a.properties).select("property") if a.properties
                  else Q.glossary_properties(glossary))
-        months = (Q.reload_months(a.as_of) if a.job == "monthly-load"
-                  else Q.backfill_months(a.start, a.as_of))
         cutover = (a.cutover_name, spark.read.parquet(a.cutover)) if a.cutover else None
-        rows = Q.traffic_metric_rows(events, sources, props, months, a.as_of,
-                                     ads_source=a.ads_source, daily_sources=a.job == "backfill",
-                                     cutover=cutover)
+        named = props if cutover is None else props.unionByName(spark.createDataFrame([(a.cutover_name,)], "property string"))
         missing = scratch_path(spark, "missing-metrics")
-        missing_names(rows, glossary).write.parquet(missing)
+        missing_names(Q.traffic_metric_names(named), glossary).write.parquet(missing)    # reads the catalogue, not the events
         names = spark.read.parquet(missing)
         if not names.isEmpty():
             print(f"{names.count()} metrics not in the glossary (skipped), all in {missing}, "
                   f"e.g. {[r.Metric for r in names.orderBy('Metric').limit(5).collect()]}")
-        store.replace_months(names_to_ids(rows, glossary).select("fecha", "metrica", "valor"))
+        load = {"ads_source": a.ads_source, "cutover": cutover}
+        if a.job == "monthly-load":
+            print(Q.monthly_load_store(store, glossary, events, sources, props, a.as_of, **load))
+        else:
+            Q.backfill_store(store, glossary, events, sources, props, a.start, a.as_of, a.months_per_commit, **load)
     elif a.job == "media-load":
         from monthend.plans.media_load import mention_updates, refuse
         from monthend.sources.files import read_mention_files
@@ -127,8 +129,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
                                     trigger="processing_time" if a.continuous else "available_now")
         q.awaitTermination()
     elif a.job == "snapshot-upload":
-        from monthend.plans.report import snapshot_updates
-        store.upsert(snapshot_updates(spark, a.root, glossary), order_col="_order")
+        from monthend.plans.report import load_snapshots
+        load_snapshots(store, a.root, glossary)
 
 
 if __name__ == "__main__":

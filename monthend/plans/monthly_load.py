@@ -22,7 +22,9 @@ from monthend.operators.mutate import replace_months
 from monthend.operators.reshape import wide_to_long
 from monthend.operators.traffic import (ADS_SOURCE, choose_source, in_date_range,
                                         source_views, traffic_report, video_totals)
+from monthend.plans.load_report import LoadReport, names_to_ids_counted
 from monthend.session import materialize
+from monthend.sources.store import FactStore
 
 # Metric name suffixes per property and the video metric names.
 PROPERTY_MEASURES = {"users": "Total Users", "views": "Views",
@@ -155,3 +157,49 @@ def backfill(target: DataFrame, glossary: DataFrame, events: DataFrame, sources:
                                daily_sources=True, **kw)
     updates = materialize(names_to_ids(rows, glossary).select("fecha", "metrica", "valor"))
     return replace_months(target, updates)
+
+
+def _loaded_rows(report: LoadReport, events: DataFrame, sources: DataFrame, glossary: DataFrame, properties: DataFrame,
+                 months: list[dt.date], as_of: dt.date, **kw) -> DataFrame:
+    """The fact rows of some months, with the counters of the load attached."""
+    inside = in_date_range("ts", months[0], as_of)
+    events = report.watch("events", events.where(inside), without_property=F.col("property").isNull(),
+                          without_user=F.col("user_id").isNull())
+    sources = report.watch("sources", sources.where(inside), without_source=F.col("source").isNull())
+    rows = traffic_metric_rows(events, sources, properties, months, as_of, **kw)
+    return names_to_ids_counted(rows, glossary, report).select("fecha", "metrica", "valor")
+
+
+def monthly_load_store(store: FactStore, glossary: DataFrame, events: DataFrame, sources: DataFrame,
+                       properties: DataFrame, as_of, **kw) -> dict:
+    """Q4 on disk; its counters, which the commit holds too (property ``load``)."""
+    report = LoadReport()
+    rows = _loaded_rows(report, events, sources, glossary, properties, reload_months(as_of), _as_date(as_of), **kw)
+    store.replace_months(rows, properties=lambda: {"load": report.result()})
+    return report.result()
+
+
+def backfill_store(store: FactStore, glossary: DataFrame, events: DataFrame, sources: DataFrame,
+                   properties: DataFrame, start, as_of, months_per_commit: int = 12, run: str | None = None,
+                   **kw) -> list[dt.date]:
+    """Q5 on disk, in commits of some months each; the months this call computed.
+
+    Each commit records the months done so far under the run's name (default:
+    its range), in the same switch that brings in their rows. A run that died
+    is called again with the same name and skips the months it finished. The
+    rows are those of one whole backfill: every month stands alone.
+    """
+    as_of, run = _as_date(as_of), run or f"{_as_date(start)}..{_as_date(as_of)}"
+    ledger = store.version().properties.get("backfill", {})
+    finished = set(ledger["months"]) if ledger.get("run") == run else set()
+    pending = [m for m in backfill_months(start, as_of) if m.isoformat() not in finished]
+    for i in range(0, len(pending), months_per_commit):
+        some = pending[i:i + months_per_commit]
+        until = min(as_of, add_months_py(some[-1], 1) - dt.timedelta(days=1))
+        report = LoadReport()
+        rows = _loaded_rows(report, events, sources, glossary, properties, some, until, daily_sources=True, **kw)
+        finished |= {m.isoformat() for m in some}
+        done = sorted(finished)
+        store.replace_months(rows, properties=lambda done=done, report=report: {
+            "backfill": {"run": run, "months": done}, "load": report.result()})
+    return pending

@@ -17,8 +17,9 @@ from monthend.functions.calendar import (fiscal_year_of, fiscal_year_start, next
                                          report_months)
 from monthend.operators.compare import (CURRENT_COLUMNS, REPORT_COLUMNS, analytics_slice, compare_table,
                                         current_slice, has_unique_grain, sort_report)
-from monthend.operators.lookup import ids_to_names
+from monthend.operators.lookup import ids_to_names, names_to_ids
 from monthend.session import materialize
+from monthend.sources.files import list_snapshots, read_snapshots, snapshot_hashes
 from monthend.sources.store import publish
 
 
@@ -99,17 +100,43 @@ def write_snapshot(df: DataFrame, root: str, mode: str, as_of) -> str:
     return path
 
 
-def snapshot_updates(spark, root: str, glossary: DataFrame) -> DataFrame:
+def snapshot_updates(spark, root: str, glossary: DataFrame, only: list[str] | None = None) -> DataFrame:
     """A7 -> fact rows: finalized snapshots only (``staging`` is never read).
 
     Returns (fecha, metrica, valor, _order) with the snapshot date as the
     upsert order, so a later snapshot of the same month wins.
     """
-    from monthend.operators.lookup import names_to_ids
-    from monthend.sources.files import read_snapshots
-    snaps, rejected = read_snapshots(spark, root)
+    snaps, rejected = read_snapshots(spark, root, only=only)
     if rejected:
         print(f"{len(rejected)} snapshot paths without a date or under staging were not read: {rejected}")
     return (names_to_ids(snaps, glossary)
             .select(F.col("Date").alias("fecha"), "metrica", F.col("Value").alias("valor"),
                     F.col("snapshot_date").alias("_order")))
+
+
+def load_snapshots(store, root: str, glossary: DataFrame) -> list[str]:
+    """Upserts the snapshots that are new or changed since the last load; the paths that were read.
+
+    The commit holds a ledger of the snapshots taken: date, length, newest
+    change and a fingerprint of their lines. One whose length and change time
+    are as before is not opened; one with other times is fingerprinted, and
+    loaded only if its lines differ. As the latest snapshot of a month wins,
+    those dated after the earliest one to be loaded are loaded with it. A
+    replay changes nothing.
+    """
+    spark = store.spark
+    listed, _ = list_snapshots(spark, root)
+    ledger = store.version().properties.get("snapshots", {})
+    same = lambda p: all(ledger.get(p, {}).get(k) == listed[p][k] for k in ("length", "changed"))
+    opened = [p for p in listed if not same(p)]
+    hashes = snapshot_hashes(spark, opened) if opened else {}
+    now = {p: {**f, "hash": hashes.get(p) or ledger[p]["hash"]} for p, f in listed.items()}
+    changed = [p for p in opened if ledger.get(p, {}).get("hash") != now[p]["hash"]]
+    if not changed:
+        if now != ledger:
+            store.table.commit(store.version(), {}, {"snapshots": now})
+        return []
+    first = min(now[p]["date"] for p in changed)
+    read = [p for p in now if now[p]["date"] >= first]
+    store.upsert(snapshot_updates(spark, root, glossary, only=read), order_col="_order", properties={"snapshots": now})
+    return read

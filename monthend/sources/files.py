@@ -33,6 +33,7 @@ from monthend.session import materialize
 RATING_HEADER = "Calificación"
 DATE_HEADER = "Fecha"
 HEADER_SEARCH_ROWS = 10
+SNAPSHOT_NAME = r"results_(\d{4}-\d{2}-\d{2})\.csv"
 
 
 def require_path(spark: SparkSession, path: str | list[str]) -> None:
@@ -185,37 +186,60 @@ def read_history_file(spark: SparkSession, path: str) -> DataFrame:
                     *[F.col("cells")[i].alias(n) for i, n in enumerate(names)]))
 
 
-def read_snapshots(spark: SparkSession, root: str, schema: str = "Date date, Metric string, Value double"
-                   ) -> tuple[DataFrame, list[str]]:
-    """A7 (older design notes): only ``historical/results_YYYY-MM-DD.csv``.
+def list_snapshots(spark: SparkSession, root: str) -> tuple[dict[str, dict], list[str]]:
+    """The finalized snapshots below ``root`` (path -> date, length, newest change), and the rejected paths.
 
     Any path containing ``staging`` is rejected, so current-month progress
-    never reaches the fact table, and so is a name without a valid date. A
-    header that does not match the schema fails the read. Returns the rows,
-    with ``snapshot_date`` from the file name, and the rejected paths.
+    never reaches the fact table, and so is a name without a valid date.
     """
     pattern = f"{root.rstrip('/')}/historical/results_*.csv"
     require_path(spark, pattern)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    taken, rejected = [], []
+    taken, rejected = {}, []
     for status in fs.globStatus(path):
         name = status.getPath().toString()
         below_root = name.rsplit("/historical/", 1)[-1]
-        (taken if "staging" not in below_root and _snapshot_date(below_root) else rejected).append(name)
+        date = _snapshot_date(below_root)
+        if "staging" in below_root or date is None:
+            rejected.append(name)
+            continue
+        parts = list(fs.listStatus(status.getPath()))
+        taken[name] = {"date": date.isoformat(), "length": sum(p.getLen() for p in parts),
+                       "changed": max([p.getModificationTime() for p in parts], default=0)}
+    return taken, rejected
+
+
+def read_snapshots(spark: SparkSession, root: str, schema: str = "Date date, Metric string, Value double",
+                   only: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """A7 (older design notes): only ``historical/results_YYYY-MM-DD.csv``, or some of those (``only``).
+
+    A header that does not match the schema fails the read. Returns the rows,
+    with ``snapshot_date`` from the file name, and the rejected paths.
+    """
+    listed, rejected = list_snapshots(spark, root)
+    taken = [p for p in listed if only is None or p in only]
     if not taken:
         empty = spark.createDataFrame([], schema).withColumn("snapshot_date", F.lit(None).cast("date"))
         return empty, rejected
     df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(taken)
           .withColumn("snapshot_date", F.to_date(F.regexp_extract(
-              F.col("_metadata.file_path"), r"results_(\d{4}-\d{2}-\d{2})\.csv", 1), "yyyy-MM-dd")))
+              F.col("_metadata.file_path"), SNAPSHOT_NAME, 1), "yyyy-MM-dd")))
     return df, rejected
 
 
+def snapshot_hashes(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """A fingerprint of the lines of each of these snapshots, whatever files they are dealt to."""
+    lines = spark.read.text(paths).select(F.regexp_extract(F.col("_metadata.file_path"), f"({SNAPSHOT_NAME})", 1).alias("name"), "value")
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), "value").cast("decimal(38,0)"))
+    found = lines.groupBy("name").agg(F.concat_ws("-", F.count(F.lit(1)), total(1), total(2)).alias("hash")).collect()
+    by_name = {r["name"]: r["hash"] for r in found}     # a row a snapshot
+    return {p: by_name.get(p.rsplit("/", 1)[-1], "empty") for p in paths}
+
+
 def _snapshot_date(name: str) -> dt.date | None:
     """The date of a snapshot's file name, or None if it has no valid one."""
-    m = re.fullmatch(r"results_(\d{4}-\d{2}-\d{2})\.csv", name)
+    m = re.fullmatch(SNAPSHOT_NAME, name)
     try:
         return dt.date.fromisoformat(m.group(1)) if m else None
     except ValueError:

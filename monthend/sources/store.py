@@ -17,6 +17,7 @@ and several months become visible at once.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from monthend.sources.versions import Version, VersionedTable, publish, publishe
 
 PARTITIONS = ["year", "month"]
 FACT_SCHEMA = "fecha date, metrica int, valor double"
+Properties = dict | Callable[[], dict] | None
 
 
 class DuplicateKeys(ValueError):
@@ -122,17 +124,22 @@ class FactStore:
             raise ValueError("a batch holds rows without a date")
         return months
 
-    def replace_months(self, updates: DataFrame, ids: DataFrame | None = None, properties: dict | None = None) -> Version:
-        """B1+B2 on disk: reload the months present in ``updates``."""
+    def replace_months(self, updates: DataFrame, ids: DataFrame | None = None, properties: Properties = None) -> Version:
+        """B1+B2 on disk: reload the months present in ``updates``.
+
+        ``properties`` are recorded with the commit; a function is called for
+        them once the updates are computed (to store what was counted then).
+        """
         return self._mutate(updates, lambda old, new: U.replace_months(old, new, ids), properties)
 
-    def upsert(self, updates: DataFrame, order_col: str | None = None, properties: dict | None = None) -> Version:
+    def upsert(self, updates: DataFrame, order_col: str | None = None, properties: Properties = None) -> Version:
         """B3 on disk: insert or update (fecha, metrica) rows."""
         return self._mutate(updates, lambda old, new: U.upsert(old, new, order_col), properties)
 
-    def _mutate(self, updates: DataFrame, change, properties: dict | None) -> Version:
+    def _mutate(self, updates: DataFrame, change, properties: Properties) -> Version:
         base = self.version()
         updates = materialize(updates)      # read by several branches below
+        properties = properties() if callable(properties) else properties
         months = self.months_of(updates)
         if not months:
             return self.table.commit(base, {}, properties) if properties else base
