@@ -7,9 +7,10 @@ windows. A character takes the tag of the window it lies deepest in, so that
 spans run on over window ends; runs of tags are the tagger's spans. Those
 that overlap no base span and are plausible for their kind are added.
 
-All four kinds hold a digit or ``@``. A window with neither is all outside by
-definition and skips the network; the result is the same as if its tags were
-computed and then cleared.
+All four kinds hold a digit or ``@``, so reading begins in the windows that
+have one. Wherever a run of tags reaches the end of what was read, the next
+window is read too, until no run does: every span around such a character is
+read whole, as if all windows were.
 
 Defined cases: null is empty; texts of any length are read whole, in time
 linear in their length; repeated rows are found again; where nothing is
@@ -125,16 +126,37 @@ def classes_of(text: str) -> np.ndarray:
     return np.where(points < 128, _CLASS[np.minimum(points, 127)], CLASSES - 2)
 
 
-def windows_of(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows with a digit or ``@`` (rows of classes) and where they start."""
-    n = len(classes)
-    starts = np.arange(0, max(n - WIDTH, 0) + STRIDE, STRIDE) if n > WIDTH else np.zeros(1, np.int64)
-    padded = np.zeros(starts[-1] + WIDTH, np.int8)
-    padded[:n] = classes
-    trigger = np.zeros(len(padded) + 1, np.int64)
-    np.cumsum((padded >= 53) & (padded < 64), out=trigger[1:])  # digits and @
-    starts = starts[trigger[starts + WIDTH] > trigger[starts]]
-    return padded[starts[:, None] + np.arange(WIDTH)] if len(starts) else np.zeros((0, WIDTH), np.int8), starts
+class Windows:
+    """A text's windows: rows of classes, where they start, which hold a digit or ``@``, and which were read."""
+
+    def __init__(self, classes: np.ndarray):
+        n = self.length = len(classes)
+        self.starts = np.arange(0, max(n - WIDTH, 0) + STRIDE, STRIDE) if n > WIDTH else np.zeros(1, np.int64)
+        self.padded = np.zeros(self.starts[-1] + WIDTH, np.int8)
+        self.padded[:n] = classes
+        trigger = np.zeros(len(self.padded) + 1, np.int64)
+        np.cumsum((self.padded >= 53) & (self.padded < 64), out=trigger[1:])  # digits and @
+        self.wanted = trigger[self.starts + WIDTH] > trigger[self.starts]
+        self.read = np.zeros(len(self.starts), bool)
+        self.tags = np.zeros((len(self.starts), WIDTH), np.int8)
+
+    def due(self) -> np.ndarray:
+        return np.flatnonzero(self.wanted & ~self.read)
+
+    def rows(self, which: np.ndarray) -> np.ndarray:
+        return self.padded[self.starts[which, None] + np.arange(WIDTH)]
+
+    def take(self, which: np.ndarray, tags: np.ndarray) -> None:
+        """The tags of these windows; asks for those that a run of tags leads into."""
+        self.tags[which], self.read[which] = tags, True
+        found = np.flatnonzero(self.stitched())
+        for beside in (found - 1, found + 1):
+            inside = beside[(beside >= 0) & (beside < self.length)]
+            self.wanted[np.clip((inside - EDGE) // STRIDE, 0, len(self.starts) - 1)] = True
+
+    def stitched(self) -> np.ndarray:
+        known = np.flatnonzero(self.read)
+        return stitch(self.length, self.starts[known], self.tags[known])
 
 
 def stitch(length: int, starts: np.ndarray, tags: np.ndarray) -> np.ndarray:
@@ -166,13 +188,18 @@ def tag_runs(tags: np.ndarray) -> list[Span]:
 
 def added_spans(texts: list[str], based: list[list[Span]], tagger: Tagger) -> list[list[Span]]:
     """The tagger's plausible spans of each text that touch no base span."""
-    cut = [windows_of(classes_of(t)) if TRIGGER.search(t) else (np.zeros((0, WIDTH), np.int8), np.zeros(0, int)) for t in texts]
-    rows = np.concatenate([w for w, _ in cut])
-    tags = tagger.decode(rows) if len(rows) else rows
-    out, at = [], 0
-    for text, own, (_, starts) in zip(texts, based, cut, strict=True):
-        found = tag_runs(stitch(len(text), starts, tags[at:at + len(starts)])) if len(starts) else []
-        at += len(starts)
+    cut = [Windows(classes_of(t)) if TRIGGER.search(t) else None for t in texts]
+    due = [(w, w.due()) for w in cut if w]
+    while due := [(w, which) for w, which in due if len(which)]:
+        tags = tagger.decode(np.concatenate([w.rows(which) for w, which in due]))
+        at = 0
+        for w, which in due:
+            w.take(which, tags[at:at + len(which)])
+            at += len(which)
+        due = [(w, w.due()) for w, _ in due]
+    out = []
+    for text, own, w in zip(texts, based, cut, strict=True):
+        found = tag_runs(w.stitched()) if w else []
         keep = []
         for kind, i, j in found:
             while i < j and text[i].isspace():

@@ -160,12 +160,43 @@ def test_base_is_linear_in_long_runs():
 
 def test_windows_cover_every_character_once():
     for n in (0, 1, 63, 64, 65, 104, 105, 200, 1000):
-        classes = np.full(n, 55, np.int8)  # digits only
-        rows, starts = pii.windows_of(classes)
+        windows = pii.Windows(np.full(n, 55, np.int8))  # digits only
+        starts = windows.starts[windows.due()]
+        assert n == 0 or len(starts) == len(windows.starts)
         tags = np.arange(1, len(starts) + 1, dtype=np.int8)[:, None].repeat(pii.WIDTH, 1)
         assert (pii.stitch(n, starts, tags) > 0).all()
 
 
+class WordTagger:
+    """Tags every run of what is no space as an address, window by window."""
+
+    def __init__(self):
+        self.read = 0
+
+    def decode(self, rows):
+        self.read += len(rows)
+        return np.where((rows == pii.classes_of(" ")[0]) | (rows == 0), 0, 2).astype(np.int8)
+
+
+@given(st.lists(st.tuples(st.integers(0, 130), st.integers(1, 130), st.sampled_from(["a", "@b.co", "c@d.org", "1"])), max_size=6))
+@settings(max_examples=60, deadline=None)
+def test_spans_around_a_trigger_are_read_whole(parts):
+    """Whatever the alignment, the spans are those found when all windows are read."""
+    text = " ".join("w " * a + "x" * b + c for a, b, c in parts)
+    lazy, every = WordTagger(), pii.Windows(pii.classes_of(text))
+    every.wanted[:] = True
+    every.take(every.due(), WordTagger().decode(every.rows(every.due())))
+    want = [r for r in pii.tag_runs(every.stitched()) if pii.plausible("email", text[r[1]:r[2]])]
+    assert pii.added_spans([text, "no trigger"], [[], []], lazy) == [want, []]
+
+
+def test_an_address_that_starts_long_before_its_sign():
+    text = "w" * 20 + " " * 10 + "l" * 40 + "@host.org and so on " + "plain words " * 400
+    tagger = WordTagger()
+    assert pii.added_spans([text], [[]], tagger) == [[("email", 30, 79)]]
+    assert tagger.read < 10     # of 120 windows
+
+
 def test_gradients_of_the_tagger():
     rng = np.random.default_rng(0)
     allowed = np.ones((3, 3), bool)
