@@ -893,7 +893,7 @@ SELECT strftime(Date, '%Y-%m-%d') AS Date, Metric, Value, ytd, year_over_year, y
 FROM cmp_out WHERE Date >= DATE '{a_lo}' AND Date < DATE '{a_hi}'""",
         "report_sheet": f"""WITH {_SEG},{_compare('seg_long')}
 SELECT strftime(Date, '%Y-%m-%d') AS Date, Metric, Value, ytd, year_over_year, ytd_over_year, Previous_FY_Value,
-       CAST(row_number() OVER (ORDER BY Metric, Date) AS INTEGER) AS row_no
+       row_number() OVER (ORDER BY Metric, Date) AS row_no
 FROM cmp_out""",
         "report_targets": """
 SELECT o_orderkey,

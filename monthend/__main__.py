@@ -109,11 +109,13 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
         else:
             Q.backfill_store(store, glossary, events, sources, props, a.start, a.as_of, a.months_per_commit, **load)
     elif a.job == "media-load":
-        from monthend.plans.media_load import mention_updates, refuse
+        from monthend.plans.media_load import mention_updates, refuse, upsert_in_order
         from monthend.sources.files import read_mention_files
         rows, invalid = read_mention_files(spark, a.files, multiline=not a.split_files)
         refuse(invalid, "files lack the 'Calificación'/'Fecha' columns", SystemExit)
-        store.upsert(mention_updates(rows, glossary), order_col="_order")
+        older = upsert_in_order(store, mention_updates(rows, glossary))
+        if older:
+            print(f"months that hold a newer report already were left as they are: {older}")
     elif a.job == "media-history":
         from monthend.operators.mutate import insert_ignore
         from monthend.operators.reshape import history_updates

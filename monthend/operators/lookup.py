@@ -38,14 +38,15 @@ def number_rows(df: DataFrame, order_by: list[str], col: str = "row_id",
                                     .rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_offset"))
     return (local.join(F.broadcast(offsets), "_range")
-            .withColumn(col, (F.col("_offset") + F.col("_local") + F.lit(start - 1)).cast("int"))
+            .withColumn(col, F.col("_offset") + F.col("_local") + F.lit(start - 1).cast("long"))
             .drop("_range", "_local", "_offset"))
 
 
 def build_glossary(names: DataFrame, name_col: str = "Metric") -> DataFrame:
     """Glossary with ids 1..n in name order, from any frame of names."""
     distinct = names.select(F.col(name_col).alias("nombre")).where(F.col("nombre").isNotNull()).distinct()
-    return number_rows(distinct, ["nombre"], col="metrica").select("metrica", "nombre")
+    ids = number_rows(distinct, ["nombre"], col="metrica")
+    return ids.select(F.col("metrica").cast("int").alias("metrica"), "nombre")
 
 
 def glossary_map(glossary: DataFrame) -> DataFrame:

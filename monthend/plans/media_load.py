@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from monthend.operators.mutate import insert_ignore, upsert
 from monthend.operators.reshape import history_updates
 from monthend.session import materialize, scratch_path
 from monthend.sources.files import read_history_files, read_mention_files
+from monthend.sources.store import FactStore
 
 
 def media_glossary_rows(spark: SparkSession) -> DataFrame:
@@ -24,7 +27,7 @@ def mention_updates(rows: DataFrame, glossary: DataFrame) -> DataFrame:
 
     When several files report one month, the last one wins as a whole: the
     one with the newest modification time, then the last by name. ``_order``
-    orders it against reports loaded before.
+    orders it against reports loaded before (``upsert_in_order`` keeps it).
     """
     last = last_report_per_month(mention_reports(rows))
     order = F.col("mtime") if "mtime" in last.columns else F.col("file")
@@ -32,6 +35,26 @@ def mention_updates(rows: DataFrame, glossary: DataFrame) -> DataFrame:
     return names_to_ids(m, glossary).select("fecha", "metrica", "valor", "_order")
 
 
+def upsert_in_order(store: FactStore, updates: DataFrame, name: str = "media") -> list[dt.date]:
+    """Upserts reports (fecha, metrica, valor, _order timestamp) unless a newer one of the month was loaded before.
+
+    The commit records, under ``name``, the order of the report each month
+    holds (a number a month), so an older file that arrives in a later run
+    does not replace a newer one. Returns the months that were left as they
+    are.
+    """
+    updates = materialize(updates)
+    held = store.version().properties.get("order", {})
+    known = held.get(name, {})
+    month = F.trunc("fecha", "month")
+    newest = {r[0]: r[1] for r in updates.groupBy(month).agg(F.max(F.unix_micros("_order"))).collect()}
+    taken = {m: o for m, o in newest.items() if o >= known.get(m.isoformat(), o)}
+    if taken:
+        ledger = {**known, **{m.isoformat(): o for m, o in taken.items()}}
+        store.upsert(updates.where(month.isin(*taken)), order_col="_order", properties={"order": {**held, name: ledger}})
+    return sorted(newest.keys() - taken.keys())
+
+
 def refuse(rows: DataFrame, what: str, error: type[Exception] = ValueError) -> None:
     """Stop with an error if there are any rows; all of them are in the table it names."""
     first = [tuple(r) for r in rows.limit(5).collect()]

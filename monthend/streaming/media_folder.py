@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from monthend.plans.media_load import mention_updates
+from monthend.plans.media_load import mention_updates, upsert_in_order
 from monthend.session import checkpoint_dir
 from monthend.sources.files import read_mention_files
 from monthend.sources.store import FactStore
@@ -49,7 +49,7 @@ def process_batch(batch: DataFrame, epoch: int, store: FactStore, glossary: Data
     if not bad.isEmpty():
         # a replayed micro-batch writes the same folder again
         bad.write.mode("overwrite").parquet(f"{reject_path(store)}/batch={epoch}")
-    store.upsert(mention_updates(rows, glossary), order_col="_order")
+    upsert_in_order(store, mention_updates(rows, glossary))
 
 
 def start_media_folder_load(spark: SparkSession, folder: str, store: FactStore, glossary: DataFrame,

@@ -168,3 +168,24 @@ def test_properties_named_by_the_glossary(spark):
              "Total Media Mentions"]
     g = spark.createDataFrame(list(enumerate(names, 1)), "metrica int, nombre string")
     assert sorted(r.property for r in glossary_properties(g).collect()) == ["a b", "c"]
+
+
+def test_an_older_report_that_arrives_later_does_not_win(spark, tmp_path):
+    """Order holds across runs, by the modification time that the commit records for each month."""
+    import os
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    store = FactStore(spark, str(tmp_path / "fact"))
+    glossary = media_glossary_rows(spark)
+    text = "Fecha,Calificación\n" + "2024-01-05,positiva\n"
+
+    def arrive(name, mtime, mentions):
+        (inbox / name).write_text(text * 1 + "2024-01-06,neutra\n" * (mentions - 1), encoding="utf-8")
+        os.utime(inbox / name, (mtime, mtime))
+        start_media_folder_load(spark, str(inbox), store, glossary, checkpoint=str(tmp_path / "ckpt")).awaitTermination()
+        return {r.metrica: r.valor for r in store.read().collect()}[13]
+
+    assert arrive("b.csv", 2_000_000_000, 3) == 3.0
+    before = store.version()
+    assert arrive("z_older.csv", 1_900_000_000, 5) == 3.0 and store.version() == before
+    assert arrive("a_newer.csv", 2_100_000_000, 2) == 2.0
