@@ -133,8 +133,9 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
     * a row counts once per row of the same metric-month a year earlier in
       the previous-FY aggregate (T4). That weight is the month's row count,
       so the aggregate needs totals per metric-month only, no pairs;
-    * each group is paired with the groups of the same month a year earlier;
-      the pair stands for ``copies x partner copies`` output rows;
+    * each group is paired with the groups of the same month a year earlier,
+      a crowded month in cells of parts of both sides (``_paired``); the pair
+      stands for ``copies x partner copies`` output rows;
     * finally each pair is expanded into its output rows. Pairs standing for
       more than EXPAND_CHUNK rows are cut into chunks that are spread over
       all tasks before expanding, so no task emits a hot group alone.
@@ -148,18 +149,23 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
     g = materialize(prefix_sums(g, ["Metric", "fiscal_year"], order, sums))
     months = (g.groupBy("Metric", "fiscal_year", "_yr", "_mo", "_mean")
               .agg(F.sum("_c").alias("_rows"), F.sum(sums["_p"]).alias("_sum"),
-                   F.sum(F.when(F.col("Value").isNotNull(), F.col("_c"))).alias("_n")))
+                   F.sum(F.when(F.col("Value").isNotNull(), F.col("_c"))).alias("_n"),
+                   F.count(F.lit(1)).alias("_groups")))
     same_month = Window.partitionBy("Metric", "_mo").orderBy("_yr").rangeBetween(-1, -1)
     weight = F.coalesce(F.sum("_rows").over(same_month), F.lit(1))
     fy = (months.withColumn("_w", weight).groupBy("Metric", "fiscal_year", "_mean")
           .agg(F.sum(F.col("_sum") * F.col("_w")).alias("_total"), F.sum(F.col("_n") * F.col("_w")).alias("_n"))
           .select("Metric", (F.col("fiscal_year") + 1).alias("fiscal_year"),
                   _fy_value(F.col("_total"), F.col("_n")).alias("Previous_FY_Value")))
-    prior = g.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo",
+    prior = g.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo", F.col("Date").alias("_hd"),
                      F.col("Value").alias("_hv"), F.col("_c").alias("_hc"),
                      F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))
-    pairs = (g.join(fy, ["Metric", "fiscal_year"], "left")
-             .join(prior, ["Metric", "_yr", "_mo"], "left")
+    parts = lambda n: F.ceil(F.coalesce(n, F.lit(1)) / PAIR_CELL).cast("int")
+    crowded = materialize(
+        months.withColumn("_before", F.sum("_groups").over(same_month))
+        .select("Metric", "fiscal_year", "_yr", "_mo", parts(F.col("_groups")).alias("_own"), parts(F.col("_before")).alias("_prior"))
+        .where((F.col("_own") > 1) | (F.col("_prior") > 1)))
+    pairs = (_paired(g, prior, crowded, fy)
              .withColumn("_hc1", F.coalesce(F.col("_hc"), F.lit(1)).cast("long"))
              .withColumn("_w", F.col("_c") * F.col("_hc1")))
     out = _expand(pairs)
@@ -174,6 +180,43 @@ def compare_join(df: DataFrame, start_month: int = FISCAL_START_MONTH,
 
 # Output rows one pair may emit inside its own task; larger pairs are split.
 EXPAND_CHUNK = 100_000
+# Groups of a metric-month that are paired in one place; more are cut into parts.
+PAIR_CELL = 4096
+
+
+def _paired(g: DataFrame, prior: DataFrame, crowded: DataFrame, fy: DataFrame) -> DataFrame:
+    """Each group with those of its month a year earlier (null: none) and its previous fiscal year's value.
+
+    A month of more than PAIR_CELL groups, or paired with one, is cut on both
+    sides: a cell holds one part of each, and each group goes to the cells of
+    its part. ``crowded`` has a row for each such month, with the number of
+    parts of both sides; it meets the groups by a salt, so no task gets a
+    month as a whole, whether or not Spark splits joins at run time.
+    """
+    n = int(g.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    month = ["Metric", "_yr", "_mo"]
+    spread = crowded.select(*month, "_own", "_prior", salts.alias("_salt"))
+
+    def dealt(df: DataFrame, date: str, value: str) -> DataFrame:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(date, value), F.lit(n)).cast("int"))
+        return salted.join(spread, [*month, "_salt"], "left").withColumns(
+            {k: F.coalesce(k, F.lit(1)) for k in ("_own", "_prior")})
+
+    part = lambda count, *by: F.pmod(F.xxhash64(F.lit(1), *by), F.col(count)).cast("int")
+    all_of = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    left = dealt(g, "Date", "Value").withColumn("_i", part("_own", "Date", "Value")).withColumn("_j", all_of("_prior"))
+    right = (dealt(prior, "_hd", "_hv").withColumn("_j", part("_prior", "_hd", "_hv")).withColumn("_i", all_of("_own"))
+             .drop("_salt", "_own", "_prior", "_hd"))
+    paired = left.join(right, [*month, "_i", "_j"], "left")
+    # a part that no group of the other side fell into pairs with nothing; the others hold the pairs
+    paired = paired.where((F.col("_prior") == 1) | F.col("_hc").isNotNull())
+    busy = crowded.select("Metric", "fiscal_year").distinct().withColumn("_busy", F.lit(n - 1))
+    fy = fy.join(busy, ["Metric", "fiscal_year"], "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_busy", F.lit(0))))).drop("_busy")
+    # groups of months that are not crowded stay together: a few cells a metric-year
+    salt = F.when((F.col("_own") > 1) | (F.col("_prior") > 1), F.col("_salt")).otherwise(F.lit(0))
+    return paired.withColumn("_salt", salt).join(fy, ["Metric", "fiscal_year", "_salt"], "left")
 
 
 def _running(v: Column, before: Column, rows_before: Column, j: Column) -> Column:

@@ -166,3 +166,43 @@ def test_join_path_month_slice_equals_full_table(spark, month):
     full = [r for r in brute(rows) if (r[0].year, r[0].month) == (month.year, month.month)]
     assert got(C.analytics_slice(to_df(spark, rows), month, path="join")) == full
     assert got(C.analytics_slice(to_df(spark, rows), month)) == full
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("cell", [1, 3])
+def test_crowded_months_are_paired_in_cells(spark, monkeypatch, cell, adaptive):
+    """Months cut into parts on both sides give the same rows; parts may be empty, partners missing."""
+    monkeypatch.setattr(C, "PAIR_CELL", cell)
+    rnd = random.Random(cell)
+    rows = [(dt.date(y, m, rnd.randrange(1, 28)), rnd.choice(["A Views", "B Per Session"]), rnd.choice([None, 0.5, 1.25, float(k)]))
+            for y in (2020, 2021, 2022, 2024) for m in (3, 7, 8) for k in range(rnd.choice([1, 2, 9]))]
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        got = C.compare_join(spark.createDataFrame(rows, "Date date, Metric string, Value double")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(map(tuple, got)) == brute(rows)
+
+
+def test_a_crowded_month_is_many_tasks(spark, monkeypatch):
+    """One metric-month with nearly all groups, no help from run-time splitting: the largest task is bounded."""
+    monkeypatch.setattr(C, "PAIR_CELL", 20)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        months = [(2020, 400), (2021, 300), (2022, 2)]
+        rows = [(dt.date(y, 5, 1 + k % 28), "hot", float(k)) for y, n in months for k in range(n)]
+        keyed = C._with_keys(spark.createDataFrame(rows, "Date date, Metric string, Value double"), 8, "Session")
+        g = keyed.withColumns({"_c": F.lit(1), "_p": F.lit(0), "_np": F.lit(0)})
+        crowded = spark.createDataFrame([("hot", 2019, 2020, 5, 20, 1), ("hot", 2020, 2021, 5, 15, 20), ("hot", 2021, 2022, 5, 1, 15)],
+                                        "Metric string, fiscal_year int, _yr int, _mo int, _own int, _prior int")
+        prior = g.select("Metric", (F.col("_yr") + 1).alias("_yr"), "_mo", F.col("Date").alias("_hd"), F.col("Value").alias("_hv"),
+                         F.col("_c").alias("_hc"), F.col("_p").alias("_hp"), F.col("_np").alias("_hnp"))
+        fy_rows = spark.createDataFrame([("hot", 2020, 1.0)], "Metric string, fiscal_year int, Previous_FY_Value double")
+        out = C._paired(g, prior, crowded, fy_rows)
+        tasks = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        total = 400 + 300 * 400 + 2 * 300
+        assert sum(tasks) == total and max(tasks) < total / 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
