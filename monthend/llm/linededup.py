@@ -8,9 +8,10 @@ the positions it loses.
 
 Defined cases: a null or empty text is one empty line; lines whose key is
 empty are never dropped; rows repeated under one id count as one document and
-each row is cleaned; rows with a null id count together as one document; an
-empty table gives an empty result; other columns pass through untouched,
-whatever their names.
+each row is cleaned; rows with a null id count together as one document; a
+text of any length is split whole, its lines held once as an array; an empty
+table gives an empty result; other columns pass through untouched, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ adds a hash per task and not one per document.
 
 Defined cases: null and empty texts have no words; texts below the window's
 length lose nothing; repeated rows, also under one id, are repetitions like
-any others; rows with a null id are cleaned too; an empty table gives an
+any others; rows with a null id are cleaned too; texts of any length are read
+whole, in slices of about a megabyte or one text; an empty table gives an
 empty result; other columns are ignored.
 """
 

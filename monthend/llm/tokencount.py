@@ -11,8 +11,9 @@ always ranks after it.
 Counts of pre-tokens seen before are kept in a bounded table per task.
 
 Defined cases: null is empty (no bytes, no tokens); a special token's string
-within a text counts as one token; a text of any length counts whole; an
-empty table gives an empty result.
+within a text counts as one token; a text of any length counts whole; rows
+repeated or with a null id are counted each on its own; an empty table gives
+an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
