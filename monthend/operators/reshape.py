@@ -67,10 +67,15 @@ def history_to_long(wide: DataFrame, row_col: str = "_row",
 
 
 def _cells(wide: DataFrame, row_col: str, months: list[str]) -> DataFrame:
-    """(_rank, _label, _text) for the first four rows by position."""
+    """(_rank, _label, _text) for the first four rows by position.
+
+    An explode, not ``unpivot``: with what follows, the code generated for
+    the latter does not compile, and the job falls back to slower plans.
+    """
+    cell = lambda m: F.struct(F.lit(m).alias("_label"), F.col(f"`{m}`").cast("string").alias("_text"))
     return (wide.where(F.col(row_col) < len(HISTORY_ROW_IDS))
-            .select(F.col(row_col).alias("_rank"), *[F.col(f"`{m}`").cast("string").alias(m) for m in months])
-            .unpivot(["_rank"], months, "_label", "_text"))
+            .select(F.col(row_col).alias("_rank"), F.explode(F.array(*[cell(m) for m in months])).alias("_cell"))
+            .select("_rank", "_cell._label", "_cell._text"))
 
 
 def history_bad_cells(wide: DataFrame, row_col: str = "_row",
