@@ -49,7 +49,7 @@ def test_after_any_sequence_of_reloads(spark, tmp_path, copies):
             change = spark.createDataFrame(batch, FACT)
             facts.upsert(change) if rng.random() < 0.3 else facts.replace_months(change)
         done = kept.refresh(facts, glossary)
-        assert done["path"] == ("join" if copies > 1 else "window")
+        assert done["path"] in ({"join"} if copies > 1 else {"window"}) or not done["pairs"]
         assert rows(kept.read()) == whole(spark, facts, glossary), step
     facts.write_all(facts.read().where("metrica <> 3 and fecha < date'2023-01-01'"))      # rows that go away
     kept.refresh(facts, glossary)
